@@ -104,7 +104,8 @@ def _uniform(*cols: Column) -> Column:
 
 
 def _round(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["order", "doc_id", "size", "copy"], kind="stable")
+    # large documents first: what stays open after them trades with ever smaller ones, so little is left over
+    pdf = pdf.assign(down=-pdf["size"]).sort_values(["down", "order", "doc_id", "copy"], kind="stable").drop(columns="down")
     pdf["p"] = pivotal(pdf["p"].to_numpy(), pdf["size"].to_numpy(), pdf["draw"].to_numpy())
     return pdf
 

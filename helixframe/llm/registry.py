@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, media_tiff, mixing, packing, token_files
+from pyspark.sql import functions as F
+
+from . import license_scan, media_tiff, mixing, ngram_join, packing, quality_crf, repeats, token_files
 from .storage import documents
 
 
@@ -18,6 +20,21 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(documents(spark, sf_dir))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(documents(spark, sf_dir))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_bytes(documents(spark, sf_dir))
+
+
+def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality_crf.scores(docs, model)
+    return scored.select("doc_id", (quality_crf.fold() == 0).alias("held_out"), "score", (F.col("score") >= quality_crf.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.labels(license_scan.scan(documents(spark, sf_dir)))
 
@@ -31,7 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media_tiff, op2_packing, op7_license_scan, op8_token_counts, op10_mixing)
+    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op6_quality_crf, op7_license_scan, op8_token_counts, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {
