@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import license_scan, media_tiff, mixing, ngram_join, packing, quality_crf, repeats, token_files
+from . import license_scan, media_tiff, mixing, ngram_join, packing, pitman_yor, quality_crf, repeats, token_files
 from .storage import documents
 
 
@@ -28,6 +28,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.removed_bytes(documents(spark, sf_dir))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scores(documents(spark, sf_dir))
+
+
 def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -48,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op6_quality_crf, op7_license_scan, op8_token_counts, op10_mixing)
+    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op5_pitman_yor, op6_quality_crf, op7_license_scan, op8_token_counts, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {
