@@ -23,8 +23,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from .components import components
 from .storage import materialize
@@ -212,7 +213,6 @@ def _fits(percent: int):
 
 def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, sig) of each document, and the verified links (a, b) by which the sets hang together."""
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = materialize(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, sig long"), "sets")
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
@@ -252,6 +252,28 @@ def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[D
     return described, label
 
 
+def representatives(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each class: that of the smallest doc_id, then of the smallest set hash. Rows with empty sets all stay."""
+    described, label = similar_sets(docs, k, percent)
+    own = described.where("n_shingles > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "sig")).alias("least"))
+    own = own.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    kept = own.groupBy("component").agg(F.min("least").alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.sig").alias("__kept"))
+
+    def sign(batches):
+        for batch in batches:
+            data, off = byte_column(batch, "text")
+            n, sig = np.zeros(len(batch), np.int64), np.zeros(len(batch), U64)
+            for lo, hi in chunks(off):
+                h, at = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k)
+                n[lo:hi], sig[lo:hi] = np.diff(at), _signatures(h, at)
+            yield pa.record_batch([*batch.columns, pa.array(sig.view(np.int64), mask=n == 0)], names=[*batch.schema.names, "__sig"])
+
+    signed = docs.mapInArrow(sign, StructType([*docs.schema.fields]).add("__sig", LongType()))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__sig").orderBy(F.xxhash64("text")))
+    full = signed.where("__sig IS NOT NULL").join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sig") == F.col("__kept"))).withColumn("__row", first).where("__row = 1")
+    return full.select(*docs.columns).unionByName(signed.where("__sig IS NULL").select(*docs.columns))
+
+
 def classes(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links lead to) of each document."""
     described, label = similar_sets(docs, k, percent)

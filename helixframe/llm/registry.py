@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import license_scan, media_tiff, mixing, ngram_join, packing, pitman_yor, quality_crf, repeats, token_files
+from . import license_scan, media_tiff, mixing, ngram_join, nn_descent, packing, pitman_yor, quality_crf, repeats, token_files
 from .storage import documents
 
 
@@ -47,12 +47,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.document_token_counts(documents(spark, sf_dir))
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op5_pitman_yor, op6_quality_crf, op7_license_scan, op8_token_counts, op10_mixing)
+    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op5_pitman_yor, op6_quality_crf, op7_license_scan, op8_token_counts, op9_nn_descent, op10_mixing)
 }
 
 ORACLES: dict[str, str] = {
