@@ -1,4 +1,371 @@
 """Queries of the dataset operators bound to the driver's tables, and their SQL."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as t
+from ..functions.refdata import LETTERS, SUBSTITUTIONS
+from ..operators import catalog, distograms, quality, residues
+from ..sources import readers
+from . import bindings as b
+
 QUERIES = {}
 ORACLES = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its name, with the SQL that gives the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+_NAMES = "[" + ", ".join(repr(n) for n in b.NAMES) + "]"
+_LETTER = "CASE res_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LETTERS.items()) + " ELSE 'X' END"
+_ATOMS = f"""atoms AS (SELECT concat(l_orderkey, '_', l_returnflag) AS protein_id, l_linenumber AS res_seq, {_NAMES}[l_partkey % {len(b.NAMES)} + 1] AS res_name,
+  CASE WHEN l_linestatus = 'O' THEN 'CA' ELSE 'CB' END AS atom_name, l_quantity AS x, l_discount * 100 AS y, l_tax * 100 AS z, l_discount AS occupancy, l_orderkey,
+  row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line_no FROM lineitem)"""
+_RESIDUES = f"""res AS (SELECT protein_id, res_seq, arg_min({_LETTER}, line_no) AS l, arg_max(struct_pack(x := x, y := y, z := z), line_no) FILTER (atom_name = 'CA') AS v FROM atoms GROUP BY ALL),
+grid AS (SELECT protein_id, unnest(range(min(res_seq), max(res_seq) + 1)) AS r FROM res GROUP BY protein_id)"""
+_COORDS = f"{_ATOMS}, {_RESIDUES}, coords AS (SELECT g.protein_id, g.r, v.x AS x, v.y AS y, v.z AS z FROM grid g LEFT JOIN res ON res.protein_id = g.protein_id AND res_seq = r)"
+_PAIRS = f"{_COORDS}, pairs AS (SELECT a.protein_id, a.r AS i, b.r AS j, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS d FROM coords a JOIN coords b ON a.protein_id = b.protein_id AND a.r < b.r)"
+
+
+def _rounded(df: DataFrame, *cols: str, places: int = 4) -> DataFrame:
+    return df.withColumns({c: F.round(c, places) for c in cols})
+
+
+# --- residues ---------------------------------------------------------------------------------
+
+
+@query(f"WITH {_ATOMS}, {_RESIDUES} SELECT g.protein_id, string_agg(coalesce(l, 'X'), '' ORDER BY r) AS sequence, count(*) AS n_res FROM grid g LEFT JOIN res ON res.protein_id = g.protein_id AND res_seq = r GROUP BY g.protein_id")
+def gap_filled_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residues.sequences(b.atoms(spark, sf_dir)).withColumn("n_res", F.length("sequence").cast("long"))
+
+
+@query(f"WITH {_COORDS} SELECT protein_id, r::BIGINT AS res_idx, round(x, 4) AS x, round(y, 4) AS y, round(z, 4) AS z FROM coords")
+def gap_filled_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(residues.coordinates(b.atoms(spark, sf_dir)).withColumn("res_idx", F.col("res_idx").cast("long")), "x", "y", "z")
+
+
+@query(f"WITH {_ATOMS} SELECT protein_id, res_seq::BIGINT AS res_seq, arg_max(line_no, line_no) AS line_no, round(arg_max(x, line_no), 4) AS x, round(arg_max(y, line_no), 4) AS y FROM atoms WHERE atom_name = 'CB' GROUP BY ALL")
+def carbon_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    only = b.atoms(spark, sf_dir).where("atom_name = 'CB'")
+    last = only.groupBy("protein_id", F.col("res_seq").cast("long").alias("res_seq")).agg(F.max_by(F.struct("line_no", "x", "y"), "line_no").alias("v"))
+    return last.select("protein_id", "res_seq", F.col("v.line_no").cast("long").alias("line_no"), F.round("v.x", 4).alias("x"), F.round("v.y", 4).alias("y"))
+
+
+@query(f"""WITH {_ATOMS}, o AS (SELECT *, row_number() OVER (PARTITION BY protein_id, res_seq, atom_name ORDER BY occupancy DESC, line_no) AS k, min(line_no) OVER (PARTITION BY protein_id, res_seq, atom_name) AS f FROM atoms)
+SELECT protein_id, res_seq::BIGINT AS res_seq, atom_name, res_name, line_no::BIGINT AS line_no, f::BIGINT AS first_line, round(occupancy, 4) AS occupancy FROM o WHERE k = 1""")
+def max_occupancy_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = residues.best_conformers(b.atoms(spark, sf_dir))
+    return best.select("protein_id", F.col("res_seq").cast("long").alias("res_seq"), "atom_name", "res_name", F.col("line_no").cast("long").alias("line_no"), F.col("first_line").cast("long").alias("first_line"), F.round("occupancy", 4).alias("occupancy"))
+
+
+_RANGE_OF = "CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN [(2, 3), (5, 6)] ELSE [] END"
+
+
+@query(f"WITH {_ATOMS} SELECT protein_id, res_seq::BIGINT AS res_seq, line_no::BIGINT AS line_no FROM atoms WHERE l_orderkey % 3 = 0 OR (l_orderkey % 3 = 1 AND (res_seq BETWEEN 2 AND 3 OR res_seq BETWEEN 5 AND 6))")
+def residue_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = F.when(F.col("l_orderkey") % 3 == 1, t.parse_ranges(F.lit("2-3;5-6"))).when(F.col("l_orderkey") % 3 == 2, F.array().cast(t.RANGES))
+    kept = b.atoms(spark, sf_dir).withColumn("ranges", ranges).where(t.in_ranges(F.col("res_seq"), F.col("ranges")))
+    return kept.select("protein_id", F.col("res_seq").cast("long").alias("res_seq"), F.col("line_no").cast("long").alias("line_no"))
+
+
+_LINE = """printf('%-6s%5s %s%s%s %3s %s%4s    %8s%8s%8s%6s%6s          %2s  ', 'ATOM', line_no::VARCHAR, '', ' CA '[1:0] || CASE WHEN atom_name = 'CA' THEN ' CA ' ELSE ' CB ' END, '', res_name, right(protein_id, 1), res_seq::VARCHAR,
+  printf('%.3f', x), printf('%.3f', y), printf('%.3f', z), printf('%.2f', occupancy), '0.00', 'C')"""
+
+
+def _pdb_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = lambda c: F.col(c).cast("string")
+    num = lambda c, f: F.format_string(f, F.col(c))
+    line = t.pdb_line(F.lit("ATOM"), s("line_no"), F.col("atom_name"), F.col("res_name"), F.col("protein_id"), s("res_seq"), F.lit("?"), num("x", "%.3f"), num("y", "%.3f"), num("z", "%.3f"), num("occupancy", "%.2f"), F.lit("0.00"), F.lit("C"), F.lit("?"))
+    return b.atoms(spark, sf_dir).select("protein_id", F.col("line_no").cast("long").alias("line_no"), line.alias("line"))
+
+
+@query(f"WITH {_ATOMS} SELECT protein_id, line_no::BIGINT AS line_no, {_LINE} AS line FROM atoms")
+def pdb_line_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pdb_lines(spark, sf_dir)
+
+
+@query(f"WITH {_ATOMS} SELECT protein_id, line_no::BIGINT AS line_no, line_no::BIGINT AS serial, atom_name, res_name, right(protein_id, 1) AS chain, res_seq::BIGINT AS res_seq, round(x, 3) AS x, round(y, 3) AS y, round(z, 3) AS z, 'C' AS element FROM atoms")
+def pdb_line_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _pdb_lines(spark, sf_dir).select("protein_id", "line_no", t.pdb_fields(F.col("line")).alias("f")).where("f.record = 'ATOM'")
+    return f.select("protein_id", "line_no", F.col("f.serial").cast("long").alias("serial"), "f.atom_name", "f.res_name", "f.chain", F.col("f.res_seq").cast("long").alias("res_seq"), "f.x", "f.y", "f.z", "f.element")
+
+
+_SUB = "CASE res_name " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SUBSTITUTIONS.items()) + " ELSE res_name END"
+
+
+@query(f"WITH {_ATOMS} SELECT {_SUB} AS res_name, count(*) AS n FROM atoms WHERE res_name NOT IN ('A','G','C','U','I','DA','DG','DC','DT','DI') GROUP BY 1")
+def residue_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.atoms(spark, sf_dir).withColumn("res_name", t.substitute(F.col("res_name"))).where(~t.is_nucleic(F.col("res_name")) & t.is_residue(F.col("res_name")))
+    return rows.groupBy("res_name").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_ATOMS}, last AS (SELECT protein_id, l_orderkey, res_seq, arg_max({_LETTER}, line_no) AS l FROM atoms GROUP BY ALL),
+refs AS (SELECT o_orderkey, translate(o_orderpriority, '12345-', 'ACDEFG') AS s FROM orders WHERE o_orderkey % 4 <> 0),
+v AS (SELECT protein_id, bool_and(res_seq <= length(s) AND substr(s, res_seq, 1) = l) AS ok FROM last JOIN refs ON l_orderkey = o_orderkey GROUP BY protein_id)
+SELECT count(*) FILTER (ok) AS good, count(*) FILTER (NOT ok) AS bad, round(count(*) FILTER (ok) / count(*), 6) AS ratio FROM v""")
+def verify_chain_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = b.atoms(spark, sf_dir)
+    refs = b.table(spark, sf_dir, "orders").where("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("l_orderkey"), F.translate("o_orderpriority", "12345-", "ACDEFG").alias("sequence"))
+    ids = a.select("protein_id", "l_orderkey").distinct().join(refs, "l_orderkey").select("protein_id", "sequence")
+    return _rounded(residues.verification_ratio(residues.verify_chains(a, ids)), "ratio", places=6)
+
+
+# --- distograms -------------------------------------------------------------------------------
+
+
+def _coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residues.coordinates(b.atoms(spark, sf_dir))
+
+
+@query(f"WITH {_PAIRS} SELECT protein_id, i::BIGINT AS i, j::BIGINT AS j, round(d, 4) AS d FROM pairs")
+def distogram_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distograms.distogram(_coords(spark, sf_dir)).select("protein_id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.round("d", 4).alias("d"))
+
+
+@query(f"WITH {_PAIRS} SELECT protein_id, count(*)::BIGINT AS n_pairs, count(d)::BIGINT AS n_known, round(coalesce(sum(d), 0), 2) AS total FROM pairs GROUP BY protein_id")
+def distogram_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed matrices, summed up; SQL sums the long form."""
+    flat = F.flatten(F.col("m"))
+    known = F.filter(flat, lambda v: v.isNotNull() & ~F.isnan(v))
+    n = F.size("m").cast("long")
+    return distograms.packed_distogram(_coords(spark, sf_dir)).select(
+        "protein_id",
+        F.floor(n * (n - 1) / 2).cast("long").alias("n_pairs"),
+        F.floor((F.size(known) - n) / 2).cast("long").alias("n_known"),
+        F.round(F.aggregate(known, F.lit(0.0), lambda a, v: a + v) / 2, 2).alias("total"),
+    )
+
+
+@query(f"WITH {_COORDS} SELECT protein_id, count(*) AS n_res FROM coords GROUP BY protein_id HAVING count(*) <= 1")
+def distogram_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distograms.degenerate(_coords(spark, sf_dir))
+
+
+_SHARE = "CASE WHEN hi > lo THEN least(floor((d - lo) / (hi - lo) * 100), 99) ELSE 0 END"
+
+
+@query(f"WITH {_PAIRS}, s AS (SELECT protein_id, d, min(d) OVER (PARTITION BY protein_id) AS lo, max(d) OVER (PARTITION BY protein_id) AS hi FROM pairs WHERE d IS NOT NULL) SELECT protein_id, {_SHARE}::BIGINT AS bin, count(*) AS n, round(max(hi), 4) AS max_distance FROM s GROUP BY 1, 2")
+def distance_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(distograms.histogram(distograms.distogram(_coords(spark, sf_dir))), "max_distance")
+
+
+@query("WITH e AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem) SELECT floor((l_extendedprice - lo) / (hi - lo) * 10)::BIGINT AS bin, count(*) AS n, round(avg(l_extendedprice), 2) AS mean FROM lineitem, e WHERE l_extendedprice < hi GROUP BY 1")
+def boxplot_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(distograms.box_bins(b.table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("v"))), "mean", places=2)
+
+
+# --- catalog ----------------------------------------------------------------------------------
+
+
+def _held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as an index: order keys are proteins, the least part number is the path."""
+    return b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("protein_id")).agg(F.min("l_partkey").alias("path"))
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("protein_id"))
+
+
+@query("SELECT o_orderkey AS protein_id FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
+def missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.present_missing(_asked(spark, sf_dir), _held(spark, sf_dir))[1]
+
+
+@query("SELECT o_orderkey AS protein_id, min(l_partkey) AS path FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
+def present_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.present_missing(_asked(spark, sf_dir), _held(spark, sf_dir))[0]
+
+
+@query(f"""WITH {_ATOMS}, idx AS (SELECT protein_id, min(line_no) AS path FROM atoms GROUP BY 1), asked AS (SELECT DISTINCT CASE WHEN o_custkey % 2 = 0 THEN o_orderkey::VARCHAR ELSE concat(o_orderkey, '_R') END AS asked FROM orders)
+SELECT asked, protein_id, path::BIGINT AS path FROM asked JOIN idx ON asked = protein_id OR (NOT contains(asked, '_') AND asked = regexp_replace(protein_id, '_[^_]*$', ''))""")
+def prefix_expand_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idx = b.atoms(spark, sf_dir).groupBy("protein_id").agg(F.min("line_no").cast("long").alias("path"))
+    key = F.col("o_orderkey").cast("string")
+    asked = b.table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 2 == 0, key).otherwise(F.concat(key, F.lit("_R"))).alias("protein_id"))
+    return catalog.expand_prefixes(asked, idx)
+
+
+@query("SELECT user_id::VARCHAR AS protein_id, event_type AS index_type, arg_max(event_id, (ts, event_id)) AS path FROM events GROUP BY 1, 2")
+def newest_wins_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.index(spark, sf_dir).withColumn("key", F.struct("protein_id", "index_type"))
+    return catalog.newest_wins(rows, key="key").select("key.protein_id", "key.index_type", "path")
+
+
+@query("""WITH o AS (SELECT user_id, max(event_id) AS p FROM events WHERE event_type = 'view' GROUP BY 1), n AS (SELECT user_id, max(event_id) AS p FROM events WHERE event_type = 'purchase' GROUP BY 1)
+SELECT coalesce(o.user_id, n.user_id)::VARCHAR AS protein_id, coalesce(n.p, o.p) AS path FROM o FULL JOIN n ON o.user_id = n.user_id""")
+def merge_index_right_biased(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda kind: b.index(spark, sf_dir).where(F.col("index_type") == kind).groupBy("protein_id").agg(F.max("path").alias("path"))
+    return catalog.merge_right(part("view"), part("purchase"))
+
+
+@query("SELECT l_suppkey AS path, array_to_string(list_sort(list(DISTINCT l_orderkey)), ',') AS protein_ids FROM lineitem GROUP BY 1")
+def reversed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("protein_id"), F.col("l_suppkey").alias("path"))
+    return catalog.reverse_index(rows).withColumn("protein_ids", F.array_join("protein_ids", ","))
+
+
+@query("SELECT o_orderkey AS protein_id, ((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 + 3)::BIGINT AS batch FROM orders")
+def work_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.batches(_asked(spark, sf_dir), "protein_id", 1000, offset=3).select("protein_id", F.col("batch").cast("long").alias("batch"))
+
+
+@query("""WITH s AS (SELECT p_partkey, ['dataset', 'coordinates', 'sequences', 'distograms', 'embeddings'][p_partkey % 5 + 1] AS index_type, CASE WHEN p_size % 3 = 0 THEN 'None' WHEN p_size % 3 = 1 THEN NULL ELSE 'esm' END AS e, CASE WHEN p_size % 2 = 0 THEN 'CA' ELSE 'CB' END AS c, CASE WHEN p_size % 5 = 0 THEN 'in' ELSE 'None' END AS i FROM part)
+SELECT p_partkey, index_type, CASE index_type WHEN 'embeddings' THEN nullif(e, 'None') IS NOT DISTINCT FROM 'esm' AND c = 'CA' AND nullif(i, 'None') IS NULL WHEN 'dataset' THEN nullif(i, 'None') IS NULL ELSE c = 'CA' AND nullif(i, 'None') IS NULL END AS applies FROM s""")
+def dataset_match_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    kind = b.pick(b.INDEX_TYPES, F.col("p_partkey"))
+    embedder = F.when(size % 3 == 0, "None").when(size % 3 == 2, "esm")
+    carbon, source = F.when(size % 2 == 0, "CA").otherwise("CB"), F.when(size % 5 == 0, "in").otherwise("None")
+    test = catalog.applies(kind, catalog.alike(embedder, F.lit("esm")), catalog.alike(carbon, F.lit("CA")), catalog.alike(source, F.lit(None).cast("string")))
+    return b.table(spark, sf_dir, "part").select("p_partkey", kind.alias("index_type"), test.alias("applies"))
+
+
+_INDEX = "idx AS (SELECT l_returnflag AS index_type, l_linestatus AS slug, CASE WHEN l_linenumber < 7 THEN l_linenumber::VARCHAR ELSE '-' END AS batch, l_suppkey AS path, l_orderkey AS protein_id FROM lineitem)"
+
+
+@query(f"""WITH {_INDEX} SELECT CASE grouping(index_type, slug, batch) WHEN 3 THEN 0 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END AS level, index_type, slug, batch, count(*) AS proteins, count(DISTINCT path) AS files
+FROM idx GROUP BY GROUPING SETS ((index_type), (index_type, slug), (index_type, slug, batch), (slug))""")
+def index_stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = F.when(F.col("l_linenumber") < 7, F.col("l_linenumber"))
+    rows = b.table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("index_type"), F.col("l_linestatus").alias("slug"), batch.alias("batch"), F.col("l_suppkey").alias("path"), F.col("l_orderkey").alias("protein_id"))
+    return catalog.index_stats(rows)
+
+
+@query("SELECT concat('run_', l_suppkey) AS slug, count(DISTINCT l_partkey) AS files, count(*) AS proteins FROM lineitem GROUP BY 1 ORDER BY files DESC, proteins DESC, slug LIMIT 50")
+def top50_referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("run_"), F.col("l_suppkey").cast("string")).alias("slug"), F.col("l_partkey").alias("path"), F.col("l_orderkey").alias("protein_id"))
+    return catalog.top_referenced(rows)
+
+
+_IDS = "ids AS (SELECT concat('AF-', o_custkey, '-', o_orderkey) AS id FROM orders), wanted AS (SELECT DISTINCT concat('-', c_custkey, '-') AS w FROM customer WHERE c_custkey % 7 = 0)"
+
+
+@query(f"WITH {_IDS} SELECT id FROM ids WHERE EXISTS (SELECT 1 FROM wanted WHERE contains(id, w))")
+def substring_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = b.table(spark, sf_dir, "orders").select(F.concat_ws("-", F.lit("AF"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")).alias("id"))
+    wanted = b.table(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("-"), F.col("c_custkey").cast("string"), F.lit("-")).alias("id"))
+    return catalog.containing(ids, wanted)
+
+
+@query("SELECT o_orderkey AS protein_id FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))")
+def type_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = b.table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
+    return b.table(spark, sf_dir, "orders").join(kinds, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.col("o_orderkey").alias("protein_id"))
+
+
+# --- sources ----------------------------------------------------------------------------------
+
+_A = "(o_custkey % 50)"
+_ONE = f"concat({_A}, '-', {_A} + o_orderkey % 7 - 1)"
+_TWO = f"concat({_A} + 60, '-', {_A} + 70)"
+_PARSED = f"""parsed AS (SELECT o_orderkey AS line_no, CASE WHEN o_orderkey % 11 = 1 THEN 'Range must contain ''-''' WHEN o_orderkey % 11 = 2 THEN 'Range values must be integers' WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0 THEN 'Range start must be <= end' END AS error,
+  CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 < 6 THEN concat({_ONE}, ';', {_TWO}) ELSE {_ONE} END AS ranges,
+  concat('AF-', o_custkey, '-F1-model_v4', CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('__', o_orderkey % 1000, '_A') END) AS full_id FROM orders)"""
+
+
+def _range_text(ranges: str = "ranges"):
+    return F.array_join(F.transform(F.array_sort(ranges), lambda r: F.concat_ws("-", r["s"].cast("string"), r["e"].cast("string"))), ";")
+
+
+@query(f"WITH {_PARSED} SELECT line_no, full_id, CASE WHEN error IS NULL THEN ranges END AS ranges, error FROM parsed")
+def range_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = b.range_lines(spark, sf_dir)
+    good, bad = readers.parse_range_lines(lines)
+    named = bad.withColumn("n", F.trim(F.get(F.split("line", ",", 2), F.lit(0)))).withColumn("full_id", F.regexp_replace("n", "__nan$", ""))
+    none = F.lit(None).cast("string")
+    return good.select("line_no", "full_id", _range_text().alias("ranges"), none.alias("error")).unionByName(named.select("line_no", "full_id", none.alias("ranges"), "error"))
+
+
+@query(f"WITH {_PARSED} SELECT line_no, full_id, ranges FROM parsed WHERE error IS NULL QUALIFY ranges IS NULL OR row_number() OVER (PARTITION BY ranges ORDER BY line_no) = 1")
+def range_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = readers.parse_range_lines(b.range_lines(spark, sf_dir))
+    return readers.first_of_equal_ranges(good).select("line_no", "full_id", _range_text().alias("ranges"))
+
+
+@query("SELECT doc_id::VARCHAR AS protein_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS sequence FROM documents")
+def fasta_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.parse_fasta(b.fasta_lines(spark, sf_dir))
+
+
+@query("SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), -1) AS path FROM events WHERE props IS NOT NULL")
+def json_index_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "events").where("props IS NOT NULL")
+    items = rows.select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
+    return items.where("key = 'k'").select("event_id", F.coalesce(F.col("value").try_cast("bigint"), F.lit(-1).cast("long")).alias("path"))
+
+
+_PATHS = """paths AS (SELECT o_orderkey::VARCHAR AS protein_id, ['dataset', 'coordinates', 'sequences', 'distograms', 'embeddings'][(o_orderkey + o_custkey) % 5 + 1] AS index_type, ['PDB', 'AFDB', 'ESMatlas', 'other', 'wwPDB'][o_orderkey % 5 + 1] AS db,
+  ['all', 'part', 'subset', 'clust'][o_custkey % 4 + 1] AS coll, concat('run_', o_custkey % 97) AS slug, (o_orderkey % 13)::VARCHAR AS batch FROM orders)"""
+
+
+@query(f"""WITH {_PATHS} SELECT protein_id, index_type, CASE WHEN db <> 'wwPDB' THEN db WHEN index_type <> 'dataset' THEN 'PDB' END AS db, CASE WHEN db <> 'wwPDB' OR index_type <> 'dataset' THEN coll END AS collection, CASE WHEN db <> 'wwPDB' OR index_type <> 'dataset' THEN slug END AS slug,
+  CASE WHEN index_type = 'sequences' OR (index_type = 'dataset' AND db = 'wwPDB') THEN NULL ELSE batch END AS batch FROM paths""")
+def identity_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.paths(spark, sf_dir).withColumn("i", t.dataset_identity(F.col("path")))
+    return rows.select("protein_id", "index_type", "i.db", "i.collection", "i.slug", t.batch_of_path(F.col("path"), F.col("index_type")).alias("batch"))
+
+
+@query("SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, count(*) AS n FROM pages GROUP BY 1")
+def url_regex_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return b.table(spark, sf_dir, "pages").groupBy(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, regexp_replace(concat(o_orderkey, '_', o_orderstatus), '_[^_]*$', '') AS code, concat(o_orderkey, '__', o_orderstatus) AS doubled, concat('P', o_custkey) AS accession FROM orders")
+def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.concat_ws("_", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    f = F.concat(F.lit("AF-P"), F.col("o_custkey").cast("string"), F.lit("-F1-model_v4"))
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", t.without_last_token(i).alias("code"), t.double_last_underscore(i).alias("doubled"), t.accession(f).alias("accession"))
+
+
+# --- quality and studies ----------------------------------------------------------------------
+
+_SEQ = "seqs AS (SELECT doc_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS s FROM documents)"
+_DIFF = f"""{_SEQ}, big AS (SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN concat(s, 'Z') ELSE s END AS s FROM seqs WHERE doc_id % 5 <> 0),
+diff AS (SELECT s.doc_id, s.s, b.s AS b, CASE WHEN b.s IS NULL THEN 'missing' WHEN s.s = b.s THEN 'same' ELSE 'different' END AS status FROM seqs s LEFT JOIN big b USING (doc_id))"""
+
+
+def _small_big(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = b.table(spark, sf_dir, "documents").select("doc_id", F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "")).alias("sequence"))
+    big = d.where("doc_id % 5 <> 0").withColumn("sequence", F.when(F.col("doc_id") % 3 == 1, F.concat("sequence", F.lit("Z"))).otherwise(F.col("sequence")))
+    return d.withColumnRenamed("doc_id", "protein_id"), big.withColumnRenamed("doc_id", "protein_id")
+
+
+@query(f"WITH {_DIFF} SELECT count(*) FILTER (status = 'same') AS n_same, count(*) FILTER (status = 'different') AS n_different, count(*) FILTER (status = 'missing') AS n_missing, round(count(*) FILTER (status <> 'same') / count(DISTINCT doc_id) * 100, 4) AS percent_off FROM diff")
+def fasta_diff_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(quality.fasta_diff_stats(quality.fasta_diff(*_small_big(spark, sf_dir))), "percent_off")
+
+
+@query(f"WITH {_DIFF} SELECT doc_id AS protein_id, status, CASE WHEN b IS NULL THEN NULL ELSE length(b) > 0 AND contains(b, s) END AS consistent, CASE WHEN b IS NULL THEN NULL ELSE length(s) > length(b) END AS longer FROM diff")
+def subsequence_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = quality.fasta_diff(*_small_big(spark, sf_dir))
+    return d.withColumn("consistent", F.when(F.col("status") != "missing", F.col("consistent")))
+
+
+@query("SELECT event_type AS task, round(sum(value), 4) AS total, count(value) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1")
+def mean_time_per_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = b.table(spark, sf_dir, "events").select(F.col("event_type").alias("task"), F.col("value").alias("seconds"))
+    return _rounded(_rounded(quality.task_times(times), "total"), "mean", places=6)
+
+
+@query("""WITH f AS (SELECT l_linenumber AS cores, arg_min(l_extendedprice, (l_shipdate, l_orderkey, l_partkey, l_suppkey)) AS s FROM lineitem GROUP BY 1), z AS (SELECT s AS base FROM f WHERE cores = 2)
+SELECT cores::BIGINT AS cores, round(s, 4) AS seconds, round(base / s, 6) AS speedup, round(base / s * 2 / cores, 6) AS efficiency FROM f, z""")
+def speedup_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = b.table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").cast("long").alias("cores"), F.struct("l_shipdate", "l_orderkey", "l_partkey", "l_suppkey").alias("run_no"), F.col("l_extendedprice").alias("seconds"))
+    return _rounded(_rounded(quality.speedup(runs, 2), "seconds"), "speedup", "efficiency", places=6)
+
+
+@query("SELECT conv_id, turn::BIGINT AS turn, role, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text))::BIGINT AS position FROM conversations")
+def turn_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = b.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("a"))
+    return rows.select("conv_id", F.posexplode("a").alias("p", "e")).select("conv_id", F.col("e.turn").cast("long").alias("turn"), "e.role", (F.col("p") + 1).cast("long").alias("position"))
