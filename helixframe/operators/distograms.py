@@ -23,7 +23,7 @@ def distogram(coords: DataFrame, max_distance: float | None = None) -> DataFrame
 
 
 def packed_distogram(coords: DataFrame) -> DataFrame:
-    """protein_id and the symmetric matrix as array<array<float>>: zero diagonal, null beside gaps; chains of one residue are left out."""
+    """protein_id and the symmetric matrix as array<array<float>>: zero diagonal, NaN beside gaps; chains of one residue are left out."""
 
     def pack(batches):
         for pdf in batches:

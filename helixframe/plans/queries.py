@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.refdata import LETTERS, SUBSTITUTIONS
-from ..operators import catalog, distograms, quality, residues
+from ..operators import catalog, distograms, embeddings, mmcif, quality, residues
 from ..sources import readers
+from ..streaming import incremental
 from . import bindings as b
 
 QUERIES = {}
@@ -369,3 +370,47 @@ def speedup_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 def turn_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = b.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("a"))
     return rows.select("conv_id", F.posexplode("a").alias("p", "e")).select("conv_id", F.col("e.turn").cast("long").alias("turn"), "e.role", (F.col("p") + 1).cast("long").alias("position"))
+
+
+# --- composites -------------------------------------------------------------------------------
+
+
+@query(f"WITH {_ATOMS}, {_RESIDUES} SELECT protein_id, count(*) + 2 AS n_rows, 16::BIGINT AS width FROM grid GROUP BY protein_id")
+def embedding_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.embeddings(gap_filled_sequence(spark, sf_dir), lambda: embeddings.HashEmbedder(16))
+    return found.select("protein_id", F.size("emb").cast("long").alias("n_rows"), F.size(F.get("emb", F.lit(0))).cast("long").alias("width"))
+
+
+_CIF_HEAD = "\n".join(f"_atom_site.{n}" for n in mmcif.FIELDS)
+
+
+@query(f"""WITH {_ATOMS}, a AS (SELECT *, {_SUB} AS res FROM atoms), ok AS (SELECT * FROM a WHERE res IN ({", ".join(repr(k) for k in LETTERS)})),
+k AS (SELECT protein_id, res_seq, atom_name, arg_max(line_no, (occupancy, -line_no)) AS line_no, arg_max(res, (occupancy, -line_no)) AS res, min(line_no) AS f FROM ok GROUP BY ALL),
+o AS (SELECT *, min(f) OVER (PARTITION BY protein_id, res_seq) AS g FROM k), t AS (SELECT protein_id, count(*) AS n_atoms, string_agg(concat(line_no, ':', atom_name, ':', res, ':', res_seq), ' ' ORDER BY g, f) AS atoms FROM o GROUP BY protein_id)
+SELECT i.protein_id, coalesce(n_atoms, 0) AS n_atoms, coalesce(t.atoms, '') AS atoms FROM (SELECT DISTINCT protein_id FROM atoms) i LEFT JOIN t USING (protein_id)""")
+def cif_to_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as mmCIF files, a return flag per chain, and read back as structure texts and atoms."""
+    s = lambda c: F.col(c).cast("string")
+    a = b.atoms(spark, sf_dir)
+    row = F.concat_ws(" ", F.lit("ATOM"), s("line_no"), "atom_name", "res_name", F.substring_index("protein_id", "_", -1), s("res_seq"), F.lit("?"), *(F.format_string("%.3f", F.col(c)) for c in "xyz"), F.format_string("%.2f", F.col("occupancy")), F.lit("0.00 C ? 1"))
+    files = a.groupBy(F.substring_index("protein_id", "_", 1).alias("file")).agg(F.array_sort(F.collect_list(F.struct("protein_id", "line_no", row.alias("row")))).alias("r"))
+    text = F.concat(F.lit("loop_\n" + _CIF_HEAD + "\n"), F.array_join(F.transform("r", lambda x: x["row"]), "\n"), F.lit("\n#\n"))
+    chains = mmcif.chains(files.select("file", text.alias("text")))
+    back = mmcif.atoms_of_text(chains)
+    item = F.concat_ws(":", s("serial"), "atom_name", "res_name", s("res_seq"))
+    lines = back.groupBy("protein_id").agg(F.count("*").alias("n_atoms"), F.array_sort(F.collect_list(F.struct("line_no", item.alias("i")))).alias("l"))
+    told = lines.select("protein_id", "n_atoms", F.array_join(F.transform("l", lambda x: x["i"]), " ").alias("atoms"))
+    return chains.select("protein_id").join(told, "protein_id", "left").select("protein_id", F.coalesce("n_atoms", F.lit(0)).alias("n_atoms"), F.coalesce("atoms", F.lit("")).alias("atoms"))
+
+
+@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.event_counts(b.table(spark, sf_dir, "events"))
+
+
+@query("SELECT o_orderkey, CASE WHEN h > 0 THEN h * 3600 ELSE 0 END + m * 60 + sec AS seconds FROM (SELECT o_orderkey, o_custkey % 4 AS h, o_custkey % 60 AS m, o_orderkey % 60 AS sec FROM orders)")
+def duration_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = b.table(spark, sf_dir, "orders")
+    s = lambda c: c.cast("string")
+    text = F.concat(F.when(F.col("o_custkey") % 4 > 0, F.concat(s(F.col("o_custkey") % 4), F.lit("h "))).otherwise(F.lit("")), s(F.col("o_custkey") % 60), F.lit("m "), s(F.col("o_orderkey") % 60), F.lit("s"))
+    return o.select("o_orderkey", t.seconds_of_duration(text).cast("long").alias("seconds"))
