@@ -175,5 +175,5 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mixed corpus: each row of docs as often as the plan takes it; documents without words are left out."""
     taken = plan(docs, seed).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.map_from_entries(F.collect_list(F.struct("copy", "copies"))).alias("__copies"))
     numbered = _numbered(docs, "__copy", F.coalesce(F.octet_length("text"), F.lit(0)))
-    times = numbered.join(taken, F.col("doc_id") == F.col("__id")).withColumn("__n", F.try_element_at("__copies", F.col("__copy"))).where("__n > 0")
+    times = numbered.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__n", F.try_element_at("__copies", F.col("__copy"))).where("__n > 0")
     return times.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)

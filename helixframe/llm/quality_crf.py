@@ -196,7 +196,8 @@ def predict(model: Model, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     score = ((x - model.mean) / model.scale) @ model.weights[:-1] + model.weights[-1]
     good, _, _ = _Chains(line_off).marginals(score, model.transition)
     q = _quality(good, size, line_off)
-    return 1 / (1 + np.exp(-np.clip(model.slope * np.log(q / (1 - q)) + model.intercept, -30, 30)))
+    # rounded, so that a text's score doesn't depend on what shares its chunk
+    return np.round(1 / (1 + np.exp(-np.clip(model.slope * np.log(q / (1 - q)) + model.intercept, -30, 30))), 9)
 
 
 def fold(doc_id="doc_id"):

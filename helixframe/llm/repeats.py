@@ -185,8 +185,9 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__key", F.xxhash64("doc_id", "text"))
 
 
-def repeat_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame:
+def repeat_spans(docs: DataFrame, least: int = LEAST, gram: int | None = None) -> DataFrame:
     """(key, start, end) of strings in docs that must go, overlaps and repetitions included."""
+    gram = gram or min(GRAM, max(1, least // 4))
     texts = keyed(docs).select(F.col("__key").alias("key"), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= least)
     seen = materialize(texts.mapInArrow(_occurrences(least, gram), OCCURRENCES), "anchors")
     again = seen.groupBy("gram").count().where("count > 1").select("gram")
@@ -217,8 +218,8 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame, least: int) -> DataFrame:
     spans = materialize(repeat_spans(docs, least).distinct(), "spans")
-    per = spans.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    return keyed(docs).join(per, F.col("__key") == F.col("key"), "left").drop("key", "__key")
+    per = spans.groupBy(F.col("key").alias("__k")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
+    return keyed(docs).join(per, F.col("__key") == F.col("__k"), "left").drop("__k", "__key")
 
 
 def _cut(text: bytes, spans) -> tuple[bytes, int]:
