@@ -8,8 +8,9 @@ reach the threshold with any other; of those, the rarest shingles (as many as a
 one of) index the set. Pairs that meet there have their partial overlaps counted part by part and summed.
 
 Equal sets are one node throughout, under a hash of the whole set. Within a bucket of the index, sets are first
-held against one centre each; sets already in one component are not compared again, so large groups of near
-copies give pairs in proportion to their size. Then all pairs across components are taken that share a bucket, so no link is lost.
+held against one centre, the set whose shingles are most frequent, so large groups of near copies give pairs in
+proportion to their size. Where a centre's sets are of several components after that, they are compared with
+each other in blocks, and only links leave a block, so no link is lost and no group's pairs are written out.
 
 Hashes are 64 bits wide for words, shingles and sets; within a fragment shingles are told apart by 32 more bits.
 
@@ -36,7 +37,8 @@ PERCENT = 75
 #: Shingles of a fragment on average, and parts in which overlaps are counted.
 FRAGMENT_SHINGLES = 4_000_000
 PARTS = 4
-STAR_ROUNDS = 2
+#: Sets of a block when sets around one centre are compared.
+BLOCK = 1024
 
 
 def _signatures(h: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -74,7 +76,7 @@ def _pack(group: np.ndarray, owner: np.ndarray, sig: np.ndarray, n: np.ndarray,
 
 CUT = "frag int, sigs binary, counts binary, ns binary, low binary"
 SHARED = "bucket int, frag int, sigs binary, counts binary, ns binary, low binary, df binary"
-ACTIVE = "sig long, n long, part int, keys binary, prefix array<long>"
+ACTIVE = "sig long, n long, shared long, score float, part int, keys binary, prefix array<long>"
 
 
 def _cut(k: int, fragments: int):
@@ -163,6 +165,7 @@ def _activate(percent: int, fragments: int):
         shared = np.bincount(who, counts, minlength=len(ids)).astype(np.int64)
         need = -(-percent * size // 100)
         active = shared >= need
+        level = np.bincount(np.repeat(who, counts), df, minlength=len(ids)) / np.maximum(size, 1)
         owner = np.repeat(who, counts)
         key = (np.repeat(frag, counts).astype(np.int64) << 32) | low.astype(np.int64)
         keep = active[owner]
@@ -177,8 +180,8 @@ def _activate(percent: int, fragments: int):
             keys = np.sort(key[a:b])
             at = np.searchsorted(keys, (np.arange(PARTS + 1) * fragments // PARTS) << 32)
             for part in range(PARTS):
-                out.append((int(ids[o].astype(np.int64)), int(size[o]), part, keys[at[part] : at[part + 1]].astype("<i8").tobytes(), prefix.tolist() if part == 0 else None))
-        return pd.DataFrame(out, columns=["sig", "n", "part", "keys", "prefix"])
+                out.append((int(ids[o].astype(np.int64)), int(size[o]), int(shared[o]), float(level[o]), part, keys[at[part] : at[part + 1]].astype("<i8").tobytes(), prefix.tolist() if part == 0 else None))
+        return pd.DataFrame(out, columns=["sig", "n", "shared", "score", "part", "keys", "prefix"])
 
     return run
 
@@ -207,12 +210,18 @@ def links_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return total.where(F.lit(100) * F.col("overlap") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("overlap")))
 
 
-def _fits(percent: int):
-    return F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+def _may_link(percent: int, x: str, y: str):
+    """Whether columns n and shared of two sets, with suffixes x and y, leave room for the threshold: what both share is at most what either shares with anyone."""
+    most = F.least(F.col(f"shared{x}"), F.col(f"shared{y}"), F.col(f"n{x}"), F.col(f"n{y}"))
+    return F.lit(100) * most >= F.lit(percent) * (F.col(f"n{x}") + F.col(f"n{y}") - most)
+
+
+def _as(df: DataFrame, suffix: str, *more) -> DataFrame:
+    return df.select(*more, *(F.col(c).alias(f"{c}{suffix}") for c in ("sig", "n", "shared")))
 
 
 def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_shingles, sig) of each document, and the verified links (a, b) by which the sets hang together."""
+    """(doc_id, n_shingles, sig) of each document, and (node, component) of the sets that hang together by links."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = materialize(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, sig long"), "sets")
     total = described.agg(F.sum("n_shingles")).first()[0] or 0
@@ -221,35 +230,78 @@ def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[D
     shared = cut.groupBy("frag").applyInPandas(_fragment(fragments), SHARED)
     active = materialize(shared.groupBy("bucket").applyInPandas(_activate(percent, fragments), ACTIVE), "active")
     sets = active.select("sig", "part", "keys")
-    postings = active.where("part = 0").select("sig", "n", F.explode("prefix").alias("key"))
-    links, tested = None, None
-    label = None
-    for turn in range(STAR_ROUNDS + 1):
-        now = postings
-        if label is not None:
-            now = now.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
-            mixed = now.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1").select("key")
-            now = now.join(mixed, "key")
-        else:
-            now = now.withColumn("component", F.col("sig"))
-        now = materialize(now, "postings")
-        if turn < STAR_ROUNDS:
-            pick = (F.min if turn % 2 == 0 else F.max)(F.struct("n", "sig", "component"))
-            centre = now.groupBy("key").agg(pick.alias("c")).select("key", F.col("c.n").alias("nb"), F.col("c.sig").alias("b"), F.col("c.component").alias("cb"))
-            met = now.join(centre, "key").where("sig <> b and component <> cb").select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb")
-        else:
-            other = now.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            met = now.join(other, "key").where("component < cb").where((F.lit(100) * F.least("n", "nb") >= F.lit(percent) * F.greatest("n", "nb"))).select(F.col("sig").alias("a"), "b", F.col("n").alias("na"), "nb")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-        pairs = met.where(_fits(percent)).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(links_of(pairs, sets, percent).select("a", "b"), "found")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        label = components(links)
-    return described, label
+    postings = active.where("part = 0").select("sig", "n", "shared", "score", F.explode("prefix").alias("key"))
+    # the set of a bucket whose shingles are most frequent is most like the others: it is the centre
+    centre = postings.groupBy("key").agg(F.max(F.struct("score", "n", "sig", "shared")).alias("c"), F.count("*").alias("m")).where("m > 1").select("key", "c.n", "c.sig", "c.shared")
+    met = _as(postings, "_a", F.col("key").alias("key_a")).join(_as(centre, "_b", "key"), (F.col("key_a") == F.col("key")) & (F.col("sig_a") != F.col("sig_b")))
+    around = materialize(met.select("key", "sig_a", "sig_b", "n_a", "n_b", "shared_a", "shared_b"), "around")
+    first = F.col("sig_a") < F.col("sig_b")
+    near = around.where(_may_link(percent, "_a", "_b"))
+    pairs = near.select(F.least("sig_a", "sig_b").alias("a"), F.greatest("sig_a", "sig_b").alias("b"), F.when(first, F.col("n_a")).otherwise(F.col("n_b")).alias("na"), F.when(first, F.col("n_b")).otherwise(F.col("n_a")).alias("nb")).distinct()
+    links = materialize(links_of(materialize(pairs, "pairs"), sets, percent).select("a", "b"), "found")
+    label = components(links)
+    rest = _rest(around, label, sets, percent)
+    return described, components(links.unionByName(materialize(rest, "found")))
+
+
+def _rest(around: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components among the sets that share a bucket, as many as it takes to join them.
+
+    Buckets with one centre are taken together: their sets meet in blocks, every two blocks in one group, and are compared
+    there; only links leave the group.
+    """
+    name = label.select(F.col("node").alias("sig"), "component")
+    members = around.select(F.col("sig_b").alias("centre"), F.col("sig_a").alias("sig"), F.col("n_a").alias("n")).unionByName(around.select(F.col("sig_b").alias("centre"), F.col("sig_b").alias("sig"), F.col("n_b").alias("n"))).distinct()
+    members = members.join(name, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    mixed = members.groupBy("centre").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("m")).where("c0 <> c1").select("centre", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    members = members.join(mixed, "centre").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "sig", "n", "component")
+    # small groups share a call
+    dealt = materialize(dealt.withColumn("call", F.pmod(F.xxhash64("centre", "x", "y"), F.lit(4096))), "dealt")
+    kind = "a long, b long"
+    return dealt.join(sets, "sig").groupBy("call").applyInPandas(_compare(percent), kind)
+
+
+def _compare(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        for _, group in pdf.groupby(["centre", "x", "y"]):
+            one = group.drop_duplicates("sig").sort_values("sig")
+            sig, n, parent = one["sig"].to_numpy(), one["n"].to_numpy(), {}
+
+            def find(c):
+                while parent.get(c, c) != c:
+                    c = parent[c]
+                return c
+
+            component = one["component"].to_numpy()
+            row = np.searchsorted(sig, group["sig"].to_numpy())
+            keys = np.concatenate([np.frombuffer(k, "<i8") for k in group["keys"]])
+            owner = np.repeat(row, [len(k) // 8 for k in group["keys"]])
+            # parts hold different keys, so their overlaps add up when the keys of all stand side by side
+            order = np.lexsort((owner, keys))
+            keys, owner = keys[order], owner[order]
+            begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            size = np.diff(np.append(begin, len(keys)))
+            rank = np.repeat(np.arange(len(begin)), size)
+            mine = np.argsort(owner, kind="stable")
+            at = np.searchsorted(owner[mine], np.arange(len(sig) + 1))
+            for a in range(len(sig)):
+                k = rank[mine[at[a] : at[a + 1]]]
+                m = size[k]
+                met = owner[np.repeat(begin[k] - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())]
+                overlap = np.bincount(met, minlength=len(sig))
+                good = 100 * overlap >= percent * (n[a] + n - overlap)
+                good[: a + 1] = False
+                for b in np.flatnonzero(good & (component != component[a])).tolist():
+                    u, v = find(component[a]), find(component[b])
+                    if u != v:
+                        parent[u] = v
+                        out.append((int(sig[a]), int(sig[b])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
