@@ -104,3 +104,22 @@ def containing(candidates: DataFrame, wanted: DataFrame, key: str = "id") -> Dat
     pieces = F.flatten(F.array(*map(cut, lengths)))
     hits = candidates.select(c, F.explode(F.array_distinct(pieces)).alias("piece")).join(wanted, "piece", "left_semi").select(key).distinct()
     return candidates.join(hits, key, "left_semi")
+
+
+def match_inputs(requested: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requested ids (protein_id) with the stem of the file that holds them, and those without one.
+
+    A file serves its own id and, where it names no chain, every chain of its code; its own id goes first.
+    """
+    stems = files.select("stem").distinct()
+    keys = requested.select("protein_id", F.posexplode(F.array_distinct(F.array("protein_id", without_last_token(F.col("protein_id"))))).alias("p", "stem"))
+    found = keys.join(stems, "stem").groupBy("protein_id").agg(F.min_by("stem", "p").alias("stem"))
+    return found, requested.join(found, "protein_id", "left_anti")
+
+
+def dataset_names(names: DataFrame, separator: str = "-") -> DataFrame:
+    """db, collection, proteome, version of dataset folder names (name); other names are left out."""
+    quoted = "".join("\\" + c for c in separator)
+    parts = F.split("name", quoted, 4)
+    rows = names.where(F.col("name").rlike(f"^[^{quoted}]*{quoted}.*{quoted}.*{quoted}.*$"))
+    return rows.select("name", *(F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(("db", "collection", "proteome", "version"))))

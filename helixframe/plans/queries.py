@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.refdata import LETTERS, SUBSTITUTIONS
-from ..operators import catalog, distograms, embeddings, mmcif, quality, residues
+from ..operators import catalog, distograms, embeddings, mmcif, quality, residues, studies
 from ..sources import readers
 from ..streaming import incremental
 from . import bindings as b
@@ -70,9 +70,6 @@ def max_occupancy_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("protein_id", F.col("res_seq").cast("long").alias("res_seq"), "atom_name", "res_name", F.col("line_no").cast("long").alias("line_no"), F.col("first_line").cast("long").alias("first_line"), F.round("occupancy", 4).alias("occupancy"))
 
 
-_RANGE_OF = "CASE WHEN l_orderkey % 3 = 0 THEN NULL WHEN l_orderkey % 3 = 1 THEN [(2, 3), (5, 6)] ELSE [] END"
-
-
 @query(f"WITH {_ATOMS} SELECT protein_id, res_seq::BIGINT AS res_seq, line_no::BIGINT AS line_no FROM atoms WHERE l_orderkey % 3 = 0 OR (l_orderkey % 3 = 1 AND (res_seq BETWEEN 2 AND 3 OR res_seq BETWEEN 5 AND 6))")
 def residue_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = F.when(F.col("l_orderkey") % 3 == 1, t.parse_ranges(F.lit("2-3;5-6"))).when(F.col("l_orderkey") % 3 == 2, F.array().cast(t.RANGES))
@@ -80,7 +77,7 @@ def residue_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("protein_id", F.col("res_seq").cast("long").alias("res_seq"), F.col("line_no").cast("long").alias("line_no"))
 
 
-_LINE = """printf('%-6s%5s %s%s%s %3s %s%4s    %8s%8s%8s%6s%6s          %2s  ', 'ATOM', line_no::VARCHAR, '', ' CA '[1:0] || CASE WHEN atom_name = 'CA' THEN ' CA ' ELSE ' CB ' END, '', res_name, right(protein_id, 1), res_seq::VARCHAR,
+_LINE = """printf('%-6s%5s  %s  %3s %s%4s    %8s%8s%8s%6s%6s          %2s  ', 'ATOM', line_no::VARCHAR, atom_name, res_name, right(protein_id, 1), res_seq::VARCHAR,
   printf('%.3f', x), printf('%.3f', y), printf('%.3f', z), printf('%.2f', occupancy), '0.00', 'C')"""
 
 
@@ -414,3 +411,66 @@ def duration_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lambda c: c.cast("string")
     text = F.concat(F.when(F.col("o_custkey") % 4 > 0, F.concat(s(F.col("o_custkey") % 4), F.lit("h "))).otherwise(F.lit("")), s(F.col("o_custkey") % 60), F.lit("m "), s(F.col("o_orderkey") % 60), F.lit("s"))
     return o.select("o_orderkey", t.seconds_of_duration(text).cast("long").alias("seconds"))
+
+
+# --- files, names and study pages -------------------------------------------------------------
+
+
+@query("SELECT (o_custkey % 700)::VARCHAR AS stem, arg_min(kind, (kind, depth, path)) AS kind, arg_min(path, (kind, depth, path)) AS text FROM (SELECT o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'cif' ELSE 'pdb' END AS kind, o_orderkey % 3 AS depth, concat('f/', o_orderkey) AS path FROM orders) GROUP BY 1")
+def files_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat(F.lit("f/"), F.col("o_orderkey").cast("string"))
+    rows = b.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 700).cast("string").alias("stem"), F.when(F.col("o_orderkey") % 2 == 0, "cif").otherwise("pdb").alias("kind"), (F.col("o_orderkey") % 3).alias("depth"), path.alias("path"), path.alias("value"))
+    return readers.prefer(rows)
+
+
+@query("""WITH r AS (SELECT DISTINCT concat(o_custkey % 900, '_', o_orderstatus) AS id FROM orders), f AS (SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN (c_custkey % 800)::VARCHAR ELSE concat(c_custkey % 800, '_O') END AS stem FROM customer),
+m AS (SELECT id, coalesce((SELECT min(stem) FROM f WHERE stem = id), (SELECT min(stem) FROM f WHERE stem = regexp_replace(id, '_[^_]*$', ''))) AS stem FROM r)
+SELECT id AS protein_id, stem FROM m WHERE stem IS NOT NULL""")
+def matched_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.concat_ws("_", (F.col("o_custkey") % 900).cast("string"), "o_orderstatus")
+    code = (F.col("c_custkey") % 800).cast("string")
+    files = b.table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 2 == 0, code).otherwise(F.concat(code, F.lit("_O"))).alias("stem"))
+    return catalog.match_inputs(b.table(spark, sf_dir, "orders").select(key.alias("protein_id")).distinct(), files)[0]
+
+
+@query("SELECT o_orderkey AS protein_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'O') AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def two_stage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda where: b.table(spark, sf_dir, "lineitem").where(where).groupBy(F.col("l_orderkey").alias("protein_id")).agg(F.min("l_partkey").alias("path"))
+    return catalog.present_missing(catalog.present_missing(_asked(spark, sf_dir), part("l_linestatus = 'O'"))[1], part("l_returnflag = 'R'"))[1]
+
+
+@query("SELECT name, split_part(name, '-', 1) AS db, split_part(name, '-', 2) AS collection, split_part(name, '-', 3) AS proteome, concat('v', c_custkey % 50) AS version FROM (SELECT c_custkey, concat('PDB-', CASE WHEN c_custkey % 2 = 0 THEN 'all' ELSE 'subset' END, '-', CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'human' END, '-v', c_custkey % 50) AS name FROM customer WHERE c_custkey % 5 <> 0)")
+def dataset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("PDB-"), F.when(k % 2 == 0, "all").otherwise("subset"), F.lit("-"), F.when(k % 3 == 0, "").otherwise("human"), F.lit("-v"), (k % 50).cast("string"))
+    return catalog.dataset_names(b.table(spark, sf_dir, "customer").select(F.when(k % 5 == 0, F.lit("notes-2024")).otherwise(name).alias("name")))
+
+
+@query("SELECT user_id AS page_id, event_type AS task, round(sum(value), 4) AS seconds, count(*) AS n FROM events GROUP BY 1, 2")
+def report_page_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written into report pages, a page per user, and read back from them."""
+    rows = F.to_json(F.collect_list(F.struct(F.col("event_type").alias("task"), F.col("value").alias("seconds"))))
+    html = F.concat(F.lit('<html><body><script type="application/json">\n'), rows, F.lit("\n</script></body></html>"))
+    pages = b.table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("page_id")).agg(html.alias("html"))
+    return studies.report_tasks(pages).groupBy("page_id", "task").agg(F.round(F.sum("seconds"), 4).alias("seconds"), F.count("*").alias("n"))
+
+
+@query("SELECT l_shipmode AS name, count(*) AS n, round(avg(q), 6) AS mean FROM (SELECT ['zlib', 'lzf', 'gzip'][l_linenumber % 3 + 1] AS l_shipmode, l_quantity AS q FROM lineitem) GROUP BY 1")
+def averages_under_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as logs: a header names the method of the line that follows it."""
+    li = b.table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 512).alias("file"), F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("o"), b.pick(("zlib", "lzf", "gzip"), F.col("l_linenumber")).alias("m"), "l_quantity")
+    pair = F.array(F.concat(F.lit("method: "), "m"), F.concat(F.lit("took "), F.col("l_quantity").cast("string"), F.lit(" s")))
+    lines = li.select("file", "o", F.posexplode(pair).alias("p", "line")).select("file", F.struct("o", "p").alias("line_no"), "line")
+    return _rounded(studies.averages_under_headers(lines, r"^method: (\w+)", r"^took ([\d.]+) s"), "mean", places=6)
+
+
+@query("WITH a AS (SELECT l_orderkey AS k, sum(l_quantity) AS v FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), z AS (SELECT l_orderkey AS k, sum(l_quantity) AS v FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) SELECT count(*) AS n, round(avg((z.v - a.v) / a.v * 100), 4) AS mean_percent FROM a JOIN z USING (k)")
+def percent_difference_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda flag: b.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag).groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("v"))
+    return _rounded(studies.mean_difference(part("R"), part("N"), "k", "v"), "mean_percent")
+
+
+@query("SELECT o_orderkey, concat_ws(' ', CASE WHEN s // 3600 > 0 THEN concat(s // 3600, 'h') END, CASE WHEN s // 60 % 60 > 0 THEN concat(s // 60 % 60, 'm') END, CASE WHEN s % 60 > 0 THEN concat(s % 60, 's') END, CASE WHEN o_orderkey % 2 = 1 THEN '500ms' END) AS readable FROM (SELECT o_orderkey, o_orderkey * 7 % 9000 AS s FROM orders)")
+def readable_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seconds = F.col("o_orderkey") * 7 % 9000 + F.when(F.col("o_orderkey") % 2 == 1, 0.5).otherwise(0.0)
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", t.readable_seconds(seconds).alias("readable"))
