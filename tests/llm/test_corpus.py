@@ -299,3 +299,10 @@ def test_pipeline(spark, tmp_path):
             assert docs.count() == before
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert packed.where("start = 0").count() == docs.count()
+
+
+@pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, stage):
+    assert stage(spark, no_docs, SMALL).count() == 0
+    out = stage(spark, odd_docs, SMALL)
+    assert out.count() > 0 and (stage is corpus_pipeline.power_of_two_packing or out.columns == odd_docs.columns)
