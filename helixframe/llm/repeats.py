@@ -8,7 +8,9 @@ their common prefixes. A stack scan gives the common-prefix interval tree; in ev
 sides, sorted by their reversed bytes, show where a common string can't be extended to the left for
 all, which makes it a maximal repeat with all its occurrences. Those of ``least`` bytes and more cover what goes.
 
-Work per gram is linear in its distinct contexts times the depth of its tree. No text passes through any task but its own.
+Work per gram is linear in its distinct contexts times the depth of its tree. Grams with more than ``ARRAY_CONTEXTS`` of them
+(the ends of a passage that very many documents share) would fill one task; of these, every window of every context
+is hashed instead and windows that start at two places are found by aggregation, which gives the same bytes.
 
 Defined cases: null and empty texts lose nothing; equal rows, also with equal ids, are repeats of each other and are both
 removed where 400 bytes long; null ids stay; an empty table gives no rows; extra columns are
@@ -29,6 +31,8 @@ from .textkernels import U64, byte_column, chunks, prefix_sums, window_hash
 
 LEAST = 400
 GRAM = 64
+#: Distinct contexts of a gram up to which one task builds their suffix array.
+ARRAY_CONTEXTS = 4096
 _POS = U64((1 << 28) - 1)
 
 
@@ -180,6 +184,28 @@ def _match(least: int):
     return run
 
 
+def _windows(least: int):
+    """Every window of every context by its hash and place."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 1024):
+                part = batch.slice(lo, 1024)
+                gram, key, pos = (part.column(i).to_numpy() for i in range(3))
+                left, right = part.column(3).to_pylist(), part.column(4).to_pylist()
+                size = np.array([len(a) + len(b) for a, b in zip(left, right)], np.int64)
+                off = np.concatenate(([0], np.cumsum(size)))
+                s = prefix_sums(np.frombuffer(b"".join(x for pair in zip(left, right) for x in pair), np.uint8))
+                n = np.maximum(size - least + 1, 0)
+                row = np.repeat(np.arange(len(size)), n)
+                at = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
+                window = window_hash(s, off[row] + at, off[row] + at + least)
+                start = pos[row] - np.array([len(x) for x in left], np.int64)[row] + at
+                yield pa.record_batch([pa.array(gram[row]), pa.array(window.view(np.int64)), pa.array(key[row]), pa.array(start.astype(np.int32))], names=["gram", "window", "key", "start"])
+
+    return run
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """docs with a key of each row; rows with equal ids and texts share one, and everything else."""
     return docs.withColumn("__key", F.xxhash64("doc_id", "text"))
@@ -197,13 +223,21 @@ def repeat_spans(docs: DataFrame, least: int = LEAST, gram: int | None = None) -
     kinds = materialize(kinds, "contexts")
     full = seen.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
     full = full.where(F.col("before") + F.col("after") >= least).select("key", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("end"))
-    several = kinds.groupBy("gram").count().where("count > 1").select("gram")
-    chosen = kinds.join(several, "gram", "left_semi").select("gram", "one.*")
+    several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    chosen = kinds.join(several, "gram").select("gram", "kinds", "one.*")
     fetched = chosen.join(texts, "key").select(
-        "gram", "key", "pos", F.substring("text", F.col("pos") - F.col("before") + 1, F.col("before")).alias("left"), F.substring("text", F.col("pos") + 1, F.col("after")).alias("right")
+        "gram", "key", "pos", F.substring("text", F.col("pos") - F.col("before") + 1, F.col("before")).alias("left"), F.substring("text", F.col("pos") + 1, F.col("after")).alias("right"), "kinds"
     )
-    partial = fetched.repartition("gram").sortWithinPartitions("gram").mapInArrow(_match(least), "key long, start int, end int")
-    return full.unionByName(partial)
+    fetched = materialize(fetched, "fetched")
+    spans = "key long, start int, end int"
+    partial = fetched.where(F.col("kinds") <= ARRAY_CONTEXTS).repartition("gram").sortWithinPartitions("gram").mapInArrow(_match(least), spans)
+    full = full.unionByName(partial)
+    if several.where(F.col("kinds") > ARRAY_CONTEXTS).isEmpty():
+        return full
+    windows = materialize(fetched.where(F.col("kinds") > ARRAY_CONTEXTS).mapInArrow(_windows(least), "gram long, window long, key long, start int"), "windows")
+    place = F.struct("key", "start")
+    twice = windows.groupBy("gram", "window").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("gram", "window")
+    return full.unionByName(windows.join(twice, ["gram", "window"], "left_semi").select("key", "start", (F.col("start") + least).alias("end")))
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

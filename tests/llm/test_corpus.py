@@ -129,8 +129,9 @@ def test_removed_bytes(spark, odd_docs, odd_rows, no_docs):
     assert cut.columns == odd_docs.columns and cut.where("doc_id = 90").first().n_chars == len(odd_rows[-1][1])
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_short_repeats(spark, seed):
+@pytest.mark.parametrize("seed, contexts", [(0, 4096), (1, 4096), (2, 3), (3, 0)])
+def test_short_repeats(spark, monkeypatch, seed, contexts):
+    monkeypatch.setattr(repeats, "ARRAY_CONTEXTS", contexts)
     rng = random.Random(seed)
     parts = ["".join(rng.choices("abé", k=rng.randint(5, 60))) for _ in range(5)]
     rows = [(k, "".join(rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choices("abc", k=9)) for _ in range(rng.randint(0, 6))), "a") for k in range(25)]
