@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct 5-word shingles. The global order of shingles is cut into
 fragments; every set is cut with it, and each fragment gets the pieces of all sets, packed. In a fragment the
 document frequencies are counted; only shingles that two different sets hold can overlap, and they alone
-go on, with how often each occurs. Summed per set over the fragments, they tell which sets can
+go on, with how often each occurs. Shingles in a fixed share of all documents are found first and go on at once. Summed per set over the fragments, they tell which sets can
 reach the threshold with any other; of those, the rarest shingles (as many as a partner must meet
 one of) index the set. Pairs that meet there have their partial overlaps counted part by part and summed.
 
@@ -37,6 +37,8 @@ PERCENT = 75
 #: Shingles of a fragment on average, and parts in which overlaps are counted.
 FRAGMENT_SHINGLES = 4_000_000
 PARTS = 4
+#: Shingles in this share of all documents, and in so many at least, don't go to a fragment; see common_shingles.
+COMMON_SHARE, COMMON_DOCS = 1e-3, 1000
 #: Sets of a block when sets around one centre are compared.
 BLOCK = 1024
 
@@ -79,40 +81,98 @@ SHARED = "bucket int, frag int, sigs binary, counts binary, ns binary, low binar
 ACTIVE = "sig long, n long, shared long, score float, part int, keys binary, prefix array<long>"
 
 
-def _cut(k: int, fragments: int):
+def _runs(batches, k: int):
+    """Distinct sets in runs of about two million shingles: hashes, the set of each, set hashes, set sizes."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush():
+        h = np.concatenate([x for x, _ in held])
+        n = np.concatenate([np.diff(at) for _, at in held])
+        sig = _signatures(h, np.concatenate(([0], np.cumsum(n))))
+        owner = np.repeat(np.arange(len(n)), n)
+        once = np.zeros(len(n), bool)
+        once[np.unique(sig, return_index=True)[1]] = True
+        keep = once[owner]
+        return h[keep], owner[keep], sig, n
+
+    size = 0
+    for batch in batches:
+        data, off = byte_column(batch, "text")
+        for lo, hi in chunks(off):
+            held.append(shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k))
+            size += len(held[-1][0])
+            if size > 2_000_000:
+                yield flush()
+                held, size = [], 0
+    if size:
+        yield flush()
+
+
+def _tell(rows: list[tuple], names: str):
+    schema = pa.schema([(x.split()[0], pa.int32() if x.endswith(" int") else pa.binary()) for x in names.split(", ")])
+    for lo in range(0, len(rows), 64):
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo : lo + 64]), schema)], schema=schema)
+
+
+def _cut(k: int, fragments: int, common: np.ndarray):
+    """Sets by fragment, without the common shingles."""
+
     def run(batches):
-        schema = pa.schema([("frag", pa.int32()), *((x, pa.binary()) for x in ("sigs", "counts", "ns", "low"))])
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def flush():
-            h = np.concatenate([x for x, _ in held])
-            n = np.concatenate([np.diff(at) for _, at in held])
-            at = np.concatenate(([0], np.cumsum(n)))
-            sig = _signatures(h, at)
-            owner = np.repeat(np.arange(len(n)), n)
-            once = np.zeros(len(n), bool)
-            once[np.unique(sig, return_index=True)[1]] = True
-            keep = once[owner]
-            h, owner = h[keep], owner[keep]
+        for h, owner, sig, n in _runs(batches, k):
+            rare = ~_among(h, common)[0]
+            h, owner = h[rare], owner[rare]
             frag = ((h >> U64(32)) * U64(fragments)) >> U64(32)
             order = np.argsort(frag.astype(np.uint16 if fragments < 65536 else np.uint32), kind="stable")
-            rows = list(_pack(frag[order].astype(np.int64), owner[order], sig, n, [h[order].astype("<u4")]))
-            held.clear()
-            for lo in range(0, len(rows), 64):
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows[lo : lo + 64]), schema)], schema=schema)
+            yield from _tell(list(_pack(frag[order].astype(np.int64), owner[order], sig, n, [h[order].astype("<u4")])), CUT)
 
-        size = 0
-        for batch in batches:
-            data, off = byte_column(batch, "text")
-            for lo, hi in chunks(off):
-                h, at = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k)
-                held.append((h, at))
-                size += len(h)
-                if size > 2_000_000:
-                    yield from flush()
-                    size = 0
-        if size:
-            yield from flush()
+    return run
+
+
+def _among(h: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are in a sorted array, and where."""
+    at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
+    return (common[at] == h if len(common) else np.zeros(len(h), bool)), at
+
+
+def _frequent(k: int, share: float):
+    def run(batches):
+        for h, owner, _, _ in _runs(batches, k):
+            found, counts = np.unique(h, return_counts=True)
+            keep = counts >= max(2, share * len(np.unique(owner)))
+            yield pa.record_batch([pa.array(found[keep].view(np.int64)), pa.array(counts[keep])], names=["shingle", "n"])
+
+    return run
+
+
+def common_shingles(texts: DataFrame, n_docs: int, k: int, share: float | None = None, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles that occur in the given share of documents, sorted, and the level of each.
+
+    A shingle with that share of all documents has it in some run, so runs send no others. At most (mean set size) / share
+    shingles reach the driver, whatever the corpus: they alone would make a fragment grow with the documents.
+    """
+    least = max(COMMON_DOCS if least is None else least, (share or COMMON_SHARE) * n_docs)
+    rows = texts.mapInArrow(_frequent(k, share or COMMON_SHARE), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()
+    found = np.array([r["shingle"] for r in rows], np.int64).view(U64)
+    order = np.argsort(found)
+    return found[order], _level(np.array([r["n"] for r in rows], float))[order]
+
+
+def _level(df: np.ndarray) -> np.ndarray:
+    """Document frequency on a scale of one byte."""
+    return np.minimum(255, np.log2(np.maximum(df, 1)) * 8).astype(np.uint8)
+
+
+def _known(k: int, fragments: int, common: np.ndarray, levels: np.ndarray):
+    """The common shingles of each set, under their places in the list, as if from one more fragment."""
+
+    def run(batches):
+        for h, owner, sig, n in _runs(batches, k):
+            hit, at = _among(h, common)
+            owner, at = owner[hit], at[hit]
+            bucket = (sig[owner] % U64(fragments)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            packed = _pack(bucket[order], owner[order], sig, n, [at[order].astype("<u4"), levels[at[order]]])
+            yield from _tell([(b, fragments, *rest) for b, *rest in packed], SHARED)
 
     return run
 
@@ -143,7 +203,7 @@ def _fragment(buckets: int):
         df[order] = np.repeat(np.diff(np.append(first, len(s))), np.diff(np.append(first, len(s))))
         shared = df >= 2
         low, owner, df = low[shared], owner[shared], df[shared]
-        level = np.minimum(255, np.log2(df) * 8).astype(np.uint8)
+        level = _level(df)
         bucket = (sig[owner] % U64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         rows = [(b, frag, *rest) for b, *rest in _pack(bucket[order], owner[order], sig, n, [low[order], level[order]])]
@@ -159,6 +219,11 @@ def _activate(percent: int, fragments: int):
         sig, counts, n, low = _unpack(pdf)
         df = np.frombuffer(b"".join(pdf["df"]), np.uint8)
         frag = np.repeat(pdf["frag"].to_numpy(), [len(x) // 8 for x in pdf["sigs"]])
+        # runs may have the same set, each with its common shingles
+        first = np.zeros(len(sig), bool)
+        first[np.unique(np.stack((sig, frag.astype(U64))), axis=1, return_index=True)[1]] = True
+        keep = np.repeat(first, counts)
+        low, df, sig, n, frag, counts = low[keep], df[keep], sig[first], n[first], frag[first], counts[first]
         ids, who = np.unique(sig, return_inverse=True)
         size = np.zeros(len(ids), np.int64)
         size[who] = n
@@ -178,7 +243,7 @@ def _activate(percent: int, fragments: int):
             o = owner[a]
             prefix = key[a : a + int(shared[o] - need[o]) + 1]
             keys = np.sort(key[a:b])
-            at = np.searchsorted(keys, (np.arange(PARTS + 1) * fragments // PARTS) << 32)
+            at = np.searchsorted(keys, (np.arange(PARTS + 1) * (fragments + 1) // PARTS) << 32)
             for part in range(PARTS):
                 out.append((int(ids[o].astype(np.int64)), int(size[o]), int(shared[o]), float(level[o]), part, keys[at[part] : at[part + 1]].astype("<i8").tobytes(), prefix.tolist() if part == 0 else None))
         return pd.DataFrame(out, columns=["sig", "n", "shared", "score", "part", "keys", "prefix"])
@@ -224,10 +289,13 @@ def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[D
     """(doc_id, n_shingles, sig) of each document, and (node, component) of the sets that hang together by links."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = materialize(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, sig long"), "sets")
-    total = described.agg(F.sum("n_shingles")).first()[0] or 0
+    n_docs, total = described.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     fragments = max(16, -(-total // FRAGMENT_SHINGLES))
-    cut = texts.select("text").mapInArrow(_cut(k, fragments), CUT)
-    shared = cut.groupBy("frag").applyInPandas(_fragment(fragments), SHARED)
+    texts = texts.select("text")
+    common, levels = common_shingles(texts, n_docs, k)
+    shared = texts.mapInArrow(_cut(k, fragments, common), CUT).groupBy("frag").applyInPandas(_fragment(fragments), SHARED)
+    if len(common):
+        shared = shared.unionByName(texts.mapInArrow(_known(k, fragments, common, levels), SHARED))
     active = materialize(shared.groupBy("bucket").applyInPandas(_activate(percent, fragments), ACTIVE), "active")
     sets = active.select("sig", "part", "keys")
     postings = active.where("part = 0").select("sig", "n", "shared", "score", F.explode("prefix").alias("key"))

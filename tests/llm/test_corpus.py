@@ -75,8 +75,9 @@ def test_ngram_classes(spark, odd_docs, odd_rows, no_docs):
     assert ngram_join.classes(no_docs).count() == 0
 
 
-def test_blocks_lose_no_link(spark, monkeypatch):
+def test_blocks_and_common_shingles_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 5)
+    monkeypatch.setattr(ngram_join, "COMMON_DOCS", 6)
     rows = chain_rows()
     assert sorted(map(tuple, ngram_join.classes(make_docs(spark, rows)).collect())) == sorted(classes_of(rows))
 
