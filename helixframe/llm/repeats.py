@@ -58,10 +58,16 @@ def anchors(data: np.ndarray, off: np.ndarray, least: int = LEAST, gram: int = G
     return np.unique(chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]) if len(chosen) else chosen
 
 
-OCCURRENCES = "key long, gram long, context long, pos int, before int, after int"
+OCCURRENCES = "key long, gram long, context long, n int, pos int, before int, after int, spans array<struct<start:int,end:int>>"
 
 
 def _occurrences(least: int, gram: int):
+    """A row per text, gram and context: how often, the first place, the context's sides, and the merged spans of all its places.
+
+    A periodic text has one context at very many places, which are one row and one span here.
+    """
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+
     def run(batches):
         for batch in batches:
             keys = batch.column(0).to_numpy()
@@ -73,8 +79,20 @@ def _occurrences(least: int, gram: int):
                 left, right = np.minimum(p - o[doc], least - gram), np.minimum(o[doc + 1] - p, least)
                 s = prefix_sums(d)
                 context = window_hash(s, p - left, p + right) + (left * 1000 + right).astype(U64) * U64(0x9E3779B97F4A7C15)
-                cols = [keys[lo:hi][doc], window_hash(s, p, p + gram).view(np.int64), context.view(np.int64), (p - o[doc]).astype(np.int32), left.astype(np.int32), right.astype(np.int32)]
-                yield pa.record_batch([pa.array(c) for c in cols], names=["key", "gram", "context", "pos", "before", "after"])
+                seed = window_hash(s, p, p + gram)
+                order = np.lexsort((p, context, seed, doc))
+                doc, seed, context, p, left, right = (x[order] for x in (doc, seed, context, p, left, right))
+                new = np.ones(len(p), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1]) | (context[1:] != context[:-1])
+                opens = new.copy()
+                opens[1:] |= p[1:] - left[1:] > p[:-1] + right[:-1]
+                first, begin = np.flatnonzero(new), np.flatnonzero(opens)
+                last = np.append(begin[1:], len(p))[: len(begin)] - 1
+                at = p - o[doc]
+                spans = pa.StructArray.from_arrays([pa.array((at - left)[begin].astype(np.int32)), pa.array((at + right)[last].astype(np.int32))], fields=list(span))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(begin, first), len(begin)).astype(np.int32)), spans)
+                cols = [keys[lo:hi][doc[first]], seed[first].view(np.int64), context[first].view(np.int64), np.diff(np.append(first, len(p))).astype(np.int32), at[first].astype(np.int32), left[first].astype(np.int32), right[first].astype(np.int32)]
+                yield pa.record_batch([*(pa.array(c) for c in cols), lists], names=["key", "gram", "context", "n", "pos", "before", "after", "spans"])
 
     return run
 
@@ -216,13 +234,13 @@ def repeat_spans(docs: DataFrame, least: int = LEAST, gram: int | None = None) -
     gram = gram or min(GRAM, max(1, least // 4))
     texts = keyed(docs).select(F.col("__key").alias("key"), F.col("text").cast("binary").alias("text")).where(F.octet_length("text") >= least)
     seen = materialize(texts.mapInArrow(_occurrences(least, gram), OCCURRENCES), "anchors")
-    again = seen.groupBy("gram").count().where("count > 1").select("gram")
+    again = seen.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     seen = materialize(seen.join(again, "gram", "left_semi"), "repeated")
     # one row per distinct context of a gram, however often it occurs
-    kinds = seen.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("key", "pos", "before", "after")).alias("one"))
+    kinds = seen.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min(F.struct("key", "pos", "before", "after")).alias("one"))
     kinds = materialize(kinds, "contexts")
     full = seen.join(kinds.where("n > 1").select("gram", "context"), ["gram", "context"], "left_semi")
-    full = full.where(F.col("before") + F.col("after") >= least).select("key", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + F.col("after")).alias("end"))
+    full = full.where(F.col("before") + F.col("after") >= least).select("key", F.explode("spans").alias("s")).select("key", "s.start", "s.end")
     several = kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     chosen = kinds.join(several, "gram").select("gram", "kinds", "one.*")
     fetched = chosen.join(texts, "key").select(

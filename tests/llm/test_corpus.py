@@ -136,6 +136,7 @@ def test_short_repeats(spark, monkeypatch, seed, contexts):
     rng = random.Random(seed)
     parts = ["".join(rng.choices("abé", k=rng.randint(5, 60))) for _ in range(5)]
     rows = [(k, "".join(rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choices("abc", k=9)) for _ in range(rng.randint(0, 6))), "a") for k in range(25)]
+    rows += [(100, "ab" * 60 + "c" * 50, "a"), (101, "x" + "ab" * 30, "a"), (102, "c" * 20, "a"), (103, "ba" * 9 + "b", "a")]
     assert sorted(map(tuple, repeats.removed_bytes(make_docs(spark, rows), 20).collect()), key=repr) == removed(rows, 20)
 
 
