@@ -1,19 +1,22 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
 A token is drawn in the restaurant of the word before it; all these restaurants share one parent, over all
-words, whose own base is uniform. Words of at least ``context_share`` of all tokens have a restaurant (1/context_share at
-most, whatever the corpus); after other words the parent is used directly. Customers are the training
-tokens. Sweeps of Gibbs sampling seat the customers of every dish anew, given the others, and the
-predictive probabilities are averaged over the sweeps that follow the burn-in.
-
-Layout: texts are cut into blocks of documents. A block keeps its tokens as numbers of its distinct (context,
-word) pairs; the pairs and their training counts go, packed, to fragments by hash of the word. A fragment has all
-customers of its words, in every restaurant and in the parent, so it seats them by itself; it gives back the seating to
-the blocks, and its sums per restaurant (tables, customers) to one small table, which makes the probabilities of all
-fragments sum up. Blocks then score their documents. Nothing else is gathered.
-
-Tables of a restaurant in other fragments are taken in proportion to its customers while seating. Where a dish has many
-customers, they are seated in groups of an eighth of those seated, with the chance as at the group's start.
+words, whose own base is uniform. Every word that stands before a training token has a restaurant; after other words the
+parent is all there is. Customers are the training tokens. Sweeps of Gibbs sampling seat the customers of every dish anew,
+given the others, and the predictive probabilities are averaged over the sweeps that follow the burn-in.
+
+Layout: texts are cut into blocks of documents. A block keeps its tokens as numbers of its distinct words. Words go to
+fragments by their 64-bit hashes. A fragment first numbers its words, most frequent first, adds up their training tokens,
+which are also the customers of their restaurants, and gives both back to the blocks; the number and the fragment make the id
+of a word. Then the distinct (context, word) pairs go, packed, to the fragments of their words, where all customers of a word
+are seated. The fragments give the seating back to the blocks, and the tables
+of each restaurant to the fragment of its context, which adds them up for the blocks. Blocks then score their documents.
+The pairs of a word with very many tokens are spread over several fragments by their contexts; only those words, at most
+one per HOT_TOKENS, and the sums of the parent reach the driver.
+
+Tables of a restaurant in other fragments are taken in proportion to its customers (within 5 %) while seating, and so are the
+tables of a spread word; sums are exact when scoring. Where a dish has many customers, they are seated in groups of an eighth of those
+seated, with the chance as at the group's start.
 
 Defined cases: null and empty texts are the end token alone; rows with equal ids are separate documents; a null id counts as
 training; without training documents the model is the uniform base; an empty table gives no rows; extra columns are dropped.
@@ -35,9 +38,10 @@ from pyspark.sql import functions as F
 from .storage import materialize
 from .textkernels import U64, Words, byte_column, chunks, mix
 
-CONTEXT_SHARE = 1e-4
 BLOCK_TOKENS = 2_000_000
-FRAGMENT_TOKENS = 4_000_000
+FRAGMENT_BYTES = 24_000_000
+#: A word is spread over one more fragment for each so many training tokens.
+HOT_TOKENS = 1_000_000
 END = mix(np.array([0xE0D], U64))[0]
 
 
@@ -82,72 +86,77 @@ def _runs(batches, most: int):
         yield ids, np.concatenate([x.tokens for x in parts]), np.concatenate([x.sizes for x in parts])
 
 
-def _frequent(share: float):
-    def run(batches):
-        for ids, tokens, sizes in _runs(batches, BLOCK_TOKENS):
-            train = np.repeat(np.array([not held_out(d) for d in ids]), sizes)
-            words, counts = np.unique(tokens[train], return_counts=True)
-            keep = counts >= share * train.sum()
-            # key 0 has the number of training tokens
-            yield pa.record_batch([pa.array(np.append(words[keep], U64(0)).view(np.int64)), pa.array(np.append(counts[keep], train.sum()).astype(np.int64))], names=["word", "n"])
+def _pack(a: np.ndarray) -> bytes:
+    """Compressed byte by byte of the numbers: first all lowest bytes."""
+    return zstandard.ZstdCompressor(3).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
-    return run
+
+def _unpack(b: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-def frequent_words(texts: DataFrame, share: float = CONTEXT_SHARE) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes and counts of the words with at least `share` of the training tokens, END among them, and the number of tokens.
+def _home(words: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment of each word; rises with the hash."""
+    return (((words >> U64(32)) * U64(fragments)) >> U64(32)).astype(np.int64)
 
-    A word with that share of all has it in some run of documents, so runs send no others; 1/share rows reach the driver at most.
-    """
-    sums = texts.mapInArrow(_frequent(share), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    n = sums.where("word = 0").first()
-    n = int(n["n"]) if n else 0
-    rows = sums.where((F.col("word") != 0) & (F.col("n") >= share * n)).collect()
-    found = {int(END): 0} | {r["word"] % 2**64: r["n"] for r in rows}
-    words = np.array(sorted(found), U64)
-    return words, np.array([found[int(w)] for w in words], float), n
 
+class Hot(NamedTuple):
+    ids: np.ndarray  # sorted
+    counts: np.ndarray
+    parts: np.ndarray
 
-def _zip(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(a.tobytes())
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the words are hot, and their numbers here."""
+        if not len(self.ids):
+            return np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        return self.ids[at] == ids, at
 
 
-def _unzip(b: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
+def _pairs(stream: np.ndarray, n_words: int):
+    """Word and context of each distinct pair of a block, by word, and the pair of each token."""
+    w = stream.astype(np.int64)
+    before = np.empty_like(w)
+    before[0], before[1:] = w[-1], w[:-1]  # the last token is END, which also stands before a document
+    pair, pairs = np.unique(w * n_words + before, return_inverse=True)
+    of_word, context = np.divmod(pair, n_words)
+    return of_word, context, pairs
 
 
-BLOCKS = "block long, frag int, ids binary, sizes binary, pairs binary, words binary, spread binary, contexts binary, counts binary"
+def _deal(ids: np.ndarray, of_word: np.ndarray, context: np.ndarray, hot: Hot, fragments: int):
+    """Order of a block's pairs by fragment; where each word of each fragment begins in it; the words and fragments that begin there."""
+    frag = (ids % fragments)[of_word]
+    is_hot, at = hot.find(ids)
+    if is_hot.any():
+        mine = np.flatnonzero(is_hot[of_word])
+        part = mix(ids[context[mine]].astype(U64)) % hot.parts[at[of_word[mine]]].astype(U64)
+        frag[mine] = (frag[mine] + part.astype(np.int64)) % fragments
+        order = np.argsort(frag, kind="stable")
+    else:
+        order = np.arange(len(frag))
+    f, w = frag[order], of_word[order]
+    first = np.flatnonzero(np.concatenate(([True], (f[1:] != f[:-1]) | (w[1:] != w[:-1]))))
+    return order, first, w[first], f[first]
 
 
-def _blocks(contexts: np.ndarray, fragments: int):
-    """A row per block (frag null): documents and their pairs; a row per block and fragment: words, pairs of each, contexts, counts."""
-    schema = pa.schema([("block", pa.int64()), ("frag", pa.int32()), *((x, pa.binary()) for x in ("ids", "sizes", "pairs", "words", "spread", "contexts", "counts"))])
+BLOCKS = "block long, frag int, ids binary, sizes binary, tokens binary, words binary, uses binary"
+
+
+def _blocks(fragments: int):
+    """A row per block (frag null): documents and their tokens; a row per block and fragment: words and their training tokens."""
+    schema = pa.schema([("block", pa.int64()), ("frag", pa.int32()), *((x, pa.binary()) for x in ("ids", "sizes", "tokens", "words", "uses"))])
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
         for ids, tokens, sizes in _runs(batches, BLOCK_TOKENS):
-            before = np.empty_like(tokens)
-            before[0], before[1:] = END, tokens[:-1]  # END also stands before a document
-            at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
-            context = np.where(contexts[at] == before, at + 1, 0)
             words, w = np.unique(tokens, return_inverse=True)
-            pair, pairs = np.unique(w * (len(contexts) + 1) + context, return_inverse=True)
-            train = np.repeat(np.array([not held_out(d) for d in ids]), sizes)
-            counts = np.bincount(pairs, train, minlength=len(pair)).astype("<u4")
-            of_word, context = pair // (len(contexts) + 1), (pair % (len(contexts) + 1)).astype("<u2")
-            spread = np.bincount(of_word, minlength=len(words)).astype("<u2")
+            uses = np.bincount(w, np.repeat(np.array([not held_out(d) for d in ids]), sizes), minlength=len(words)).astype("<u4")
             blank = np.array([d is None for d in ids])
             known = np.array([0 if d is None else d for d in ids], "<i8")
-            yield pa.RecordBatch.from_pylist([{"block": number, "ids": known.tobytes() + blank.tobytes(), "sizes": sizes.astype("<u4").tobytes(), "pairs": _zip(pairs.astype("<u4")), "spread": _zip(spread), "contexts": _zip(context)}], schema=schema)
-            frag = ((words >> U64(32)) * U64(fragments)) >> U64(32)
-            cut = np.searchsorted(frag, np.arange(fragments + 1).astype(U64))
-            ends = np.concatenate(([0], np.cumsum(spread.astype(np.int64))))
-            rows = []
-            for f in range(fragments):
-                a, b = int(cut[f]), int(cut[f + 1])
-                if a < b:
-                    x, y = ends[a], ends[b]
-                    rows.append({"block": number, "frag": f, "words": words[a:b].astype("<u4").tobytes(), "spread": spread[a:b].tobytes(), "contexts": context[x:y].tobytes(), "counts": counts[x:y].tobytes()})
+            yield pa.RecordBatch.from_pylist([{"block": number, "ids": known.tobytes() + blank.tobytes(), "sizes": sizes.astype("<u4").tobytes(), "tokens": _pack(w.astype("<u4"))}], schema=schema)
+            cut = np.searchsorted(_home(words, fragments), np.arange(fragments + 1))
+            rows = [{"block": number, "frag": f, "words": words[a:b].astype("<u8").tobytes(), "uses": _pack(uses[a:b])} for f, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b]
             for lo in range(0, len(rows), 64):
                 yield pa.RecordBatch.from_pylist(rows[lo : lo + 64], schema=schema)
             number += 1
@@ -155,6 +164,89 @@ def _blocks(contexts: np.ndarray, fragments: int):
     return run
 
 
+def _documents(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, whether it is null, and number of tokens of the documents of a block."""
+    n = len(row["sizes"]) // 4
+    return np.frombuffer(row["ids"][: 8 * n], "<i8"), np.frombuffer(row["ids"][8 * n :], bool), np.frombuffer(row["sizes"], "<u4").astype(np.int64)
+
+
+def _held(ids: np.ndarray, blank: np.ndarray) -> np.ndarray:
+    return np.array([not b and held_out(int(d)) for d, b in zip(ids, blank)], bool)
+
+
+def _column(values: tuple, kind: str) -> pd.Series:
+    """Integers stay integers where some are missing."""
+    if kind not in ("int", "long"):
+        return pd.Series(values, dtype="float64" if kind == "double" else "object")
+    missing = np.array([v is None for v in values], bool)
+    return pd.Series(pd.arrays.IntegerArray(np.array([0 if v is None else v for v in values], np.int64), missing))
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    kinds = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows) if rows else [()] * len(kinds)
+    return pd.DataFrame({name: _column(c, kind) for (name, kind), c in zip(kinds, columns)})
+
+
+KNOWN = "block long, frag int, ranks binary, known binary, id long, n long, distinct long"
+
+
+def _count(hot_tokens: int, fragments: int):
+    """In one fragment: numbers and training tokens of its words for each block, sums of all (id null), and the hot words."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        frag = int(pdf["frag"].iloc[0])
+        parts = [np.frombuffer(x, "<u8") for x in pdf["words"]]
+        word, w = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.bincount(w, np.concatenate([_unpack(x, "<u4") for x in pdf["uses"]]), minlength=len(word)).astype(np.int64)
+        rank = np.empty(len(word), np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(len(word))
+        rows, a = [], 0
+        for block, ws in zip(pdf["block"], parts):
+            mine = w[a : a + len(ws)]
+            rows.append((block, frag, _pack(rank[mine].astype("<u4")), _pack(n[mine].astype("<u4")), None, None, None))
+            a += len(ws)
+        rows.append((-1, frag, None, None, None, int(n.sum()), int((n > 0).sum())))
+        rows += [(-1, frag, None, None, int(rank[i]) * fragments + frag, int(n[i]), None) for i in np.flatnonzero(n >= hot_tokens)]
+        return _frame(rows, KNOWN)
+
+    return run
+
+
+def _words(known: pd.DataFrame, fragments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and training tokens of a block's words, from its rows in the order of fragments."""
+    ids = [_unpack(r, "<u4").astype(np.int64) * fragments + int(f) for f, r in zip(known["frag"], known["ranks"])]
+    return np.concatenate(ids), np.concatenate([_unpack(x, "<u4") for x in known["known"]])
+
+
+PARTS = "block long, frag int, words binary, spread binary, contexts binary, customers binary, counts binary"
+
+
+def _parts(hot: Hot, fragments: int):
+    """The pairs of a block for each fragment: words, pairs of each, contexts with their restaurants' customers in eighths of an octave, counts."""
+
+    def run(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        ids, n = _words(known.sort_values("frag"), fragments)
+        octaves = np.where(n > 0, 1 + np.rint(7.9 * np.log2(np.maximum(n, 1))), 0).astype(np.uint8)
+        for _, row in docs.iterrows():
+            doc_ids, blank, sizes = _documents(row)
+            of_word, context, pairs = _pairs(_unpack(row["tokens"], "<u4"), len(ids))
+            counts = np.bincount(pairs, np.repeat(~_held(doc_ids, blank), sizes), minlength=len(of_word)).astype("<u4")
+            order, first, dealt, frag = _deal(ids, of_word, context, hot, fragments)
+            context, counts = context[order], counts[order]
+            ends = np.append(first, len(order))
+            cut = np.searchsorted(frag, np.arange(fragments + 1))
+            for f, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+                if a < b:
+                    x, y = ends[a], ends[b]
+                    rows.append((row["block"], f, _pack(ids[dealt[a:b]]), _pack(np.diff(ends[a : b + 1]).astype("<u4")), _pack(ids[context[x:y]]), _pack(octaves[context[x:y]]), _pack(counts[x:y])))
+        return _frame(rows, PARTS)
+
+    return run
+
+
 def seat(c: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables that c customers of a dish take one after another. weight: (strength + discount * tables of all dishes) * base probability."""
     t = np.minimum(c, 1).astype(float)
@@ -169,90 +261,120 @@ def seat(c: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Gene
     return t
 
 
-SEATING = "block long, frag int, known binary, root binary, own binary, context int, tables double, customers double"
+SEATING = "block long, frag int, source int, root binary, own binary, contexts binary, tables binary, id long, c0 double, t0 double"
+FOR_CONTEXTS, FOR_HOT, FOR_ROOT = -1, -2, -3  # in place of the block
 
 
-def _restaurants(n_contexts: int, context_counts: np.ndarray, total: int, fragments: int, s: Settings):
-    """In one fragment: seat the customers of its words; give blocks their words' counts and seating, and the sums by restaurant."""
+def _restaurants(hot: Hot, total: int, distinct: int, fragments: int, s: Settings):
+    """In one fragment: seat the customers of its pairs; give blocks the seating, fragments of contexts their tables, and the driver the sums of the parent."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
         frag = int(pdf["frag"].iloc[0])
-        parts = [[np.frombuffer(x, kind) for x in pdf[name]] for name, kind in (("words", "<u4"), ("spread", "<u2"), ("contexts", "<u2"), ("counts", "<u4"))]
-        low, spread, context, counts = (np.concatenate(p) for p in parts)
-        word, w = np.unique(low, return_inverse=True)
-        pair, k = np.unique(np.repeat(w, spread) * (n_contexts + 1) + context, return_inverse=True)
+        parts = [[_unpack(x, kind) for x in pdf[name]] for name, kind in (("words", "<i8"), ("spread", "<u4"), ("contexts", "<i8"), ("customers", "u1"), ("counts", "<u4"))]
+        words, spread, contexts, restaurant, counts = (np.concatenate(p) for p in parts)
+        word, w = np.unique(words, return_inverse=True)
+        contexts, x = np.unique(contexts, return_inverse=True)
+        customers = np.zeros(len(contexts))
+        customers[x] = np.where(restaurant > 0, np.rint(2 ** ((restaurant - 1.0) / 7.9)), 0)
+        pair, k = np.unique(np.repeat(w, spread) * len(contexts) + x, return_inverse=True)
         c = np.bincount(k, counts, minlength=len(pair))
-        of_word, ctx = pair // (n_contexts + 1), pair % (n_contexts + 1)
+        of_word, ctx = np.divmod(pair, len(contexts))
         known = np.bincount(of_word, c, minlength=len(word))
-        own = ctx > 0
-        vocabulary = max(float((known > 0).sum()) * fragments, 1.0)
+        is_hot, at = hot.find(word)
+        whole = np.ones(len(word))  # customers of a word anywhere to those here
+        share = np.ones(len(word))  # of a word that counts as being here
+        if is_hot.any():
+            whole[is_hot] = hot.counts[at[is_hot]] / np.maximum(known[is_hot], 1)
+            share[is_hot] = 1 / hot.parts[at[is_hot]]
+        scale = np.maximum(customers / np.maximum(np.bincount(ctx, c, minlength=len(contexts)), 1), 1.0)
+        others = distinct / max(float(share[known > 0].sum()), 1e-9)
         rng = np.random.default_rng([s.seed, frag])
         t = np.minimum(c, 1.0)
         t0 = np.minimum(known, 1.0)
-        here = np.bincount(ctx, c, minlength=n_contexts + 1)
-        scale = np.where(here > 0, np.append(0.0, context_counts) / np.maximum(here, 1), 1.0)
-        scale = np.maximum(scale, 1.0)
-        mean_own, mean_root = np.zeros(len(pair)), np.zeros(len(word))
-        tables, customers = np.zeros(n_contexts + 2), np.zeros(n_contexts + 2)
+        mean_own, mean_c0, mean_t0, tables = np.zeros(len(pair)), np.zeros(len(word)), np.zeros(len(word)), np.zeros(len(contexts))
         for sweep in range(s.burn_in + s.sweeps):
-            c0 = np.bincount(of_word, np.where(own, t, c), minlength=len(word))
+            c0 = np.bincount(of_word, t, minlength=len(word))
             all0 = max(c0.sum() / max(known.sum(), 1.0) * total, 1.0)
-            p0 = (np.maximum(c0 - s.root_discount * t0, 0) + (s.root_strength + s.root_discount * vocabulary) / (vocabulary + 1)) / (s.root_strength + all0)
-            rest = s.strength + s.discount * np.bincount(ctx, t, minlength=n_contexts + 1) * scale
-            t = np.where(own, seat(c, rest[ctx] * p0[of_word], s.discount, rng), 0.0)
-            c0 = np.bincount(of_word, np.where(own, t, c), minlength=len(word))
-            t0 = seat(c0, np.full(len(word), (s.root_strength + s.root_discount * max(t0.sum() * fragments, 1.0)) / (vocabulary + 1)), s.root_discount, rng)
+            p0 = (np.maximum(c0 * whole - s.root_discount * t0, 0) + (s.root_strength + s.root_discount * distinct) / (distinct + 1)) / (s.root_strength + all0)
+            rest = s.strength + s.discount * np.bincount(ctx, t, minlength=len(contexts)) * scale
+            t = seat(c, rest[ctx] * p0[of_word], s.discount, rng)
+            c0 = np.bincount(of_word, t, minlength=len(word))
+            t0 = seat(np.round(c0 * whole), np.full(len(word), (s.root_strength + s.root_discount * max((t0 * share).sum() * others, 1.0)) / (distinct + 1)), s.root_discount, rng)
             if sweep >= s.burn_in:
-                mean_own += np.where(own, c - s.discount * t, 0) / s.sweeps
-                mean_root += (c0 - s.root_discount * t0) / s.sweeps
-                tables[: n_contexts + 1] += np.bincount(ctx, t, minlength=n_contexts + 1) / s.sweeps
-                tables[0] += t0.sum() / s.sweeps
-                customers[0] += c0.sum() / s.sweeps
-        customers[1 : n_contexts + 1] = here[1:]
-        customers[-1], tables[-1] = known.sum(), (known > 0).sum()  # training tokens and distinct ones
-        rows, a, x = [], 0, 0
-        for block, ws, ks in zip(pdf["block"], parts[0], parts[2]):
-            b, y = a + len(ws), x + len(ks)
-            rows.append((block, frag, known[w[a:b]].astype("<u4").tobytes(), mean_root[w[a:b]].astype("<f4").tobytes(), mean_own[k[x:y]].astype("<f4").tobytes(), None, None, None))
-            a, x = b, y
-        seen = np.flatnonzero((tables > 0) | (customers > 0))
-        rows += [(-1, frag, None, None, None, int(i), float(tables[i]), float(customers[i])) for i in seen]
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in SEATING.split(", ")]).astype({"context": "Int32"})
+                mean_own += (c - s.discount * t) / s.sweeps
+                mean_c0 += c0 / s.sweeps
+                mean_t0 += t0 / s.sweeps
+                tables += np.bincount(ctx, t, minlength=len(contexts)) / s.sweeps
+        root = (mean_c0 - s.root_discount * mean_t0).astype("<f4")
+        rows, a, i = [], 0, 0
+        for block, ws, cs in zip(pdf["block"], parts[0], parts[2]):
+            b, j = a + len(ws), i + len(cs)
+            rows.append((block, frag, frag, _pack(root[w[a:b]]), _pack(mean_own[k[i:j]].astype("<f4")), None, None, None, None, None))
+            a, i = b, j
+        rank, home = np.divmod(contexts, fragments)
+        seen = np.flatnonzero(tables > 0)
+        seen = seen[np.argsort(home[seen], kind="stable")]
+        cut = np.searchsorted(home[seen], np.arange(fragments + 1))
+        for f, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+            if a < b:
+                rows.append((FOR_CONTEXTS, f, frag, None, None, _pack(rank[seen[a:b]].astype("<u4")), _pack(tables[seen[a:b]].astype("<f4")), None, None, None))
+        for i in np.flatnonzero(is_hot & (known > 0)):
+            rows.append((FOR_HOT, frag, frag, None, None, None, None, int(word[i]), mean_c0[i], mean_t0[i]))
+        rows.append((FOR_ROOT, frag, frag, None, None, None, None, None, mean_c0[~is_hot].sum(), mean_t0[~is_hot].sum()))
+        return _frame(rows, SEATING)
 
     return run
 
 
+TABLES = "block long, frag int, tables binary"
+
+
+def _add_tables(seating: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """In one fragment: the tables of its words' restaurants, over all fragments, for each block with such words."""
+    tables, asked = np.zeros(0), [_unpack(x, "<u4") for x in known["ranks"]]
+    seating = seating.sort_values("source")
+    if asked:
+        tables = np.zeros(1 + max(int(x.max()) for x in asked))
+        for contexts, t in zip(seating["contexts"], seating["tables"]):
+            tables[_unpack(contexts, "<u4")] += _unpack(t, "<f4")
+    return _frame([(block, frag, _pack(tables[x].astype("<f4"))) for block, frag, x in zip(known["block"], known["frag"], asked)], TABLES)
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _score(n_contexts: int, tables: np.ndarray, customers: np.ndarray, s: Settings):
-    distinct, total = float(tables[-1]), float(customers[-1])
+class Root(NamedTuple):
+    customers: float
+    tables: float
+    of_hot: np.ndarray  # customers less the discounts of the tables, of each hot word
+
+
+def _score(hot: Hot, root_sums: Root, total: int, distinct: int, fragments: int, s: Settings):
     base_of = 1.0 / (distinct + 1)
 
-    def run(docs: pd.DataFrame, seating: pd.DataFrame) -> pd.DataFrame:
+    def run(docs: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
-        seating = seating.sort_values("frag")
-        known = np.frombuffer(b"".join(seating["known"]), "<u4").astype(float)
-        root = np.frombuffer(b"".join(seating["root"]), "<f4").astype(float)
-        own = np.frombuffer(b"".join(seating["own"]), "<f4").astype(float)
+        replies = replies.sort_values("frag")
+        ids, known = _words(replies[replies["known"].notna()], fragments)
+        known = known.astype(float)
+        tables, roots, own_dealt = (np.concatenate([_unpack(x, "<f4") for x in replies[name].dropna()]).astype(float) for name in ("tables", "root", "own"))
         for _, row in docs.iterrows():
-            n = len(row["sizes"]) // 4
-            ids = np.frombuffer(row["ids"][: 8 * n], "<i8")
-            blank = np.frombuffer(row["ids"][8 * n :], bool)
-            sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-            spread = _unzip(row["spread"], "<u2").astype(np.int64)
-            ctx = _unzip(row["contexts"], "<u2").astype(np.int64)
-            pairs = _unzip(row["pairs"], "<u4")
-            of_word = np.repeat(np.arange(len(spread)), spread)
-            p0 = (root + (s.root_strength + s.root_discount * tables[0]) * base_of) / (s.root_strength + customers[0])
-            back = (s.strength + s.discount * tables[ctx]) * p0[of_word]
-            p = np.where(ctx == 0, p0[of_word], (own + back) / (s.strength + customers[ctx]))
+            doc_ids, blank, sizes = _documents(row)
+            of_word, ctx, pairs = _pairs(_unpack(row["tokens"], "<u4"), len(ids))
+            order, _, dealt, _ = _deal(ids, of_word, ctx, hot, fragments)
+            own, root = np.empty(len(ctx)), np.empty(len(ids))
+            own[order], root[dealt] = own_dealt, roots
+            is_hot, at = hot.find(ids)
+            if is_hot.any():
+                root[is_hot] = root_sums.of_hot[at[is_hot]]
+            p0 = (root + (s.root_strength + s.root_discount * root_sums.tables) * base_of) / (s.root_strength + root_sums.customers)
+            p = (own + (s.strength + s.discount * tables[ctx]) * p0[of_word]) / (s.strength + known[ctx])
             plain = np.log10((known + 0.5) / (total + 0.5 * (distinct + 1)))
             start = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             add = lambda per_pair: np.add.reduceat(per_pair[pairs], start)
             out.append(pd.DataFrame({
-                "doc_id": pd.Series(ids).where(~blank).astype("Int64"), "held_out": [not b and held_out(int(d)) for d, b in zip(ids, blank)], "n_tokens": sizes,
+                "doc_id": pd.Series(doc_ids).astype("Int64").where(~blank), "held_out": _held(doc_ids, blank), "n_tokens": sizes,
                 "n_known": add((known > 0).astype(np.int64)[of_word]), "train_tokens": int(total), "base_score": add(plain[of_word]), "score": add(np.log10(p)),
             }))
         return pd.concat(out) if out else pd.DataFrame(columns=[f.split()[0] for f in SCORES.split(", ")])
@@ -260,18 +382,29 @@ def _score(n_contexts: int, tables: np.ndarray, customers: np.ndarray, s: Settin
     return run
 
 
-def scores(docs: DataFrame, settings: Settings = Settings(), share: float = CONTEXT_SHARE) -> DataFrame:
+def scores(docs: DataFrame, settings: Settings = Settings(), fragment_bytes: int = FRAGMENT_BYTES, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    contexts, context_counts, total = frequent_words(texts, share)
-    fragments = max(16, -(-total // FRAGMENT_TOKENS))
-    blocks = materialize(texts.mapInArrow(_blocks(contexts, fragments), BLOCKS), "blocks", "zstd")
-    parts = blocks.where("frag IS NOT NULL").select("block", "frag", "words", "spread", "contexts", "counts")
-    seating = materialize(parts.groupBy("frag").applyInPandas(_restaurants(len(contexts), context_counts, total, fragments, settings), SEATING), "seating", "zstd")
-    sums = seating.where("block = -1").groupBy("context").agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers")).collect()
-    tables, customers = np.zeros(len(contexts) + 2), np.zeros(len(contexts) + 2)
-    for r in sums:
-        tables[r["context"]], customers[r["context"]] = r["tables"], r["customers"]
-    held = blocks.where("frag IS NULL").select("block", "ids", "sizes", "pairs", "spread", "contexts")
-    own = seating.where("block >= 0").select("block", "frag", "known", "root", "own")
-    return held.groupBy("block").cogroup(own.groupBy("block")).applyInPandas(_score(len(contexts), tables, customers, settings), SCORES)
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    fragments = max(16, -(-size // fragment_bytes))
+    blocks = materialize(texts.mapInArrow(_blocks(fragments), BLOCKS), "blocks", "zstd")
+    asked = blocks.where("frag IS NOT NULL").select("block", "frag", "words", "uses")
+    held = blocks.where("frag IS NULL").select("block", "ids", "sizes", "tokens")
+    known = materialize(asked.groupBy("frag").applyInPandas(_count(hot_tokens, fragments), KNOWN), "known", "zstd")
+    sums = known.where("block < 0 AND id IS NULL").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct")).first()
+    total, distinct = sums["n"] or 0, sums["distinct"] or 0
+    found = np.array(sorted(map(tuple, known.where("id IS NOT NULL").select("id", "n").collect())), np.int64).reshape(-1, 2)
+    hot = Hot(found[:, 0], found[:, 1], np.minimum(-(-found[:, 1] // hot_tokens), fragments))
+    known = known.where("block >= 0").select("block", "frag", "ranks", "known")
+    parts = held.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(_parts(hot, fragments), PARTS)
+    seating = materialize(parts.groupBy("frag").applyInPandas(_restaurants(hot, total, distinct, fragments, settings), SEATING), "seating", "zstd")
+    rest = sorted(map(tuple, seating.where(F.col("block") == FOR_ROOT).select("frag", "c0", "t0").collect()))
+    of_hot = {}
+    for i, _, c0, t0 in sorted(map(tuple, seating.where(F.col("block") == FOR_HOT).select("id", "source", "c0", "t0").collect())):
+        of_hot.setdefault(i, []).append((c0, t0))
+    c0, t0 = (np.array([f([x[k] for x in of_hot[int(i)]]) for i in hot.ids], float) for k, f in enumerate((np.sum, np.mean)))
+    root = Root(sum(r[1] for r in rest) + c0.sum(), sum(r[2] for r in rest) + t0.sum(), c0 - settings.root_discount * t0)
+    given = seating.where(F.col("block") == FOR_CONTEXTS).select("frag", "source", "contexts", "tables")
+    tables = given.groupBy("frag").cogroup(known.select("block", "frag", "ranks").groupBy("frag")).applyInPandas(_add_tables, TABLES)
+    replies = seating.where("block >= 0").select("block", "frag", "root", "own").unionByName(known, True).unionByName(tables, True)
+    return held.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(_score(hot, root, total, distinct, fragments, settings), SCORES)

@@ -157,6 +157,33 @@ def test_pitman_yor_beats_the_base_on_held_out_texts(spark):
     assert r[0] > r[1]
 
 
+def test_pitman_yor_has_a_restaurant_for_rare_contexts(spark):
+    n = 5000  # each context has 2 of some 30,000 tokens
+    train, test = [i for i in range(20 * n) if zlib.crc32(str(i).encode()) % 5 != 1][: 2 * n], [i for i in range(20 * n) if zlib.crc32(str(i).encode()) % 5 == 1][:200]
+    rows = [(i, f"c{k % n} d{k % n}", "a") for k, i in enumerate(train)]
+    rows += [(i, f"c{k} d{k + k % 2}", "a") for k, i in enumerate(test)]  # every other one has a word that never follows
+    docs = make_docs(spark, rows).repartition(3)
+    for hot in (pitman_yor.HOT_TOKENS, 100):  # END is spread over all fragments
+        got = {r.doc_id: r.score for r in pitman_yor.scores(docs, hot_tokens=hot).where("held_out").collect()}
+        assert np.mean([got[i] for i in test[::2]]) > np.mean([got[i] for i in test[1::2]]) + 1
+
+
+def test_pitman_yor_probabilities_sum_to_one(spark):
+    known = [f"w{k}" for k in range(6)]
+    rng = random.Random(3)
+    rows = [(None, " ".join(rng.choices(known, range(1, 7), k=30)), "a") for _ in range(40)]
+    ids = iter(i for i in range(2000) if zlib.crc32(str(i).encode()) % 5 == 1)
+    states = [*known, "new"]
+    held = {t: next(ids) for t in ["", *states, *(f"{u} {v}" for u in states for v in states)]}
+    docs = make_docs(spark, rows + [(i, t, "a") for t, i in held.items()]).repartition(2)
+    for hot in (pitman_yor.HOT_TOKENS, 100):
+        got = {r.doc_id: 10**r.score for r in pitman_yor.scores(docs, hot_tokens=hot).where("held_out").collect()}
+        # transitions between words, each times the chance of its word to end a text and over that of the word before: the eigenvalues stay
+        first = [got[held[""]], *(got[held[u]] for u in states)]
+        rest = [[1.0, *(got[held[f"{u} {v}"]] / got[held[u]] for v in states)] for u in states]
+        assert max(abs(np.linalg.eigvals(np.array([first, *rest])))) == pytest.approx(1, abs=1e-4)
+
+
 def test_seating():
     rng = np.random.default_rng(1)
     c = np.array([0.0, 1, 2, 50, 5000])
