@@ -116,6 +116,38 @@ def test_token_files_without_index(spark, tmp_path):
     assert [(r.ordinal, r.n_tokens, r.closed) for r in got] == [(0, 2, True), (1, 0, True), (2, 701, True), (3, 2, False)]
 
 
+def test_token_files_of_wide_ids(spark, tmp_path):
+    ids = [5, 70_000, 0, 65_536, 1 << 31, 9, 0, 4]
+    (tmp_path / "a b.bin").write_bytes(np.array(ids, "<u4").tobytes())
+    for block in (1, 3, 64):
+        got = token_files.token_counts(token_files.read_token_files(spark, str(tmp_path), block, 4), id_bytes=4).orderBy("ordinal").collect()
+        assert [(r.ordinal, r.n_tokens, r.closed) for r in got] == [(0, 2, True), (1, 3, True), (2, 1, False)]
+    (tmp_path / "a b.bin").write_bytes(b"12345")
+    with pytest.raises(Exception, match="multiple of element size"):
+        token_files.token_counts(token_files.read_token_files(spark, str(tmp_path), 3, 4), id_bytes=4).collect()
+
+
+def test_token_files_of_over_2_gib(spark, tmp_path):
+    size = 2**31 + 2**20
+    with open(tmp_path / "large.bin", "wb") as f:  # all separators but the last id, and mostly a hole
+        f.truncate(size - 2)
+        f.seek(size - 2)
+        f.write(b"\7\0")
+    blocks = token_files.read_token_files(spark, str(tmp_path))
+    assert blocks.rdd.getNumPartitions() > 100
+    last = blocks.where("block >= 4095").selectExpr("block", "octet_length(data) AS n", "hex(right(data, 2)) AS end").orderBy("block").collect()
+    assert [tuple(r) for r in last][-1] == (size // 2**19 - 1, 2**19, "0700") and len(last) == size // 2**19 - 4095
+
+
+def test_token_counts_scan_flat_files(spark, odd_docs, odd_rows, tmp_path):
+    manifest = token_files.write_files(odd_docs, f"file://{tmp_path}/out")
+    files = sorted((tmp_path / "out").glob("*.bin"))
+    assert {r.name for r in manifest.select("name").distinct().collect()} == {f.name for f in files}
+    assert sum(f.stat().st_size for f in files) == 2 * sum(len((t or "").encode().split()) + 1 for _, t, _ in odd_rows)
+    got = token_files.document_token_counts(odd_docs).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(((i, len((t or "").encode().split())) for i, t, _ in odd_rows), key=repr)
+
+
 def test_license_scan(spark, no_docs):
     texts = {
         1: "Released under the MIT License. Apache License, Version 2.0; under-the mit licensé",
