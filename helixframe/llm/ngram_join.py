@@ -287,6 +287,11 @@ def _as(df: DataFrame, suffix: str, *more) -> DataFrame:
 
 def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, sig) of each document, and (node, component) of the sets that hang together by links."""
+    return _joined(docs, k, percent)[:2]
+
+
+def _joined(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As similar_sets, and the (sig, part, keys) of the sets that can link."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = materialize(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, sig long"), "sets")
     n_docs, total = described.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
@@ -309,7 +314,7 @@ def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[D
     links = materialize(links_of(materialize(pairs, "pairs"), sets, percent).select("a", "b"), "found")
     label = components(links)
     rest = _rest(around, label, sets, percent)
-    return described, components(links.unionByName(materialize(rest, "found")))
+    return described, components(links.unionByName(materialize(rest, "found"))), sets
 
 
 def _rest(around: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -331,38 +336,47 @@ def _rest(around: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
     return dealt.join(sets, "sig").groupBy("call").applyInPandas(_compare(percent), kind)
 
 
+def _linked(group: pd.DataFrame, percent: int):
+    """The sets of a group, and for each which of those after it link with it: first the group with a row per set, then (place, places)."""
+    one = group.drop_duplicates("sig").sort_values("sig")
+    yield one
+    sig, n = one["sig"].to_numpy(), one["n"].to_numpy()
+    row = np.searchsorted(sig, group["sig"].to_numpy())
+    keys = np.concatenate([np.frombuffer(k, "<i8") for k in group["keys"]])
+    owner = np.repeat(row, [len(k) // 8 for k in group["keys"]])
+    # parts hold different keys, so their overlaps add up when the keys of all stand side by side
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    size = np.diff(np.append(begin, len(keys)))
+    rank = np.repeat(np.arange(len(begin)), size)
+    mine = np.argsort(owner, kind="stable")
+    at = np.searchsorted(owner[mine], np.arange(len(sig) + 1))
+    for a in range(len(sig)):
+        k = rank[mine[at[a] : at[a + 1]]]
+        m = size[k]
+        met = owner[np.repeat(begin[k] - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())]
+        overlap = np.bincount(met, minlength=len(sig))
+        good = 100 * overlap >= percent * (n[a] + n - overlap)
+        good[: a + 1] = False
+        yield a, np.flatnonzero(good)
+
+
 def _compare(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         for _, group in pdf.groupby(["centre", "x", "y"]):
-            one = group.drop_duplicates("sig").sort_values("sig")
-            sig, n, parent = one["sig"].to_numpy(), one["n"].to_numpy(), {}
+            found = _linked(group, percent)
+            one, parent = next(found), {}
+            sig, component = one["sig"].to_numpy(), one["component"].to_numpy()
 
             def find(c):
                 while parent.get(c, c) != c:
                     c = parent[c]
                 return c
 
-            component = one["component"].to_numpy()
-            row = np.searchsorted(sig, group["sig"].to_numpy())
-            keys = np.concatenate([np.frombuffer(k, "<i8") for k in group["keys"]])
-            owner = np.repeat(row, [len(k) // 8 for k in group["keys"]])
-            # parts hold different keys, so their overlaps add up when the keys of all stand side by side
-            order = np.lexsort((owner, keys))
-            keys, owner = keys[order], owner[order]
-            begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            size = np.diff(np.append(begin, len(keys)))
-            rank = np.repeat(np.arange(len(begin)), size)
-            mine = np.argsort(owner, kind="stable")
-            at = np.searchsorted(owner[mine], np.arange(len(sig) + 1))
-            for a in range(len(sig)):
-                k = rank[mine[at[a] : at[a + 1]]]
-                m = size[k]
-                met = owner[np.repeat(begin[k] - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())]
-                overlap = np.bincount(met, minlength=len(sig))
-                good = 100 * overlap >= percent * (n[a] + n - overlap)
-                good[: a + 1] = False
-                for b in np.flatnonzero(good & (component != component[a])).tolist():
+            for a, partners in found:
+                for b in partners[component[partners] != component[a]].tolist():
                     u, v = find(component[a]), find(component[b])
                     if u != v:
                         parent[u] = v
@@ -372,6 +386,64 @@ def _compare(percent: int):
     return run
 
 
+def _all_links(docs: DataFrame, k: int, percent: int, of_group, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, and what of_group makes of all links (it gets the sets, and the places of both ends of links, by groups); every link is in one group.
+
+    Linked sets are of one component; a component's sets meet in blocks, every two blocks in one group.
+    """
+    described, label, sets = _joined(docs, k, percent)
+    nodes = described.where("n_shingles > 0").groupBy("sig").agg(F.min("n_shingles").alias("n"), F.count("*").alias("copies"))
+    members = nodes.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    blocks = members.groupBy("component").agg(F.count("*").alias("m")).where("m > 1").select("component", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    members = members.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "sig", "n", "copies")
+    dealt = materialize(dealt.withColumn("call", F.xxhash64("component", "x", "y")), "dealt")
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for (_, x, y), group in batch.groupby(["component", "x", "y"]):
+            found = _linked(group, percent)
+            one = next(found)
+            own = one["own"].to_numpy()
+            # two sets of one block meet with every other block too, and count where the block meets itself
+            ends = [(np.full(len(b), a), b) for a, partners in found if len(b := partners[(own[partners] != own[a]) | (x == y)])]
+            if ends:
+                out.append(of_group(one, *(np.concatenate(e) for e in zip(*ends))))
+        return pd.concat(out) if out else pd.DataFrame(columns=[f.split()[0] for f in kind.split(", ")], dtype="int64")
+
+    # small groups share a call, and calls are as many as large groups ask for
+    calls = 4096 + dealt.count() // BLOCK
+    dealt = dealt.withColumn("call", F.pmod("call", F.lit(calls)))
+    return described, dealt.join(sets, "sig").groupBy("call").applyInPandas(run, kind)
+
+
+def linked_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, sig) of each document, and every link (a, b), a < b, between different sets, once; documents of one set all link too."""
+
+    def pairs(one, a, b):
+        sig = one["sig"].to_numpy()
+        return pd.DataFrame({"a": sig[a], "b": sig[b]})
+
+    return _all_links(docs, k, percent, pairs, "a long, b long")
+
+
+def link_counts(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
+    """doc_id and n_links, the number of other documents over the threshold, of each document; no pairs leave the groups."""
+
+    def sums(one, a, b):
+        copies = one["copies"].to_numpy()
+        n = np.bincount(a, copies[b], minlength=len(one)) + np.bincount(b, copies[a], minlength=len(one))
+        return pd.DataFrame({"sig": one["sig"].to_numpy(), "links": n.astype(np.int64)})
+
+    described, links = _all_links(docs, k, percent, sums, "sig long, links long")
+    links = links.groupBy("sig").agg(F.sum("links").alias("links"))
+    full = described.where("n_shingles > 0")
+    nodes = full.groupBy("sig").agg(F.count("*").alias("copies")).join(links, "sig", "left")
+    counted = full.join(nodes.select("sig", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "sig").select("doc_id", "n_links")
+    return counted.unionByName(described.where("n_shingles = 0").select("doc_id", F.lit(0).cast("long").alias("n_links")))
+
+
 def representatives(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each class: that of the smallest doc_id, then of the smallest set hash. Rows with empty sets all stay."""
     described, label = similar_sets(docs, k, percent)

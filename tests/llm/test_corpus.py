@@ -140,6 +140,28 @@ def test_short_repeats(spark, monkeypatch, seed, contexts):
     assert sorted(map(tuple, repeats.removed_bytes(make_docs(spark, rows), 20).collect()), key=repr) == removed(rows, 20)
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_join_counts_and_gives_every_link(spark, no_docs, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(8)
+    base, rows = [f"w{k}" for k in range(120)], []
+    for i in range(24):  # near copies, of which some link and others only by way of a third
+        t = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 3)):
+            t[at] = f"x{i}"
+        rows += [(i, " ".join(t), "a")] * (1 + i % 3 // 2)
+    rows += [(100, None, "a"), (101, "", "a"), (None, prose(rng, 30), "b"), (103, "one two", "b"), (104, "ONE two", "b")]
+    held = [shingles(t) for _, t, _ in rows]
+    link = lambda a, b: bool(a) and 100 * len(a & b) >= 75 * len(a | b)
+    want = [(i, sum(link(held[a], held[b]) for b in range(len(rows)) if a != b)) for a, (i, _, _) in enumerate(rows)]
+    docs = make_docs(spark, rows).repartition(3).cache()
+    assert sorted(map(tuple, ngram_join.link_counts(docs).collect()), key=repr) == sorted(want, key=repr)
+    kinds = {frozenset(h) for h in held if h}
+    pairs = [tuple(r) for r in ngram_join.linked_sets(docs)[1].collect()]
+    assert all(a < b for a, b in pairs) and len(set(pairs)) == len(pairs) == sum(link(a, b) for a in kinds for b in kinds if a != b) // 2
+    assert ngram_join.link_counts(no_docs).count() == 0
+
+
 def test_pitman_yor(spark, odd_docs, odd_rows, no_docs):
     rows = pitman_yor.scores(odd_docs).collect()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
