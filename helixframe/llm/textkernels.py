@@ -110,9 +110,14 @@ class Words:
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Polynomial prefix sums s with s[i] over data[:i]; see window_hash."""
-    up, _ = _pow_tables(len(data) + 1)
-    s = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE_KEYS[data] * up[: len(data)], out=s[1:])
+    return symbol_sums(_BYTE_KEYS[data])
+
+
+def symbol_sums(keys: np.ndarray) -> np.ndarray:
+    """The same over symbols that already are 64-bit hashes."""
+    up, _ = _pow_tables(len(keys) + 1)
+    s = np.zeros(len(keys) + 1, U64)
+    np.cumsum(keys * up[: len(keys)], out=s[1:])
     return s
 
 

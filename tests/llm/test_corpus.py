@@ -123,21 +123,63 @@ def removed(rows, least):
     return sorted(out, key=repr)
 
 
+def passages(rows, least):
+    """Words within strings of `least` words that start at two places, and their runs; in the order of removed()."""
+    texts = [(t or "").encode().lower().split() for _, t, _ in rows]
+    where = Counter(tuple(b[i : i + least]) for b in texts for i in range(len(b) - least + 1))
+    out = []
+    for (i, t, _), b in zip(rows, texts):
+        cover = [False] * len(b)
+        for k in range(len(b) - least + 1):
+            if where[tuple(b[k : k + least])] > 1:
+                cover[k : k + least] = [True] * least
+        out.append((i, len((t or "").encode()), sum(cover), sum(c and (k == 0 or not cover[k - 1]) for k, c in enumerate(cover))))
+    return sorted(out, key=repr)
+
+
+def by_both(frame):
+    rows = sorted(map(tuple, frame.collect()), key=repr)
+    return [r[:5] for r in rows], sorted(((r[0], r[1], r[5], r[6]) for r in rows), key=repr)
+
+
 def test_removed_bytes(spark, odd_docs, odd_rows, no_docs):
-    assert sorted(map(tuple, repeats.removed_bytes(odd_docs).collect()), key=repr) == removed(odd_rows, 400)
+    assert by_both(repeats.removed_bytes(odd_docs)) == (removed(odd_rows, 400), passages(odd_rows, 50))
     assert repeats.removed_bytes(no_docs).count() == 0
-    cut = repeats.without_repeats(odd_docs)
+    cut = repeats.without_repeats(odd_docs, repeats.BYTES, repeats.PASSAGES)
     assert cut.columns == odd_docs.columns and cut.where("doc_id = 90").first().n_chars == len(odd_rows[-1][1])
 
 
-@pytest.mark.parametrize("seed, contexts", [(0, 4096), (1, 4096), (2, 3), (3, 0)])
-def test_short_repeats(spark, monkeypatch, seed, contexts):
-    monkeypatch.setattr(repeats, "ARRAY_CONTEXTS", contexts)
+#: Contexts of a gram that an array may hold, neighbours that others are held against, and rows of a run.
+BOUNDS = [(0, 4096, 16, 4096), (1, 3, 16, 8), (2, 0, 1, 4), (3, 0, 3, 9), (4, 0, 2, 4096)]
+
+
+def set_bounds(monkeypatch, contexts, nearby, rows):
+    for name, value in (("ARRAY_CONTEXTS", contexts), ("NEARBY", nearby), ("RUN_ROWS", rows)):
+        monkeypatch.setattr(repeats, name, value)
+
+
+@pytest.mark.parametrize("seed, contexts, nearby, run_rows", BOUNDS)
+def test_passages_of_words(spark, monkeypatch, seed, contexts, nearby, run_rows):
+    """Strings of six words, whatever their case and white space."""
+    set_bounds(monkeypatch, contexts, nearby, run_rows)
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abÉ", k=rng.randint(1, 2)))
+    parts = [[word() for _ in range(rng.randint(4, 14))] for _ in range(5)]
+    join = lambda words: "".join((w.upper() if rng.random() < 0.2 and w.isascii() else w) + rng.choice([" ", "\n", "  "]) for w in words)
+    rows = [(k, join([w for _ in range(rng.randint(0, 6)) for w in (rng.choice(parts) if rng.random() < 0.6 else [word() for _ in range(5)])]), "a") for k in range(25)]
+    rows += [(100, "only here " * 20, "a"), (101, "a " * 40, "a"), (102, "a " * 7 + "z", "a"), (103, rows[3][1], "a"), (None, None, "a")]
+    got = by_both(repeats.removed_bytes(make_docs(spark, rows), repeats.of_bytes(20), repeats.Rule(6, 3, words=True)))
+    assert got == (removed(rows, 20), passages(rows, 6))
+
+
+@pytest.mark.parametrize("seed, contexts, nearby, run_rows", BOUNDS)
+def test_short_repeats(spark, monkeypatch, seed, contexts, nearby, run_rows):
+    set_bounds(monkeypatch, contexts, nearby, run_rows)
     rng = random.Random(seed)
     parts = ["".join(rng.choices("abé", k=rng.randint(5, 60))) for _ in range(5)]
     rows = [(k, "".join(rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choices("abc", k=9)) for _ in range(rng.randint(0, 6))), "a") for k in range(25)]
     rows += [(100, "ab" * 60 + "c" * 50, "a"), (101, "x" + "ab" * 30, "a"), (102, "c" * 20, "a"), (103, "ba" * 9 + "b", "a")]
-    assert sorted(map(tuple, repeats.removed_bytes(make_docs(spark, rows), 20).collect()), key=repr) == removed(rows, 20)
+    assert by_both(repeats.removed_bytes(make_docs(spark, rows), repeats.of_bytes(20)))[0] == removed(rows, 20)
 
 
 @pytest.mark.parametrize("block", [3, 1024])
