@@ -23,8 +23,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without passages of 400 bytes that stand elsewhere too; emptied documents stay as empty ones."""
-    return repeats.without_repeats(docs)
+    """The documents without passages of 50 words or 400 bytes that stand elsewhere too; emptied documents stay as empty ones."""
+    return repeats.without_repeats(docs, repeats.BYTES, repeats.PASSAGES)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
