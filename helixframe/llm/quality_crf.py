@@ -6,7 +6,8 @@ Lines of a training document carry its label. Forward-backward gives each line's
 good; their mean, weighted by the bytes of the lines, is the document's quality, and a logistic curve over
 it, fitted on the same training documents, gives a score from 0 to 1.
 
-Training uses at most ``max_docs`` labelled documents, those least by a hash of their ids; scoring is one pass over all texts.
+Training uses at most ``max_docs`` labelled documents of ``max_bytes`` and ``max_lines`` together, those least by a hash of their ids.
+Scoring is one pass over all texts; long texts go through it in parts of lines, with what a part needs of the one before.
 
 Defined cases: null and empty texts are one empty line and get a score like any other; equal texts get equal scores;
 without labels of both kinds every score is the share of label 1 (0.5 without any); an empty table gives no
@@ -22,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkernels import Words, byte_column, chunks, prefix_sums, window_hash
+from .textkernels import U64, Words, byte_column, chunks, prefix_sums, window_hash
 
-MAX_TRAINING_DOCS = 2000
+#: Bounds of what is learned from.
+MAX_TRAINING_DOCS, MAX_TRAINING_BYTES, MAX_TRAINING_LINES = 2000, 32_000_000, 300_000
+#: Lines whose features are held at a time.
+PART_LINES = 16_384
 THRESHOLD = 0.3
 
 _KIND = np.full(256, 5, np.uint8)  # bytes beyond ASCII
@@ -40,8 +44,18 @@ _KIND[10] = 9
 N_KINDS = 9
 
 
-def line_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of every line, its bytes, and the line range of each text (every text has a line at least)."""
+class _Before(NamedTuple):
+    """What the first text of a chunk needs of its earlier lines, where it is the rest of a document."""
+
+    words: np.ndarray  # hashes of the last two
+    lines: np.ndarray  # hashes of all, sorted
+
+
+_ROOTED = [2, 4, 7, 8, 9, 10, 11, 12, 13]
+
+
+def own_features(data: np.ndarray, off: np.ndarray, before: _Before | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Before]:
+    """Features of every line by itself, its bytes, the line range of each text (every text has a line at least), and what its next lines need."""
     n_docs, n = len(off) - 1, len(data)
     nl = np.flatnonzero(data == 10)
     doc_of_nl = np.searchsorted(off, nl, "right") - 1
@@ -73,30 +87,50 @@ def line_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.nda
         np.cumsum(flags, out=cw[1:])
         return (cw[last_word] - cw[first_word]) / np.maximum(words, 1)
 
-    again = np.zeros(len(h), bool)
-    again[1:] = h[1:] == h[:-1]
-    again2 = np.zeros(len(h), bool)
-    again2[2:] = h[2:] == h[:-2]
+    def repeated(back: int) -> np.ndarray:
+        """Words like that `back` before, in the same document."""
+        out = np.zeros(len(h), bool)
+        out[back:] = h[back:] == h[:-back]
+        for k in range(back):
+            at = w.doc_off[:-1] + k
+            out[at[at < w.doc_off[1:]]] = False
+        held = before.words if before is not None else np.zeros(0, U64)
+        for k in range(min(back, int(w.doc_off[1]) if n_docs else 0)):
+            if len(held) >= back - k:
+                out[k] = h[k] == held[len(held) - back + k]
+        return out
+
     last = kind[w.end - 1] if len(h) else np.zeros(0, np.uint8)
     capital = kind[w.start] == 1 if len(h) else np.zeros(0, bool)
     shout = capital & (kind[np.minimum(w.start + 1, max(n - 1, 0))] == 1) if len(h) else capital
     size = (w.end - w.start).astype(float)
-    cols += [of_words(again), of_words(again2), of_words((last == 4) | (last == 7)), of_words(last == 8), of_words(shout), of_words(capital)]
+    cols += [of_words(repeated(1)), of_words(repeated(2)), of_words((last == 4) | (last == 7)), of_words(last == 8), of_words(shout), of_words(capital)]
     cols += [of_words(size) / 10, of_words(size == 1), of_words(size > 20)]
     lh = window_hash(prefix_sums(w.low), start, end)
     doc = np.repeat(np.arange(n_docs), lines)
     order = np.lexsort((lh, doc))
     same = np.zeros(total, bool)
     same[order[1:]] = (lh[order[1:]] == lh[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
+    seen = before.lines if before is not None else np.zeros(0, U64)
+    if len(seen):
+        mine = lh[: line_off[1]]
+        same[: line_off[1]] |= seen[np.minimum(np.searchsorted(seen, mine), len(seen) - 1)] == mine
     cols += [same & (length > 0), (length == 0).astype(float), np.log1p(length) / 8, np.log1p(words) / 6, (words <= 2).astype(float)]
     x = np.stack([np.asarray(c, float) for c in cols], axis=1)
-    x = np.concatenate((x, np.sqrt(x[:, [2, 4, 7, 8, 9, 10, 11, 12, 13]]), (x[:, [2, 4, 7, 8, 9, 10, 11, 12, 13]] > 0)), axis=1)
+    x = np.concatenate((x, np.sqrt(x[:, _ROOTED]), (x[:, _ROOTED] > 0)), axis=1)
+    held = before.words if before is not None else np.zeros(0, U64)
+    return x, end - start, line_off, _Before(np.concatenate((held, h))[-2:], np.union1d(seen, lh))
+
+
+def line_features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of every line with those of its neighbours, its bytes, and the line range of each text."""
+    x, size, line_off, _ = own_features(data, off)
+    head, tail = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    head[line_off[:-1]], tail[line_off[1:] - 1] = True, True
     before, after = np.zeros_like(x), np.zeros_like(x)
-    inner = ~head
-    before[inner] = x[np.flatnonzero(inner) - 1]
-    inner = ~tail
-    after[inner] = x[np.flatnonzero(inner) + 1]
-    return np.concatenate((x, before, after, head[:, None], tail[:, None]), axis=1), end - start, line_off
+    before[~head] = x[np.flatnonzero(~head) - 1]
+    after[~tail] = x[np.flatnonzero(~tail) + 1]
+    return np.concatenate((x, before, after, head[:, None], tail[:, None]), axis=1), size, line_off
 
 
 class Model(NamedTuple):
@@ -191,11 +225,121 @@ def _logistic(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
+def _parts(data: np.ndarray, off: np.ndarray, most: int):
+    """Ranges of texts with at most `most` lines together, as (data, offsets, whether it goes on from the part before, whether it goes on); a text with more is cut at lines."""
+    nl = np.flatnonzero(data == 10).astype(np.int32 if len(data) < 2**31 else np.int64)
+    lines = np.diff(np.searchsorted(nl, off)) + 1
+    d = 0
+    while d < len(lines):
+        if lines[d] > most:
+            a, b = np.searchsorted(nl, off[d : d + 2])
+            cuts = nl[a + most - 1 : b : most].astype(np.int64)  # newlines that end a part
+            edges = np.concatenate(([off[d] - 1], cuts, [off[d + 1]]))
+            for k, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+                yield data[x + 1 : y], np.array([0, y - x - 1]), k > 0, k < len(edges) - 2
+            d += 1
+        else:
+            e = d + int(np.searchsorted(np.cumsum(lines[d:]), most, "right"))
+            yield data[off[d] : off[e]], off[d : e + 1] - off[d], False, False
+            d = e
+
+
+def line_scores(model: Model, data: np.ndarray, off: np.ndarray, most: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line how much speaks for good, its bytes, and the line range of each text; features of `most` lines are held at a time."""
+    weights = model.weights[:-1] / model.scale
+    bias = model.weights[-1] - float(model.mean @ weights)
+    n = (len(weights) - 2) // 3
+    scores, sizes, lines, before = [], [], [], None
+    pending = 0.0  # what a part's last line gives the next part's first
+    for d, o, goes_on, more in _parts(data, off, most or PART_LINES):
+        x, size, line_off, held = own_features(d, o, before if goes_on else None)
+        before = held if more else None
+        score = x @ weights[:n] + bias
+        to_next, to_last = x @ weights[n : 2 * n], x @ weights[2 * n : 3 * n]
+        head, tail = np.zeros(len(x), bool), np.zeros(len(x), bool)
+        head[line_off[:-1]], tail[line_off[1:] - 1] = True, True
+        score[~head] += to_next[np.flatnonzero(~head) - 1]
+        score[~tail] += to_last[np.flatnonzero(~tail) + 1]
+        if goes_on:
+            scores[-1][-1] += to_last[0]
+            score[0] += pending
+            head[0] = False
+        if more:
+            pending, tail[-1] = float(to_next[-1]), False
+        score += weights[-2] * head + weights[-1] * tail
+        scores.append(score)
+        sizes.append(size.astype(np.int32))
+        counts = np.diff(line_off)
+        if goes_on:
+            lines[-1] += int(counts[0])
+        else:
+            lines += counts.tolist()
+    return np.concatenate(scores), np.concatenate(sizes), np.concatenate(([0], np.cumsum(lines)))
+
+
+def _and(a, b):
+    return np.logaddexp(a, b)
+
+
+def posterior(score: np.ndarray, line_off: np.ndarray, transition: np.ndarray, piece: int = 512) -> np.ndarray:
+    """P(good) of each line by forward-backward, in place of score.
+
+    Documents are cut into pieces of so many lines, and all pieces are stepped through side by side. What a piece does to the
+    odds before and after it is a 2 x 2 matrix; these are chained along each document first, so the cut changes nothing.
+    """
+    t = transition
+    sizes = np.diff(line_off)
+    per_doc = -(-sizes // piece)
+    doc = np.repeat(np.arange(len(sizes)), per_doc)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+    begin = line_off[:-1][doc] + number * piece
+    n = np.minimum(line_off[1:][doc] - begin, piece)
+    order = np.argsort(-n, kind="stable")
+    begin, n, doc, number = begin[order], n[order], doc[order], number[order]
+    active = np.searchsorted(-n, -np.arange(1, (int(n[0]) if len(n) else 0) + 1), "right")
+    a_before = np.full(len(n), np.nan)  # odds of the line before a piece; none at a document's start
+    o_after = np.full(len(n), np.nan)  # odds of the line after it, with what follows; none at its end
+    if len(per_doc) and per_doc.max() > 1:
+        k = np.full((len(n), 2, 2), -np.inf)
+        k[:, 0, 0], k[:, 1, 1] = 0, score[begin]
+        for step, m in enumerate(active[1:], 1):
+            s = score[begin[:m] + step]
+            a, b = k[:m, :, 0].copy(), k[:m, :, 1].copy()
+            k[:m, :, 0] = _and(a + t[0, 0], b + t[1, 0])
+            k[:m, :, 1] = _and(a + t[0, 1], b + t[1, 1]) + s[:, None]
+        chain = np.lexsort((number, doc))
+        chain = chain[per_doc[doc[chain]] > 1]
+        for i, j in zip(chain[:-1].tolist(), chain[1:].tolist()):
+            if doc[i] == doc[j]:
+                v = np.zeros(2) if number[i] == 0 else _and(t[0], t[1] + a_before[i])
+                a_before[j] = np.diff(_and(k[i, 0] + v[0], k[i, 1] + v[1]))[0]
+        for j, i in zip(chain[:-1][::-1].tolist(), chain[1:][::-1].tolist()):
+            if doc[i] == doc[j]:
+                v = np.zeros(2) if np.isnan(o_after[i]) else _and(t[:, 0], t[:, 1] + o_after[i])
+                o_after[j] = np.diff(_and(k[i, :, 0] + v[0], k[i, :, 1] + v[1]))[0]
+    onward = lambda a: _and(t[0, 1], t[1, 1] + a) - _and(t[0, 0], t[1, 0] + a)
+    back = lambda o: _and(t[1, 0], t[1, 1] + o) - _and(t[0, 0], t[0, 1] + o)
+    forward = np.empty(len(score))
+    a = np.where(np.isnan(a_before), 0.0, onward(np.nan_to_num(a_before)))
+    for step, m in enumerate(active):
+        at = begin[:m] + step
+        a = (a[:m] if step == 0 else onward(a[:m])) + score[at]
+        forward[at] = a
+    b = np.where(np.isnan(o_after), 0.0, back(np.nan_to_num(o_after)))
+    for step in range(len(active) - 1, -1, -1):
+        m = active[step]
+        at = begin[:m] + step
+        inner = active[step + 1] if step + 1 < len(active) else 0
+        if inner:
+            b[:inner] = back(score[at[:inner] + 1] + b[:inner])
+        forward[at] += b[:m]
+    np.clip(forward, -700, 700, out=forward)
+    return 1 / (1 + np.exp(-forward))
+
+
 def predict(model: Model, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    x, size, line_off = line_features(data, off)
-    score = ((x - model.mean) / model.scale) @ model.weights[:-1] + model.weights[-1]
-    good, _, _ = _Chains(line_off).marginals(score, model.transition)
-    q = _quality(good, size, line_off)
+    score, size, line_off = line_scores(model, data, off)
+    q = _quality(posterior(score, line_off, model.transition), size, line_off)
     # rounded, so that a text's score doesn't depend on what shares its chunk
     return np.round(1 / (1 + np.exp(-np.clip(model.slope * np.log(q / (1 - q)) + model.intercept, -30, 30))), 9)
 
@@ -205,13 +349,26 @@ def fold(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model | float:
-    """A model of the labelled documents outside fold 0, or the share of label 1 where only one kind exists."""
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS, max_bytes: int = MAX_TRAINING_BYTES, max_lines: int = MAX_TRAINING_LINES) -> Model | float:
+    """A model of labelled documents outside fold 0, or the share of label 1 where only one kind exists.
+
+    Whole documents in the order of a hash of their ids, one row per id, while they fit the bounds.
+    """
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold() != 0)
     chosen = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).collect()
     quality = {r["doc_id"]: int(r["quality"]) for r in chosen}
-    rows = docs.where(F.col("doc_id").isin(list(quality))).select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).collect() if quality else []
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["text"])))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    some = docs.where(F.col("doc_id").isin(list(quality))) if quality else docs.limit(0)
+    # first the sizes, a row per id, to tell which whole texts fit
+    measured = some.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(text).alias("hash"), F.octet_length(text).alias("bytes"), F.regexp_count(text, F.lit("\n")).alias("lines"))).alias("m")).select("doc_id", "m.*")
+    taken, n_bytes, n_lines = {}, 0, 0
+    for r in sorted(measured.collect(), key=lambda r: list(quality).index(r["doc_id"])):
+        if n_bytes + r["bytes"] <= max_bytes and n_lines + r["lines"] < max_lines:
+            taken[r["doc_id"]] = r["hash"]
+            n_bytes, n_lines = n_bytes + r["bytes"], n_lines + r["lines"] + 1
+    picked = some.where(F.col("doc_id").isin(list(taken))).select("doc_id", text.cast("binary").alias("text"), F.xxhash64(text).alias("hash")) if taken else None
+    picked = picked.join(F.broadcast(docs.sparkSession.createDataFrame(list(taken.items()), "doc_id long, hash long")), ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text") if taken else None
+    rows = sorted(picked.collect(), key=lambda r: r["doc_id"]) if taken else []
     y = np.array([quality[r["doc_id"]] for r in rows])
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.5

@@ -36,7 +36,7 @@ def op6_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality_crf.scores(docs, model)
-    return scored.select("doc_id", (quality_crf.fold() == 0).alias("held_out"), "score", (F.col("score") >= quality_crf.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(quality_crf.fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality_crf.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
