@@ -63,10 +63,47 @@ def file_stem(name: Column) -> Column:
     return F.replace(F.replace(F.regexp_replace(name, "^.*/", ""), F.lit(".pdb"), F.lit("")), F.lit(".cif"), F.lit(""))
 
 
+def folder_name(db: Column, collection: Column, slug: Column) -> Column:
+    """Name of a dataset's folder."""
+    return F.concat(db, F.lit("-"), collection, F.lit("--"), slug)
+
+
+def folder_identity(name: Column) -> Column:
+    """struct(db, collection, slug) of a dataset folder's name; nulls for another name."""
+    pattern = f"^({'|'.join(DATABASES)})-({'|'.join(COLLECTIONS)})--(.+)$"
+    return F.struct(*(_match(name, pattern, k).alias(n) for k, n in ((1, "db"), (2, "collection"), (3, "slug"))))
+
+
+def with_folder(path: Column, folder: str) -> Column:
+    return F.concat(F.lit(folder.rstrip("/") + "/"), path)
+
+
+def without_folder(path: Column, folder: str) -> Column:
+    """The path relative to folder; one that isn't in it stays."""
+    head = folder.rstrip("/") + "/"
+    return F.when(path.startswith(head), F.substring(path, len(head) + 1, 1 << 20)).otherwise(path)
+
+
+def lower_ids(c: Column) -> Column:
+    return F.lower(F.trim(c))
+
+
+def cores_of_name(name: Column) -> Column:
+    """Number of cores in the name of a run's file, `run_b_64_x.html` or `run_64_x.html`; null if there is none."""
+    return _match(name, r"(?:_b_|_)(\d+)_", 1).cast("int")
+
+
+def times_in(log: Column, label: str) -> Column:
+    """All seconds that stand after `label:` in a log, as array<double>."""
+    found = F.regexp_extract_all(log, F.lit(label.replace("+", r"\+") + r":\s*([0-9.]+)"), F.lit(1))
+    return F.transform(found, lambda x: x.try_cast("double"))
+
+
 def _match(path: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(path, pattern, group), F.lit(""))
 
 
+# The two layouts of dataset paths and the places of batch numbers in them.
 def dataset_identity(path: Column) -> Column:
     """struct(db, collection, slug) of a dataset path in either layout; nulls if it has neither."""
     db, coll = "|".join(DATABASES), "|".join(COLLECTIONS)
@@ -89,6 +126,7 @@ def batch_of_path(path: Column, index_type: Column) -> Column:
 # --- residue ranges ---------------------------------------------------------------------------
 
 
+# The three messages, which callers compare.
 def range_error(text: Column) -> Column:
     """What is wrong with the first bad range of `a-b;c-d`, or null."""
     parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: p != "")
@@ -136,11 +174,15 @@ def _right(c: Column, width: int) -> Column:
     return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, " "))
 
 
-def pdb_line(record, serial, atom_name, res_name, chain_id, res_seq, icode, x, y, z, occupancy, b_factor, element, charge) -> Column:
-    """A structure line from text columns, in the format's columns; values too wide are cut as the format asks."""
+def pdb_line(record, serial, atom_name, res_name, chain_id, res_seq, icode, x, y, z, occupancy, b_factor, element, charge, last_serial: bool = False) -> Column:
+    """A structure line from text columns, in the format's columns; values too wide are cut as the format asks.
+
+    Of a serial number over 99999 the first five digits stay, or the last five, as in lines made from binary files.
+    """
+    five = F.right(serial, F.lit(5)) if last_serial else F.left(serial, F.lit(5))
     left = lambda c, w: F.when(F.length(c) >= w, c).otherwise(F.rpad(c, w, " "))
     return F.concat(
-        left(record, 6), _right(F.left(serial, F.lit(5)), 5), F.lit(" "), centred(atom_name, 4), F.lit(" "), _right(res_name, 3), F.lit(" "),
+        left(record, 6), _right(five, 5), F.lit(" "), centred(atom_name, 4), F.lit(" "), _right(res_name, 3), F.lit(" "),
         F.right(chain_id, F.lit(1)), _right(F.right(res_seq, F.lit(4)), 4), F.when(icode == "?", F.lit(" ")).otherwise(left(icode, 1)), F.lit("   "),
         *(_right(F.left(c, F.lit(8)), 8) for c in (x, y, z)), *(_right(F.left(c, F.lit(6)), 6) for c in (occupancy, b_factor)),
         F.lit(" " * 10), _right(element, 2), F.when(charge == "?", F.lit("  ")).otherwise(_right(charge, 2)),

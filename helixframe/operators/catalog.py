@@ -5,10 +5,13 @@ An index is a table (dataset_id, index_type, protein_id, path); its reverse is d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import null_text, without_last_token
+from .ordering import numbered
 
 
 def newest_wins(index: DataFrame, key: str = "protein_id", value: str = "path", order: tuple[str, ...] = ("created_at", "dataset_id")) -> DataFrame:
@@ -42,15 +45,49 @@ def reverse_index(index: DataFrame, key: str = "protein_id", value: str = "path"
 
 
 def batches(ids: DataFrame, key: str, size: int, offset: int = 0) -> DataFrame:
-    """ids with a batch number: chunks of `size` in order of key, counted from offset.
+    """ids with a batch number: chunks of `size` in order of key, counted from offset."""
+    return numbered(ids, key, name="_rank").withColumn("batch", F.floor(F.col("_rank") / size) + offset).drop("_rank")
 
-    Ranks come from range partitions and their counts, so no task holds all ids.
-    """
-    parts = ids.repartitionByRange(F.col(key)).withColumn("_p", F.spark_partition_id())
-    parts = parts.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
-    before = parts.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rank = F.col("_before") + F.col("_r") - 1
-    return parts.join(before, "_p").withColumn("batch", F.floor(rank / size) + offset).drop("_p", "_r", "_n", "_before")
+
+def batch_count(names: DataFrame) -> int:
+    """How many folder names (name) are batch numbers."""
+    return names.where(F.col("name").rlike("^[0-9]+$")).count()
+
+
+def of_database(names: DataFrame, db: str, separator: str = "-", column: str = "name") -> DataFrame:
+    """Dataset names of a database."""
+    return names.where(F.col(column).startswith(db + separator))
+
+
+def distinct_files(index: DataFrame) -> DataFrame:
+    return index.select("path").distinct()
+
+
+def missing_to_files(missing: DataFrame, files: DataFrame, key: str = "protein_id") -> tuple[DataFrame, DataFrame]:
+    """The file (path) of each missing key, and the keys that have none, which a caller may take as an error."""
+    held = files.select(key, "path")
+    return missing.select(key).join(held, key), missing.select(key).join(held, key, "left_anti")
+
+
+def grouped_missing(missing_files: DataFrame, key: str = "protein_id") -> DataFrame:
+    """path and the sorted keys to be made from it: the work list of the next stage."""
+    return missing_files.groupBy("path").agg(F.array_sort(F.collect_set(key)).alias(f"{key}s"))
+
+
+class Plan(NamedTuple):
+    """What a stage reuses (key, path), what it must make (key, path of its input), and keys without an input."""
+
+    present: DataFrame
+    work: DataFrame
+    lost: DataFrame
+
+
+def plan(requested: DataFrame, index: DataFrame, inputs: DataFrame, overwrite: bool = False, key: str = "protein_id") -> Plan:
+    """Requested keys against what any dataset has and the inputs of those that none has; overwrite asks for everything anew."""
+    present, missing = present_missing(requested.select(key).distinct(), index, key)
+    if overwrite:
+        present, missing = present.limit(0), requested.select(key).distinct()
+    return Plan(present, *missing_to_files(missing, inputs, key))
 
 
 def applies(index_type: Column, same_embedder: Column, same_carbon: Column, same_input: Column) -> Column:
@@ -79,10 +116,15 @@ def index_stats(index: DataFrame) -> DataFrame:
     return sets.agg(level.alias("level"), F.count("protein_id").alias("proteins"), F.countDistinct("path").alias("files")).select("level", "index_type", "slug", "batch", "proteins", "files")
 
 
-def top_referenced(index: DataFrame, n: int = 50) -> DataFrame:
+def referenced(index: DataFrame, own: str | None = None) -> DataFrame:
+    """slug, files, proteins and is_self of each dataset that an index refers to; is_self is null until the own dataset is known."""
+    is_self = F.lit(None).cast("boolean") if own is None else F.col("slug") == own
+    return index.groupBy("slug").agg(F.countDistinct("path").alias("files"), F.count("protein_id").alias("proteins")).withColumn("is_self", is_self)
+
+
+def top_referenced(index: DataFrame, n: int = 50, own: str | None = None) -> DataFrame:
     """The n datasets with most files, then proteins, then by name."""
-    per = index.groupBy("slug").agg(F.countDistinct("path").alias("files"), F.count("protein_id").alias("proteins"))
-    return per.orderBy(F.desc("files"), F.desc("proteins"), "slug").limit(n)
+    return referenced(index, own).orderBy(F.desc("files"), F.desc("proteins"), "slug").limit(n)
 
 
 def containing(candidates: DataFrame, wanted: DataFrame, key: str = "id") -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 BINS = 100
 
 
@@ -45,6 +47,19 @@ def degenerate(coords: DataFrame) -> DataFrame:
     return coords.groupBy("protein_id").agg(F.count("*").alias("n_res")).where("n_res <= 1")
 
 
+def degenerate_matrices(proteins: DataFrame, coords: DataFrame) -> DataFrame:
+    """protein_id and m of the proteins (protein_id) too short for a distogram: [[0]] without coordinates, [[1]] with one row."""
+    n = proteins.select("protein_id").distinct().join(coords.groupBy("protein_id").agg(F.count("*").alias("n")), "protein_id", "left")
+    only = lambda v: F.array(F.array(F.lit(v).cast("float")))
+    return n.where("n IS NULL OR n <= 1").select("protein_id", F.when(F.col("n").isNull(), only(0)).otherwise(only(1)).alias("m"))
+
+
+def by_max_distance(distances: DataFrame) -> DataFrame:
+    """protein_id, max_d and place (from 0) of each protein in the order of its largest distance, then of its id; those without any are last."""
+    largest = distances.groupBy("protein_id").agg(F.max("d").alias("max_d")).withColumn("_none", F.col("max_d").isNull())
+    return numbered(largest, "_none", "max_d", "protein_id", name="place").drop("_none")
+
+
 def _share(value: str, low: str, high: str, bins: int):
     return F.floor((F.col(value) - F.col(low)) / (F.col(high) - F.col(low)) * bins)
 
@@ -52,8 +67,7 @@ def _share(value: str, low: str, high: str, bins: int):
 def histogram(distances: DataFrame, bins: int = BINS) -> DataFrame:
     """protein_id, bin, n, max_distance over equal bins from least to largest; the last is closed. All equal values fall into bin 0."""
     known = distances.where("d IS NOT NULL")
-    w = Window.partitionBy("protein_id")
-    spread = known.withColumn("lo", F.min("d").over(w)).withColumn("hi", F.max("d").over(w))
+    spread = known.join(known.groupBy("protein_id").agg(F.min("d").alias("lo"), F.max("d").alias("hi")), "protein_id")
     b = F.when(F.col("hi") > F.col("lo"), F.least(_share("d", "lo", "hi", bins), F.lit(bins - 1))).otherwise(0).cast("long")
     return spread.groupBy("protein_id", b.alias("bin")).agg(F.count("*").alias("n"), F.max("hi").alias("max_distance"))
 

@@ -16,26 +16,38 @@ from ..functions.text import is_nucleic, is_residue, pdb_line, substitute
 FIELDS = ("group_PDB", "id", "label_atom_id", "label_comp_id", "auth_asym_id", "label_seq_id", "pdbx_PDB_ins_code", "Cartn_x", "Cartn_y", "Cartn_z", "occupancy", "B_iso_or_equiv", "type_symbol", "pdbx_formal_charge", "pdbx_PDB_model_num")
 
 
+NEEDED = tuple(f for f in FIELDS if f not in ("pdbx_PDB_ins_code", "pdbx_formal_charge", "pdbx_PDB_model_num"))
+
+
 def atom_rows(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM")) -> tuple[DataFrame, DataFrame]:
     """Atoms of the first model as text fields (file, line_no, *FIELDS), and lines (file, line_no, line) of another width."""
-    lines = F.split("text", r"\r?\n")
-    header = F.transform(F.filter(lines, lambda x: x.startswith("_atom_site.")), lambda x: F.substring(F.trim(x), 12, 1000))
-    atoms = files.select("file", header.alias("header"), F.posexplode(lines).alias("line_no", "line")).where(F.col("line").startswith("ATOM") | F.col("line").startswith("HETATM"))
-    cut = atoms.withColumn("f", F.split(F.trim("line"), r"\s+"))
-    good = cut.where(F.size("f") == F.size("header"))
-    place = lambda n: F.get("f", F.array_position("header", F.lit(n)).cast("int") - 1)
-    named = good.select("file", "line_no", *(F.when(F.array_contains("header", n), place(n)).alias(n) for n in FIELDS))
-    first = F.first("pdbx_PDB_model_num").over(Window.partitionBy("file").orderBy("line_no"))
-    named = named.withColumn("_m", first).where(F.col("pdbx_PDB_model_num").eqNullSafe(F.col("_m"))).drop("_m")
-    return named.where(F.col("group_PDB").isin(*rows)), cut.where(F.size("f") != F.size("header")).select("file", "line_no", "line")
-
-
-def chains(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM")) -> DataFrame:
-    """protein_id (file_chain) and pdb_text of every chain of the files (file, text)."""
+    lines = files.select("file", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
+    lines = lines.where(F.col("line").startswith("ATOM") | F.col("line").startswith("HETATM") | F.col("line").startswith("_atom_site."))
+    is_name = F.col("line").startswith("_atom_site.")
+    names = lines.where(is_name).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("line_no", F.substring(F.trim("line"), 12, 1000).alias("name")))).alias("h"))
+    at = lambda n: F.array_position(F.transform("h", lambda x: x["name"]), F.lit(n)).cast("int")
+    # a small row per file: the number of fields, and the place of each
+    heads = names.select("file", F.size("h").alias("width"), F.struct(*(at(n).alias(n) for n in FIELDS)).alias("at"))
+    cut = lines.where(~is_name).withColumn("f", F.split(F.trim("line"), r"\s+")).join(heads, "file", "left")
+    fits = F.size("f") == F.coalesce("width", F.lit(0))
+    named = cut.where(fits).select("file", "line_no", *(F.when(F.col(f"at.{n}") > 0, F.get("f", F.col(f"at.{n}") - 1)).alias(n) for n in FIELDS))
+    first = named.groupBy("file").agg(F.min_by(F.struct("pdbx_PDB_model_num"), "line_no").alias("first"))
+    named = named.join(first, "file").where(F.col("pdbx_PDB_model_num").eqNullSafe(F.col("first.pdbx_PDB_model_num"))).drop("first")
+    return named.where(F.col("group_PDB").isin(*rows)), cut.where(~fits).select("file", "line_no", "line")
+
+
+def chains(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM"), strict: bool = False) -> DataFrame:
+    """protein_id (file_chain) and pdb_text of every chain of the files (file, text).
+
+    strict is for texts from binary files: rows with a residue number that is no integer, or with any field missing, go,
+    and of long serial numbers the last digits stay.
+    """
     atoms, _ = atom_rows(files, rows)
+    if strict:
+        atoms = atoms.where(F.col("label_seq_id").try_cast("int").isNotNull()).dropna(subset=list(NEEDED))
     atoms = atoms.withColumn("res", substitute(F.col("label_comp_id"))).withColumn("fine", ~is_nucleic(F.col("res")) & is_residue(F.col("res")))
     name = F.translate("label_atom_id", "'\"", "")
-    line = pdb_line(F.col("group_PDB"), F.col("id"), name, F.col("res"), F.col("auth_asym_id"), F.col("label_seq_id"), F.col("pdbx_PDB_ins_code"), F.col("Cartn_x"), F.col("Cartn_y"), F.col("Cartn_z"), F.col("occupancy"), F.col("B_iso_or_equiv"), F.col("type_symbol"), F.coalesce("pdbx_formal_charge", F.lit("?")))
+    line = pdb_line(F.col("group_PDB"), F.col("id"), name, F.col("res"), F.col("auth_asym_id"), F.col("label_seq_id"), F.col("pdbx_PDB_ins_code"), F.col("Cartn_x"), F.col("Cartn_y"), F.col("Cartn_z"), F.col("occupancy"), F.col("B_iso_or_equiv"), F.col("type_symbol"), F.coalesce("pdbx_formal_charge", F.lit("?")), strict)
     one = F.max_by(F.struct("line_no", line.alias("line")), F.struct(F.col("occupancy").try_cast("double"), -F.col("line_no")))
     chain = F.concat_ws("_", "file", "auth_asym_id").alias("protein_id")
     kept = atoms.where("fine").groupBy(chain, "label_seq_id", name.alias("atom_name")).agg(one.alias("one"), F.min("line_no").alias("atom_first"))

@@ -22,6 +22,12 @@ def residues(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) ->
     return rows.groupBy("protein_id", "res_seq").agg(F.min_by("res_name", "line_no").alias("res_name"), F.max_by(F.struct("x", "y", "z"), place).alias("xyz"))
 
 
+def last_atoms(atoms: DataFrame, name: str) -> DataFrame:
+    """protein_id, res_seq, line_no, x, y, z of the last atom of a name in each residue."""
+    one = F.max_by(F.struct("line_no", "x", "y", "z"), "line_no")
+    return atoms.where(F.col("atom_name") == name).groupBy("protein_id", "res_seq").agg(one.alias("one")).select("protein_id", "res_seq", "one.*")
+
+
 def _ordered(rows: DataFrame, value: Column) -> DataFrame:
     return rows.groupBy("protein_id").agg(F.array_sort(F.collect_list(F.struct(F.col("res_seq").alias("r"), value.alias("v")))).alias("a"))
 

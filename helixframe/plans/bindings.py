@@ -75,10 +75,15 @@ def range_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("line_no"), F.concat(base, F.lit("__"), part, F.lit(","), text).alias("line"))
 
 
+def dealt(rows: DataFrame, key: str, each: int) -> Column:
+    """A file number for each row by its key, so that a file has `each` rows on average, whatever the size."""
+    return F.pmod(F.xxhash64(key), F.lit(max(1, rows.count() // each)))
+
+
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as FASTA records over several lines: file, line_no, line."""
     d = table(spark, sf_dir, "documents")
     letters = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z\n]", ""))
     body = F.filter(F.split(letters, "\n"), lambda x: x != "")
     lines = F.concat(F.array(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" "), F.coalesce("lang", F.lit("")))), body)
-    return d.select((F.col("doc_id") % 64).alias("file"), "doc_id", F.posexplode(lines).alias("pos", "line")).select("file", (F.col("doc_id") * 1_000_000 + F.col("pos")).alias("line_no"), "line")
+    return d.select(dealt(d, "doc_id", 100).alias("file"), "doc_id", F.posexplode(lines).alias("pos", "line")).select("file", F.struct("doc_id", "pos").alias("line_no"), "line")

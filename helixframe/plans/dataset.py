@@ -1,20 +1,29 @@
 """Datasets end to end: which ids exist, what is missing, and the stages from structures to embeddings.
 
-A dataset is described by a row; its tables lie under one root as Parquet, a folder per dataset. Stages reuse what
-any compatible dataset has and compute only the rest.
+Under one root lie the tables `datasets` (descriptors), `indexes` (what each dataset has: protein_id, path), `structures`,
+`sequences`, `coordinates`, `distograms` and `embeddings` (a folder per dataset and batch), `missing_ids` and `errors`. A stage asks the
+indexes of all compatible datasets what exists, the newest first, makes only the rest, and writes the dataset's own index,
+which refers to files of other datasets for what was reused.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.refdata import COLLECTIONS, DATABASES
+from ..functions.text import double_last_underscore, lower_ids, without_last_token
 from ..operators import catalog, distograms, embeddings, mmcif, residues
-from ..sources import readers
+from ..sources import bcif, fetch, readers
+from .log import dataset_logger
+
+#: The model of the embedding stage where none is named.
+DEFAULT_EMBEDDER = "esm2_t33_650M_UR50D"
 
 
 class FatalDatasetError(Exception):
@@ -28,10 +37,13 @@ class Spec:
     proteome: str = ""
     version: str = field(default_factory=lambda: time.strftime("%Y%m%d_%H%M"))
     input_path: str = ""
+    #: Name of a store registered with sources.fetch; files of input_path are read where there is none.
+    store: str = ""
     ids_file: str | None = None
     carbon: str = "CA"
     embedder_type: str | None = None
     overwrite: bool = False
+    batch_size: int = 1000
     created_at: str = field(default_factory=lambda: str(int(time.time() * 1e6)))
 
     def __post_init__(self):
@@ -44,88 +56,297 @@ class Spec:
     def dataset_id(self) -> str:
         return "-".join((self.db_type, self.collection_type, self.proteome, self.version))
 
+    def folder(self, kind: str, batch: int | None = None) -> str:
+        """Where a stage's files of this dataset lie, relative to the root."""
+        return f"{kind}/dataset_id={self.dataset_id}" + ("" if batch is None else f"/batch={batch}")
+
+
+# --- ids --------------------------------------------------------------------------------------
+
+IdSource = Callable[[SparkSession, Spec], DataFrame]
+_id_sources: dict[tuple[str, str], IdSource] = {}
+
+
+def register_ids(db_type: str, collection_type: str, source: IdSource) -> None:
+    """source gives the protein_id of a whole collection; it is what a server's list would give."""
+    _id_sources[db_type, collection_type] = source
+
+
+def _all_entries(spark: SparkSession, spec: Spec) -> DataFrame:
+    """Entries that hold protein, of a local entry-type file."""
+    if not spec.ids_file:
+        raise NotImplementedError(f"listing all entries of {spec.db_type} needs a file of entries and types, or register_ids")
+    return readers.entry_types(spark, spec.ids_file)
+
+
+def _listed(spark: SparkSession, spec: Spec) -> DataFrame:
+    if not spec.ids_file:
+        raise NotImplementedError(f"{spec.db_type} {spec.collection_type} needs a file of ids, or register_ids")
+    return readers.id_list(spark, spec.ids_file).select(F.trim("protein_id").alias("protein_id")).where("protein_id <> ''")
+
 
 def requested_ids(spark: SparkSession, spec: Spec) -> DataFrame:
     """protein_id and ranges (null for none) of the ids that a dataset asks for."""
     none = F.lit(None).cast("array<struct<s:int,e:int>>").alias("ranges")
-    if spec.ids_file is None:
-        raise NotImplementedError(f"listing all ids of {spec.db_type} needs its server")
+    source = _id_sources.get((spec.db_type, spec.collection_type))
+    if source is None and spec.collection_type != "subset":
+        source = _all_entries if (spec.db_type, spec.collection_type) == ("PDB", "all") else _listed
+    if source is not None:
+        return source(spark, spec).select("protein_id", none)
     if not spec.ids_file.endswith(".csv"):
-        return readers.id_list(spark, spec.ids_file).select("protein_id", none)
+        ids = readers.id_list(spark, spec.ids_file)
+        return (ids.select(lower_ids(F.col("protein_id")).alias("protein_id")) if spec.db_type == "PDB" and spec.collection_type == "all" else ids).select("protein_id", none)
     if readers.has_ranges(spark, spec.ids_file):
         return readers.range_file(spark, spec.ids_file)[0].select(F.col("full_id").alias("protein_id"), "ranges")
     return readers.simple_csv(spark, spec.ids_file).select("protein_id", none)
 
 
-def save(df: DataFrame, root: str, name: str, spec: Spec) -> DataFrame:
-    path = f"{root}/{name}"
-    readers.write_structures(df.withColumn("dataset_id", F.lit(spec.dataset_id)), path)
-    return df.sparkSession.read.parquet(path).where(F.col("dataset_id") == spec.dataset_id).drop("dataset_id")
+# --- tables -----------------------------------------------------------------------------------
+
+DATASETS = "id string, " + ", ".join(f"{f.name} {'boolean' if f.name == 'overwrite' else 'int' if f.name == 'batch_size' else 'string'}" for f in fields(Spec))
+INDEXES = "protein_id string, path string, batch int, dataset_id string, index_type string"
+
+
+def _write(df: DataFrame, path: str, *by: str) -> None:
+    """A rerun replaces only the partitions that it writes."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+
+
+def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A table that may not be there yet; then empty, where its schema is told."""
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if schema is None or "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def datasets(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, f"{root}/datasets", f"{DATASETS}, dataset_id string")
+
+
+def indexes(spark: SparkSession, root: str) -> DataFrame:
+    """Every dataset's indexes: protein_id, path, batch, dataset_id, index_type."""
+    return _read(spark, f"{root}/indexes", INDEXES)
 
 
 def describe(spark: SparkSession, root: str, spec: Spec) -> None:
-    row = {k: v for k, v in asdict(spec).items() if k != "version"} | {"version": spec.version, "id": spec.dataset_id}
-    schema = "id string, db_type string, collection_type string, proteome string, version string, input_path string, ids_file string, carbon string, embedder_type string, overwrite boolean, created_at string"
-    df = spark.createDataFrame([tuple(row[f.split()[0]] for f in schema.split(", "))], schema)
-    readers.write_structures(df.withColumn("dataset_id", F.col("id")), f"{root}/datasets")
+    row = asdict(spec) | {"id": spec.dataset_id}
+    df = spark.createDataFrame([tuple(row[f.split()[0]] for f in DATASETS.split(", "))], DATASETS)
+    _write(df.withColumn("dataset_id", F.col("id")), f"{root}/datasets", "dataset_id")
+
+
+def load(spark: SparkSession, root: str, dataset_id: str) -> Spec:
+    """The descriptor of a dataset under root."""
+    row = datasets(spark, root).where(F.col("id") == dataset_id).first()
+    if row is None:
+        raise FatalDatasetError(f"no dataset {dataset_id} under {root}")
+    return Spec(**{f.name: row[f.name] for f in fields(Spec)})
+
+
+def searched(spark: SparkSession, root: str, spec: Spec, index_type: str) -> DataFrame:
+    """protein_id and path that any compatible dataset of the same database has, the newest dataset's first."""
+    same = lambda name: catalog.alike(F.col(name), F.lit(getattr(spec, name)).cast("string"))
+    fit = catalog.of_database(datasets(spark, root), spec.db_type, column="id").where(catalog.applies(F.lit(index_type), same("embedder_type"), same("carbon"), same("input_path")))
+    held = indexes(spark, root).where(F.col("index_type") == index_type).join(fit.select("dataset_id", F.col("created_at").cast("long").alias("created_at")), "dataset_id")
+    return catalog.newest_wins(held)
+
+
+def own(spark: SparkSession, root: str, spec: Spec, index_type: str) -> DataFrame:
+    """protein_id and path in the dataset's own index."""
+    return indexes(spark, root).where((F.col("dataset_id") == spec.dataset_id) & (F.col("index_type") == index_type)).select("protein_id", "path")
+
+
+def write_index(root: str, spec: Spec, index_type: str, present: DataFrame, made: DataFrame) -> None:
+    """The dataset's index of a type: what it reuses and what it made, which counts where both have an id."""
+    both = catalog.merge_right(present, made)
+    batch = F.regexp_extract("path", r"/batch=(\d+)$", 1).try_cast("int")
+    _write(both.withColumns({"batch": batch, "dataset_id": F.lit(spec.dataset_id), "index_type": F.lit(index_type)}), f"{root}/indexes", "dataset_id", "index_type")
+
 
+def _save(df: DataFrame, root: str, kind: str, spec: Spec, batches: DataFrame) -> DataFrame:
+    """Rows of a stage as Parquet, a folder per batch of ids; gives the ids made and their paths."""
+    _write(df.join(batches, "protein_id").withColumn("dataset_id", F.lit(spec.dataset_id)), f"{root}/{kind}", "dataset_id", "batch")
+    mine = df.sparkSession.read.parquet(f"{root}/{kind}").where(F.col("dataset_id") == spec.dataset_id)
+    path = F.concat(F.lit(spec.folder(kind) + "/batch="), F.col("batch").cast("string"))
+    return mine.join(batches, ["protein_id", "batch"], "left_semi").select("protein_id", path.alias("path")).distinct()
 
-def structures(spark: SparkSession, spec: Spec) -> DataFrame:
-    """protein_id and pdb_text of the chains in the input folder or archive."""
+
+def stored(spark: SparkSession, root: str, kind: str, work: DataFrame) -> DataFrame:
+    """Rows of a stage's table for the ids of work (protein_id, path); only the folders that are named are read."""
+    at = work.select("protein_id", F.regexp_extract("path", "dataset_id=([^/]+)", 1).alias("dataset_id"), F.regexp_extract("path", r"batch=(\d+)", 1).cast("int").alias("batch"))
+    return spark.read.parquet(f"{root}/{kind}").join(at, ["dataset_id", "batch", "protein_id"], "left_semi").drop("dataset_id", "batch")
+
+
+def report_errors(root: str, spec: Spec, stage: str, errors: DataFrame) -> None:
+    """protein_id and error of what a stage left out."""
+    _write(errors.select("protein_id", "error").withColumns({"dataset_id": F.lit(spec.dataset_id), "stage": F.lit(stage)}), f"{root}/errors", "dataset_id", "stage")
+
+
+def staged(df: DataFrame, root: str, spec: Spec, name: str) -> DataFrame:
+    """df written below root and read back: what several steps use is computed once, and no plan grows with the steps before it."""
+    path = f"{root}/_work/{spec.dataset_id}/{name}"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- structures -------------------------------------------------------------------------------
+
+
+def _parsed(files: DataFrame) -> DataFrame:
+    """protein_id and pdb_text of files (stem, kind, content)."""
+    kinds = {r[0] for r in files.select("kind").distinct().collect()}  # three at most
+    text = lambda kind: files.where(F.col("kind") == kind).select(F.col("stem").alias("file"), F.col("content").cast("string").alias("text"))
+    out = text("pdb").select(F.col("file").alias("protein_id"), F.col("text").alias("pdb_text"))
+    if "cif" in kinds:
+        out = out.unionByName(mmcif.chains(text("cif")))
+    if "bcif" in kinds:
+        binary = bcif.to_cif(files.where("kind = 'bcif'").select(F.col("stem").alias("file"), "content"))
+        out = out.unionByName(mmcif.chains(binary.where("text IS NOT NULL"), strict=True))
+    return out
+
+
+def _serving(stems: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """stems (stem) of files that can hold any of the ids: the id's own, its code's, or a chain of it."""
+    if ids is None:
+        return stems
+    asked = ids.select(F.explode(F.array(F.col("protein_id"), without_last_token(F.col("protein_id")))).alias("k")).distinct()
+    keys = stems.select("stem", F.explode(F.array_distinct(F.array(F.col("stem"), without_last_token(F.col("stem"))))).alias("k"))
+    return keys.join(asked, "k", "left_semi").select("stem").distinct()
+
+
+def structures(spark: SparkSession, spec: Spec, wanted: DataFrame | None = None, root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """protein_id and pdb_text of the chains in the input, and what couldn't be had (protein_id, error).
+
+    wanted (protein_id): ids to fetch, or whose files alone are read. What is fetched or unpacked is kept below root, where one is given.
+    """
+    keep = lambda df, name: df if root is None else staged(df, root, spec, name)
+    none = spark.createDataFrame([], "protein_id string, error string")
+    if spec.store:
+        store = fetch.store_of(spec.store)
+        if wanted is None:
+            raise FatalDatasetError("a store is asked for ids")
+        codes = wanted.select(without_last_token(F.col("protein_id")).alias("protein_id")).distinct()
+        got, lost = fetch.fetched_missing(keep(fetch.fetch(codes, store), "fetched"))
+        return _parsed(got.select(F.col("protein_id").alias("stem"), F.lit(store.kind).alias("kind"), "content")), lost
     if spec.input_path.endswith((".zip", ".tar", ".tar.gz", ".tgz")):
-        files = readers.archives(spark, spec.input_path).select("stem", "kind", "text")
-    else:
-        files = readers.structure_files(spark, spec.input_path)
-    parsed = mmcif.chains(files.where("kind = 'cif'").select(F.col("stem").alias("file"), "text"))
-    return parsed.unionByName(files.where("kind = 'pdb'").select(F.col("stem").alias("protein_id"), F.col("text").alias("pdb_text")))
+        return _parsed(keep(readers.archives(spark, spec.input_path, lambda stems: _serving(stems, wanted)).select("stem", "kind", "content"), "unpacked")), none
+    texts = readers.structure_files(spark, spec.input_path).select("stem", "kind", F.col("text").cast("binary").alias("content"))
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.bcif").option("recursiveFileLookup", "true").load(spec.input_path)
+    files = texts.unionByName(found.select(F.regexp_extract("path", r"([^/]+)\.bcif$", 1).alias("stem"), F.lit("bcif").alias("kind"), "content"))
+    if wanted is not None:
+        files = files.join(keep(_serving(files.select("stem").distinct(), wanted), "stems"), "stem", "left_semi")
+    return _parsed(files), none
 
 
 def with_ranges(found: DataFrame, asked: DataFrame) -> DataFrame:
     """Ranges of each structure: those of its id, else of the id with its last underscore doubled, else of its base id."""
-    from ..functions.text import double_last_underscore, without_last_token
-
     r = asked.where("ranges IS NOT NULL").select(F.col("protein_id").alias("asked"), "ranges").dropDuplicates(["asked"])
     keys = found.select("protein_id", F.posexplode(F.array("protein_id", double_last_underscore(F.col("protein_id")), without_last_token(F.col("protein_id")))).alias("p", "asked"))
     best = keys.join(r, "asked").groupBy("protein_id").agg(F.min_by("ranges", "p").alias("ranges"))
     return found.join(best, "protein_id", "left")
 
 
+# --- stages -----------------------------------------------------------------------------------
+
+
+def _batched(ids: DataFrame, root: str, spec: Spec, *kinds: str) -> DataFrame:
+    """protein_id and batch of ids, after the batches that the dataset has of any of these kinds."""
+    spark = ids.sparkSession
+    last = [-1]
+    for kind in kinds:
+        have = _read(spark, f"{root}/{kind}", "protein_id string, dataset_id string, batch int").where(F.col("dataset_id") == spec.dataset_id)
+        last.append(have.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0])
+    return catalog.batches(ids.select("protein_id").distinct(), "protein_id", spec.batch_size, max(last) + 1).select("protein_id", F.col("batch").cast("int").alias("batch"))
+
+
+def structures_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame) -> None:
+    """Reuse structures of any compatible dataset, get the others, and write the index, the missing ids and the descriptor."""
+    known = searched(spark, root, spec, "dataset")
+    match = catalog.expand_prefixes if spec.db_type == "PDB" else lambda a, i: a.select(F.col("protein_id").alias("asked"), "protein_id").distinct().join(i, "protein_id").select("asked", "protein_id", "path")
+    held = staged(match(asked, known).limit(0) if spec.overwrite else match(asked, known), root, spec, "held")
+    missing = staged(asked.select("protein_id").distinct().join(held.select(F.col("asked").alias("protein_id")), "protein_id", "left_anti"), root, spec, "missing")
+    got, lost = structures(spark, spec, missing, root)
+    got = staged(got, root, spec, "parsed")
+    matched = staged(match(missing, got.select("protein_id", F.lit("").alias("path"))).select("asked", "protein_id").distinct(), root, spec, "matched")
+    new = matched.select("protein_id").distinct()
+    made = _save(got, root, "structures", spec, staged(_batched(new, root, spec, "structures"), root, spec, "batches"))
+    write_index(root, spec, "dataset", held.select("protein_id", "path").distinct(), made)
+    index = own(spark, root, spec, "dataset")
+    unresolved = missing.join(matched.select(F.col("asked").alias("protein_id")), "protein_id", "left_anti")
+    unresolved.withColumn("dataset_id", F.lit(spec.dataset_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset_id").text(f"{root}/missing_ids")
+    report_errors(root, spec, "dataset", lost)
+    if index.isEmpty():
+        raise FatalDatasetError("none of the ids has a structure")
+    if spec.db_type == "other" and spec.collection_type == "subset" and not unresolved.isEmpty():
+        raise FatalDatasetError("ids of a subset of another database have no structure")
+    describe(spark, root, spec)
+
+
+def sequences_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame) -> None:
+    """Sequences and coordinates of the dataset's structures; what lacks either is made from its structure."""
+    structure_index = own(spark, root, spec, "dataset")
+    plans = {k: catalog.plan(structure_index, searched(spark, root, spec, k), structure_index, spec.overwrite) for k in ("sequences", "coordinates")}
+    work = staged(plans["sequences"].work.unionByName(plans["coordinates"].work).distinct(), root, spec, "sequence_work")
+    texts = stored(spark, root, "structures", work)
+    atoms = with_ranges(mmcif.atoms_of_text(texts), asked)
+    batches = staged(_batched(work, root, spec, "sequences", "coordinates"), root, spec, "batches")
+    fine = atoms.where("res_seq IS NOT NULL")
+    made = _save(residues.sequences(fine, spec.carbon, "ranges"), root, "sequences", spec, batches)
+    placed = _save(residues.coordinates(fine, spec.carbon, "ranges"), root, "coordinates", spec, batches)
+    write_index(root, spec, "sequences", plans["sequences"].present, made)
+    write_index(root, spec, "coordinates", plans["coordinates"].present, placed)
+    read = atoms.groupBy("protein_id").agg(F.count("*").alias("n"), F.count_if(F.col("res_seq").isNull()).alias("bad"))
+    why = F.when(F.col("n").isNull(), "no atoms").when(F.col("bad") > 0, F.concat(F.lit("residue number unreadable in lines: "), F.col("bad").cast("string"))).otherwise("no residue in the ranges")
+    failed = work.select("protein_id").join(read, "protein_id", "left").join(made, "protein_id", "left").where("path IS NULL OR bad > 0")
+    report_errors(root, spec, "sequences", failed.select("protein_id", why.alias("error")))
+
+
+def distograms_stage(spark: SparkSession, root: str, spec: Spec) -> None:
+    """Distograms of the dataset's structures, from the coordinate files of each; chains too short for one are reported."""
+    ids, coordinate_index = own(spark, root, spec, "dataset"), own(spark, root, spec, "coordinates")
+    plan = catalog.plan(ids, searched(spark, root, spec, "distograms"), coordinate_index, spec.overwrite)
+    work = staged(plan.work, root, spec, "distogram_work")
+    coords = stored(spark, root, "coordinates", work)
+    made = _save(distograms.distogram(coords), root, "distograms", spec, staged(_batched(work, root, spec, "distograms"), root, spec, "batches"))
+    write_index(root, spec, "distograms", plan.present, made)
+    short = distograms.degenerate_matrices(work, coords).select("protein_id", F.lit("too short").alias("error"))
+    report_errors(root, spec, "distograms", plan.lost.select("protein_id", F.lit("no coordinates").alias("error")).unionByName(short))
+
+
+def embeddings_stage(spark: SparkSession, root: str, spec: Spec) -> None:
+    """Embeddings of the dataset's sequences by the model that the descriptor names."""
+    ids, sequence_index = own(spark, root, spec, "dataset"), own(spark, root, spec, "sequences")
+    plan = catalog.plan(ids, searched(spark, root, spec, "embeddings"), sequence_index, spec.overwrite)
+    work = staged(plan.work, root, spec, "embedding_work")
+    found = embeddings.embeddings(stored(spark, root, "sequences", work), embeddings.factory_of(spec.embedder_type or DEFAULT_EMBEDDER))
+    made = _save(found, root, "embeddings", spec, staged(_batched(work, root, spec, "embeddings"), root, spec, "batches"))
+    write_index(root, spec, "embeddings", plan.present, made)
+    report_errors(root, spec, "embeddings", plan.lost.select("protein_id", F.lit("no sequence").alias("error")))
+
+
 def build(spark: SparkSession, root: str, spec: Spec) -> dict[str, str]:
     """All stages of a dataset; returns the state of each. A stage that fails is reported and the next still runs; only FatalDatasetError ends it."""
     state: dict[str, str] = {}
+    log = dataset_logger(root, spec.dataset_id)
 
     def stage(name: str, f) -> None:
         try:
             f()
             state[name] = "done"
-        except FatalDatasetError:
+            log.info("%s: done", name)
+        except FatalDatasetError as e:
+            log.error("%s: %s", name, e)
             raise
         except Exception as e:  # reported by stage, as the caller asked
             state[name] = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+            log.error("%s: %s", name, state[name])
 
-    asked = requested_ids(spark, spec)
-
-    def dataset() -> None:
-        got = structures(spark, spec)
-        index = got.select("protein_id", F.lit(spec.dataset_id).alias("path"))
-        names = catalog.expand_prefixes(asked, index) if spec.db_type == "PDB" else asked.join(index, "protein_id")
-        kept = save(got.join(names.select("protein_id").distinct(), "protein_id", "left_semi"), root, "structures", spec)
-        if kept.isEmpty():
-            raise FatalDatasetError("none of the ids has a structure")
-        describe(spark, root, spec)
-
-    def sequences() -> None:
-        atoms = with_ranges(mmcif.atoms_of_text(_table(spark, root, "structures", spec)), asked)
-        save(residues.sequences(atoms, spec.carbon, "ranges"), root, "sequences", spec)
-        save(residues.coordinates(atoms, spec.carbon, "ranges"), root, "coordinates", spec)
-
-    stage("dataset", dataset)
-    stage("sequences", sequences)
-    stage("distograms", lambda: save(distograms.distogram(_table(spark, root, "coordinates", spec)), root, "distograms", spec))
+    asked = staged(requested_ids(spark, spec), root, spec, "asked")
+    stage("dataset", lambda: structures_stage(spark, root, spec, asked))
+    stage("sequences", lambda: sequences_stage(spark, root, spec, asked))
+    stage("distograms", lambda: distograms_stage(spark, root, spec))
     if spec.embedder_type:
-        stage("embeddings", lambda: save(embeddings.embeddings(_table(spark, root, "sequences", spec), embeddings.factory_of(spec.embedder_type)), root, "embeddings", spec))
+        stage("embeddings", lambda: embeddings_stage(spark, root, spec))
     return state
-
-
-def _table(spark: SparkSession, root: str, name: str, spec: Spec) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").where(F.col("dataset_id") == spec.dataset_id).drop("dataset_id")

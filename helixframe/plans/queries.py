@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..functions.refdata import LETTERS, SUBSTITUTIONS
-from ..operators import catalog, distograms, embeddings, mmcif, quality, residues, studies
+from ..operators import catalog, distograms, embeddings, mmcif, ordering, quality, residues, studies
 from ..sources import readers
 from ..streaming import incremental
 from . import bindings as b
@@ -58,9 +58,8 @@ def gap_filled_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_ATOMS} SELECT protein_id, res_seq::BIGINT AS res_seq, arg_max(line_no, line_no) AS line_no, round(arg_max(x, line_no), 4) AS x, round(arg_max(y, line_no), 4) AS y FROM atoms WHERE atom_name = 'CB' GROUP BY ALL")
 def carbon_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    only = b.atoms(spark, sf_dir).where("atom_name = 'CB'")
-    last = only.groupBy("protein_id", F.col("res_seq").cast("long").alias("res_seq")).agg(F.max_by(F.struct("line_no", "x", "y"), "line_no").alias("v"))
-    return last.select("protein_id", "res_seq", F.col("v.line_no").cast("long").alias("line_no"), F.round("v.x", 4).alias("x"), F.round("v.y", 4).alias("y"))
+    picked = residues.last_atoms(b.atoms(spark, sf_dir), "CB")
+    return _rounded(picked, "x", "y").select("protein_id", F.col("res_seq").cast("long").alias("res_seq"), F.col("line_no").cast("long").alias("line_no"), "x", "y")
 
 
 @query(f"""WITH {_ATOMS}, o AS (SELECT *, row_number() OVER (PARTITION BY protein_id, res_seq, atom_name ORDER BY occupancy DESC, line_no) AS k, min(line_no) OVER (PARTITION BY protein_id, res_seq, atom_name) AS f FROM atoms)
@@ -145,6 +144,23 @@ def distogram_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"WITH {_PAIRS}, m AS (SELECT protein_id, max(d) AS max_d FROM pairs GROUP BY 1) SELECT protein_id, round(max_d, 4) AS max_d, (row_number() OVER (ORDER BY max_d NULLS LAST, protein_id) - 1)::BIGINT AS place FROM m")
+def distance_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(distograms.by_max_distance(distograms.distogram(_coords(spark, sf_dir))), "max_d").withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"WITH {_PAIRS} SELECT protein_id, i::BIGINT AS i, j::BIGINT AS j FROM pairs WHERE protein_id IN (SELECT DISTINCT protein_id FROM pairs ORDER BY 1 LIMIT 50)")
+def first_distograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ordering.first_keys(distograms.distogram(_coords(spark, sf_dir)), "protein_id", 50)
+    return rows.select("protein_id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"))
+
+
+@query(f"WITH {_COORDS}, n AS (SELECT protein_id, count(*) AS n FROM coords GROUP BY 1) SELECT concat(o_orderkey, '_A') AS protein_id, CASE WHEN n IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS value FROM (SELECT DISTINCT o_orderkey FROM orders) LEFT JOIN n ON protein_id = concat(o_orderkey, '_A') WHERE n IS NULL OR n <= 1")
+def degenerate_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = b.table(spark, sf_dir, "orders").select(F.concat(F.col("o_orderkey").cast("string"), F.lit("_A")).alias("protein_id"))
+    return distograms.degenerate_matrices(ids, _coords(spark, sf_dir)).select("protein_id", F.get(F.get("m", F.lit(0)), F.lit(0)).cast("double").alias("value"))
+
+
 @query(f"WITH {_COORDS} SELECT protein_id, count(*) AS n_res FROM coords GROUP BY protein_id HAVING count(*) <= 1")
 def distogram_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distograms.degenerate(_coords(spark, sf_dir))
@@ -240,26 +256,84 @@ def index_stats_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.index_stats(rows)
 
 
-@query("SELECT concat('run_', l_suppkey) AS slug, count(DISTINCT l_partkey) AS files, count(*) AS proteins FROM lineitem GROUP BY 1 ORDER BY files DESC, proteins DESC, slug LIMIT 50")
+@query("SELECT concat('run_', l_suppkey) AS slug, count(DISTINCT l_partkey) AS files, count(*) AS proteins, l_suppkey = 7 AS is_self FROM lineitem GROUP BY l_suppkey ORDER BY files DESC, proteins DESC, slug LIMIT 50")
 def top50_referenced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = b.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("run_"), F.col("l_suppkey").cast("string")).alias("slug"), F.col("l_partkey").alias("path"), F.col("l_orderkey").alias("protein_id"))
-    return catalog.top_referenced(rows)
+    return catalog.top_referenced(rows, own="run_7")
 
 
-_IDS = "ids AS (SELECT concat('AF-', o_custkey, '-', o_orderkey) AS id FROM orders), wanted AS (SELECT DISTINCT concat('-', c_custkey, '-') AS w FROM customer WHERE c_custkey % 7 = 0)"
+_IDS = "ids AS (SELECT concat('AF-', o_custkey, '-', o_orderkey) AS id FROM orders), wanted AS (SELECT concat('-', s_suppkey, '-') AS w FROM supplier)"
 
 
 @query(f"WITH {_IDS} SELECT id FROM ids WHERE EXISTS (SELECT 1 FROM wanted WHERE contains(id, w))")
 def substring_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = b.table(spark, sf_dir, "orders").select(F.concat_ws("-", F.lit("AF"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")).alias("id"))
-    wanted = b.table(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("-"), F.col("c_custkey").cast("string"), F.lit("-")).alias("id"))
+    wanted = b.table(spark, sf_dir, "supplier").select(F.concat(F.lit("-"), F.col("s_suppkey").cast("string"), F.lit("-")).alias("id"))
     return catalog.containing(ids, wanted)
 
 
 @query("SELECT o_orderkey AS protein_id FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))")
 def type_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = b.table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    return b.table(spark, sf_dir, "orders").join(kinds, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.col("o_orderkey").alias("protein_id"))
+    lines = b.table(spark, sf_dir, "customer").select(F.concat_ws(" ", F.col("c_custkey").cast("string"), "c_mktsegment").alias("value"))
+    kinds = readers.of_entry_types(lines, ("BUILDING", "MACHINERY")).select(F.col("protein_id").cast("long").alias("o_custkey"))
+    return b.table(spark, sf_dir, "orders").join(kinds, "o_custkey", "left_semi").select(F.col("o_orderkey").alias("protein_id"))
+
+
+# --- what a stage reuses and makes ------------------------------------------------------------
+
+_REUSE = """have AS (SELECT l_orderkey AS k, min(l_partkey) AS path FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1), src AS (SELECT l_orderkey AS k, min(l_suppkey) AS path FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1),
+plan AS (SELECT o_orderkey AS protein_id, CASE WHEN have.k IS NOT NULL THEN 'present' WHEN src.k IS NOT NULL THEN 'work' ELSE 'lost' END AS state, coalesce(have.path, src.path) AS path FROM orders LEFT JOIN have ON have.k = o_orderkey LEFT JOIN src ON src.k = o_orderkey)"""
+
+
+def _reuse(spark: SparkSession, sf_dir: str) -> catalog.Plan:
+    """Orders as ids, shipped line items as an index of what exists, returned ones as the files that the rest is made from."""
+    part = lambda where, path: b.table(spark, sf_dir, "lineitem").where(where).groupBy(F.col("l_orderkey").alias("protein_id")).agg(F.min(path).alias("path"))
+    return catalog.plan(_asked(spark, sf_dir), part("l_linestatus = 'O'", "l_partkey"), part("l_returnflag <> 'N'", "l_suppkey"))
+
+
+@query(f"WITH {_REUSE} SELECT protein_id, state, path FROM plan")
+def reuse_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = _reuse(spark, sf_dir)
+    told = lambda df, state: df.select("protein_id", F.lit(state).alias("state"), "path" if "path" in df.columns else F.lit(None).cast("long").alias("path"))
+    return told(plan.present, "present").unionByName(told(plan.work, "work")).unionByName(told(plan.lost, "lost"))
+
+
+@query(f"WITH {_REUSE} SELECT protein_id, path FROM plan WHERE state = 'work'")
+def missing_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reuse(spark, sf_dir).work
+
+
+@query(f"WITH {_REUSE} SELECT path, array_to_string(list_sort(list(DISTINCT protein_id)), ',') AS protein_ids FROM plan WHERE state = 'work' GROUP BY path")
+def grouped_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.grouped_missing(_reuse(spark, sf_dir).work).withColumn("protein_ids", F.array_join("protein_ids", ","))
+
+
+@query("SELECT DISTINCT l_suppkey AS path FROM lineitem")
+def distinct_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.distinct_files(b.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("path")))
+
+
+_FOLDERS = "f AS (SELECT c_custkey, ['PDB', 'AFDB', 'ESMatlas', 'other', 'wwPDB'][c_custkey % 5 + 1] AS db, ['all', 'part', 'subset', 'clust'][c_nationkey % 4 + 1] AS coll, concat('run--', c_custkey) AS slug FROM customer)"
+
+
+@query(f"WITH {_FOLDERS} SELECT concat(db, '-', coll, '--', slug) AS name, CASE WHEN db <> 'wwPDB' THEN db END AS db, CASE WHEN db <> 'wwPDB' THEN coll END AS collection, CASE WHEN db <> 'wwPDB' THEN slug END AS slug FROM f")
+def folder_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db, coll = b.pick(("PDB", "AFDB", "ESMatlas", "other", "wwPDB"), F.col("c_custkey")), b.pick(("all", "part", "subset", "clust"), F.col("c_nationkey"))
+    names = b.table(spark, sf_dir, "customer").select(t.folder_name(db, coll, F.concat(F.lit("run--"), F.col("c_custkey").cast("string"))).alias("name"))
+    return names.withColumn("i", t.folder_identity(F.col("name"))).select("name", "i.*")
+
+
+@query(f"WITH {_FOLDERS} SELECT concat(db, '-', coll, '--', slug) AS name FROM f WHERE db = 'PDB'")
+def database_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.of_database(folder_names(spark, sf_dir), "PDB").select("name")
+
+
+@query("SELECT concat('data/', o_orderkey, '/', o_custkey) AS path, CASE WHEN o_orderkey % 2 = 0 THEN concat(o_orderkey, '/', o_custkey) ELSE concat('data/', o_orderkey, '/', o_custkey) END AS relative FROM orders")
+def path_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat_ws("/", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
+    whole = t.with_folder(path, "data")
+    relative = F.when(F.col("o_orderkey") % 2 == 0, t.without_folder(whole, "data/")).otherwise(t.without_folder(whole, "dat"))
+    return b.table(spark, sf_dir, "orders").select(whole.alias("path"), relative.alias("relative"))
 
 
 # --- sources ----------------------------------------------------------------------------------
@@ -299,8 +373,8 @@ def fasta_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), -1) AS path FROM events WHERE props IS NOT NULL")
 def json_index_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = b.table(spark, sf_dir, "events").where("props IS NOT NULL")
-    items = rows.select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value"))
-    return items.where("key = 'k'").select("event_id", F.coalesce(F.col("value").try_cast("bigint"), F.lit(-1).cast("long")).alias("path"))
+    items = readers.index_items(rows.select("event_id", F.col("props").alias("json")), keep="event_id")
+    return items.where("protein_id = 'k'").select("event_id", F.coalesce(F.col("path").try_cast("bigint"), F.lit(-1).cast("long")).alias("path"))
 
 
 _PATHS = """paths AS (SELECT o_orderkey::VARCHAR AS protein_id, ['dataset', 'coordinates', 'sequences', 'distograms', 'embeddings'][(o_orderkey + o_custkey) % 5 + 1] AS index_type, ['PDB', 'AFDB', 'ESMatlas', 'other', 'wwPDB'][o_orderkey % 5 + 1] AS db,
@@ -326,6 +400,23 @@ def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "orders").select("o_orderkey", t.without_last_token(i).alias("code"), t.double_last_underscore(i).alias("doubled"), t.accession(f).alias("accession"))
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN (o_custkey % 200)::BIGINT END AS cores FROM orders")
+def run_cores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of result files, in two styles and a third without a number."""
+    n, k = (F.col("o_custkey") % 200).cast("string"), F.col("o_orderkey") % 3
+    name = F.when(k == 0, F.concat(F.lit("run_b_"), n, F.lit("_x.html"))).when(k == 1, F.concat(F.lit("run_"), n, F.lit("_y.csv"))).otherwise(F.lit("run.html"))
+    return b.table(spark, sf_dir, "orders").select("o_orderkey", t.cores_of_name(name).cast("long").alias("cores"))
+
+
+@query("SELECT l_orderkey AS id, count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem GROUP BY 1")
+def log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as logs of an order, a line each, and their times read back."""
+    line = F.concat(F.lit("Compress + save time: "), F.col("l_quantity").cast("string"), F.lit(" s, Download time: 1.5"))
+    logs = b.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.array_join(F.collect_list(line), "\n").alias("log"))
+    times = t.times_in(F.col("log"), "Compress + save time")
+    return logs.select("id", F.size(times).cast("long").alias("n"), F.round(F.aggregate(times, F.lit(0.0), lambda a, x: a + x), 2).alias("total"))
+
+
 # --- quality and studies ----------------------------------------------------------------------
 
 _SEQ = "seqs AS (SELECT doc_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS s FROM documents)"
@@ -365,8 +456,8 @@ def speedup_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT conv_id, turn::BIGINT AS turn, role, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text))::BIGINT AS position FROM conversations")
 def turn_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = b.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("a"))
-    return rows.select("conv_id", F.posexplode("a").alias("p", "e")).select("conv_id", F.col("e.turn").cast("long").alias("turn"), "e.role", (F.col("p") + 1).cast("long").alias("position"))
+    rows = ordering.positions(b.table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "position")
 
 
 # --- composites -------------------------------------------------------------------------------
@@ -458,7 +549,8 @@ def report_page_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT l_shipmode AS name, count(*) AS n, round(avg(q), 6) AS mean FROM (SELECT ['zlib', 'lzf', 'gzip'][l_linenumber % 3 + 1] AS l_shipmode, l_quantity AS q FROM lineitem) GROUP BY 1")
 def averages_under_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as logs: a header names the method of the line that follows it."""
-    li = b.table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 512).alias("file"), F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("o"), b.pick(("zlib", "lzf", "gzip"), F.col("l_linenumber")).alias("m"), "l_quantity")
+    li = b.table(spark, sf_dir, "lineitem")
+    li = li.select(b.dealt(li, "l_orderkey", 1000).alias("file"), F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice").alias("o"), b.pick(("zlib", "lzf", "gzip"), F.col("l_linenumber")).alias("m"), "l_quantity")
     pair = F.array(F.concat(F.lit("method: "), "m"), F.concat(F.lit("took "), F.col("l_quantity").cast("string"), F.lit(" s")))
     lines = li.select("file", "o", F.posexplode(pair).alias("p", "line")).select("file", F.struct("o", "p").alias("line_no"), "line")
     return _rounded(studies.averages_under_headers(lines, r"^method: (\w+)", r"^took ([\d.]+) s"), "mean", places=6)

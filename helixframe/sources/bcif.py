@@ -13,12 +13,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.mmcif import FIELDS
+from ..operators.mmcif import FIELDS, NEEDED
 
 # Fixed values of the format: numbers of the array types.
 TYPES = {1: "<i1", 2: "<i2", 3: "<i4", 4: "<u1", 5: "<u2", 6: "<u4", 32: "<f4", 33: "<f8"}
 
 
+#: Decimals that a field has at least; more stay as they are.
+PLACES = {"Cartn_x": 3, "Cartn_y": 3, "Cartn_z": 3, "occupancy": 2, "B_iso_or_equiv": 2}
+
+
 def unpack(data: bytes, at: int = 0):
     """One MessagePack value and where it ends."""
     c = data[at]
@@ -90,31 +94,34 @@ def decode(data, encodings: list[dict]):
 
 
 def atom_table(content: bytes) -> pd.DataFrame:
-    """The fields of the first data block's atoms, as text; what is masked is `?`."""
+    """The fields of the atoms of the first data block that has any, as text; what is masked is missing."""
     document, _ = unpack(content)
-    for category in document["dataBlocks"][0]["categories"]:
+    for category in (c for block in document["dataBlocks"] for c in block["categories"]):
         if category["name"] == "_atom_site":
             cols = {}
             for c in category["columns"]:
                 if c["name"] in FIELDS:
                     v = decode(c["data"]["data"], c["data"]["encoding"])
-                    text = [f"{x:.3f}" if isinstance(x, (float, np.floating)) else str(x) for x in v]
+                    text = [np.format_float_positional(x, min_digits=PLACES.get(c["name"], 0), trim="k") if isinstance(x, (float, np.floating)) else str(x) for x in v]
                     if c.get("mask"):
-                        text = ["?" if m else x for x, m in zip(text, decode(c["mask"]["data"], c["mask"]["encoding"]))]
+                        text = [None if m else x for x, m in zip(text, decode(c["mask"]["data"], c["mask"]["encoding"]))]
                     cols[c["name"]] = text
             return pd.DataFrame({f: cols.get(f) for f in FIELDS})
     return pd.DataFrame({f: [] for f in FIELDS}, dtype=object)
 
 
 def to_cif(files: DataFrame) -> DataFrame:
-    """(file, text) with the atoms of (file, content) as an mmCIF loop; a file that can't be decoded has a null text."""
+    """(file, text) with the atoms of (file, content) as an mmCIF loop; a file that can't be decoded has a null text.
+
+    Atoms whose needed fields are missing are left out, as mmcif.chains(strict=True) does with what it can see in the text.
+    """
 
     def run(frames):
         for pdf in frames:
             out = []
             for name, content in zip(pdf["file"], pdf["content"]):
                 try:
-                    rows = atom_table(content).fillna("?").astype(str).agg(" ".join, axis=1)
+                    rows = atom_table(content).dropna(subset=list(NEEDED)).fillna("?").astype(str).agg(" ".join, axis=1)
                     out.append((name, "loop_\n" + "\n".join(f"_atom_site.{f}" for f in FIELDS) + "\n" + "\n".join(rows) + "\n"))
                 except (ValueError, KeyError, IndexError, TypeError, struct.error):
                     out.append((name, None))

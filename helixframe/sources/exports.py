@@ -25,6 +25,23 @@ def zip_batches(structures: DataFrame, suffix: str = ".pdb") -> DataFrame:
     return structures.select("batch", "protein_id", "pdb_text").groupBy("batch").applyInPandas(pack, "batch long, n long, archive binary")
 
 
+def write_archives(structures: DataFrame, path: str, suffix: str = ".pdb") -> DataFrame:
+    """Write zip_batches as files batch_<n>.zip under path, each by the task that made it; gives batch, n, file."""
+
+    def write(frames):
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        system.create_dir(at, recursive=True)
+        for pdf in frames:
+            for batch, archive in zip(pdf["batch"], pdf["archive"]):
+                with system.open_output_stream(f"{at}/batch_{batch}.zip") as out:
+                    out.write(archive)
+            yield pd.DataFrame({"batch": pdf["batch"], "n": pdf["n"], "file": [f"batch_{b}.zip" for b in pdf["batch"]]})
+
+    return zip_batches(structures, suffix).mapInPandas(write, "batch long, n long, file string")
+
+
 def codec_sizes(df: DataFrame, path: str, codecs: tuple[str, ...] = CODECS) -> DataFrame:
     """codec, files, bytes of df written as Parquet under each codec below path."""
     spark = df.sparkSession

@@ -5,11 +5,13 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import file_stem, full_id, parse_ranges, range_error
+from ..functions.text import file_stem, full_id, lower_ids, parse_ranges, range_error
+from ..operators.catalog import containing
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
@@ -18,17 +20,20 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def simple_csv(spark: SparkSession, path: str, column: int = 0, header: bool = True) -> DataFrame:
-    """Trimmed, non-empty ids of one column; a row that is too short is an error."""
-    rows = spark.read.csv(path, header=header, enforceSchema=False)
-    if column >= len(rows.columns):
-        raise ValueError(f"the file has {len(rows.columns)} columns, column {column} was asked for")
-    c = F.col(f"`{rows.columns[column]}`")
-    value = F.when(c.isNull() & F.lit(column > 0), F.raise_error(F.lit(f"a row has no column {column}"))).otherwise(F.trim(c))
+    """Trimmed ids of one column, without empty cells; a row that is too short is an error."""
+    names = spark.read.csv(path, header=header).columns
+    if column >= len(names):
+        raise ValueError(f"the file has {len(names)} columns, column {column} was asked for")
+    # the reader gives null for an empty cell and for one that isn't there; only a row with the latter counts as corrupt
+    schema = ", ".join(f"c{i} string" for i in range(len(names))) + ", corrupt string"
+    rows = spark.read.option("columnPruning", "false").csv(path, header=header, schema=schema, columnNameOfCorruptRecord="corrupt")
+    short = F.col(f"c{column}").isNull() & F.col("corrupt").isNotNull()
+    value = F.when(short, F.raise_error(F.lit(f"a row has no column {column}"))).otherwise(F.trim(f"c{column}"))
     return rows.select(value.alias("protein_id")).where("protein_id <> ''")
 
 
 def has_ranges(spark: SparkSession, path: str) -> bool:
-    """Whether the first five lines look like ids with chains or residue ranges."""
+    """Whether the first five lines look like ids with chains or residue ranges; a comma alone doesn't, so tables of several columns keep their header."""
     head = spark.read.text(path).limit(5).where(F.col("value").contains("__") | F.col("value").rlike(r",\s*(\d+\s*-\s*\d+.*)?$"))
     return not head.isEmpty()
 
@@ -86,20 +91,21 @@ def write_fasta(sequences: DataFrame, path: str) -> None:
     sequences.select(F.concat(F.lit(">"), "protein_id", F.lit("\n"), "sequence")).write.mode("overwrite").text(path)
 
 
-def json_index(spark: SparkSession, path: str, reverse: bool = False) -> DataFrame:
-    """(protein_id, path) of a JSON index: an object, a list of pairs, or a reversed object of lists."""
-    text = spark.read.text(path, wholetext=True)
+def json_index(spark: SparkSession, path: str, reverse: bool = False, lines: bool = False) -> DataFrame:
+    """(protein_id, path) of a JSON index: an object, a list of pairs, or a reversed object of lists; lines: one of them on each line."""
+    text = spark.read.text(path, wholetext=not lines)
     return index_items(text.withColumnRenamed("value", "json"), reverse)
 
 
-def index_items(rows: DataFrame, reverse: bool = False) -> DataFrame:
-    """(protein_id, path) of JSON indexes in column json."""
+def index_items(rows: DataFrame, reverse: bool = False, keep: tuple[str, ...] | str = ()) -> DataFrame:
+    """(protein_id, path) of JSON indexes in column json, with the columns to keep."""
+    more = [keep] if isinstance(keep, str) else list(keep)
     if reverse:
-        flat = rows.select(F.explode(F.from_json("json", "map<string,array<string>>")).alias("path", "ids"))
-        return flat.select(F.explode("ids").alias("protein_id"), "path")
+        flat = rows.select(*more, F.explode(F.from_json("json", "map<string,array<string>>")).alias("path", "ids"))
+        return flat.select(*more, F.explode("ids").alias("protein_id"), "path")
     listed = F.col("json").rlike(r"^\s*\[")
-    pairs = rows.where(listed).select(F.explode(F.from_json("json", "array<array<string>>")).alias("p")).select(F.get("p", F.lit(0)).alias("protein_id"), F.get("p", F.lit(1)).alias("path"))
-    return rows.where(~listed).select(F.explode(F.from_json("json", "map<string,string>")).alias("protein_id", "path")).unionByName(pairs)
+    pairs = rows.where(listed).select(*more, F.explode(F.from_json("json", "array<array<string>>")).alias("p")).select(*more, F.get("p", F.lit(0)).alias("protein_id"), F.get("p", F.lit(1)).alias("path"))
+    return rows.where(~listed).select(*more, F.explode(F.from_json("json", "map<string,string>")).alias("protein_id", "path")).unionByName(pairs)
 
 
 def structure_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,37 +117,121 @@ def structure_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prefer(rows: DataFrame) -> DataFrame:
-    """stem, kind, text: of files (path, value, stem, kind, depth) of one stem cif wins over pdb, then the less deep, then the first path."""
-    best = F.min_by(F.struct("kind", "value"), F.struct(F.when(F.col("kind") == "cif", 0).otherwise(1), "depth", "path"))
-    return rows.groupBy("stem").agg(best.alias("b")).select("stem", F.col("b.kind").alias("kind"), F.col("b.value").alias("text"))
-
-
-def archives(spark: SparkSession, path: str) -> DataFrame:
-    """path, stem, kind, text of the structure files in zip and tar archives; an archive is unpacked by one task, member by member."""
-
-    def members(content: bytes):
-        if zipfile.is_zipfile(io.BytesIO(content)):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                for n in z.namelist():
-                    yield n, lambda n=n: z.read(n)
-        else:
-            with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                for m in t:
-                    if m.isfile():
-                        yield m.name, lambda m=m: t.extractfile(m).read()
-
-    def unpack(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                for name, read in members(content):
-                    kind = name.rpartition(".")[2].lower()
-                    if kind in ("pdb", "cif"):
-                        stem = name.rpartition("/")[2].replace(".pdb", "").replace(".cif", "")
-                        yield pd.DataFrame({"path": [path], "stem": [stem], "kind": [kind], "text": [read().decode("utf-8", "replace")]})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(unpack, "path string, stem string, kind string, text string")
+    """stem, kind, text: of files (path, value, stem, kind, depth) of one stem cif wins over pdb, then the less deep, then the first path.
+
+    The choice is made among names alone; texts are only kept or left out.
+    """
+    rank = F.struct(F.when(F.col("kind") == "cif", 0).otherwise(1), "depth", "path")
+    best = rows.groupBy("stem").agg(F.min_by("path", rank).alias("path"))
+    return rows.join(best, ["stem", "path"], "left_semi").select("stem", "kind", F.col("value").alias("text"))
+
+
+def _members(file):
+    """(name, function that reads it) of each file in a zip or tar archive."""
+    if zipfile.is_zipfile(file):
+        z = zipfile.ZipFile(file)
+        return [(n, lambda n=n: z.read(n)) for n in z.namelist() if not n.endswith("/")]
+    file.seek(0)
+    t = tarfile.open(fileobj=file)
+    return [(m.name, lambda m=m: t.extractfile(m).read()) for m in t if m.isfile()]
+
+
+def _open(path: str):
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    return system.open_input_file(at)
+
+
+def _listed(frames):
+    import pandas as pd
+
+    for pdf in frames:
+        for path in pdf["path"]:
+            with _open(path) as f:
+                names = [n for n, _ in _members(f)]
+            yield pd.DataFrame({"path": [path] * len(names), "name": names})
+
+
+def _read(frames):
+    """Rows are sorted by path, so an archive is opened once a task."""
+    import pandas as pd
+
+    held, read, file = None, {}, None
+    for pdf in frames:
+        for path, name in zip(pdf["path"], pdf["name"]):
+            if path != held:
+                file = _open(path)
+                held, read = path, dict(_members(file))
+            yield pd.DataFrame({"path": [path], "name": [name], "content": [read[name]()]})
+
+
+def _unpacked(frames):
+    import pandas as pd
+
+    for pdf in frames:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            for name, read in _members(io.BytesIO(content)):
+                yield pd.DataFrame({"path": [path], "name": [name], "content": [read()]})
+
+
+KINDS = ("pdb", "cif", "bcif")
+
+
+def archives(spark: SparkSession, path: str, choose: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """path, stem, kind, content (bytes) of the structure files in zip and tar archives; choose tells which stems (stem) to read.
+
+    Members are listed first, by reading an archive's directory, and then read by many tasks; the archive itself is never
+    whole in memory, but for stores that pyarrow.fs doesn't know: there a task unpacks it, and it must be under 2 GiB.
+    """
+    found = spark.read.format("binaryFile").load(path)
+    kind = F.lower(F.substring_index("name", ".", -1))
+    stem = F.regexp_replace(F.substring_index("name", "/", -1), r"\.(pdb|cif|bcif)", "")
+    first = found.select("path").first()
+    try:
+        if first is not None:
+            _open(first["path"]).close()
+    except (OSError, ValueError, ImportError, NotImplementedError):
+        every = found.select("path", "content").mapInPandas(_unpacked, "path string, name string, content binary").where(kind.isin(*KINDS)).select("path", stem.alias("stem"), kind.alias("kind"), "content")
+        return every if choose is None else every.join(choose(every.select("stem").distinct()), "stem", "left_semi")
+    names = found.select("path").mapInPandas(_listed, "path string, name string").where(kind.isin(*KINDS)).withColumn("stem", stem)
+    if choose is not None:
+        names = names.join(choose(names.select("stem").distinct()), "stem", "left_semi")
+    spread = names.select("path", "name").repartition(F.when(F.col("path").endswith(".zip"), F.col("name")).otherwise(F.col("path"))).sortWithinPartitions("path")  # a tar can only be read through
+    return spread.mapInPandas(_read, "path string, name string, content binary").select("path", stem.alias("stem"), kind.alias("kind"), "content")
+
+
+def lookup_entries(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """id, name of the entries of a compressed database's lookup file, second field of each line; entries of .cif files without a .pdb go.
+
+    wanted (id): only entries whose name contains one of them.
+    """
+    lines = spark.read.text(path).where(~F.col("value").contains(".cif") | F.col("value").contains(".pdb"))
+    names = lines.select(F.get(F.split(F.trim("value"), r"\s+"), F.lit(1)).alias("id")).where("id IS NOT NULL")
+    return names if wanted is None else containing(names, wanted)
+
+
+# Entry types that hold protein.
+PROTEIN_TYPES = ("prot", "prot-nuc")
+
+
+def of_entry_types(lines: DataFrame, types: tuple[str, ...] = PROTEIN_TYPES) -> DataFrame:
+    """protein_id, in lower case, of lines (value) `id type ...` of a type file; lines of one field are left out."""
+    f = F.split(F.trim("value"), r"\s+")
+    return lines.where((F.size(f) >= 2) & F.get(f, F.lit(1)).isin(*types)).select(lower_ids(F.get(f, F.lit(0))).alias("protein_id"))
+
+
+def entry_types(spark: SparkSession, path: str, types: tuple[str, ...] = PROTEIN_TYPES) -> DataFrame:
+    return of_entry_types(spark.read.text(path), types)
+
+
+def write_json_index(index: DataFrame, path: str) -> None:
+    """The index (protein_id, path) as JSON objects, one line per part of ids, and reversed beside it, one line per part of files; json_index reads both with lines=True."""
+    pair = lambda k, v: F.to_json(F.map_from_entries(F.collect_list(F.struct(k, v))))
+    part = F.spark_partition_id()
+    index.select("protein_id", "path").groupBy(part).agg(pair("protein_id", "path").alias("value")).select("value").write.mode("overwrite").text(f"{path}.idx")
+    back = index.groupBy("path").agg(F.array_sort(F.collect_set("protein_id")).alias("ids"))
+    back.groupBy(part).agg(pair("path", "ids").alias("value")).select("value").write.mode("overwrite").text(f"{path}_reversed.idx")
 
 
 def write_structures(structures: DataFrame, path: str) -> None:
