@@ -25,6 +25,9 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 TYPE_SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 LZW_CLEAR, LZW_END = 256, 257
 
+#: Samples of a page or block at most; a header alone can't make a task allocate more.
+MOST_PIXELS = 1 << 28
+
 #: Pages of stored payloads: 64 samples a row, 1024 rows at most, strips of 128 rows.
 WIDTH, PAGE_ROWS, STRIP_ROWS = 64, 1024, 128
 #: The codings that pages take in turn, see encode_page; LZW costs most and comes once in eight.
@@ -34,15 +37,17 @@ TURNS = (0, 1, 2, 3, 2, 3, 1, 3)
 # --- codecs -----------------------------------------------------------------------------------
 
 
-def packbits_decode(data: bytes) -> bytes:
-    out, i, n = [], 0, len(data)
-    while i < n:
+def packbits_decode(data: bytes, most: int = 1 << 62) -> bytes:
+    out, i, n, made = [], 0, len(data), 0
+    while i < n and made < most:
         c = data[i]
         if c < 128:
             out.append(data[i + 1 : i + 2 + c])
+            made += c + 1
             i += c + 2
         elif c > 128:
             out.append(data[i + 1 : i + 2] * (257 - c))
+            made += 257 - c
             i += 2
         else:
             i += 1
@@ -114,11 +119,11 @@ def lzw_encode(data: bytes) -> bytes:
     return np.packbits(bits[shift >= 0]).tobytes()
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, most: int = 1 << 62) -> bytes:
     """Between clear codes the place of every code is known beforehand, so codes are cut out at once."""
     raw = np.frombuffer(data + b"\0\0\0\0", np.uint8).astype(np.int64)
     total = len(data) * 8
-    out, bit = [], 0
+    out, bit, made = [], 0, 0
     singles = [bytes((i,)) for i in range(256)] + [b"", b""]
     while bit + 9 <= total:
         ends = bit + _LZW_ENDS
@@ -141,6 +146,9 @@ def lzw_decode(data: bytes) -> bytes:
                 now = before + before[:1]
                 table.append(now)
             out.append(now)
+            made += len(now)
+            if made >= most:
+                return b"".join(out)
             before = now
         if m == k or codes[m] == LZW_END:
             break
@@ -148,15 +156,16 @@ def lzw_decode(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def _decompress(kind: int, data: bytes) -> bytes:
+def _decompress(kind: int, data: bytes, most: int) -> bytes:
+    """The first `most` bytes that a block holds; what a block claims beyond them is never made."""
     if kind == NONE:
         return data
     if kind == PACKBITS:
-        return packbits_decode(data)
+        return packbits_decode(data, most)
     if kind == LZW:
-        return lzw_decode(data)
+        return lzw_decode(data, most)
     if kind in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(data)
+        return zlib.decompressobj().decompress(data, most)
     raise ValueError(f"compression {kind} is not supported")
 
 
@@ -193,7 +202,8 @@ def iter_pages(content: bytes) -> Iterator[dict]:
         compression, predictor = one(259, 1), one(317, 1)
         if predictor not in (1, 2):
             raise ValueError(f"predictor {predictor} is not supported")
-        pixels = np.zeros((height, width, spp), np.uint8)
+        if width * height * spp > MOST_PIXELS:
+            raise ValueError(f"a page of {width} x {height} x {spp} samples is too large")
         tiled = 324 in tags
         if tiled:
             bw, bh = one(322, width), one(323, height)
@@ -201,11 +211,23 @@ def iter_pages(content: bytes) -> Iterator[dict]:
         else:
             bw, bh = width, min(one(278, height) or height, height)
             offsets, counts = tags.get(273, ()), tags.get(279, ())
+        if bw * bh * spp > MOST_PIXELS:
+            raise ValueError(f"a block of {bw} x {bh} x {spp} samples is too large")
         across = -(-width // bw) if bw else 0
+        needed = across * (-(-height // bh) if bh else 0)
+        if not counts and compression == NONE and not tiled and len(offsets) == needed:
+            # files without compression may leave them out
+            counts = [min(bh, height - k * bh) * bw * spp for k in range(needed)]
+        if len(offsets) < needed or len(counts) < needed:
+            raise ValueError(f"{min(len(offsets), len(counts))} of {needed} blocks are there")
+        offsets, counts = offsets[:needed], counts[:needed]
+        pixels = np.zeros((height, width, spp), np.uint8)
         for k, (o, c) in enumerate(zip(offsets, counts)):
             y, x = k // across * bh, k % across * bw
             rows = bh if tiled else min(bh, height - y)
-            block = np.frombuffer(_decompress(compression, content[o : o + c]), np.uint8)
+            block = np.frombuffer(_decompress(compression, content[o : o + c], rows * bw * spp), np.uint8)
+            if len(block) < rows * bw * spp:
+                raise ValueError(f"block {k} holds {len(block)} of {rows * bw * spp} samples")
             block = block[: rows * bw * spp].reshape(rows, bw, spp)
             if predictor == 2:
                 block = np.cumsum(block, axis=1, dtype=np.uint8)
@@ -214,24 +236,33 @@ def iter_pages(content: bytes) -> Iterator[dict]:
         page += 1
 
 
+#: What a file that can't be read raises.
+UNREADABLE = (ValueError, struct.error, zlib.error, IndexError, ZeroDivisionError, MemoryError, OverflowError)
+
+
+def page_rows(content: bytes) -> Iterator[dict]:
+    """A row per page; at the first that can't be read, one with its error, and no more."""
+    try:
+        for p in iter_pages(content):
+            yield {**p, "error": None}
+    except UNREADABLE as e:
+        yield {**dict.fromkeys(x.split()[0] for x in PAGE_FIELDS.split(", ")), "error": str(e)[:200] or type(e).__name__}
+
+
 PAGE_FIELDS = "page int, width int, height int, samples int, compression int, predictor int, tiled boolean, pixels binary, error string"
 
 
 def tiff_pages(df: DataFrame, key: str = "doc_id", content: str = "media") -> DataFrame:
     """One row per page of each file in `content`: key, page, shape, coding, pixels (row-major), error."""
     kind = df.schema[key].dataType.simpleString()
-    names = [x.split()[0] for x in PAGE_FIELDS.split(", ")]
 
     def walk(batches):
         for batch in batches:
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if not data.is_valid:
                     continue
-                try:
-                    for p in iter_pages(data.as_py()):
-                        yield pa.RecordBatch.from_pylist([{"key": k, **p, "error": None}], schema=out)
-                except (ValueError, struct.error, zlib.error, IndexError, ZeroDivisionError) as e:
-                    yield pa.RecordBatch.from_pylist([{"key": k, **dict.fromkeys(names), "error": str(e)[:200] or type(e).__name__}], schema=out)
+                for row in page_rows(data.as_py()):
+                    yield pa.RecordBatch.from_pylist([{"key": k, **row}], schema=out)
 
     source = df.select(F.col(key).alias("key"), F.col(content).cast("binary").alias("content"))
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -245,7 +276,7 @@ def tiff_pages(df: DataFrame, key: str = "doc_id", content: str = "media") -> Da
 
 
 def encode_page(pixels: np.ndarray, mode: int) -> tuple[list[bytes], dict[int, tuple[int, int]]]:
-    """Blocks and tags of one page; mode 0: LZW strips, 1: PackBits strips, 2: deflate strips, 3: deflate tiles, both with predictor."""
+    """Blocks and tags of one page; mode 0: LZW strips, 1: PackBits strips, 2: deflate strips, 3: deflate tiles; all but 1 with predictor."""
     height, width = pixels.shape
     tags = {254: (4, 2), 256: (4, width), 257: (4, height), 258: (3, 8), 262: (3, 1), 277: (3, 1), 284: (3, 1)}
     if mode == 3:
@@ -256,12 +287,13 @@ def encode_page(pixels: np.ndarray, mode: int) -> tuple[list[bytes], dict[int, t
     else:
         parts = [pixels[i : i + STRIP_ROWS] for i in range(0, height, STRIP_ROWS)]
         tags |= {278: (4, STRIP_ROWS)}
-    if mode >= 2:
-        tags |= {259: (3, DEFLATE), 317: (3, 2)}
+    code = (LZW, PACKBITS, DEFLATE, DEFLATE)[mode]
+    tags |= {259: (3, code)}
+    if mode != 1:
+        tags |= {317: (3, 2)}
         parts = [np.concatenate((p[:, :1], np.diff(p, axis=1)), axis=1) for p in parts]
-        return [zlib.compress(p.tobytes(), 1) for p in parts], tags
-    tags |= {259: (3, PACKBITS if mode else LZW)}
-    return [(packbits_encode if mode else lzw_encode)(p.tobytes()) for p in parts], tags
+    encode = {LZW: lzw_encode, PACKBITS: packbits_encode, DEFLATE: lambda b: zlib.compress(b, 1)}[code]
+    return [encode(p.tobytes()) for p in parts], tags
 
 
 def encode_tiff(payload: bytes) -> bytes:
@@ -304,7 +336,9 @@ def payload_of(text: bytes) -> bytes:
 
 def digest(doc_id: int, n_bytes: int, media: bytes) -> dict:
     """What the stored form holds, read back page by page."""
-    pages = list(iter_pages(media))
+    pages = list(page_rows(media))
+    if pages[-1]["error"]:
+        raise ValueError(pages[-1]["error"])
     payload = b"".join(p["pixels"] for p in pages)
     count = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
     mean = int((count * np.arange(256)).sum()) * 1000 // len(payload)

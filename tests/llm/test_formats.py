@@ -179,3 +179,48 @@ def test_queries_match_sql(spark, duck):
     for name, sql in ORACLES.items():
         same_rows(QUERIES[name](spark, SMALL).toPandas(), duck.sql(sql).df())
     assert {f"op{n}_" for n in range(1, 11)} == {n[: n.index("_") + 1] for n in QUERIES}
+
+
+def tiff(width, height, entries, blocks=b""):
+    """A little-endian file of one page with these tags (tag, type, value); blocks begin at byte 8."""
+    tags = sorted({256: (4, width), 257: (4, height), 258: (3, 8), **entries}.items())
+    ifd = struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, k, 1, v) for t, (k, v) in tags) + b"\0\0\0\0"
+    return struct.pack("<2sHI", b"II", 42, 8 + len(blocks)) + blocks + ifd
+
+
+def test_hostile_tiff():
+    """Headers that claim too much, missing or short blocks, and bombs are errors, and cost no memory."""
+    bomb = zlib.compress(bytes(50_000_000), 9)
+    cases = [
+        tiff(10**6, 10**6, {273: (4, 8), 279: (4, 4)}),
+        tiff(4, 4, {}),
+        tiff(4, 4, {273: (4, 8), 279: (4, 3)}, b"abc"),
+        tiff(4, 4, {322: (4, 10**6), 323: (4, 10**6), 324: (4, 8), 325: (4, 3)}, b"abc"),
+        b"II*\0", b"", tiff(4, 4, {273: (4, 8), 279: (4, 3), 259: (3, 8)}, b"abc"),
+    ]
+    for content in cases:
+        rows = list(media_tiff.page_rows(content))
+        assert len(rows) == 1 and rows[0]["error"] and rows[0]["pixels"] is None
+    (row,) = media_tiff.page_rows(tiff(4, 4, {273: (4, 8), 279: (4, len(bomb)), 259: (3, 8)}, bomb))
+    assert row["error"] is None and row["pixels"] == bytes(16)
+    (row,) = media_tiff.page_rows(tiff(4, 4, {273: (4, 8)}, bytes(range(16))))
+    assert row["pixels"] == bytes(range(16))  # without counts
+
+
+@pytest.mark.parametrize("mode", range(4))
+def test_each_coding_of_a_page(mode):
+    pixels = np.frombuffer(random.Random(mode).randbytes(64 * 300), np.uint8).reshape(-1, 64) // 16
+    blocks, tags = media_tiff.encode_page(pixels, mode)
+    assert tags[259][1] == (5, 32773, 8, 8)[mode] and (317 in tags) == (mode != 1)
+    turn = next(b for b in range(1000) if media_tiff.TURNS[zlib.crc32(pixels.tobytes()[:-64] + bytes([b % 256] * 64)) % 8] == mode)
+    payload = pixels.tobytes()[:-64] + bytes([turn % 256] * 64)
+    pages = list(media_tiff.page_rows(media_tiff.encode_tiff(payload)))
+    assert [p["compression"] for p in pages] == [(5, 32773, 8, 8)[mode]] and pages[0]["pixels"] == payload
+
+
+def test_batches_of_equal_length(spark, odd_docs, no_docs):
+    pieces = packing.pack(odd_docs).cache()
+    batches = packing.length_batches(pieces, 64).collect()
+    assert all(len(b.ids) == 4 * b.n * b.length and len(b.doc_ids) == b.n and b.length == 1 << b.bucket for b in batches)
+    assert sum(b.n for b in batches) == pieces.count() and sum(b.n * b.length for b in batches) == sum(r.length for r in pieces.collect())
+    assert all(b.n * b.length < 64 + b.length for b in batches) and packing.length_batches(packing.pack(no_docs)).count() == 0
