@@ -211,10 +211,41 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     out = texts.mapInArrow(cut, PIECES)
+    # distinct up to eight million tasks
     number = F.col("bucket").cast("long") * F.lit(1 << 56) + F.monotonically_increasing_id()
     return out.withColumn("sequence_id", number).withColumn("offset", F.lit(0).cast("long"))
 
 
+BATCHES = "bucket int, length long, n int, doc_ids array<long>, ids binary"
+
+
+def length_batches(pieces: DataFrame, batch_tokens: int = 1 << 18) -> DataFrame:
+    """Pieces of equal length side by side: bucket, length, n, doc_ids, and the ids of all n, for batches of `batch_tokens` tokens.
+
+    Pieces are spread over all tasks whatever their bucket, so a frequent length is no hot key; a task's last batch of a length may be short.
+    """
+
+    def gather(batches):
+        held: dict[int, tuple[list, list]] = {}
+        schema = pa.schema([("bucket", pa.int32()), ("length", pa.int64()), ("n", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("ids", pa.binary())])
+
+        def told(bucket: int):
+            docs, ids = held.pop(bucket)
+            return pa.RecordBatch.from_pylist([{"bucket": bucket, "length": 1 << bucket, "n": len(docs), "doc_ids": docs, "ids": b"".join(ids)}], schema=schema)
+
+        for batch in batches:
+            for d, bucket, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                docs, parts = held.setdefault(bucket, ([], []))
+                docs.append(d)
+                parts.append(ids)
+                if len(docs) << bucket >= batch_tokens:
+                    yield told(bucket)
+        for bucket in sorted(held):
+            yield told(bucket)
+
+    return pieces.select("doc_id", "bucket", "ids").mapInArrow(gather, BATCHES)
+
+
 def piece_digests(docs: DataFrame) -> DataFrame:
     """The pieces with a checksum in the place of their ids."""
     return pack(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
