@@ -25,7 +25,7 @@ from .textkernels import Words, byte_column, chunks
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_REPEATS = 3.0
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 FAN_IN = 64
 
 
@@ -43,9 +43,9 @@ def word_count(batches):
 
 
 def doc_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, n_bytes and size of each document."""
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"), F.col("text").cast("binary").alias("text"))
-    return cols.mapInArrow(word_count, "doc_id long, source string, n_bytes int, size long")
+    """doc_id, source, n_bytes, text_hash and size of each document."""
+    cols = docs.select(F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"), F.col("text").cast("binary").alias("text"))
+    return cols.mapInArrow(word_count, "text_hash long, doc_id long, source string, n_bytes int, size long")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -149,9 +149,9 @@ def _split_ratio(df: DataFrame) -> DataFrame:
     return df.withColumn("whole", F.floor(ratio).cast("long")).withColumn("p", ratio - F.floor(ratio))
 
 
-def _numbered(df: DataFrame, name: str, n_bytes: Column) -> DataFrame:
-    """Numbers rows of equal ids by length and source, so that reruns agree."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy("doc_id").orderBy(n_bytes, "source")).cast("long"))
+def _numbered(df: DataFrame, name: str, n_bytes: Column, text_hash: Column) -> DataFrame:
+    """Numbers rows of equal ids by length, source and a hash of the text, so that reruns agree."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy("doc_id").orderBy(n_bytes, "source", text_hash)).cast("long"))
 
 
 def plan(docs: DataFrame, seed: int = 7) -> DataFrame:
@@ -159,7 +159,7 @@ def plan(docs: DataFrame, seed: int = 7) -> DataFrame:
 
     copy tells rows with equal ids apart.
     """
-    sizes = materialize(_numbered(doc_sizes(docs), "copy", F.col("n_bytes")).drop("n_bytes"), "sizes")
+    sizes = materialize(_numbered(doc_sizes(docs), "copy", F.col("n_bytes"), F.col("text_hash")).drop("n_bytes", "text_hash"), "sizes")
     goal = materialize(_split_ratio(targets(sizes)), "targets")
     most = goal.agg(F.max("source_docs")).first()[0] or 0
     goal = goal.withColumn("k", _source_key())
@@ -174,6 +174,6 @@ def plan(docs: DataFrame, seed: int = 7) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mixed corpus: each row of docs as often as the plan takes it; documents without words are left out."""
     taken = plan(docs, seed).where("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.map_from_entries(F.collect_list(F.struct("copy", "copies"))).alias("__copies"))
-    numbered = _numbered(docs, "__copy", F.coalesce(F.octet_length("text"), F.lit(0)))
+    numbered = _numbered(docs, "__copy", F.coalesce(F.octet_length("text"), F.lit(0)), F.xxhash64(F.col("text").cast("string")))
     times = numbered.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__n", F.try_element_at("__copies", F.col("__copy"))).where("__n > 0")
     return times.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)
