@@ -1,9 +1,11 @@
 """License scans by a positional rare-token index, in DataFrame functions only.
 
 Each template is a phrase with a label. Document frequencies of the template words, counted over all texts, give the
-rarest word of each phrase: its index word, with its offset in the phrase. A text's index words are looked up,
-each place yields the start of a phrase by relative position, and the words from there are compared with
-the whole phrase. A template may need further phrases somewhere in the text before its label counts.
+``RAREST`` words of each phrase with the highest idf: its index words, with their offsets in the phrase. (A text that holds a phrase
+holds all its words, so these are also the highest-idf words of the phrase in that text.) A text's index words are looked up; each
+place of one yields where the phrase would start, and the starts that all index words of a phrase agree on are the intersection
+of its postings by relative position. The words from there are compared with the whole phrase. A
+template may need further phrases, its mandatory key phrases, somewhere in the text before its label counts.
 
 Defined cases: a null text is empty and has no words; ties of rarity go to the earlier word of the phrase; equal rows give equal rows;
 an empty table gives no rows; extra columns are dropped, so their names cannot clash.
@@ -21,6 +23,10 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+#: Index words of a phrase.
+RAREST = 2
+
+
 class Template(NamedTuple):
     phrase: str
     label: str
@@ -44,6 +50,18 @@ TEMPLATES = (
     Template("mozilla public license", "mpl"),
     Template("redistribution and use in source and binary forms", "bsd", needs=("with or without modification",)),
     Template("with or without modification", ""),
+    Template("licensed under the apache license version 2 0", "apache-2", needs=("limitations under the license",)),
+    Template("limitations under the license", ""),
+    Template("permission to use copy modify and or distribute this software for any purpose", "isc", needs=("the software is provided as is",)),
+    Template("the software is provided as is", ""),
+    Template("this software is provided as is without any express or implied warranty", "zlib", needs=("this notice may not be removed or altered",)),
+    Template("this notice may not be removed or altered", ""),
+    Template("this is free and unencumbered software released into the public domain", "unlicense"),
+    Template("subject to the terms of the mozilla public license v 2 0", "mpl"),
+    Template("it under the terms of the gnu general public license", "gpl"),
+    Template("it under the terms of the gnu lesser general public license", "lgpl"),
+    Template("gnu affero general public license", "agpl"),
+    Template("creative commons zero", "cc0"),
 )
 
 
@@ -73,25 +91,29 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     postings = []
     for k, t in enumerate(templates):
         phrase = t.phrase.split()
-        at = max(range(len(phrase)), key=lambda i: (idf[phrase[i]], -i))
-        postings.append((k, phrase, at))
-    keys = sorted({phrase[at] for _, phrase, at in postings})
+        postings.append((k, phrase, sorted(range(len(phrase)), key=lambda i: (-idf[phrase[i]], i))[:RAREST]))
+    keys = sorted({phrase[i] for _, phrase, at in postings for i in at})
     words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
-    places = F.filter(F.transform("w", lambda x, i: F.when(F.lower(x).isin(keys), i)), lambda i: i.isNotNull())
-    words = words.select("doc_id", "w", places.alias("hits"))
+    # lower() also maps some letters beyond ASCII; the word itself is told exactly
+    hit = lambda x, i: F.when(F.lower(x).isin(keys), F.struct(i.alias("at"), _ascii_lower(x).alias("word")))
+    words = words.select("doc_id", "w", F.filter(F.transform("w", hit), lambda h: h.isNotNull()).alias("hits"))
+
+    def starts(phrase: list[str], i: int) -> Column:
+        return F.transform(F.filter("hits", lambda h: h["word"] == phrase[i]), lambda h: h["at"] - F.lit(i))
 
-    def phrase_at(k: int, phrase: list[str], at: int):
+    def verified(k: int, phrase: list[str], at: list[int]) -> Column:
         n = len(phrase)
+        agreed = starts(phrase, at[0])
+        for i in at[1:]:
+            agreed = F.array_intersect(agreed, starts(phrase, i))
 
-        def check(i: Column) -> Column:
-            start = i - F.lit(at)
-            same = (_ascii_lower(F.get("w", i)) == phrase[at]) & (start >= 0) & (start + n <= F.size("w"))
+        def whole(start: Column) -> Column:
             window = F.transform(F.slice("w", F.greatest(start, F.lit(0)) + 1, F.lit(n)), _ascii_lower)
-            return F.when(same & (window == F.array(*map(F.lit, phrase))), F.struct(F.lit(k).alias("template"), start.alias("start")))
+            return (start >= 0) & (start + n <= F.size("w")) & (window == F.array(*map(F.lit, phrase)))
 
-        return check
+        return F.transform(F.filter(agreed, whole), lambda start: F.struct(F.lit(k).alias("template"), start.alias("start")))
 
-    found = F.filter(F.concat(*(F.transform("hits", phrase_at(*p)) for p in postings)), lambda x: x.isNotNull())
+    found = F.concat(*(verified(*p) for p in postings))
     none = F.array().cast("array<struct<template:int,start:int>>")
     return words.select("doc_id", F.size("w").cast("long").alias("n_words"), F.when(F.size("hits") == 0, none).otherwise(found).alias("places"))
 
