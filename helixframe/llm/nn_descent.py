@@ -2,8 +2,8 @@
 
 Equal vectors are one node. A forest of random splits, fitted on a bounded sample, puts every node into one leaf per
 tree; brute force within leaves starts the neighbour graph. Rounds of NN-descent follow: around every node its
-neighbours in either direction meet (a join on the node, in groups of at most ``MEET``), and each pair that improves one of the two
-lists is offered to it. Queries are nodes, so they search greedily from their own neighbours: each round opens the best
+neighbours in either direction meet (a join on the node, in groups of at most ``MEET``, drawn anew each round), and each pair that improves one of the two
+lists is offered to it. Rounds end when less than ``SETTLED`` of the lists' entries are new, or after ``ROUNDS``. Queries are nodes, so they search greedily from their own neighbours: each round opens the best
 nodes of the beam that aren't open yet, joins their neighbours, and scores those not seen before.
 
 Nearness is the inner product. Vectors are lengthened by one component to equal norm, so that the graph is built
@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import discard, materialize
 
 DEGREE = 32
 TREES, LEAF, LEAF_LINKS = 12, 512, 16
 SAMPLE = 20_000
-ROUNDS = 3
+#: Rounds of NN-descent at most, and the share of new entries at which they end.
+ROUNDS, SETTLED = 10, 0.02
 MEET = 128
 BEAM, OPEN, SEARCH_ROUNDS = 256, 64, 4
 
@@ -59,10 +60,14 @@ def classes(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _forest(sample: np.ndarray, total: int, trees: int, leaf: int, seed: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
-    """Per tree: a direction for each level and a threshold for each place of it; leaves hold 50 of the sample at least."""
-    depth = 0
-    while total / 2**depth > leaf and len(sample) / 2**depth >= 100:
+    """Per tree: a direction for each level and a threshold for each place of it.
+
+    Levels at which a place holds 50 of the sample have medians of their own; further ones, which larger tables need, share the sample's.
+    """
+    depth = fitted = 0
+    while total / 2**depth > leaf:
         depth += 1
+        fitted += len(sample) / 2**fitted >= 100
     rng = np.random.default_rng(seed)
     out = []
     for _ in range(trees):
@@ -70,9 +75,12 @@ def _forest(sample: np.ndarray, total: int, trees: int, leaf: int, seed: int) ->
         place, cuts = np.zeros(len(sample), np.int64), []
         for k in range(depth):
             p = sample @ directions[:, k]
-            cut = np.array([np.median(p[place == j]) if (place == j).any() else 0.0 for j in range(2**k)])
+            if k < fitted:
+                cut = np.array([np.median(p[place == j]) if (place == j).any() else 0.0 for j in range(2**k)])
+                place = place * 2 + (p > cut[place])
+            else:
+                cut = np.array([np.median(p)])
             cuts.append(cut)
-            place = place * 2 + (p > cut[place])
         out.append((directions, cuts))
     return out
 
@@ -88,15 +96,14 @@ def _matrix(column, dim: int) -> np.ndarray:
 
 
 def _best(candidates: DataFrame, degree: int) -> DataFrame:
-    """The `degree` nearest of each node among (node, other, sim)."""
-    once = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"))
+    """The `degree` nearest of each node among (node, other, sim, fresh); an entry is fresh if all its candidates are."""
+    once = candidates.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("sim"), "other"))
     return once.withColumn("rank", rank).where(F.col("rank") <= degree)
 
 
 def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """(node, other, sim, rank) of the nodes (node, code)."""
-    salts = max(1, -(-total // (2 ** len(forest[0][1]) * 2 * LEAF)))
 
     def leaves(batches):
         for batch in batches:
@@ -105,9 +112,8 @@ def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int
             for t, (directions, cuts) in enumerate(forest):
                 p, place = x @ directions, np.zeros(len(x), np.int64)
                 for k, cut in enumerate(cuts):
-                    place = place * 2 + (p[:, k] > cut[place])
-                salt = (node.to_numpy() * 2654435761 + t * 97 >> 7) % salts
-                yield pa.record_batch([pa.array(np.full(len(x), t), pa.int32()), pa.array(place * salts + salt), node, batch.column(1)], names=["tree", "leaf", "node", "code"])
+                    place = place * 2 + (p[:, k] > (cut[place] if len(cut) > 1 or not k else cut[0]))
+                yield pa.record_batch([pa.array(np.full(len(x), t), pa.int32()), pa.array(place), node, batch.column(1)], names=["tree", "leaf", "node", "code"])
 
     def within(pdf: pd.DataFrame) -> pd.DataFrame:
         x, node = _matrix(pdf["code"], dim), pdf["node"].to_numpy()
@@ -121,8 +127,13 @@ def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int
         return pd.concat(parts) if parts else pd.DataFrame({"node": [], "other": [], "sim": []}).astype({"node": "int64", "other": "int64", "sim": "float32"})
 
     flat = "node long, other long, sim float"
-    start = codes.mapInArrow(leaves, "tree int, leaf long, node long, code binary").groupBy("tree", "leaf").applyInPandas(within, flat)
-    graph = materialize(_best(start, degree), "graph")
+    dealt = codes.mapInArrow(leaves, "tree int, leaf long, node long, code binary")
+    # splits beyond what the sample can tell are uneven: a leaf far too large is dealt out at random
+    large = dealt.groupBy("tree", "leaf").agg(F.count("*").alias("size")).where(F.col("size") > 4 * LEAF)
+    salt = F.pmod(F.xxhash64("node", "tree"), F.coalesce(F.ceil(F.col("size") / (2 * LEAF)), F.lit(1)))
+    start = dealt.join(large, ["tree", "leaf"], "left").withColumn("salt", salt).groupBy("tree", "leaf", "salt").applyInPandas(lambda pdf: within(pdf), flat)
+    fresh = lambda df, is_: df.withColumn("fresh", F.lit(is_))
+    graph = materialize(_best(fresh(start, True), degree), "graph")
 
     def meet(batches):
         schema = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("sim", pa.float32())])
@@ -145,12 +156,17 @@ def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int
             if us:
                 yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(ws)), pa.array(np.concatenate(ss), pa.float32())], schema=schema)
 
-    for _ in range(rounds):
+    for turn in range(rounds):
         pairs = graph.select(F.col("node").alias("centre"), F.col("other").alias("member")).unionByName(graph.select(F.col("other").alias("centre"), F.col("node").alias("member"))).distinct()
         bound = graph.groupBy("node").agg(F.when(F.count("*") >= degree, F.min("sim")).otherwise(F.lit(-1e30)).cast("float").alias("bound"))
         known = codes.join(bound, "node", "left").select(F.col("node").alias("member"), "code", F.coalesce("bound", F.lit(-1e30).cast("float")).alias("bound"))
-        met = pairs.join(known, "member").select("centre", "member", "code", "bound").repartition("centre").sortWithinPartitions("centre", F.xxhash64("member"))
-        graph = materialize(_best(met.mapInArrow(meet, flat).unionByName(graph.select("node", "other", "sim")), degree), "graph")
+        met = pairs.join(known, "member").select("centre", "member", "code", "bound").repartition("centre").sortWithinPartitions("centre", F.xxhash64("member", F.lit(turn)))
+        offered = fresh(met.mapInArrow(meet, flat), True).unionByName(fresh(graph.select("node", "other", "sim"), False))
+        last, graph = graph, materialize(_best(offered, degree), "graph")
+        discard(last)
+        new, entries = graph.agg(F.count_if("fresh"), F.count("*")).first()
+        if new < SETTLED * entries:
+            break
     return graph
 
 
