@@ -255,6 +255,44 @@ def test_seating():
     assert t[0] == 0 and t[1] == 1 and 1 < t[2] < 2 and t[2] == pytest.approx(1 + 0.5 / 0.8, abs=0.1) and (np.diff(t) > 0).all() and t[4] < 200
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 512])
+def test_pieces_change_no_marginal(piece):
+    rng = np.random.default_rng(piece)
+    for _ in range(10):
+        off = np.concatenate(([0], np.cumsum(rng.integers(1, 40, 6))))
+        score, transition = rng.normal(0, 3, off[-1]), rng.normal(0, 2, (2, 2))
+        want, _, _ = quality_crf._Chains(off).marginals(score, transition)
+        assert np.allclose(quality_crf.posterior(score.copy(), off, transition, piece), want, atol=1e-9)
+
+
+def test_parts_of_lines_change_no_score():
+    """Repeated words and lines are seen across the cuts, and neighbours' features too."""
+    rng = np.random.default_rng(0)
+    texts = [(f"line {k % 5}!! foo foo\n" * int(rng.integers(1, 30)) + "tail\n\n foo").encode() for k in range(10)] + [b""]
+    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    x, size, lines = quality_crf.line_features(data, off)
+    model = quality_crf.Model(x.mean(0), x.std(0) + 0.1, rng.normal(size=x.shape[1] + 1), rng.normal(size=(2, 2)), 1.0, 0.0)
+    want = ((x - model.mean) / model.scale) @ model.weights[:-1] + model.weights[-1]
+    for most in (1, 2, 3, 10, 100, 10_000):
+        got, sizes, found = quality_crf.line_scores(model, data, off, most)
+        assert np.array_equal(found, lines) and np.array_equal(sizes, size) and np.allclose(got, want, atol=1e-8)
+
+
+def test_many_lines_in_bounded_memory():
+    """A mebibyte of newlines; features of all lines at once would be over a gigabyte."""
+    import tracemalloc
+
+    x, _, _ = quality_crf.line_features(np.frombuffer(b"a b\nc", np.uint8), np.array([0, 5]))
+    model = quality_crf.Model(x.mean(0), x.std(0) + 0.1, np.ones(x.shape[1] + 1), np.zeros((2, 2)), 1.0, 0.0)
+    data = np.full(1 << 20, 10, np.uint8)
+    tracemalloc.start()
+    quality_crf.predict(model, data, np.array([0, len(data)]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200e6
+
+
 def test_quality_on_held_out_documents(spark, odd_docs, no_docs):
     sf = "/root/testdata/sf0.01"
     docs, labels = documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet")
