@@ -148,7 +148,11 @@ def _all(tests: list[Column]) -> Column:
 def oracle_sql(templates: tuple[Template, ...] = TEMPLATES) -> str:
     """The same digest in DuckDB SQL, by comparing every place with every phrase."""
     number = {t.phrase: k for k, t in enumerate(templates)}
-    lists = [f"list_filter(range(len(w)), lambda i: w[i + 1 : i + {len(t.phrase.split())}] = [{', '.join(repr(x) for x in t.phrase.split())}])" for t in templates]
+    # places are counted out only in texts that hold the phrase as words
+    lists = [
+        f"CASE WHEN contains(s, ' {t.phrase} ') THEN list_filter(range(len(w)), lambda i: w[i + 1 : i + {len(t.phrase.split())}] = [{', '.join(repr(x) for x in t.phrase.split())}]) ELSE [] END"
+        for t in templates
+    ]
     cols = ", ".join(f"{x} AS p{k}" for k, x in enumerate(lists))
     base = [k for k, t in enumerate(templates) if t.base]
     places = " || ".join(f"p{k}" for k in base)
@@ -159,6 +163,6 @@ def oracle_sql(templates: tuple[Template, ...] = TEMPLATES) -> str:
 
     return f"""
 WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-p AS (SELECT doc_id, len(w) AS n_words, {cols} FROM t)
+j AS (SELECT *, concat(' ', array_to_string(w, ' '), ' ') AS s FROM t), p AS (SELECT doc_id, len(w) AS n_words, {cols} FROM j)
 SELECT doc_id, n_words::BIGINT AS n_words, len({places})::BIGINT AS n_base, list_min({places})::BIGINT AS first_word, list_max({places})::BIGINT AS last_word,
   {joined(True)} AS base_labels, {joined(False)} AS labels, round(1 - pow(0.5, {' + '.join(f'len(p{k})' for k in range(len(templates)))}), 9) AS score FROM p"""
