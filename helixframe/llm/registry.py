@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import license_scan, media_tiff, mixing, ngram_join, nn_descent, packing, pitman_yor, quality_crf, repeats, token_files
+from . import laesa, license_scan, media_tiff, mixing, ngram_join, nn_descent, packing, pitman_yor, quality_crf, repeats, simhash, token_files, whitening
 from .storage import documents
 
 
@@ -55,11 +55,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa.coded(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op5_pitman_yor, op6_quality_crf, op7_license_scan, op8_token_counts, op9_nn_descent, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_media_tiff, op2_packing, op3_ngram_join, op4_suffix_dedup, op5_pitman_yor, op6_quality_crf, op7_license_scan, op8_token_counts, op9_nn_descent, op10_mixing,
+        op11_laesa_codes, op12_simhash, op13_whitening,
+    )
 }
 
 ORACLES: dict[str, str] = {
     "op7_license_scan": license_scan.oracle_sql(),
     "op8_token_counts": r"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents",
+    "op11_laesa_codes": laesa.oracle_sql(),
 }

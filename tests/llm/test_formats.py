@@ -178,7 +178,7 @@ def test_queries_match_sql(spark, duck):
 
     for name, sql in ORACLES.items():
         same_rows(QUERIES[name](spark, SMALL).toPandas(), duck.sql(sql).df())
-    assert {f"op{n}_" for n in range(1, 11)} == {n[: n.index("_") + 1] for n in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {n[: n.index("_") + 1] for n in QUERIES}
 
 
 def tiff(width, height, entries, blocks=b""):
