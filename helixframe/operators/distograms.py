@@ -2,30 +2,111 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordering import numbered
 
 BINS = 100
+#: Residue numbers of a block; a tile of the matrix is two blocks.
+TILE = 256
+
+
+def _tiles(coords: DataFrame, tile: int) -> DataFrame:
+    """protein_id, tile_i <= tile_j, and the residues of both blocks in order (rows, columns): array<struct<res_idx, x, y, z>> each.
+
+    A chain is cut into blocks of `tile` residue numbers, and every two blocks of it are one keyed group, so what a task holds is
+    bounded by a tile whatever the chain's length. A chain of one block is one group, sent once.
+    """
+    block = F.floor(F.col("res_idx") / tile).cast("int")
+    blocks = coords.groupBy("protein_id", block.alias("own")).agg(F.array_sort(F.collect_list(F.struct("res_idx", "x", "y", "z"))).alias("a"))
+    chain = Window.partitionBy("protein_id")
+    ends = blocks.withColumns({"_lo": F.min("own").over(chain), "_hi": F.max("own").over(chain)})
+    dealt = ends.select("protein_id", "own", "a", F.explode(F.sequence("_lo", "_hi")).alias("other"))
+    met = dealt.groupBy("protein_id", F.least("own", "other").alias("tile_i"), F.greatest("own", "other").alias("tile_j")).agg(F.array_sort(F.collect_list(F.struct("own", "a"))).alias("b"))
+    # blocks without residues leave a tile with one block, unless it is the block's own
+    return met.where((F.size("b") == 2) | (F.col("tile_i") == F.col("tile_j"))).select("protein_id", "tile_i", "tile_j", F.get("b", F.lit(0))["a"].alias("rows"), F.element_at("b", -1)["a"].alias("columns"))
+
 
+def _distance(a: str, b: str):
+    return F.sqrt(sum(((F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) * (F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in "xyz"), start=F.lit(0.0)))
 
-def distogram(coords: DataFrame, max_distance: float | None = None) -> DataFrame:
+
+def distogram(coords: DataFrame, max_distance: float | None = None, tile: int = TILE) -> DataFrame:
     """protein_id, i, j, d for i < j: Euclidean distance, null beside a gap. Chains of one residue give no pair.
 
-    The join is within a chain, so the work of a task is bounded by the squares of its chains.
+    Pairs are made tile by tile. With max_distance, only pairs at most so far apart, found by cells of space (see contacts).
+    """
+    if max_distance is not None and max_distance < float("inf"):
+        return contacts(coords, max_distance)
+    pairs = _tiles(coords, tile).select("protein_id", F.explode("rows").alias("a"), "columns").select("protein_id", "a", F.explode("columns").alias("b")).where("a.res_idx < b.res_idx")
+    rows = pairs.select("protein_id", F.col("a.res_idx").alias("i"), F.col("b.res_idx").alias("j"), _distance("a", "b").alias("d"))
+    return rows if max_distance is None else rows.where(F.col("d") <= max_distance)
+
+
+def contacts(coords: DataFrame, max_distance: float) -> DataFrame:
+    """protein_id, i, j, d of the pairs at most max_distance apart.
+
+    Space is cut into cells a little wider than that, so both residues of a pair lie in the same cell or in neighbouring ones: one side
+    stays in its cell, the other goes to the 27 around it, and only what meets in a cell is compared. The work grows with the
+    residues and their contacts, not with the square of a chain.
+    """
+    width = max(max_distance, 1e-3) * (1 + 1e-6)  # rounding never moves a pair two cells apart
+    cell = [F.floor(F.col(c) / width).alias(f"_{c}") for c in "xyz"]
+    placed = coords.where("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL").select("protein_id", F.struct("res_idx", "x", "y", "z").alias("a"), *cell)
+    steps = F.array(*(F.struct(*(F.lit(s).alias(c) for s, c in zip(step, "xyz"))) for step in itertools.product((-1, 0, 1), repeat=3)))
+    around = placed.select("protein_id", F.col("a").alias("b"), F.explode(F.transform(steps, lambda s: F.struct(*((F.col(f"_{c}") + s[c]).alias(f"_{c}") for c in "xyz")))).alias("at"))
+    around = around.select("protein_id", "b", "at.*")
+    met = placed.join(around, ["protein_id", "_x", "_y", "_z"]).where("a.res_idx < b.res_idx")
+    return met.select("protein_id", F.col("a.res_idx").alias("i"), F.col("b.res_idx").alias("j"), _distance("a", "b").alias("d")).where(F.col("d") <= max_distance)
+
+
+def tiled_distogram(coords: DataFrame, tile: int = TILE) -> DataFrame:
+    """The symmetric matrix in tiles on and above the diagonal: protein_id, tile_i, tile_j, i and j (residue numbers of its rows and columns), d (by rows).
+
+    Distances are 32-bit, zero on the diagonal and NaN beside gaps; chains of one residue are left out. No row holds more than tile^2 of them.
     """
-    a = coords.select("protein_id", F.col("res_idx").alias("i"), *(F.col(c).alias(f"{c}1") for c in "xyz"))
-    b = coords.select("protein_id", F.col("res_idx").alias("j"), *(F.col(c).alias(f"{c}2") for c in "xyz"))
-    square = sum(((F.col(f"{c}1") - F.col(f"{c}2")) * (F.col(f"{c}1") - F.col(f"{c}2")) for c in "xyz"), start=F.lit(0.0))
-    pairs = a.join(b, "protein_id").where("i < j").select("protein_id", "i", "j", F.sqrt(square).alias("d"))
-    return pairs if max_distance is None else pairs.where(F.col("d") <= max_distance)
+
+    def pack(batches):
+        for batch in batches:
+            held, cells = [], 0
+            for p, ti, tj, *sides in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
+                (i, a), (j, b) = ((_numbers(s, "res_idx"), np.stack([_numbers(s, c) for c in "xyz"], axis=1)) for s in sides)
+                m = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2)).astype(np.float32)
+                m[i[:, None] == j[None]] = 0.0
+                held.append((p, ti, tj, i.astype(np.int32), j.astype(np.int32), m.ravel()))
+                cells += m.size
+                if cells > 1 << 21:
+                    yield _told(held)
+                    held, cells = [], 0
+            if held:
+                yield _told(held)
+
+    rows = _tiles(coords, tile).where((F.size("rows") > 1) | (F.size("columns") > 1) | (F.col("tile_i") != F.col("tile_j")))
+    return rows.mapInArrow(pack, "protein_id string, tile_i int, tile_j int, i array<int>, j array<int>, d array<float>")
+
+
+def _numbers(side: pa.Scalar, field: str) -> np.ndarray:
+    """A field of a block's residues; what is absent is NaN. Coordinates go through 32 bits, as stored ones do."""
+    found = side.values.field(field).to_numpy(zero_copy_only=False)
+    return found if field == "res_idx" else found.astype(np.float32).astype(np.float64)
+
+
+def _told(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float32())]
+    return pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["protein_id", "tile_i", "tile_j", "i", "j", "d"])
 
 
 def packed_distogram(coords: DataFrame) -> DataFrame:
-    """protein_id and the symmetric matrix as array<array<float>>: zero diagonal, NaN beside gaps; chains of one residue are left out."""
+    """protein_id and the symmetric matrix as array<array<float>>: zero diagonal, NaN beside gaps; chains of one residue are left out.
+
+    A matrix is one row, so this is for chains of ordinary length; tiled_distogram serves any.
+    """
 
     def pack(batches):
         for pdf in batches:

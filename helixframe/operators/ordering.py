@@ -5,35 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a range on average, and ranges at most: their bounds are a literal in the plan.
-RANGE_ROWS, RANGES = 200_000, 256
+from ..sources.staging import written
 
 
-def numbered(rows: DataFrame, *keys: str, name: str = "rank") -> DataFrame:
-    """rows with their place, from 0, in the order of keys; rows with equal keys are ordered anyhow among themselves.
+def numbered(rows: DataFrame, *keys: str, name: str = "rank", ranges: int | None = None) -> DataFrame:
+    """rows with their place, from 0, in the order of keys; rows with equal keys are ordered among themselves by a hash.
 
-    Ranges are cut at keys that a hash picks, so every run and every branch of a plan cuts alike. A range has a window of
-    its own, and the sizes of the ranges before it, a row each, are added.
+    One sort by ranges, written once: each row gets its number within its range while it is written. The sizes of the ranges before
+    it are a running sum over a row per range. ranges: how many; the session's shuffle partitions where none is given. Rows of one
+    frequent key lie in several ranges, and so do equal rows.
     """
-    n = rows.count()
-    key = F.struct(*keys)
-    many = min(RANGES, n // RANGE_ROWS)
-    bounds = []
-    if many:
-        picked = rows.select(*keys).where(F.pmod(F.xxhash64(*keys), F.lit(max(n // (8 * many), 1))) == 0).distinct()
-        found = picked.orderBy(*keys).limit(64 * many).collect()  # some 8 * many of them
-        bounds = found[:: max(len(found) // many, 1)]
-    place = F.lit(0)
-    if bounds:
-        kinds = [rows.schema[k].dataType for k in keys]
-        told = F.array(*(F.struct(*(F.lit(v).cast(t).alias(k) for v, t, k in zip(b, kinds, keys))) for b in bounds))
-        place = F.size(F.filter(told, lambda b: b <= key))
-    cut = rows.withColumn("_range", place)
-    sizes = cut.groupBy("_range").agg(F.count("*").alias("_n"))
+    cut = [*keys, "_tie", "_any"]
+    tied = rows.withColumns({"_tie": F.xxhash64(*rows.columns), "_any": F.rand(17)})
+    spread = tied.repartitionByRange(*cut) if ranges is None else tied.repartitionByRange(ranges, *cut)
+    # the id holds the partition above 33 bits and the row's number in it below
+    placed = spread.sortWithinPartitions(*cut).withColumn("_at", F.monotonically_increasing_id()).drop("_tie", "_any")
+    table = written(placed.withColumns({"_range": F.shiftright("_at", 33), "_within": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_at"), "numbered")
+    sizes = table.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
-    return cut.withColumn("_within", within).join(F.broadcast(sizes), "_range").withColumn(name, F.col("_before") + F.col("_within") - 1).drop("_range", "_within", "_before")
+    return table.join(sizes, "_range").withColumn(name, F.col("_before") + F.col("_within")).drop("_range", "_within", "_before")
 
 
 def positions(rows: DataFrame, group: str, *order: str) -> DataFrame:

@@ -35,6 +35,19 @@ def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("line_no", F.row_number().over(order)).drop("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
+def long_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as residues of long chains: 500 orders in a row are a chain of some 2,000 residues; every 19th has no coordinates."""
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_extendedprice", "l_partkey", "l_quantity")).alias("v"))
+    known = F.col("l_orderkey") % 19 != 0
+    return rows.select(
+        F.concat(F.lit("L"), F.floor(F.col("l_orderkey") / 500).cast("string")).alias("protein_id"),
+        ((F.col("l_orderkey") % 500) * 7 + F.col("l_linenumber")).cast("int").alias("res_idx"),
+        F.when(known, F.col("v.l_extendedprice") / 100).alias("x"),
+        F.when(known, (F.col("v.l_partkey") % 500).cast("double")).alias("y"),
+        F.when(known, F.col("v.l_quantity").cast("double")).alias("z"),
+    )
+
+
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as index entries: a user is a protein, an event its path, a type an index type."""
     return table(spark, sf_dir, "events").select(

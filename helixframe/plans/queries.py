@@ -166,6 +166,31 @@ def distogram_degenerate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distograms.degenerate(_coords(spark, sf_dir))
 
 
+_LONG = """first AS (SELECT l_orderkey AS o, l_linenumber AS l, min({'e': l_extendedprice, 'p': l_partkey, 'q': l_quantity}) AS v FROM lineitem GROUP BY ALL),
+long AS (SELECT concat('L', o // 500) AS protein_id, (o % 500) * 7 + l AS r, CASE WHEN o % 19 <> 0 THEN v.e / 100 END AS x, CASE WHEN o % 19 <> 0 THEN (v.p % 500)::DOUBLE END AS y, CASE WHEN o % 19 <> 0 THEN v.q::DOUBLE END AS z FROM first)"""
+_FAR = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"
+
+
+@query(
+    f"WITH {_LONG}, c AS (SELECT protein_id, r, r // 256 AS k, x::FLOAT::DOUBLE AS x, y, z FROM long), p AS (SELECT a.protein_id, a.k AS ti, b.k AS tj, CASE WHEN a.r = b.r THEN 0 ELSE ({_FAR})::FLOAT END AS d FROM c a JOIN c b ON a.protein_id = b.protein_id AND a.k <= b.k) "
+    "SELECT protein_id, ti::BIGINT AS tile_i, tj::BIGINT AS tile_j, count(*) AS n, count(d) AS n_known, count(*) FILTER (d <= 100) AS n_near, round(max(d)::DOUBLE, 2) AS max_d FROM p GROUP BY ALL"
+)
+def long_chain_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matrices of chains of some 2,000 residues, tile by tile, summed up."""
+    known = F.filter("d", lambda v: ~F.isnan(v))
+    tiles = distograms.tiled_distogram(b.long_coords(spark, sf_dir)).withColumn("k", known)
+    near = F.size(F.filter("k", lambda v: v <= 100)).cast("long")
+    ends = [F.col(c).cast("long").alias(c) for c in ("tile_i", "tile_j")]
+    return tiles.select("protein_id", *ends, F.size("d").cast("long").alias("n"), F.size("k").cast("long").alias("n_known"), near.alias("n_near"), F.round(F.array_max("k").cast("double"), 2).alias("max_d"))
+
+
+@query(f"WITH {_LONG}, p AS (SELECT a.protein_id, a.r AS i, b.r AS j, {_FAR} AS d FROM long a JOIN long b ON a.protein_id = b.protein_id AND a.r < b.r) SELECT protein_id, i::BIGINT AS i, j::BIGINT AS j, round(d, 4) AS d FROM p WHERE d <= 20")
+def long_chain_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residues of long chains at most 20 apart."""
+    near = distograms.distogram(b.long_coords(spark, sf_dir), max_distance=20.0)
+    return near.select("protein_id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.round("d", 4).alias("d"))
+
+
 _SHARE = "CASE WHEN hi > lo THEN least(floor((d - lo) / (hi - lo) * 100), 99) ELSE 0 END"
 
 

@@ -14,7 +14,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def spark():
     from pyspark.sql import SparkSession
 
-    os.environ.setdefault("PYTHONPATH", sys.path[0])
+    # workers import from the repository and from the folder of tests, whatever the caller has set
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, (sys.path[0], os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH"))))
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")

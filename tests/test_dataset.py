@@ -176,12 +176,12 @@ def test_discovered_index(spark, tmp_path):
     assert {(r.index_type, r.slug, r.batch, r.protein_id) for r in rows} == {("coordinates", "run", "4", "p"), ("dataset", "run", "2", "p")}
 
 
-def test_order_over_ranges(spark, monkeypatch):
+def test_order_over_ranges(spark):
     """Places are the same whether one range holds all or many do, with ties and nulls."""
     rows = spark.createDataFrame([(k % 37, None if k % 11 == 0 else f"n{k % 53}", k) for k in range(400)], "a int, b string, c int").repartition(5)
     want = {r.c: k for k, r in enumerate(sorted(rows.collect(), key=lambda r: (r.a, r.b is not None, r.b or "", r.c)))}
-    monkeypatch.setattr(ordering, "RANGE_ROWS", 40)
-    assert {r.c: r["rank"] for r in ordering.numbered(rows, "a", "b", "c").collect()} == want
+    for ranges in (None, 1, 11):
+        assert {r.c: r["rank"] for r in ordering.numbered(rows, "a", "b", "c", ranges=ranges).collect()} == want
     assert catalog.batch_count(spark.createDataFrame([("0",), ("12",), ("x1",)], "name string")) == 2
     lists = spark.createDataFrame([("p", [1]), ("q", [1, 2, 3]), ("r", [1, 2])], "id string, h array<int>")
     assert [r.id for r in ordering.longest(lists, "h", "id", 2).collect()] == ["q", "r"]
