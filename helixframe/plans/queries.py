@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 from ..functions.refdata import LETTERS, SUBSTITUTIONS
 from ..operators import catalog, distograms, embeddings, mmcif, ordering, quality, residues, studies
-from ..sources import readers
+from ..sources import readers, staging
+from ..sources.index_log import IndexLog
 from ..streaming import incremental
 from . import bindings as b
 
@@ -226,6 +227,35 @@ def present_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.present_missing(_asked(spark, sf_dir), _held(spark, sf_dir))[0]
 
 
+def _log(spark: SparkSession, sf_dir: str) -> IndexLog:
+    """An index of events by user in four deltas, the first two compacted: a third of the events each, then deletions, then some users anew."""
+    rows = b.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("protein_id"), F.col("event_id").cast("string").alias("path"), "ts", "user_id", (F.col("event_id") % 3).alias("k"))
+    log = IndexLog(spark, staging.new_path(spark, "index_log"), buckets=16)
+    for k in range(2):
+        log.append(rows.where(F.col("k") == k), f"events-{k}", order=("ts",))
+    log.compact()
+    log.append(rows.where("user_id % 11 = 0"), "gone", deleted=True)
+    log.append(rows.where("k = 2 AND user_id % 2 = 0"), "events-2", order=("ts",))
+    log.append(rows, "events-2")  # a run that is committed adds nothing
+    return log
+
+
+_LOGGED = """e AS (SELECT user_id, event_id::VARCHAR AS path, ts, event_id % 3 AS k FROM events),
+d AS (SELECT user_id, k * 2 AS seq, max({'t': ts, 'p': path}).p AS path FROM e WHERE k < 2 OR user_id % 2 = 0 GROUP BY ALL UNION ALL SELECT DISTINCT user_id, 3, NULL FROM e WHERE user_id % 11 = 0),
+latest AS (SELECT user_id::VARCHAR AS protein_id, max({'s': seq, 'p': path}).p AS path FROM d GROUP BY 1)"""
+
+
+@query(f"WITH {_LOGGED} SELECT protein_id, path FROM latest WHERE path IS NOT NULL")
+def index_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _log(spark, sf_dir).latest()
+
+
+@query(f"WITH {_LOGGED} SELECT c_custkey::VARCHAR AS protein_id FROM customer WHERE c_custkey::VARCHAR NOT IN (SELECT protein_id FROM latest WHERE path IS NOT NULL)")
+def index_log_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = b.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("protein_id"))
+    return _log(spark, sf_dir).lookup(asked)[1]
+
+
 @query(f"""WITH {_ATOMS}, idx AS (SELECT protein_id, min(line_no) AS path FROM atoms GROUP BY 1), asked AS (SELECT DISTINCT CASE WHEN o_custkey % 2 = 0 THEN o_orderkey::VARCHAR ELSE concat(o_orderkey, '_R') END AS asked FROM orders)
 SELECT asked, protein_id, path::BIGINT AS path FROM asked JOIN idx ON asked = protein_id OR (NOT contains(asked, '_') AND asked = regexp_replace(protein_id, '_[^_]*$', ''))""")
 def prefix_expand_join(spark: SparkSession, sf_dir: str) -> DataFrame:

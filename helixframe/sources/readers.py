@@ -225,13 +225,18 @@ def entry_types(spark: SparkSession, path: str, types: tuple[str, ...] = PROTEIN
     return of_entry_types(spark.read.text(path), types)
 
 
-def write_json_index(index: DataFrame, path: str) -> None:
-    """The index (protein_id, path) as JSON objects, one line per part of ids, and reversed beside it, one line per part of files; json_index reads both with lines=True."""
-    pair = lambda k, v: F.to_json(F.map_from_entries(F.collect_list(F.struct(k, v))))
-    part = F.spark_partition_id()
-    index.select("protein_id", "path").groupBy(part).agg(pair("protein_id", "path").alias("value")).select("value").write.mode("overwrite").text(f"{path}.idx")
-    back = index.groupBy("path").agg(F.array_sort(F.collect_set("protein_id")).alias("ids"))
-    back.groupBy(part).agg(pair("path", "ids").alias("value")).select("value").write.mode("overwrite").text(f"{path}_reversed.idx")
+def write_json_index(index: DataFrame, path: str, order: tuple[str, ...] = (), each: int = 10_000) -> None:
+    """The index (protein_id, path) as JSON objects of some `each` ids, one on a line, and reversed beside it; json_index reads both with lines=True.
+
+    Of rows with one id the last in `order` counts, then the greatest path, forwards and reversed alike.
+    """
+    rows = index.where("protein_id IS NOT NULL").groupBy("protein_id").agg(F.max_by("path", F.struct(*order, "path")).alias("path"))
+    parts = max(1, rows.count() // each)
+    pair = lambda k, v: F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v))))).alias("value")
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts))
+    rows.groupBy(part("protein_id")).agg(pair("protein_id", "path")).select("value").write.mode("overwrite").text(f"{path}.idx")
+    back = rows.where("path IS NOT NULL").groupBy("path").agg(F.array_sort(F.collect_set("protein_id")).alias("ids"))
+    back.groupBy(part("path")).agg(pair("path", "ids")).select("value").write.mode("overwrite").text(f"{path}_reversed.idx")
 
 
 def write_structures(structures: DataFrame, path: str) -> None:

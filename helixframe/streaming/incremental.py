@@ -1,10 +1,15 @@
-"""Ids that arrive over time: each micro-batch asks the catalog and keeps what is missing."""
+"""Ids that arrive over time: keyed state knows which have been seen, and each micro-batch builds the others."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from ..sources.index_log import IndexLog
 
 
 def watch_ids(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
@@ -12,18 +17,62 @@ def watch_ids(spark: SparkSession, folder: str, files_per_trigger: int = 16) ->
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder).select(F.trim("value").alias("protein_id")).where("protein_id <> ''")
 
 
-def build_missing(ids: DataFrame, catalog_path: str, build, checkpoint: str) -> StreamingQuery:
-    """Calls build(missing ids, batch number) for the distinct ids that the catalog at catalog_path lacks; build adds them there.
+class _FirstSeen(StatefulProcessor):
+    """Tells each key once; keys of the initial state never."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getValueState("seen", "known boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        for _ in rows:  # all of them are to be read
+            pass
+        if not self._seen.exists():
+            self._seen.update((True,))
+            yield pd.DataFrame({"protein_id": [key[0]]})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def first_seen(ids: DataFrame, known: DataFrame) -> DataFrame:
+    """The ids (protein_id) of a stream, each when it first comes, without those that are known when the stream begins.
+
+    Which ids have come is keyed state: a batch touches only its own keys, whatever the catalog's size.
+    """
+    initial = known.select("protein_id").distinct().groupBy("protein_id")
+    return ids.select("protein_id").where("protein_id IS NOT NULL").groupBy("protein_id").transformWithStateInPandas(_FirstSeen(), "protein_id string", "append", "none", initialState=initial)
+
+
+def build_missing(ids: DataFrame, log: IndexLog, build: Callable[[DataFrame, int], DataFrame], checkpoint: str, name: str = "build") -> StreamingQuery:
+    """Calls build(new ids, batch number) for ids that come for the first time and that the log lacks; what it returns (protein_id, path) is added to the log.
 
-    A batch that runs again after a failure finds what the first run added, so nothing is built twice.
+    The log may be empty. It is read whole once, when the checkpoint begins, and never again. A batch is committed to the log under its
+    own name: if it runs again after a failure or a restart, its ids are the same, and where its commit is there already nothing is built.
+    An id that a build left out isn't asked for again by this stream.
     """
+    spark = ids.sparkSession
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        known = spark.read.parquet(catalog_path).select("protein_id")
-        build(batch.select("protein_id").distinct().join(known, "protein_id", "left_anti"), number)
+        run = f"{name}-{number}"
+        if any(c.run == run for c in log.commits()):
+            return
+        found = batch.persist()
+        try:
+            if not found.isEmpty():
+                log.append(build(found, number), run)
+        finally:
+            found.unpersist()
 
-    return ids.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    provider, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, store)  # the query keeps what it starts with
+    try:
+        return first_seen(ids, log.latest()).writeStream.outputMode("append").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(provider, before)
 
 
 def event_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:

@@ -113,19 +113,3 @@ def test_report(spark):
     page = report.index_report(index)
     data = json.loads(page.split('id="d">')[1].split("</script>")[0])
     assert {(r["level"], r["slug"], r["batch"]): (r["files"], r["proteins"]) for r in data}[(1, "s", None)] == (2, 2)
-
-
-def test_stream_builds_only_what_is_missing(spark, tmp_path):
-    known = str(tmp_path / "catalog")
-    spark.createDataFrame([("a",)], "protein_id string").write.parquet(known)
-    (tmp_path / "ids").mkdir()
-    (tmp_path / "ids" / "1.txt").write_text("a\nb\nb\n")
-    built = []
-
-    def build(missing, number):
-        built.extend(r.protein_id for r in missing.collect())
-        missing.write.mode("append").parquet(known)
-
-    for _ in range(2):
-        incremental.build_missing(incremental.watch_ids(spark, str(tmp_path / "ids")), known, build, str(tmp_path / "cp")).awaitTermination()
-    assert built == ["b"]
