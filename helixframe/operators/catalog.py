@@ -5,12 +5,15 @@ An index is a table (dataset_id, index_type, protein_id, path); its reverse is d
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import null_text, without_last_token
+from ..sources.staging import written
 from .ordering import numbered
 
 
@@ -104,16 +107,41 @@ def alike(a: Column, b: Column) -> Column:
     return null_text(a).eqNullSafe(null_text(b))
 
 
+def file_numbers(index: DataFrame) -> DataFrame:
+    """path and file, a number from 0 without gaps, of each distinct path, in their order."""
+    return numbered(index.where("path IS NOT NULL").select("path").distinct(), "path", name="file")
+
+
+def file_bitmaps(index: DataFrame, files: DataFrame) -> DataFrame:
+    """index_type, slug, batch, bucket, proteins and bits: which numbers of files (path, file) a group refers to, 32,768 to a row.
+
+    Rows of other runs with the same numbers may be added: proteins add up, and bits are or-ed.
+    """
+    rows = index.withColumn("batch", F.coalesce(F.col("batch").cast("string"), F.lit("-"))).join(files, "path", "left")
+    at = F.col("file")
+    grouped = rows.groupBy("index_type", "slug", "batch", F.bitmap_bucket_number(at).alias("bucket"))
+    return grouped.agg(F.count("protein_id").alias("proteins"), F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+
+
+def bitmap_stats(bitmaps: DataFrame) -> DataFrame:
+    """Proteins and distinct files of the groups of file_bitmaps at the four levels of index_stats."""
+    out = None
+    for level, by in enumerate((["index_type"], ["index_type", "slug"], ["index_type", "slug", "batch"], ["slug"])):
+        once = bitmaps.groupBy(*by, "bucket").agg(F.sum("proteins").alias("proteins"), F.bitmap_count(F.bitmap_or_agg("bits")).alias("files"))
+        sums = once.groupBy(*by).agg(F.sum("proteins").alias("proteins"), F.sum(F.when(F.col("bucket").isNotNull(), F.col("files")).otherwise(0)).alias("files"))
+        names = [F.col(c) if c in by else F.lit(None).cast("string").alias(c) for c in ("index_type", "slug", "batch")]
+        rows = sums.select(F.lit(level).alias("level"), *names, "proteins", "files")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def index_stats(index: DataFrame) -> DataFrame:
-    """Proteins and files by type, by type and dataset, by type, dataset and batch, and by dataset, in one pass.
+    """Proteins and files by type, by type and dataset, by type, dataset and batch, and by dataset.
 
-    index: index_type, slug, batch, path, protein_id. level is 0 to 3 in that order; a batch without number is `-`.
+    index: index_type, slug, batch, path, protein_id. level is 0 to 3 in that order; a batch without number is `-`. Distinct files are
+    counted exactly on bitmaps of file numbers, written once and merged from level to level, so rows aren't multiplied by levels.
     """
-    rows = index.withColumn("batch", F.coalesce(F.col("batch").cast("string"), F.lit("-")))
-    sets = rows.groupingSets([["index_type"], ["index_type", "slug"], ["index_type", "slug", "batch"], ["slug"]], "index_type", "slug", "batch")
-    g = F.grouping_id("index_type", "slug", "batch")
-    level = F.when(g == 3, 0).when(g == 1, 1).when(g == 0, 2).otherwise(3)
-    return sets.agg(level.alias("level"), F.count("protein_id").alias("proteins"), F.countDistinct("path").alias("files")).select("level", "index_type", "slug", "batch", "proteins", "files")
+    return bitmap_stats(written(file_bitmaps(index, file_numbers(index)), "bitmaps"))
 
 
 def referenced(index: DataFrame, own: str | None = None) -> DataFrame:
@@ -127,25 +155,74 @@ def top_referenced(index: DataFrame, n: int = 50, own: str | None = None) -> Dat
     return referenced(index, own).orderBy(F.desc("files"), F.desc("proteins"), "slug").limit(n)
 
 
-def containing(candidates: DataFrame, wanted: DataFrame, key: str = "id") -> DataFrame:
-    """Candidates whose key contains any wanted key.
+#: Wanted keys of an automaton, and their letters together.
+AUTOMATON_KEYS, AUTOMATON_LETTERS = 200_000, 8_000_000
+
+
+def _automaton(words: Iterable[str]):
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for w in words:
+        a.add_word(w, True)
+    a.make_automaton()
+    return a
 
-    A key of length n is contained where one of the candidate's n-letter pieces equals it, so this is an equi-join
-    over pieces of the lengths that occur.
-    """
-    wanted = wanted.select(F.col(key).alias("piece")).where("piece <> ''").distinct()
-    lengths = [r[0] for r in wanted.select(F.length("piece")).distinct().collect()]  # as many rows as ids have lengths
-    if not lengths:
-        return candidates.limit(0)
-    c = F.col(key)
 
-    def cut(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(c) - n + 1)
-        return F.when(F.length(c) >= n, F.transform(starts, lambda i: F.substring(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+def _holds(a, texts: Iterable[str | None]) -> list[bool]:
+    return [t is not None and next(a.iter(t), None) is not None for t in texts]
 
-    pieces = F.flatten(F.array(*map(cut, lengths)))
-    hits = candidates.select(c, F.explode(F.array_distinct(pieces)).alias("piece")).join(wanted, "piece", "left_semi").select(key).distinct()
-    return candidates.join(hits, key, "left_semi")
+
+def containing(candidates: DataFrame, wanted: DataFrame, key: str = "id", keys: int = AUTOMATON_KEYS) -> DataFrame:
+    """Candidates whose key contains any wanted key; empty wanted keys are none.
+
+    Each candidate is read once by an automaton of the wanted keys. So many as fit one go with the task that reads the candidates.
+    More are dealt over several automata by their first letters, and a candidate goes only to those whose letters it holds.
+    """
+    wanted = wanted.select(F.col(key).cast("string").alias("word")).where("word <> ''").distinct()
+    n, letters, least = wanted.agg(F.count("*"), F.coalesce(F.sum(F.length("word")), F.lit(0)), F.min(F.length("word"))).first()
+    if not n:
+        return candidates.limit(0)
+    parts = max(-(-n // keys), -(-letters // AUTOMATON_LETTERS))
+    if parts == 1:
+        words = [r[0] for r in wanted.collect()]  # no more than fit one automaton
+        column = candidates.columns.index(key)
+
+        def run(batches):
+            a = _automaton(words)
+            for batch in batches:
+                yield batch.filter(pa.array(_holds(a, batch.column(column).to_pylist()), pa.bool_()))
+
+        return candidates.mapInArrow(run, candidates.schema)
+    return candidates.join(_dealt_hits(candidates.select(F.col(key).alias("word")).where("word IS NOT NULL").distinct(), wanted, parts, min(least, 8)).withColumnRenamed("word", key), key, "left_semi")
+
+
+def _dealt_hits(candidates: DataFrame, wanted: DataFrame, parts: int, gram: int) -> DataFrame:
+    """The candidates (word) that contain any of the wanted (word). A part of the wanted has its own automaton, in several tasks that share the part's candidates."""
+    salts = max(1, int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")) // parts)
+    part = lambda g: F.pmod(F.xxhash64(g), F.lit(parts))
+    word = F.col("word")
+    grams = F.transform(F.sequence(F.lit(1), F.length(word) - gram + 1), lambda i: part(F.substring(word, i, F.lit(gram))))
+    asked = candidates.where(F.length(word) >= gram).select(F.explode(F.array_distinct(grams)).alias("part"), F.pmod(F.xxhash64(word), F.lit(salts)).alias("salt"), F.lit(1).alias("kind"), "word")
+    given = wanted.select(part(F.left(word, F.lit(gram))).alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"), F.lit(0).alias("kind"), "word")
+    # wanted keys come first, then the candidates stream past their automaton
+    sorted_ = given.unionByName(asked).repartition("part", "salt").sortWithinPartitions("part", "salt", "kind")
+
+    def run(batches):
+        at, words, a = None, [], None
+        for batch in batches:
+            hits = []
+            for p, s, kind, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (p, s) != at:
+                    at, words, a = (p, s), [], None
+                if kind == 0:
+                    words.append(text)
+                elif words:
+                    a = a or _automaton(words)
+                    hits += [text] if _holds(a, [text])[0] else []
+            yield pa.record_batch([pa.array(hits, pa.string())], names=["word"])
+
+    return sorted_.mapInArrow(run, "word string").distinct()
 
 
 def match_inputs(requested: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,19 +20,25 @@ NEEDED = tuple(f for f in FIELDS if f not in ("pdbx_PDB_ins_code", "pdbx_formal_
 
 
 def atom_rows(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM")) -> tuple[DataFrame, DataFrame]:
-    """Atoms of the first model as text fields (file, line_no, *FIELDS), and lines (file, line_no, line) of another width."""
-    lines = files.select("file", F.posexplode(F.split("text", r"\r?\n")).alias("line_no", "line"))
-    lines = lines.where(F.col("line").startswith("ATOM") | F.col("line").startswith("HETATM") | F.col("line").startswith("_atom_site."))
-    is_name = F.col("line").startswith("_atom_site.")
-    names = lines.where(is_name).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("line_no", F.substring(F.trim("line"), 12, 1000).alias("name")))).alias("h"))
-    at = lambda n: F.array_position(F.transform("h", lambda x: x["name"]), F.lit(n)).cast("int")
-    # a small row per file: the number of fields, and the place of each
-    heads = names.select("file", F.size("h").alias("width"), F.struct(*(at(n).alias(n) for n in FIELDS)).alias("at"))
-    cut = lines.where(~is_name).withColumn("f", F.split(F.trim("line"), r"\s+")).join(heads, "file", "left")
-    fits = F.size("f") == F.coalesce("width", F.lit(0))
-    named = cut.where(fits).select("file", "line_no", *(F.when(F.col(f"at.{n}") > 0, F.get("f", F.col(f"at.{n}") - 1)).alias(n) for n in FIELDS))
-    first = named.groupBy("file").agg(F.min_by(F.struct("pdbx_PDB_model_num"), "line_no").alias("first"))
-    named = named.join(first, "file").where(F.col("pdbx_PDB_model_num").eqNullSafe(F.col("first.pdbx_PDB_model_num"))).drop("first")
+    """Atoms of the first model as text fields (file, line_no, *FIELDS), and lines (file, line_no, line) of another width.
+
+    A text is split once; where its header puts each field and which model is first are told from the split text, so nothing is joined.
+    """
+    is_row = lambda x: x.startswith("ATOM") | x.startswith("HETATM")
+    fields = lambda x: F.split(F.trim(x), r"\s+")
+    split = files.select("file", F.split("text", r"\r?\n").alias("t"))
+    names = F.transform(F.filter("t", lambda x: x.startswith("_atom_site.")), lambda x: F.substring(F.trim(x), 12, 1000))
+    headed = split.select("file", "t", names.alias("h")).withColumn("width", F.size("h"))
+    place = lambda n: F.array_position("h", F.lit(n)).cast("int")
+    # the first row that fits; those after it aren't split for this
+    first = F.aggregate(F.filter("t", is_row), F.lit(None).cast("array<string>"), lambda a, x: F.coalesce(a, F.when(F.size(fields(x)) == F.col("width"), fields(x))))
+    headed = headed.select("file", "t", "width", F.struct(*(place(n).alias(n) for n in FIELDS)).alias("at"), first.alias("first"))
+    of = lambda f, n: F.when(F.col(f"at.{n}") > 0, F.get(f, F.col(f"at.{n}") - 1))
+    model = "pdbx_PDB_model_num"
+    lines = headed.withColumn("model", of("first", model)).select("file", "width", "at", "model", F.posexplode("t").alias("line_no", "line")).where(is_row(F.col("line")))
+    cut = lines.withColumn("f", fields(F.col("line")))
+    fits = F.size("f") == F.col("width")
+    named = cut.where(fits).where(of("f", model).eqNullSafe(F.col("model"))).select("file", "line_no", *(of("f", n).alias(n) for n in FIELDS))
     return named.where(F.col("group_PDB").isin(*rows)), cut.where(~fits).select("file", "line_no", "line")
 
 
@@ -48,18 +54,24 @@ def chains(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM"), strict:
     atoms = atoms.withColumn("res", substitute(F.col("label_comp_id"))).withColumn("fine", ~is_nucleic(F.col("res")) & is_residue(F.col("res")))
     name = F.translate("label_atom_id", "'\"", "")
     line = pdb_line(F.col("group_PDB"), F.col("id"), name, F.col("res"), F.col("auth_asym_id"), F.col("label_seq_id"), F.col("pdbx_PDB_ins_code"), F.col("Cartn_x"), F.col("Cartn_y"), F.col("Cartn_z"), F.col("occupancy"), F.col("B_iso_or_equiv"), F.col("type_symbol"), F.coalesce("pdbx_formal_charge", F.lit("?")), strict)
-    one = F.max_by(F.struct("line_no", line.alias("line")), F.struct(F.col("occupancy").try_cast("double"), -F.col("line_no")))
-    chain = F.concat_ws("_", "file", "auth_asym_id").alias("protein_id")
-    kept = atoms.where("fine").groupBy(chain, "label_seq_id", name.alias("atom_name")).agg(one.alias("one"), F.min("line_no").alias("atom_first"))
+    # rows that go still name their chain: they have no order and no line, so a chain of them alone is an empty text
+    one = F.max_by(F.struct("line_no", line.alias("line")), F.when(F.col("fine"), F.struct(F.col("occupancy").try_cast("double"), -F.col("line_no"))))
+    dealt = atoms.withColumns({"protein_id": F.concat_ws("_", "file", "auth_asym_id"), "atom_name": name}).repartition("protein_id")  # all that follows is within chains
+    kept = dealt.groupBy("protein_id", "label_seq_id", "atom_name").agg(one.alias("one"), F.min(F.when(F.col("fine"), F.col("line_no"))).alias("atom_first"))
     residue = F.min("atom_first").over(Window.partitionBy("protein_id", "label_seq_id")).alias("res_first")
-    text = kept.select("protein_id", residue, "atom_first", F.col("one.line").alias("line")).groupBy("protein_id").agg(F.array_sort(F.collect_list(F.struct("res_first", "atom_first", "line"))).alias("a"))
-    text = text.select("protein_id", F.array_join(F.transform("a", lambda x: x["line"]), "\n").alias("pdb_text"))
-    return atoms.select(chain).distinct().join(text, "protein_id", "left").select("protein_id", F.coalesce("pdb_text", F.lit("")).alias("pdb_text"))
+    item = F.when(F.col("one").isNotNull(), F.struct("res_first", "atom_first", F.col("one.line").alias("line")))
+    text = kept.select("protein_id", residue, "atom_first", "one").groupBy("protein_id").agg(F.array_sort(F.collect_list(item)).alias("a"))
+    return text.select("protein_id", F.array_join(F.transform("a", lambda x: x["line"]), "\n").alias("pdb_text"))
 
 
-def atoms_of_text(structures: DataFrame) -> DataFrame:
-    """The atoms table of structure texts (protein_id, pdb_text): ATOM lines only, numbered as they stand."""
+def atoms_of_text(structures: DataFrame, every: bool = False) -> DataFrame:
+    """The atoms table of structure texts (protein_id, pdb_text): ATOM lines only, numbered as they stand.
+
+    every: structures without atoms give a row without fields.
+    """
     from ..functions.text import pdb_fields
 
-    lines = structures.select("protein_id", F.posexplode(F.split("pdb_text", r"\r?\n")).alias("line_no", "line")).where(F.col("line").startswith("ATOM"))
-    return lines.select("protein_id", "line_no", pdb_fields(F.col("line")).alias("f")).select("protein_id", "line_no", "f.*")
+    numbered = F.transform(F.split("pdb_text", r"\r?\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    atoms = F.filter(numbered, lambda x: x["line"].startswith("ATOM"))
+    lines = structures.select("protein_id", (F.explode_outer if every else F.explode)(atoms).alias("l"))
+    return lines.select("protein_id", "l.line_no", pdb_fields(F.col("l.line")).alias("f")).select("protein_id", "line_no", "f.*")

@@ -422,7 +422,7 @@ def range_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id::VARCHAR AS protein_id, upper(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS sequence FROM documents")
 def fasta_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.parse_fasta(b.fasta_lines(spark, sf_dir))
+    return readers.parse_fasta(b.fasta_lines(spark, sf_dir), F.col("line_no.doc_id"))
 
 
 @query("SELECT event_id, coalesce(try_cast(json_extract_string(props, '$.k') AS BIGINT), -1) AS path FROM events WHERE props IS NOT NULL")
@@ -532,18 +532,17 @@ k AS (SELECT protein_id, res_seq, atom_name, arg_max(line_no, (occupancy, -line_
 o AS (SELECT *, min(f) OVER (PARTITION BY protein_id, res_seq) AS g FROM k), t AS (SELECT protein_id, count(*) AS n_atoms, string_agg(concat(line_no, ':', atom_name, ':', res, ':', res_seq), ' ' ORDER BY g, f) AS atoms FROM o GROUP BY protein_id)
 SELECT i.protein_id, coalesce(n_atoms, 0) AS n_atoms, coalesce(t.atoms, '') AS atoms FROM (SELECT DISTINCT protein_id FROM atoms) i LEFT JOIN t USING (protein_id)""")
 def cif_to_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as mmCIF files, a return flag per chain, and read back as structure texts and atoms."""
+    """Orders written as mmCIF files, a return flag per chain, quoted atom names and a second model, and read back as structure texts and atoms."""
     s = lambda c: F.col(c).cast("string")
     a = b.atoms(spark, sf_dir)
-    row = F.concat_ws(" ", F.lit("ATOM"), s("line_no"), "atom_name", "res_name", F.substring_index("protein_id", "_", -1), s("res_seq"), F.lit("?"), *(F.format_string("%.3f", F.col(c)) for c in "xyz"), F.format_string("%.2f", F.col("occupancy")), F.lit("0.00 C ? 1"))
+    row = F.concat_ws(" ", F.lit("ATOM"), s("line_no"), F.concat(F.lit("'"), "atom_name", F.lit("'")), "res_name", F.substring_index("protein_id", "_", -1), s("res_seq"), F.lit("?"), *(F.format_string("%.3f", F.col(c)) for c in "xyz"), F.format_string("%.2f", F.col("occupancy")), F.lit("0.00 C ?"))
     files = a.groupBy(F.substring_index("protein_id", "_", 1).alias("file")).agg(F.array_sort(F.collect_list(F.struct("protein_id", "line_no", row.alias("row")))).alias("r"))
-    text = F.concat(F.lit("loop_\n" + _CIF_HEAD + "\n"), F.array_join(F.transform("r", lambda x: x["row"]), "\n"), F.lit("\n#\n"))
-    chains = mmcif.chains(files.select("file", text.alias("text")))
-    back = mmcif.atoms_of_text(chains)
-    item = F.concat_ws(":", s("serial"), "atom_name", "res_name", s("res_seq"))
-    lines = back.groupBy("protein_id").agg(F.count("*").alias("n_atoms"), F.array_sort(F.collect_list(F.struct("line_no", item.alias("i")))).alias("l"))
-    told = lines.select("protein_id", "n_atoms", F.array_join(F.transform("l", lambda x: x["i"]), " ").alias("atoms"))
-    return chains.select("protein_id").join(told, "protein_id", "left").select("protein_id", F.coalesce("n_atoms", F.lit(0)).alias("n_atoms"), F.coalesce("atoms", F.lit("")).alias("atoms"))
+    models = F.array_join(F.concat(F.transform("r", lambda x: F.concat(x["row"], F.lit(" 1"))), F.transform("r", lambda x: F.concat(x["row"], F.lit(" 2")))), "\n")
+    text = F.concat(F.lit("loop_\n" + _CIF_HEAD + "\n"), models, F.lit("\n#\n"))
+    back = mmcif.atoms_of_text(mmcif.chains(files.select("file", text.alias("text"))), every=True)
+    item = F.when(F.col("line_no").isNotNull(), F.struct("line_no", F.concat_ws(":", s("serial"), "atom_name", "res_name", s("res_seq")).alias("i")))
+    lines = back.groupBy("protein_id").agg(F.count("line_no").alias("n_atoms"), F.array_sort(F.collect_list(item)).alias("l"))
+    return lines.select("protein_id", "n_atoms", F.array_join(F.transform("l", lambda x: x["i"]), " ").alias("atoms"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

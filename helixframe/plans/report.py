@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import batch_of_path, dataset_identity
 from ..operators.catalog import index_stats
+from ..operators.ordering import numbered
 from ..sources import readers
 
 _PAGE = """<!doctype html><meta charset="utf-8"><title>{title}</title><h1>{title}</h1><input id="f" placeholder="filter by dataset"><table id="t"></table>
@@ -23,6 +24,18 @@ def index_report(index: DataFrame, title: str = "Index report") -> str:
     return _PAGE.format(title=title, data=json.dumps(rows).replace("</", "<\\/"))
 
 
+def write_report(index: DataFrame, path: str, title: str = "Index report", each: int = 5000) -> None:
+    """The same as pages of `each` rows in a folder, `page=0` and so on, each with a link to the next; no row of them passes through the driver."""
+    ordered = numbered(index_stats(index), "level", "index_type", "slug", "batch", name="place").withColumn("page", F.floor(F.col("place") / each))
+    last = F.max("page").over(Window.partitionBy())
+    data = F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("place", "level", "index_type", "slug", "batch", "files", "proteins"))), lambda r: r.dropFields("place")), {"ignoreNullFields": "false"})
+    pages = ordered.groupBy("page").agg(data.alias("data")).withColumn("last", last)
+    head, tail = _PAGE.format(title=title, data="\0").split("\0")
+    link = F.when(F.col("page") < F.col("last"), F.concat(F.lit('<a href="../page='), (F.col("page") + 1).cast("string"), F.lit('">next</a>'))).otherwise("")
+    html = F.concat(F.lit(head), F.replace("data", F.lit("</"), F.lit("<\\/")), F.lit(tail), link)
+    pages.select("page", html.alias("value")).write.mode("overwrite").partitionBy("page").text(path)
+
+
 def described_index(entries: DataFrame) -> DataFrame:
     """index_type, slug, batch, path, protein_id of index entries (index_type, path, protein_id), told by their paths."""
     own = F.regexp_extract("path", r"/dataset_id=[^/]*-([^-/]*)/batch=\d+$", 1)

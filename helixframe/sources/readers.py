@@ -7,7 +7,7 @@ import tarfile
 import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import file_stem, full_id, lower_ids, parse_ranges, range_error
@@ -70,13 +70,29 @@ def range_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return first_of_equal_ranges(good), bad
 
 
-def parse_fasta(lines: DataFrame) -> DataFrame:
-    """protein_id and sequence of FASTA lines (file, line_no, line): the header's first word, the lines up to the next header joined."""
-    header = F.when(F.col("line").startswith(">"), F.struct("line_no", F.regexp_extract("line", r"^>(\S*)", 1).alias("protein_id")))
-    carried = lines.withColumn("h", F.last(header, ignorenulls=True).over(Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
-    body = F.when(~F.col("line").startswith(">"), F.struct("line_no", F.regexp_replace("line", r"\s", "").alias("s")))
-    parts = F.array_sort(F.collect_list(body))
-    return carried.where("h IS NOT NULL").groupBy("file", "h").agg(F.array_join(F.transform(parts, lambda p: p["s"]), "").alias("sequence")).select(F.col("h.protein_id").alias("protein_id"), "sequence")
+#: Lines of a block that carries its header on its own.
+BLOCK_LINES = 100_000
+
+
+def parse_fasta(lines: DataFrame, block: Column | None = None) -> DataFrame:
+    """protein_id and sequence of FASTA lines (file, line_no, line): the header's first word, the lines up to the next header joined.
+
+    Files are cut into blocks of lines (block: a number that never falls with line_no; line_no / BLOCK_LINES where none is given). A block carries
+    its own headers; what stands before its first one belongs to the last header of the blocks before it, which a running
+    maximum over a row per block tells. So no task reads more than a block, however large the file; only pieces of sequences are put together.
+    """
+    cut = lines.withColumn("block", F.floor(F.col("line_no") / BLOCK_LINES) if block is None else block)
+    begins = F.col("line").startswith(">")
+    header = F.when(begins, F.struct("line_no", F.regexp_extract("line", r"^>(\S*)", 1).alias("protein_id")))
+    carried = cut.withColumn("h", F.last(header, ignorenulls=True).over(Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
+    body = F.when(~begins, F.struct("line_no", F.regexp_replace("line", r"\s", "").alias("s")))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(body)), lambda p: p["s"]), "")
+    pieces = carried.groupBy("file", "block", "h").agg(text.alias("s"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut.groupBy("file", "block").agg(F.max(header).alias("last")).select("file", "block", F.last("last", ignorenulls=True).over(before).alias("earlier"))
+    whole = pieces.join(ends, ["file", "block"]).select("file", F.coalesce("h", "earlier").alias("h"), F.struct("block", "s").alias("p")).where("h IS NOT NULL")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["s"]), "")
+    return whole.groupBy("file", "h").agg(joined.alias("sequence")).select(F.col("h.protein_id").alias("protein_id"), "sequence")
 
 
 def fasta(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Readers, the catalog, comparisons and the dataset plan."""
 
 import json
+import random
 import zipfile
 
 import pytest
@@ -86,6 +87,60 @@ def test_containing(spark):
     assert sorted(r.id for r in catalog.containing(ids, wanted).collect()) == ["abcdef", "xyz"]
 
 
+@pytest.mark.parametrize("keys", [1000, 7, 1])
+def test_containing_with_any_number_of_automata(spark, keys):
+    rng = random.Random(keys)
+    word = lambda a, b: "".join(rng.choices("abé_", k=rng.randint(a, b)))
+    texts = [word(0, 14) for _ in range(300)] + [None, "", "a"]
+    words = [word(2, 5) for _ in range(40)] + ["", None]
+    ids = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "id string, n int").repartition(3)
+    wanted = spark.createDataFrame([(w,) for w in words * 2], "id string")
+    want = [k for k, t in enumerate(texts) if t is not None and any(w in t for w in words if w)]
+    found = catalog.containing(ids, wanted, keys=keys)
+    assert sorted(r.n for r in found.collect()) == want and found.columns == ["id", "n"]
+    plan = catalog.containing(ids, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_fasta_by_blocks_of_lines(spark, monkeypatch, size):
+    """Records that span blocks, blocks without a header, lines before the first header, several files, empty records."""
+    monkeypatch.setattr(readers, "BLOCK_LINES", size)
+    text = {1: ["x", ">a one", "AB", " C", "", "D", "E", "F", ">b", ">c", "G"], 2: ["lost"], 3: [">a", *"HIJKLMNOP"]}
+    lines = spark.createDataFrame([(f, k, v) for f, vs in text.items() for k, v in enumerate(vs)], "file int, line_no int, line string").repartition(6)
+    assert sorted(map(tuple, readers.parse_fasta(lines).collect())) == [("a", "ABCDEF"), ("a", "HIJKLMNOP"), ("b", ""), ("c", "G")]
+    assert readers.parse_fasta(lines.limit(0)).count() == 0
+
+
+def test_index_stats_against_counting(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["dataset", "sequences"]), rng.choice(["s", "t", None]), rng.choice([0, 1, None]), rng.choice([*(f"f{k}" for k in range(9)), None]), f"p{k}") for k in range(200)]
+    index = spark.createDataFrame(rows, "index_type string, slug string, batch int, path string, protein_id string").repartition(4)
+    want = {}
+    for t, s, b, f, p in rows:
+        b = "-" if b is None else str(b)
+        for key in ((0, t, None, None), (1, t, s, None), (2, t, s, b), (3, None, s, None)):
+            n, files = want.setdefault(key, [0, set()])
+            want[key][0] += 1
+            files.update({f} - {None})
+    got = catalog.index_stats(index)
+    assert {(r.level, r.index_type, r.slug, r.batch): (r.proteins, r.files) for r in got.collect()} == {k: (n, len(f)) for k, (n, f) in want.items()}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    # bitmaps of two runs, put together
+    files = catalog.file_numbers(index)
+    halves = [catalog.file_bitmaps(index.where(c), files) for c in ("protein_id < 'p5'", "protein_id >= 'p5'")]
+    assert sorted(map(str, catalog.bitmap_stats(halves[0].unionByName(halves[1])).collect())) == sorted(map(str, got.collect()))
+
+
+def test_report_in_pages(spark, tmp_path):
+    index = spark.createDataFrame([("dataset", f"s</{k}", k, f"f{k}", f"p{k}") for k in range(10)], "index_type string, slug string, batch int, path string, protein_id string")
+    report.write_report(index, str(tmp_path / "r"), each=12)
+    pages = {int(p.parent.name[5:]): p.read_text() for p in (tmp_path / "r").glob("page=*/*.txt")}
+    rows = [json.loads(pages[k].split('id="d">')[1].split("</script>")[0]) for k in sorted(pages)]
+    assert [len(r) for r in rows] == [12, 12, 7] and sum(r["files"] for p in rows for r in p if r["level"] == 2) == 10
+    assert "page=1" in pages[0] and "page=3" not in pages[2] and {r["slug"] for p in rows for r in p} == {None, *(f"s</{k}" for k in range(10))}
+
+
 def test_batches(spark):
     df = spark.range(1, 26).withColumnRenamed("id", "k")
     assert {r.k: r.batch for r in catalog.batches(df, "k", 10, 5).collect()} == {k: 5 + (k - 1) // 10 for k in range(1, 26)}
