@@ -93,21 +93,92 @@ def decode(data, encodings: list[dict]):
     return data
 
 
+def skip(data: bytes, at: int) -> int:
+    """Where a MessagePack value ends, without making it."""
+    left = 1  # values still to pass
+    while left:
+        c = data[at]
+        at += 1
+        left -= 1
+        if c < 0x80 or c >= 0xE0 or c in (0xC0, 0xC2, 0xC3):
+            continue
+        if 0xCA <= c <= 0xD3:
+            at += (4, 8, 1, 2, 4, 8, 1, 2, 4, 8)[c - 0xCA]
+        elif c < 0x90:
+            left += 2 * (c & 15)
+        elif c < 0xA0:
+            left += c & 15
+        elif c < 0xC0:
+            at += c & 31
+        elif 0xC4 <= c <= 0xC6 or 0xD9 <= c <= 0xDB:
+            width = 1 << (c - 0xC4 if c < 0xD9 else c - 0xD9)
+            at += width + int.from_bytes(data[at : at + width], "big")
+        elif 0xDC <= c <= 0xDF:
+            width = 4 if c & 1 else 2
+            left += int.from_bytes(data[at : at + width], "big") * (2 if c >= 0xDE else 1)
+            at += width
+        else:
+            raise ValueError(f"unknown MessagePack byte {c:#x}")
+        if at > len(data):
+            raise ValueError("the document ends within a value")
+    return at
+
+
+def _count(data: bytes, at: int, short: int, long: int) -> tuple[int, int]:
+    """Entries of a map or array at a place, and where they begin."""
+    c = data[at]
+    if c & 0xF0 == short:
+        return c & 15, at + 1
+    if c not in (long, long + 1):
+        raise ValueError(f"another kind of value than expected: {c:#x}")
+    width = 2 if c == long else 4
+    return int.from_bytes(data[at + 1 : at + 1 + width], "big"), at + 1 + width
+
+
+def places(data: bytes, at: int) -> dict[str, int]:
+    """Where the value of each key of a map begins."""
+    n, at = _count(data, at, 0x80, 0xDE)
+    out = {}
+    for _ in range(n):
+        key, at = unpack(data, at)
+        out[key] = at
+        at = skip(data, at)
+    return out
+
+
+def elements(data: bytes, at: int):
+    """Where each element of an array begins."""
+    n, at = _count(data, at, 0x90, 0xDC)
+    for _ in range(n):
+        yield at
+        at = skip(data, at)
+
+
+def atom_columns(data: bytes) -> dict[str, dict] | None:
+    """The fields of the first `_atom_site` category; all other categories and columns are leapt over. None if there is no such category."""
+    value = lambda at: unpack(data, at)[0]
+    for block in elements(data, places(data, 0)["dataBlocks"]):
+        for category in elements(data, places(data, block)["categories"]):
+            parts = places(data, category)
+            if value(parts["name"]) == "_atom_site":
+                columns = (places(data, c) for c in elements(data, parts["columns"]))
+                return {name: {k: value(c[k]) for k in ("data", "mask") if k in c} for c in columns if (name := value(c["name"])) in FIELDS}
+    return None
+
+
 def atom_table(content: bytes) -> pd.DataFrame:
     """The fields of the atoms of the first data block that has any, as text; what is masked is missing."""
-    document, _ = unpack(content)
-    for category in (c for block in document["dataBlocks"] for c in block["categories"]):
-        if category["name"] == "_atom_site":
-            cols = {}
-            for c in category["columns"]:
-                if c["name"] in FIELDS:
-                    v = decode(c["data"]["data"], c["data"]["encoding"])
-                    text = [np.format_float_positional(x, min_digits=PLACES.get(c["name"], 0), trim="k") if isinstance(x, (float, np.floating)) else str(x) for x in v]
-                    if c.get("mask"):
-                        text = [None if m else x for x, m in zip(text, decode(c["mask"]["data"], c["mask"]["encoding"]))]
-                    cols[c["name"]] = text
-            return pd.DataFrame({f: cols.get(f) for f in FIELDS})
-    return pd.DataFrame({f: [] for f in FIELDS}, dtype=object)
+    found = atom_columns(content)
+    if found is None:
+        return pd.DataFrame({f: [] for f in FIELDS}, dtype=object)
+    cols = {}
+    for name, c in found.items():
+        v = decode(c["data"]["data"], c["data"]["encoding"])
+        text = [np.format_float_positional(x, min_digits=PLACES.get(name, 0), trim="k") if isinstance(x, (float, np.floating)) else str(x) for x in v]
+        if c.get("mask"):
+            text = [None if m else x for x, m in zip(text, decode(c["mask"]["data"], c["mask"]["encoding"]))]
+        cols[name] = text
+    return pd.DataFrame({f: cols.get(f) for f in FIELDS})
 
 
 def to_cif(files: DataFrame) -> DataFrame:

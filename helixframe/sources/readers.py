@@ -5,8 +5,10 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -142,16 +144,6 @@ def prefer(rows: DataFrame) -> DataFrame:
     return rows.join(best, ["stem", "path"], "left_semi").select("stem", "kind", F.col("value").alias("text"))
 
 
-def _members(file):
-    """(name, function that reads it) of each file in a zip or tar archive."""
-    if zipfile.is_zipfile(file):
-        z = zipfile.ZipFile(file)
-        return [(n, lambda n=n: z.read(n)) for n in z.namelist() if not n.endswith("/")]
-    file.seek(0)
-    t = tarfile.open(fileobj=file)
-    return [(m.name, lambda m=m: t.extractfile(m).read()) for m in t if m.isfile()]
-
-
 def _open(path: str):
     from pyarrow import fs
 
@@ -159,36 +151,102 @@ def _open(path: str):
     return system.open_input_file(at)
 
 
-def _listed(frames):
-    import pandas as pd
-
-    for pdf in frames:
-        for path in pdf["path"]:
-            with _open(path) as f:
-                names = [n for n, _ in _members(f)]
-            yield pd.DataFrame({"path": [path] * len(names), "name": names})
+#: How a member lies in its archive: as it is, deflated, in another zip coding, or behind a compressed tar's stream.
+STORED, DEFLATED, CODED, STREAMED = range(4)
+LISTED = "path string, name string, at long, size long, packing int"
+#: Bytes of an archive whose members one task reads together.
+STRETCH = 64 << 20
 
 
-def _read(frames):
-    """Rows are sorted by path, so an archive is opened once a task."""
-    import pandas as pd
-
-    held, read, file = None, {}, None
-    for pdf in frames:
-        for path, name in zip(pdf["path"], pdf["name"]):
-            if path != held:
-                file = _open(path)
-                held, read = path, dict(_members(file))
-            yield pd.DataFrame({"path": [path], "name": [name], "content": [read[name]()]})
+def member_table(file) -> list[tuple[str, int, int, int]]:
+    """(name, at, size, packing) of each file in a zip or tar archive, from its directory or its headers alone.
 
+    A tar's headers stand before the members' bytes, which are leapt over. A compressed tar has to be read through.
+    """
+    if zipfile.is_zipfile(file):
+        packing = {zipfile.ZIP_STORED: STORED, zipfile.ZIP_DEFLATED: DEFLATED}
+        return [(i.filename, i.header_offset, i.compress_size, CODED if i.flag_bits & 1 else packing.get(i.compress_type, CODED)) for i in zipfile.ZipFile(file).infolist() if not i.is_dir()]
+    file.seek(0)
+    try:
+        plain = tarfile.open(fileobj=file, mode="r:")
+    except tarfile.ReadError:
+        file.seek(0)
+        return [(m.name, m.offset_data, m.size, STREAMED) for m in tarfile.open(fileobj=file, mode="r|*") if m.isfile()]
+    return [(m.name, m.offset_data, m.size, CODED if m.sparse else STORED) for m in plain if m.isfile()]
 
-def _unpacked(frames):
-    import pandas as pd
 
-    for pdf in frames:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            for name, read in _members(io.BytesIO(content)):
-                yield pd.DataFrame({"path": [path], "name": [name], "content": [read()]})
+def _is_zip(file) -> bool:
+    file.seek(0)
+    return file.read(2) == b"PK"
+
+
+def _content(file, name: str, at: int, size: int, packing: int) -> bytes:
+    """A member's bytes: read where it lies, whatever the archive's size."""
+    if packing == CODED:
+        if zipfile.is_zipfile(file):
+            return zipfile.ZipFile(file).read(name)
+        file.seek(0)
+        return tarfile.open(fileobj=file).extractfile(name).read()
+    if _is_zip(file):
+        file.seek(at)
+        head = file.read(30)  # the local header, then the name and an extra field of their own lengths
+        at += 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little")
+    file.seek(at)
+    data = file.read(size)
+    return zlib.decompress(data, -15) if packing == DEFLATED else data
+
+
+def _listed(batches):
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with _open(path) as f:
+                rows = member_table(f)
+            for lo in range(0, len(rows), 10_000):
+                names, *numbers = zip(*rows[lo : lo + 10_000])
+                columns = [pa.array([path] * len(names)), pa.array(names), *(pa.array(n, pa.int64()) for n in numbers[:2]), pa.array(numbers[2], pa.int32())]
+                yield pa.record_batch(columns, names=["path", "name", "at", "size", "packing"])
+
+
+def _read(batches):
+    """Rows are sorted by path and place, so an archive is opened once a task and read forwards."""
+    held = file = None
+    for batch in batches:
+        for path, name, at, size, packing in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            if path != held:
+                if file is not None:
+                    file.close()
+                held, file = path, _open(path)
+            yield _member(path, name, _content(file, name, at, size, packing))
+
+
+def _streamed(batches):
+    """Members of compressed tars: all rows of an archive are in one task, which reads it through once."""
+    wanted: dict[str, set[str]] = {}
+    for batch in batches:
+        for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            wanted.setdefault(path, set()).add(name)
+    for path, names in wanted.items():
+        with _open(path) as f:
+            t = tarfile.open(fileobj=f, mode="r|*")
+            for m in t:
+                if m.name in names and m.isfile():
+                    yield _member(path, m.name, t.extractfile(m).read())
+
+
+def _member(path: str, name: str, content: bytes) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([path]), pa.array([name]), pa.array([content], pa.binary())], names=["path", "name", "content"])
+
+
+def _unpacked(batches):
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            file = io.BytesIO(content)
+            for row in member_table(file):
+                if row[3] == STREAMED:
+                    file.seek(0)
+                    yield _member(path, row[0], tarfile.open(fileobj=file).extractfile(row[0]).read())
+                else:
+                    yield _member(path, row[0], _content(file, *row))
 
 
 KINDS = ("pdb", "cif", "bcif")
@@ -197,24 +255,29 @@ KINDS = ("pdb", "cif", "bcif")
 def archives(spark: SparkSession, path: str, choose: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """path, stem, kind, content (bytes) of the structure files in zip and tar archives; choose tells which stems (stem) to read.
 
-    Members are listed first, by reading an archive's directory, and then read by many tasks; the archive itself is never
-    whole in memory, but for stores that pyarrow.fs doesn't know: there a task unpacks it, and it must be under 2 GiB.
+    Members are listed first, with where they lie, by reading an archive's directory or headers; then many tasks read each its
+    own stretch of the archive. Only a compressed tar is read through, by one task. Stores that pyarrow.fs doesn't know are
+    read whole by Spark: there a task unpacks an archive, and it must be under 2 GiB.
     """
     found = spark.read.format("binaryFile").load(path)
     kind = F.lower(F.substring_index("name", ".", -1))
     stem = F.regexp_replace(F.substring_index("name", "/", -1), r"\.(pdb|cif|bcif)", "")
+    told = ["path", stem.alias("stem"), kind.alias("kind"), "content"]
+    content = "path string, name string, content binary"
     first = found.select("path").first()
     try:
         if first is not None:
             _open(first["path"]).close()
     except (OSError, ValueError, ImportError, NotImplementedError):
-        every = found.select("path", "content").mapInPandas(_unpacked, "path string, name string, content binary").where(kind.isin(*KINDS)).select("path", stem.alias("stem"), kind.alias("kind"), "content")
+        every = found.select("path", "content").mapInArrow(_unpacked, content).where(kind.isin(*KINDS)).select(*told)
         return every if choose is None else every.join(choose(every.select("stem").distinct()), "stem", "left_semi")
-    names = found.select("path").mapInPandas(_listed, "path string, name string").where(kind.isin(*KINDS)).withColumn("stem", stem)
+    names = found.select("path").mapInArrow(_listed, LISTED).where(kind.isin(*KINDS)).withColumn("stem", stem)
     if choose is not None:
         names = names.join(choose(names.select("stem").distinct()), "stem", "left_semi")
-    spread = names.select("path", "name").repartition(F.when(F.col("path").endswith(".zip"), F.col("name")).otherwise(F.col("path"))).sortWithinPartitions("path")  # a tar can only be read through
-    return spread.mapInPandas(_read, "path string, name string, content binary").select("path", stem.alias("stem"), kind.alias("kind"), "content")
+    names = names.select(*(c.split()[0] for c in LISTED.split(", ")))
+    ranged = names.where(F.col("packing") != STREAMED).repartition("path", F.floor(F.col("at") / STRETCH)).sortWithinPartitions("path", "at").mapInArrow(_read, content)
+    through = names.where(F.col("packing") == STREAMED).repartition("path").mapInArrow(_streamed, content)
+    return ranged.unionByName(through).select(*told)
 
 
 def lookup_entries(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
