@@ -12,6 +12,7 @@ from typing import Protocol
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.refdata import EMBEDDERS
 
@@ -51,23 +52,47 @@ def factory_of(name: str) -> Callable[[], Embedder]:
     return _factories[name]
 
 
-def embeddings(sequences: DataFrame, factory: Callable[[], Embedder], batch: int = 64) -> DataFrame:
+#: Tokens of a model's batch, padding counted, and ranges of lengths.
+TOKENS = 16_384
+
+
+def batches_by_tokens(lengths: list[int], tokens: int) -> list[tuple[int, int]]:
+    """Cuts of a list of rising lengths into stretches that fit the budget once padded to their longest; one that alone exceeds it stands alone."""
+    cuts, lo = [], 0
+    for k, n in enumerate(lengths):
+        if k > lo and (k - lo + 1) * n > tokens:
+            cuts.append((lo, k))
+            lo = k
+    return cuts + ([(lo, len(lengths))] if lo < len(lengths) else [])
+
+
+def embeddings(sequences: DataFrame, factory: Callable[[], Embedder], tokens: int = TOKENS, ranges: int | None = None) -> DataFrame:
     """protein_id, emb (array<array<float>>, rows = residues + 2) of sequences (protein_id, sequence); null sequences are left out.
 
-    Sequences of a batch are taken in order of length, so that a model pads little.
+    Sequences are dealt by ranges of length and sorted within them, so those of a batch are about equally long whatever order they came in, and a
+    batch, padded to its longest, has `tokens` tokens at most (start and end counted). A batch may span Arrow batches. ranges: the
+    session's shuffle partitions where none is given.
     """
 
     def run(frames):
-        model = factory()
+        model, held = factory(), []
+
+        def embedded(part):
+            found = model.embed([s for _, s in part])
+            for (_, s), e in zip(part, found, strict=True):
+                if e.shape != (len(s) + 2, model.width):
+                    raise ValueError(f"a sequence of {len(s)} residues got an array of shape {e.shape}")
+            return pd.DataFrame({"protein_id": [p for p, _ in part], "emb": [list(e) for e in found]})
+
         for pdf in frames:
-            pdf = pdf.assign(n=pdf["sequence"].str.len()).sort_values("n")
-            for lo in range(0, len(pdf), batch):
-                part = pdf.iloc[lo : lo + batch]
-                found = model.embed(part["sequence"].tolist())
-                for s, e in zip(part["sequence"], found):
-                    if e.shape != (len(s) + 2, model.width):
-                        raise ValueError(f"a sequence of {len(s)} residues got an array of shape {e.shape}")
-                yield pd.DataFrame({"protein_id": part["protein_id"].tolist(), "emb": [list(e) for e in found]})
-
-    rows = sequences.select("protein_id", "sequence").where("sequence IS NOT NULL")
-    return rows.mapInPandas(run, "protein_id string, emb array<array<float>>")
+            held += zip(pdf["protein_id"], pdf["sequence"])
+            cuts = batches_by_tokens([len(s) + 2 for _, s in held], tokens)
+            for lo, hi in cuts[:-1]:  # the last may go on in the next frame
+                yield embedded(held[lo:hi])
+            held = held[cuts[-1][0] :] if cuts else []
+        if held:
+            yield embedded(held)
+
+    rows = sequences.select("protein_id", "sequence").where("sequence IS NOT NULL").withColumns({"_n": F.length("sequence"), "_any": F.xxhash64("protein_id")})
+    spread = rows.repartitionByRange("_n", "_any") if ranges is None else rows.repartitionByRange(ranges, "_n", "_any")
+    return spread.sortWithinPartitions("_n", "_any").select("protein_id", "sequence").mapInPandas(run, "protein_id string, emb array<array<float>>")

@@ -42,3 +42,8 @@ def longest(rows: DataFrame, items: str, key: str, n: int | None = None) -> Data
     """Rows by the number of their items, most first, then by key; the first n."""
     ordered = rows.orderBy(F.size(items).desc(), key)
     return ordered if n is None else ordered.limit(n)
+
+
+def by_number(rows: DataFrame, column: str, *then: str) -> DataFrame:
+    """Rows in the order of a column's whole number, such as a count of cores that was read as text; what is no number comes last."""
+    return rows.orderBy(F.col(column).cast("string").try_cast("long").asc_nulls_last(), *then)

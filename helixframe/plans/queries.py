@@ -126,9 +126,10 @@ def _coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residues.coordinates(b.atoms(spark, sf_dir))
 
 
-@query(f"WITH {_PAIRS} SELECT protein_id, i::BIGINT AS i, j::BIGINT AS j, round(d, 4) AS d FROM pairs")
+@query(f"WITH {_PAIRS} SELECT protein_id, i::BIGINT AS i, j::BIGINT AS j, round(d * 10000)::BIGINT AS d FROM pairs")
 def distogram_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distograms.distogram(_coords(spark, sf_dir)).select("protein_id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.round("d", 4).alias("d"))
+    """All pairs; distances in ten-thousandths."""
+    return distograms.distogram(_coords(spark, sf_dir)).select("protein_id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), F.round(F.col("d") * 10000).cast("long").alias("d"))
 
 
 @query(f"WITH {_PAIRS} SELECT protein_id, count(*)::BIGINT AS n_pairs, count(d)::BIGINT AS n_known, round(coalesce(sum(d), 0), 2) AS total FROM pairs GROUP BY protein_id")

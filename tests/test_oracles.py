@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import SMALL, same_rows
+from helixframe.plans import file_queries  # noqa: F401 (registers its queries)
 from helixframe.plans.queries import ORACLES, QUERIES
 
 

@@ -4,11 +4,12 @@ import json
 import random
 import zipfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helixframe.functions import text as t
-from helixframe.operators import catalog, embeddings, quality
+from helixframe.operators import catalog, embeddings, ordering, quality
 from helixframe.plans import dataset, report
 from helixframe.sources import readers
 from helixframe.streaming import incremental
@@ -168,3 +169,30 @@ def test_report(spark):
     page = report.index_report(index)
     data = json.loads(page.split('id="d">')[1].split("</script>")[0])
     assert {(r["level"], r["slug"], r["batch"]): (r["files"], r["proteins"]) for r in data}[(1, "s", None)] == (2, 2)
+
+
+def test_embedding_batches_keep_to_a_budget(spark):
+    """Long and short sequences in any order: no batch, padded, exceeds the budget unless one sequence alone does."""
+    rng = random.Random(8)
+    rows = [(f"p{k}", "A" * rng.choice((1, 5, 40, 41, 300, 900))) for k in range(400)] + [("none", None), ("empty", "")]
+    budget = 800
+
+    class Checked(embeddings.HashEmbedder):
+        def embed(self, sequences):
+            padded = max(len(s) + 2 for s in sequences) * len(sequences)
+            if padded > budget and len(sequences) > 1:
+                raise ValueError(f"{padded} tokens")
+            return [np.full((len(s) + 2, self.width), padded, np.float32) for s in sequences]
+
+    df = spark.createDataFrame(rows, "protein_id string, sequence string").repartition(7)
+    for ranges in (1, 5, None):
+        got = {r.protein_id: r.emb for r in embeddings.embeddings(df, lambda: Checked(3), budget, ranges).collect()}
+        assert set(got) == {p for p, s in rows if s is not None} and all(len(got[p]) == len(s) + 2 for p, s in rows if s is not None)
+        used = [got[p][0][0] for p, s in rows if s is not None and len(s) == 1]
+        assert ranges != 1 or sum(used) / len(used) > budget * 0.8  # short ones are put together
+    assert embeddings.batches_by_tokens([], 5) == [] and embeddings.batches_by_tokens([3, 3, 9, 9], 6) == [(0, 2), (2, 3), (3, 4)]
+
+
+def test_rows_by_cores(spark):
+    rows = spark.createDataFrame([("8", "b"), ("16", "a"), (" 4 ", "c"), ("x", "d"), (None, "e"), ("8", "a")], "cores string, run string")
+    assert [(r.cores, r.run) for r in ordering.by_number(rows, "cores", "run").collect()] == [(" 4 ", "c"), ("8", "a"), ("8", "b"), ("16", "a"), ("x", "d"), (None, "e")]
