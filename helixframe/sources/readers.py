@@ -196,6 +196,23 @@ def _content(file, name: str, at: int, size: int, packing: int) -> bytes:
     return zlib.decompress(data, -15) if packing == DEFLATED else data
 
 
+def _together(members):
+    """(path, name, content) of members as record batches of a few megabytes; a larger member is one on its own."""
+    held, size = [], 0
+    for m in members:
+        held.append(m)
+        size += len(m[2])
+        if size > 4 << 20 or len(held) == 1000:
+            yield _members_batch(held)
+            held, size = [], 0
+    if held:
+        yield _members_batch(held)
+
+
+def _members_batch(held: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*held), (pa.string(), pa.string(), pa.binary()))], names=["path", "name", "content"])
+
+
 def _listed(batches):
     for batch in batches:
         for path in batch.column(0).to_pylist():
@@ -207,7 +224,7 @@ def _listed(batches):
                 yield pa.record_batch(columns, names=["path", "name", "at", "size", "packing"])
 
 
-def _read(batches):
+def _ranged(batches):
     """Rows are sorted by path and place, so an archive is opened once a task and read forwards."""
     held = file = None
     for batch in batches:
@@ -216,10 +233,10 @@ def _read(batches):
                 if file is not None:
                     file.close()
                 held, file = path, _open(path)
-            yield _member(path, name, _content(file, name, at, size, packing))
+            yield path, name, _content(file, name, at, size, packing)
 
 
-def _streamed(batches):
+def _through(batches):
     """Members of compressed tars: all rows of an archive are in one task, which reads it through once."""
     wanted: dict[str, set[str]] = {}
     for batch in batches:
@@ -230,23 +247,31 @@ def _streamed(batches):
             t = tarfile.open(fileobj=f, mode="r|*")
             for m in t:
                 if m.name in names and m.isfile():
-                    yield _member(path, m.name, t.extractfile(m).read())
-
+                    yield path, m.name, t.extractfile(m).read()
 
-def _member(path: str, name: str, content: bytes) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([path]), pa.array([name]), pa.array([content], pa.binary())], names=["path", "name", "content"])
 
-
-def _unpacked(batches):
+def _whole(batches):
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             file = io.BytesIO(content)
             for row in member_table(file):
                 if row[3] == STREAMED:
                     file.seek(0)
-                    yield _member(path, row[0], tarfile.open(fileobj=file).extractfile(row[0]).read())
+                    yield path, row[0], tarfile.open(fileobj=file).extractfile(row[0]).read()
                 else:
-                    yield _member(path, row[0], _content(file, *row))
+                    yield path, row[0], _content(file, *row)
+
+
+def _read(batches):
+    return _together(_ranged(batches))
+
+
+def _streamed(batches):
+    return _together(_through(batches))
+
+
+def _unpacked(batches):
+    return _together(_whole(batches))
 
 
 KINDS = ("pdb", "cif", "bcif")

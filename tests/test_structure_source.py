@@ -101,7 +101,7 @@ def test_a_task_reads_no_more_than_its_members(monkeypatch, kind):
     monkeypatch.setattr(readers, "_open", counted)
     some = [r for r in listed if r[0] in ("f3/3.cif", "f8/8.cif", "empty.pdb", "x" * 150 + ".pdb")]
     batch = pa.record_batch([pa.array(["p"] * len(some)), *(pa.array(c) for c in zip(*some))], names=["path", "name", "at", "size", "packing"])
-    got = {b.column(1)[0].as_py(): b.column(2)[0].as_py() for b in readers._read([batch])}
+    got = {n: c for b in readers._read([batch]) for n, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist())}
     assert got == {r[0]: FILES[r[0]] for r in some}
     assert len(opened) == 1 and opened[0].read_bytes < sum(r[2] for r in some) + 1000
 
@@ -113,7 +113,7 @@ def test_archives_through_spark(spark, tmp_path, monkeypatch, kind, name):
     assert {(r.stem, bytes(r.content)) for r in readers.archives(spark, str(tmp_path)).collect()} == want
     chosen = readers.archives(spark, str(tmp_path), lambda stems: stems.where("stem IN ('3', 'empty')"))
     assert {(r.stem, bytes(r.content)) for r in chosen.collect()} == {("3", FILES["f3/3.cif"]), ("empty", b"")}
-    assert {(b.column(1)[0].as_py(), b.column(2)[0].as_py()) for b in readers._unpacked([pa.record_batch([pa.array(["p"]), pa.array([archive(kind, FILES)])], names=["path", "content"])])} >= set(FILES.items())
+    assert {m for b in readers._unpacked([pa.record_batch([pa.array(["p"]), pa.array([archive(kind, FILES)])], names=["path", "content"])]) for m in zip(b.column(1).to_pylist(), b.column(2).to_pylist())} >= set(FILES.items())
 
 
 def test_only_the_atoms_are_entered(monkeypatch):
