@@ -12,7 +12,7 @@ held against one centre, the set whose shingles are most frequent, so large grou
 proportion to their size. Where a centre's sets are of several components after that, they are compared with
 each other in blocks, and only links leave a block, so no link is lost and no group's pairs are written out.
 
-Hashes are 64 bits wide for words, shingles and sets; within a fragment shingles are told apart by 32 more bits.
+Hashes are 64 bits wide for words, shingles and sets, within fragments as well.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; fewer than five
 words are one shingle; equal rows link; rows with equal ids are separate documents; empty tables give no rows;
@@ -123,7 +123,7 @@ def _cut(k: int, fragments: int, common: np.ndarray):
             h, owner = h[rare], owner[rare]
             frag = ((h >> U64(32)) * U64(fragments)) >> U64(32)
             order = np.argsort(frag.astype(np.uint16 if fragments < 65536 else np.uint32), kind="stable")
-            yield from _tell(list(_pack(frag[order].astype(np.int64), owner[order], sig, n, [h[order].astype("<u4")])), CUT)
+            yield from _tell(list(_pack(frag[order].astype(np.int64), owner[order], sig, n, [h[order].astype("<u8")])), CUT)
 
     return run
 
@@ -163,7 +163,7 @@ def _level(df: np.ndarray) -> np.ndarray:
 
 
 def _known(k: int, fragments: int, common: np.ndarray, levels: np.ndarray):
-    """The common shingles of each set, under their places in the list, as if from one more fragment."""
+    """The common shingles of each set, as if from one more fragment."""
 
     def run(batches):
         for h, owner, sig, n in _runs(batches, k):
@@ -171,7 +171,7 @@ def _known(k: int, fragments: int, common: np.ndarray, levels: np.ndarray):
             owner, at = owner[hit], at[hit]
             bucket = (sig[owner] % U64(fragments)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            packed = _pack(bucket[order], owner[order], sig, n, [at[order].astype("<u4"), levels[at[order]]])
+            packed = _pack(bucket[order], owner[order], sig, n, [common[at[order]].astype("<u8"), levels[at[order]]])
             yield from _tell([(b, fragments, *rest) for b, *rest in packed], SHARED)
 
     return run
@@ -181,7 +181,7 @@ def _unpack(pdf: pd.DataFrame):
     sig = np.frombuffer(b"".join(pdf["sigs"]), U64)
     counts = np.frombuffer(b"".join(pdf["counts"]), "<u4").astype(np.int64)
     n = np.frombuffer(b"".join(pdf["ns"]), "<u4").astype(np.int64)
-    low = np.frombuffer(b"".join(pdf["low"]), "<u4")
+    low = np.frombuffer(b"".join(pdf["low"]), "<u8")
     return sig, counts, n, low
 
 
@@ -232,9 +232,9 @@ def _activate(percent: int, fragments: int):
         active = shared >= need
         level = np.bincount(np.repeat(who, counts), df, minlength=len(ids)) / np.maximum(size, 1)
         owner = np.repeat(who, counts)
-        key = (np.repeat(frag, counts).astype(np.int64) << 32) | low.astype(np.int64)
         keep = active[owner]
-        owner, key, df = owner[keep], key[keep], df[keep]
+        owner, key, df = owner[keep], low[keep].view(np.int64), df[keep]
+        cuts = np.linspace(-(2**63), 2**63, PARTS + 1)[1:-1].astype(np.int64)
         out = []
         order = np.lexsort((key, df, owner))
         owner, key = owner[order], key[order]
@@ -243,7 +243,7 @@ def _activate(percent: int, fragments: int):
             o = owner[a]
             prefix = key[a : a + int(shared[o] - need[o]) + 1]
             keys = np.sort(key[a:b])
-            at = np.searchsorted(keys, (np.arange(PARTS + 1) * (fragments + 1) // PARTS) << 32)
+            at = np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)]))
             for part in range(PARTS):
                 out.append((int(ids[o].astype(np.int64)), int(size[o]), int(shared[o]), float(level[o]), part, keys[at[part] : at[part + 1]].astype("<i8").tobytes(), prefix.tolist() if part == 0 else None))
         return pd.DataFrame(out, columns=["sig", "n", "shared", "score", "part", "keys", "prefix"])
@@ -330,10 +330,11 @@ def _rest(around: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
     members = members.join(mixed, "centre").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")))
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "sig", "n", "component")
-    # small groups share a call
-    dealt = materialize(dealt.withColumn("call", F.pmod(F.xxhash64("centre", "x", "y"), F.lit(4096))), "dealt")
-    kind = "a long, b long"
-    return dealt.join(sets, "sig").groupBy("call").applyInPandas(_compare(percent), kind)
+    dealt = materialize(dealt.withColumn("call", F.xxhash64("centre", "x", "y")), "dealt")
+    # small groups share a call, and calls grow with the sets
+    calls = 4096 + dealt.count() // BLOCK
+    dealt = dealt.withColumn("call", F.pmod("call", F.lit(calls)))
+    return dealt.join(sets, "sig").groupBy("call").applyInPandas(_compare(percent), "a long, b long")
 
 
 def _linked(group: pd.DataFrame, percent: int):

@@ -7,6 +7,8 @@ from hashlib import sha256
 from math import log10
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +84,28 @@ def test_blocks_and_common_shingles_lose_no_link(spark, monkeypatch):
     assert sorted(map(tuple, ngram_join.classes(make_docs(spark, rows)).collect())) == sorted(classes_of(rows))
 
 
+def test_shingles_alike_in_half_their_bits_stay_apart(monkeypatch):
+    """Hashes that differ in their upper halves only, many of them in one fragment: keys of a set stay distinct, and overlaps are exact."""
+    texts = [t for _, t, _ in chain_rows()]
+    real = ngram_join.shingle_sets
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda *a: ((h := real(*a))[0] & ~np.uint64(0xFFFFFFFF), h[1]))
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    told = lambda batches: pd.concat([b.to_pandas() for b in batches])
+    cut = told(ngram_join._cut(5, 2, np.zeros(0, np.uint64))([batch]))
+    shared = pd.concat([ngram_join._fragment(2)(g) for _, g in cut.groupby("frag")])
+    active = pd.concat([ngram_join._activate(75, 2)(g) for _, g in shared.groupby("bucket")])
+    keys = {s: np.concatenate([np.frombuffer(k, "<i8") for k in g.sort_values("part")["keys"]]) for s, g in active.groupby("sig")}
+    assert len(keys) > 60 and all((np.diff(k) > 0).all() for k in keys.values())
+    assert all(len(keys[s]) == g["shared"].iloc[0] for s, g in active.groupby("sig"))
+    n = {s: g["n"].iloc[0] for s, g in active.groupby("sig")}
+    got = sorted((int(n[a]), int(n[b]), len(np.intersect1d(keys[a], keys[b]))) for a in keys for b in keys if a < b)
+    sets = {frozenset(shingles(t)) for t in texts}
+    held = Counter(x for s in sets for x in s)
+    sets = [s for s in sets if sum(held[x] > 1 for x in s) >= -(-75 * len(s) // 100)]
+    want = Counter(tuple(sorted((len(a), len(b)))) + (len(a & b),) for k, a in enumerate(sets) for b in sets[:k])
+    assert Counter(tuple(sorted(x[:2])) + x[2:] for x in got) == want
+
+
 def test_one_document_of_each_class_stays(spark, odd_docs, odd_rows):
     kept = ngram_join.representatives(odd_docs)
     assert kept.columns == odd_docs.columns
