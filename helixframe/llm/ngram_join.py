@@ -35,7 +35,7 @@ from .textkernels import U64, byte_column, chunks, mix, shingle_sets
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Shingles of a fragment on average, and parts in which overlaps are counted.
-FRAGMENT_SHINGLES = 4_000_000
+FRAGMENT_SHINGLES = 2_000_000
 PARTS = 4
 #: Shingles in this share of all documents, and in so many at least, don't go to a fragment; see common_shingles.
 COMMON_SHARE, COMMON_DOCS = 1e-3, 1000
