@@ -34,8 +34,11 @@ from .textkernels import U64, byte_column, chunks, mix, shingle_sets
 
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Shingles of a fragment on average, and parts in which overlaps are counted.
+#: Shingles of a fragment on average.
 FRAGMENT_SHINGLES = 2_000_000
+#: Shingles that a task cuts together.
+RUN_SHINGLES = 1_000_000
+#: Parts in which overlaps are counted.
 PARTS = 4
 #: Shingles in this share of all documents, and in so many at least, don't go to a fragment; see common_shingles.
 COMMON_SHARE, COMMON_DOCS = 1e-3, 1000
@@ -82,7 +85,7 @@ ACTIVE = "sig long, n long, shared long, score float, part int, keys binary, pre
 
 
 def _runs(batches, k: int):
-    """Distinct sets in runs of about two million shingles: hashes, the set of each, set hashes, set sizes."""
+    """Distinct sets in runs of about RUN_SHINGLES shingles: hashes, the set of each, set hashes, set sizes."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush():
@@ -101,7 +104,7 @@ def _runs(batches, k: int):
         for lo, hi in chunks(off):
             held.append(shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k))
             size += len(held[-1][0])
-            if size > 2_000_000:
+            if size > RUN_SHINGLES:
                 yield flush()
                 held, size = [], 0
     if size:
@@ -455,11 +458,10 @@ def representatives(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> Data
     def sign(batches):
         for batch in batches:
             data, off = byte_column(batch, "text")
-            n, sig = np.zeros(len(batch), np.int64), np.zeros(len(batch), U64)
-            for lo, hi in chunks(off):
+            for lo, hi in chunks(off):  # rows leave with their texts, a megabyte at a time
                 h, at = shingle_sets(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], k)
-                n[lo:hi], sig[lo:hi] = np.diff(at), _signatures(h, at)
-            yield pa.record_batch([*batch.columns, pa.array(sig.view(np.int64), mask=n == 0)], names=[*batch.schema.names, "__sig"])
+                sig = pa.array(_signatures(h, at).view(np.int64), mask=np.diff(at) == 0)
+                yield pa.record_batch([*batch.slice(lo, hi - lo).columns, sig], names=[*batch.schema.names, "__sig"])
 
     signed = docs.mapInArrow(sign, StructType([*docs.schema.fields]).add("__sig", LongType()))
     first = F.row_number().over(Window.partitionBy("doc_id", "__sig").orderBy(F.xxhash64("text")))
