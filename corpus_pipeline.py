@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from helixframe.llm import mixing, ngram_join, packing, quality_crf, repeats
-from helixframe.llm.storage import documents, materialize
+from helixframe.llm.storage import documents, materialize, small_batches
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model accepts."""
+    small_batches(spark)  # for the stages that follow as well
     return quality_crf.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

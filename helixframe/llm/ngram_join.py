@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from .components import components
-from .storage import materialize
+from .storage import materialize, small_batches
 from .textkernels import U64, byte_column, chunks, mix, shingle_sets
 
 #: Links have 100 * intersection >= PERCENT * union.
@@ -295,6 +295,7 @@ def similar_sets(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> tuple[D
 
 def _joined(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As similar_sets, and the (sig, part, keys) of the sets that can link."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = materialize(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, sig long"), "sets")
     n_docs, total = described.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()

@@ -31,6 +31,20 @@ def materialize(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return table
 
 
+#: Bytes of texts that travel to Python and back at a time, where the session has Spark's own bound.
+BATCH_BYTES = 4 << 20
+_BOUND, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, which hold 10,000 rows or 64 MB otherwise: of long texts every task holds several at once, in and out.
+
+    A bound of the user's own is kept. Spark reads it when a plan begins to run, so it stays set.
+    """
+    if spark.conf.get(_BOUND, None) in (None, f"{_DEFAULT}b", str(_DEFAULT), "64m", "64MB"):
+        spark.conf.set(_BOUND, f"{BATCH_BYTES}b")
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that materialize wrote, when nothing that is still to run reads them."""
     for t in tables:
