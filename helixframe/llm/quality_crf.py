@@ -191,7 +191,13 @@ def fit(texts: list[bytes], labels: np.ndarray, steps: int = 100, l2: float = 1e
     x, size, line_off = line_features(np.frombuffer(b"".join(texts), np.uint8), off)
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale[scale < 1e-9] = 1
-    x = np.concatenate(((x - mean) / scale, np.ones((len(x), 1))), axis=1).astype(np.float32)
+    # in place, as this runs on the driver: the same values as copies would have
+    x -= mean
+    x /= scale
+    wide = np.ones((len(x), x.shape[1] + 1), np.float32)
+    wide[:, :-1] = x
+    x = wide
+    del wide
     lines = np.diff(line_off)
     y = np.repeat(labels, lines).astype(float)
     chains = _Chains(line_off)
