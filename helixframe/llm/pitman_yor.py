@@ -2,8 +2,10 @@
 
 A token is drawn in the restaurant of the word before it; all these restaurants share one parent, over all
 words, whose own base is uniform. Every word that stands before a training token has a restaurant; after other words the
-parent is all there is. Customers are the training tokens. Sweeps of Gibbs sampling seat the customers of every dish anew,
-given the others, and the predictive probabilities are averaged over the sweeps that follow the burn-in.
+parent is all there is. Customers are the training tokens. In a sweep of Gibbs sampling the customers of every dish leave their restaurant
+and are seated anew given all who stay there and in the parent; the predictive probabilities are averaged over the sweeps that follow the burn-in.
+Which customers share a table doesn't matter to a probability, only the number of tables does: its conditional is the number of arrangements (a generalised
+Stirling number) times the chances of the tables, and is drawn from as it is. One half of the dishes moves at a time, all dishes of a half at once.
 
 Layout: texts are cut into blocks of documents. A block keeps its tokens as numbers of its distinct words. Words go to
 fragments by their 64-bit hashes. A fragment first numbers its words, most frequent first, adds up their training tokens,
@@ -15,8 +17,8 @@ The pairs of a word with very many tokens are spread over several fragments by t
 one per HOT_TOKENS, and the sums of the parent reach the driver.
 
 Tables of a restaurant in other fragments are taken in proportion to its customers (within 5 %) while seating, and so are the
-tables of a spread word; sums are exact when scoring. Where a dish has many customers, they are seated in groups of an eighth of those
-seated, with the chance as at the group's start.
+tables of a spread word; sums are exact when scoring. A dish's tables in the parent stay as they are while one restaurant's tables are drawn.
+Customers of a dish beyond EXACT_CUSTOMERS in one restaurant are seated in order with the limit of that conditional (means within 5 % of it).
 
 Defined cases: null and empty texts are the end token alone; rows with equal ids are separate documents; a null id counts as
 training; without training documents the model is the uniform base; an empty table gives no rows; extra columns are dropped.
@@ -25,6 +27,7 @@ training; without training documents the model is the uniform base; an empty tab
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +45,8 @@ BLOCK_TOKENS = 2_000_000
 FRAGMENT_BYTES = 24_000_000
 #: A word is spread over one more fragment for each so many training tokens.
 HOT_TOKENS = 1_000_000
+#: Customers of a dish in a restaurant up to whom their tables are drawn from the exact conditional.
+EXACT_CUSTOMERS = 255
 END = mix(np.array([0xE0D], U64))[0]
 
 
@@ -247,15 +252,79 @@ def _parts(hot: Hot, fragments: int):
     return run
 
 
-def seat(c: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables that c customers of a dish take one after another. weight: (strength + discount * tables of all dishes) * base probability."""
+@lru_cache(4)
+def _log_stirling(discount: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: weights of all arrangements of c customers at t tables, for c up to EXACT_CUSTOMERS."""
+    out = np.full((EXACT_CUSTOMERS + 1, EXACT_CUSTOMERS + 1), -np.inf)
+    out[1, 1] = 0.0
+    for c in range(1, EXACT_CUSTOMERS):
+        t = np.arange(1, c + 2)
+        with np.errstate(divide="ignore"):
+            stays = out[c, 1 : c + 2] + np.log(np.maximum(c - discount * t, 0))
+        out[c + 1, 1 : c + 2] = np.logaddexp(out[c, : c + 1], stays)
+    return out
+
+
+class Others(NamedTuple):
+    """What stays when all customers of a dish leave a restaurant, for each dish."""
+
+    opens: np.ndarray  # strength + discount * tables of the other dishes
+    base: float  # what the dish gets in the parent beside its customers
+    above: np.ndarray | None = None  # customers of the dish in the parent, without those of these tables; None: base is all
+    taken: np.ndarray | None = None  # discounts of its tables there
+    total: np.ndarray | None = None  # all of the parent, without these tables
+
+    def after(self, rows: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What opens a table, without those of the dish, and the parent's probability of it, for rows and numbers of tables before."""
+        of = lambda x: x[rows].reshape(-1, 1)
+        above = self.base if self.above is None else (np.maximum(of(self.above) + k - of(self.taken), 0) + self.base) / (of(self.total) + k)
+        return of(self.opens), above
+
+
+def _later(n, c: np.ndarray, t, growth: np.ndarray, discount: float) -> np.ndarray:
+    """What is to come after n of c customers with t tables weighs about so many times as much with a table more; the solution where n is large."""
+    shift = discount * t + (1 + discount) / 2
+    return 1 / (growth + (1 - growth) * ((c - shift) / (n - shift)) ** discount)
+
+
+def reseat(c: np.ndarray, others: Others, discount: float, rng: np.random.Generator, exact: int = EXACT_CUSTOMERS) -> np.ndarray:
+    """Tables of c customers of each dish, who leave their restaurant together and are seated anew given all who stay there and in the parent.
+
+    A draw from the conditional probabilities themselves for up to `exact` customers. Of more, so many are drawn like this with what is to come
+    in mind and the rest follows in order, groups of a 32nd of those seated at once.
+    """
     t = np.minimum(c, 1).astype(float)
-    n = t.copy()
-    open_ = np.flatnonzero(c >= 2)
+    arrangements = _log_stirling(discount)
+    order = np.argsort(c, kind="stable")
+    cut = np.append(np.searchsorted(c[order], np.arange(2, exact + 2)), len(c))
+    for n, (lo, hi) in enumerate(zip(cut[:-1], cut[1:]), 2):
+        many, n = n > exact, min(n, exact)
+        step, k = max(1, 500_000 // n), np.arange(n)
+        for at in range(lo, hi, step):
+            rows = order[at : min(at + step, hi)]
+            opens, above = others.after(rows, k)
+            weight = (opens + discount * k) * above
+            if many:
+                slope = weight[:, 1] - weight[:, 0]
+                growth = np.clip(slope / discount, 0, 1)
+                weight = weight * _later(n, c[rows], 1, growth, discount).reshape(-1, 1)
+            p = arrangements[n, 1 : n + 1] + np.cumsum(np.log(weight), axis=1)
+            p = np.cumsum(np.exp(p - p.max(axis=1, keepdims=True)), axis=1)
+            t[rows] = 1 + (p < rng.random((len(rows), 1)) * p[:, -1:]).sum(axis=1)
+            if many:
+                t[rows] = _follow(n, t[rows], c[rows], opens[:, 0] * (above[:, 0] if np.ndim(above) else above), growth, discount, rng)
+    return t
+
+
+def _follow(seated: int, t: np.ndarray, c: np.ndarray, first: np.ndarray, growth: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of c customers of each dish, of whom the first sit at t tables; a table beside t weighs first + growth * discount * t."""
+    n = np.full(len(c), float(seated))
+    open_ = np.arange(len(c))
     while len(open_):
-        group = np.minimum(np.maximum(np.floor(n[open_] / 8), 1), c[open_] - n[open_])
-        p = weight[open_] / (weight[open_] + n[open_] - discount * t[open_])
-        t[open_] += rng.binomial(group.astype(np.int64), np.clip(p, 0, 1))
+        size, tables = n[open_], t[open_]
+        group = np.minimum(np.maximum(np.floor(size / 32), 1), c[open_] - size)
+        weight = (first[open_] + growth[open_] * discount * tables) * _later(size + 1, c[open_], tables, growth[open_], discount)
+        t[open_] += rng.binomial(group.astype(np.int64), np.clip(weight / (weight + size - discount * tables), 0, 1))
         n[open_] += group
         open_ = open_[n[open_] < c[open_]]
     return t
@@ -288,19 +357,27 @@ def _restaurants(hot: Hot, total: int, distinct: int, fragments: int, s: Setting
             whole[is_hot] = hot.counts[at[is_hot]] / np.maximum(known[is_hot], 1)
             share[is_hot] = 1 / hot.parts[at[is_hot]]
         scale = np.maximum(customers / np.maximum(np.bincount(ctx, c, minlength=len(contexts)), 1), 1.0)
-        others = distinct / max(float(share[known > 0].sum()), 1e-9)
+        beyond = distinct / max(float(share[known > 0].sum()), 1e-9)
         rng = np.random.default_rng([s.seed, frag])
         t = np.minimum(c, 1.0)
         t0 = np.minimum(known, 1.0)
         mean_own, mean_c0, mean_t0, tables = np.zeros(len(pair)), np.zeros(len(word)), np.zeros(len(word)), np.zeros(len(contexts))
+        open_ = (s.root_strength + s.root_discount * distinct) / (distinct + 1)
+        halves = rng.integers(0, 2, len(pair))
         for sweep in range(s.burn_in + s.sweeps):
+            for half in (0, 1):  # the dishes of one half move given where the other half's customers sit now
+                mine = np.flatnonzero(halves == half)
+                c0 = np.bincount(of_word, t, minlength=len(word))
+                all0 = max(c0.sum() / max(known.sum(), 1.0) * total, 1.0)
+                own, w_, x_ = t[mine], of_word[mine], ctx[mine]
+                room = (np.bincount(ctx, t, minlength=len(contexts)) * scale)[x_] - own
+                above = np.maximum((c0 * whole)[w_] - own, 0)
+                taken = s.root_discount * np.maximum(np.minimum(t0[w_], above), 1)
+                others = Others(s.strength + s.discount * room, open_, above, taken, s.root_strength + np.maximum(all0 - own, 0))
+                t[mine] = reseat(c[mine].astype(np.int64), others, s.discount, rng)
             c0 = np.bincount(of_word, t, minlength=len(word))
-            all0 = max(c0.sum() / max(known.sum(), 1.0) * total, 1.0)
-            p0 = (np.maximum(c0 * whole - s.root_discount * t0, 0) + (s.root_strength + s.root_discount * distinct) / (distinct + 1)) / (s.root_strength + all0)
-            rest = s.strength + s.discount * np.bincount(ctx, t, minlength=len(contexts)) * scale
-            t = seat(c, rest[ctx] * p0[of_word], s.discount, rng)
-            c0 = np.bincount(of_word, t, minlength=len(word))
-            t0 = seat(np.round(c0 * whole), np.full(len(word), (s.root_strength + s.root_discount * max((t0 * share).sum() * others, 1.0)) / (distinct + 1)), s.root_discount, rng)
+            tables0 = s.root_strength + s.root_discount * np.maximum((t0 * share).sum() * beyond - t0, 0)
+            t0 = reseat(np.round(c0 * whole).astype(np.int64), Others(tables0, 1 / (distinct + 1)), s.root_discount, rng)
             if sweep >= s.burn_in:
                 mean_own += (c - s.discount * t) / s.sweeps
                 mean_c0 += c0 / s.sweeps

@@ -272,11 +272,53 @@ def test_pitman_yor_probabilities_sum_to_one(spark):
         assert max(abs(np.linalg.eigvals(np.array([first, *rest])))) == pytest.approx(1, abs=1e-4)
 
 
-def test_seating():
-    rng = np.random.default_rng(1)
-    c = np.array([0.0, 1, 2, 50, 5000])
-    t = np.mean([pitman_yor.seat(c, np.full(5, 0.5), 0.7, rng) for _ in range(400)], axis=0)
-    assert t[0] == 0 and t[1] == 1 and 1 < t[2] < 2 and t[2] == pytest.approx(1 + 0.5 / 0.8, abs=0.1) and (np.diff(t) > 0).all() and t[4] < 200
+def seatings(customers, opens, discount, tables=()):
+    """Weight of every number of tables of dishes 0 and 1, over all ways to seat the customers one by one."""
+    if not customers:
+        return Counter({(sum(d == 0 for d, _ in tables), sum(d == 1 for d, _ in tables)): 1.0})
+    dish, out = customers[0], Counter()
+    k = sum(d == dish for d, _ in tables)
+    ways = [(n - discount, (*tables[:i], (d, n + 1), *tables[i + 1 :])) for i, (d, n) in enumerate(tables) if d == dish]
+    for weight, then in [*ways, (opens(dish, k, len(tables)), (*tables, (dish, 1)))]:
+        for t, w in seatings(customers[1:], opens, discount, then).items():
+            out[t] += weight * w
+    return out
+
+
+def test_gibbs_sweeps_reach_the_posterior_of_all_seatings():
+    rng, chains, discount, strength, base = np.random.default_rng(2), 40_000, 0.6, 1.5, (0.3, 0.05)
+    want = seatings((0, 0, 0, 1, 1, 1, 1), lambda dish, k, tables: (strength + discount * tables) * base[dish], discount)
+    t = [np.ones(chains), np.ones(chains)]
+    for _ in range(15):
+        for dish, c in enumerate((3, 4)):
+            t[dish] = pitman_yor.reseat(np.full(chains, c), pitman_yor.Others(strength + discount * t[1 - dish], base[dish]), discount, rng)
+    got, total = Counter(zip(t[0].astype(int).tolist(), t[1].astype(int).tolist())), sum(want.values())
+    assert set(got) <= set(want) and all(abs(got[x] / chains - w / total) < 0.01 for x, w in want.items())
+
+
+@pytest.mark.parametrize("above, taken", [(0, 0.6), (1, 0.6), (7, 1.8)])
+def test_reseating_draws_from_the_conditional_with_a_parent(above, taken):
+    rng, chains, discount, strength, stay, base, total = np.random.default_rng(3), 40_000, 0.8, 2.0, 4, 0.2, 9.0
+    want = seatings((0,) * 5, lambda _, k, tables: (strength + discount * (stay + tables)) * (max(above + k - taken, 0) + base) / (total + k), discount)
+    each = lambda x: np.full(chains, float(x))
+    got = Counter(pitman_yor.reseat(np.full(chains, 5), pitman_yor.Others(each(strength + discount * stay), base, each(above), each(taken), each(total)), discount, rng).tolist())
+    assert all(abs(got[t] / chains - w / sum(want.values())) < 0.01 for (t, _), w in want.items())
+
+
+def test_reseating_large_and_small_dishes():
+    rng, c = np.random.default_rng(4), np.array([0, 1, 2, 255, 256, 5000, 1])
+    opens = np.full(len(c), 3.0)
+    t = np.mean([pitman_yor.reseat(c, pitman_yor.Others(opens, 0.2), 0.7, rng) for _ in range(300)], axis=0)
+    assert t[0] == 0 and t[1] == t[6] == 1 and 1 < t[2] < 2 and t[2] < t[3] and (t <= c).all()
+    assert len(pitman_yor.reseat(c[:0], pitman_yor.Others(opens[:0], 0.2), 0.7, rng)) == 0
+
+
+@pytest.mark.parametrize("opens, base", [(3.0, 0.2), (40.0, 0.2), (500.0, 0.05), (2.0, 0.001)])
+def test_seating_in_order_agrees_with_the_conditional(opens, base):
+    rng, discount, c = np.random.default_rng(5), 0.7, np.full(20_000, 255)
+    others = pitman_yor.Others(np.full(len(c), opens), base)
+    whole, near = (pitman_yor.reseat(c, others, discount, rng, exact) for exact in (255, 64))
+    assert near.mean() == pytest.approx(whole.mean(), rel=0.05) and near.std() == pytest.approx(whole.std(), rel=0.1, abs=0.05)
 
 
 @pytest.mark.parametrize("piece", [1, 2, 3, 7, 512])
