@@ -25,8 +25,10 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 TYPE_SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 LZW_CLEAR, LZW_END = 256, 257
 
-#: Samples of a page or block at most; a header alone can't make a task allocate more.
-MOST_PIXELS = 1 << 28
+#: Samples of a page or block at most, which is what a binary value can hold.
+MOST_PIXELS = (1 << 31) - 64
+#: Bytes that one byte of a block can stand for, at most; a header that claims more is refused before anything is allocated.
+EXPANSION = {NONE: 1, PACKBITS: 64, LZW: 3072, DEFLATE: 1032, OLD_DEFLATE: 1032}
 
 #: Pages of stored payloads: 64 samples a row, 1024 rows at most, strips of 128 rows.
 WIDTH, PAGE_ROWS, STRIP_ROWS = 64, 1024, 128
@@ -221,6 +223,9 @@ def iter_pages(content: bytes) -> Iterator[dict]:
         if len(offsets) < needed or len(counts) < needed:
             raise ValueError(f"{min(len(offsets), len(counts))} of {needed} blocks are there")
         offsets, counts = offsets[:needed], counts[:needed]
+        stored = sum(max(0, min(c, len(content) - o)) for o, c in zip(offsets, counts))
+        if width * height * spp > stored * EXPANSION.get(compression, 1):
+            raise ValueError(f"{stored} stored bytes can't hold a page of {width} x {height} x {spp} samples")
         pixels = np.zeros((height, width, spp), np.uint8)
         for k, (o, c) in enumerate(zip(offsets, counts)):
             y, x = k // across * bh, k % across * bw

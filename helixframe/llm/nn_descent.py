@@ -138,14 +138,14 @@ def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int
     def meet(batches):
         schema = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("sim", pa.float32())])
         for batch in batches:
-            centre = batch.column(0).to_numpy()
-            member, bound = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-            x = _matrix(batch.column(2).to_pylist(), dim)
-            cut = np.flatnonzero(np.concatenate(([True], centre[1:] != centre[:-1])))
+            centre, group = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            member, bound = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            x = _matrix(batch.column(3).to_pylist(), dim)
+            cut = np.flatnonzero(np.concatenate(([True], (centre[1:] != centre[:-1]) | (group[1:] != group[:-1]))))
             us, ws, ss = [], [], []
             for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(centre)]):
-                for lo in range(a, b, MEET):
-                    hi = min(lo + MEET, b)
+                for lo in range(a, b, 2 * MEET):
+                    hi = min(lo + 2 * MEET, b)
                     s = x[lo:hi] @ x[lo:hi].T
                     i, j = np.nonzero(s > bound[lo:hi, None])
                     other = member[lo + i] != member[lo + j]
@@ -160,7 +160,11 @@ def neighbour_graph(codes: DataFrame, forest, total: int, dim: int, degree: int
         pairs = graph.select(F.col("node").alias("centre"), F.col("other").alias("member")).unionByName(graph.select(F.col("other").alias("centre"), F.col("node").alias("member"))).distinct()
         bound = graph.groupBy("node").agg(F.when(F.count("*") >= degree, F.min("sim")).otherwise(F.lit(-1e30)).cast("float").alias("bound"))
         known = codes.join(bound, "node", "left").select(F.col("node").alias("member"), "code", F.coalesce("bound", F.lit(-1e30).cast("float")).alias("bound"))
-        met = pairs.join(known, "member").select("centre", "member", "code", "bound").repartition("centre").sortWithinPartitions("centre", F.xxhash64("member", F.lit(turn)))
+        # members of a centre meet in groups dealt anew each round; one that very many lead to has several, which may lie in different tasks
+        hubs = pairs.groupBy("centre").agg(F.ceil(F.count("*") / MEET).alias("groups")).where("groups > 1")
+        group = F.pmod(F.xxhash64("member", F.lit(turn)), F.coalesce("groups", F.lit(1)))
+        dealt = pairs.join(hubs, "centre", "left").select("centre", group.alias("group"), "member")
+        met = dealt.join(known, "member").select("centre", "group", "member", "code", "bound").repartition("centre", "group").sortWithinPartitions("centre", "group", "member")
         offered = fresh(met.mapInArrow(meet, flat), True).unionByName(fresh(graph.select("node", "other", "sim"), False))
         last, graph = graph, materialize(_best(offered, degree), "graph")
         discard(last)

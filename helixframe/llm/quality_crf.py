@@ -178,10 +178,9 @@ class _Chains:
 
 
 def _quality(good: np.ndarray, size: np.ndarray, line_off: np.ndarray) -> np.ndarray:
+    # every text has a line; summed for each by itself, so that it doesn't matter what stands before it
     weight = size + 1.0
-    cum = np.concatenate(([0], np.cumsum(good * weight)))
-    cumw = np.concatenate(([0], np.cumsum(weight)))
-    q = (cum[line_off[1:]] - cum[line_off[:-1]]) / (cumw[line_off[1:]] - cumw[line_off[:-1]])
+    q = np.add.reduceat(good * weight, line_off[:-1]) / np.add.reduceat(weight, line_off[:-1])
     return np.clip(q, 1e-6, 1 - 1e-6)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SMALL
-from helixframe.llm import mixing, ngram_join, nn_descent, pitman_yor, quality_crf, repeats
+from helixframe.llm import mixing, ngram_join, nn_descent, pitman_yor, quality_crf, repeat_groups, repeats
 from helixframe.llm.components import components
 from helixframe.llm.storage import documents
 from llm.conftest import make_docs, prose
@@ -504,3 +504,73 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs, stage):
     assert stage(spark, no_docs, SMALL).count() == 0
     out = stage(spark, odd_docs, SMALL)
     assert out.count() > 0 and (stage is corpus_pipeline.power_of_two_packing or out.columns == odd_docs.columns)
+
+
+def groups_of(rows, least):
+    """Maximal repeats of `least` bytes and more by brute force: (text, its places), where runs are one place."""
+    texts = [(t or "").encode() for _, t, _ in rows]
+    classes = defaultdict(list)
+    for k, b in enumerate(texts):
+        last = {}
+        for i in range(len(b) - least + 1):
+            w = b[i : i + least]
+            if i - last.get(w, -least) >= least:
+                classes[w].append((k, i))
+            last[w] = i
+    found = {}
+
+    def walk(members, depth):
+        """Descends where all members go on alike, splits where they don't."""
+        while len(members) > 1:
+            befores = {texts[k][i - 1] if i else (k, i) for k, i in members}
+            if len(befores) < 2:
+                return
+            onward = defaultdict(list)
+            for k, i in members:
+                onward[texts[k][i + depth] if i + depth < len(texts[k]) else (k, i)].append((k, i))
+            if len(onward) > 1:
+                k, i = members[0]
+                found[texts[k][i : i + depth]] = [(rows[k][0], i) for k, i in members]
+                for part in onward.values():
+                    walk(part, depth + 1)
+                return
+            depth += 1
+
+    for members in classes.values():
+        walk(members, least)
+    return found
+
+
+@pytest.mark.parametrize("seed, contexts, class_chunks, most", [(0, 4096, 4096, 1 << 20), (1, 0, 4096, 8), (2, 3, 2, 1 << 20), (3, 0, 0, 16)])
+def test_repeat_groups(spark, monkeypatch, no_docs, seed, contexts, class_chunks, most):
+    for name, value in (("ARRAY_CONTEXTS", contexts), ("CLASS_CHUNKS", class_chunks), ("MOST_CHUNK", most)):
+        monkeypatch.setattr(repeat_groups, name, value)
+    rng = random.Random(seed)
+    parts = ["".join(rng.choices("abé", k=rng.randint(5, 60))) for _ in range(4)]
+    rows = [(k, "".join(rng.choice(parts) if rng.random() < 0.7 else "".join(rng.choices("abc", k=9)) for _ in range(rng.randint(0, 6))), "a") for k in range(20)]
+    rows += [(100, "ab" * 30 + "c" * 50, "a"), (101, "x" + "ab" * 25, "a"), (102, "c" * 20, "a"), (103, rows[3][1], "a"), (104, rows[5][1], "a"), (104, rows[5][1], "a"), (None, None, "a"), (None, parts[0], "b")]
+    got = defaultdict(list)
+    texts = {}
+    for r in repeat_groups.repeat_groups(make_docs(spark, rows).repartition(3), repeats.of_bytes(20)).collect():
+        got[r.group].append((r.doc_id, r.start))
+        text = next(t for i, t, _ in rows if i == r.doc_id and t).encode()[r.start : r.start + r.length]
+        assert len(text) == r.length and texts.setdefault(r.group, (text, r.n)) == (text, r.n)
+    key = lambda places: sorted(places, key=repr)
+    want = {t: key(p) for t, p in groups_of(rows, 20).items()}
+    assert len(want) > 10 and {t: key(got[g]) for g, (t, _) in texts.items()} == want and len(texts) == len(want)
+    assert all(n == len(got[g]) for g, (_, n) in texts.items())
+    assert repeat_groups.repeat_groups(no_docs).count() == 0
+
+
+def test_quality_does_not_depend_on_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = documents(spark, sf)
+    model = quality_crf.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    one, many = (dict(quality_crf.scores(docs.repartition(n), model).select("doc_id", "score").collect()) for n in (1, 7))
+    assert one == many
+
+
+def test_hubs_meet_in_groups(spark, monkeypatch):
+    """Groups of a few members at a time still find nearly all neighbours."""
+    monkeypatch.setattr(nn_descent, "MEET", 24)
+    test_recall(spark)
