@@ -53,6 +53,10 @@ class IndexLog:
         p = self._fs_of(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
+    def exists(self, path: str) -> bool:
+        fs, p = self._path(path)
+        return fs.exists(p)
+
     def _create(self, path: str, text: str) -> bool:
         """Writes a new file; False if there is one."""
         fs, p = self._path(path)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.index_log import IndexLog
 
@@ -17,49 +16,37 @@ def watch_ids(spark: SparkSession, folder: str, files_per_trigger: int = 16) ->
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(folder).select(F.trim("value").alias("protein_id")).where("protein_id <> ''")
 
 
-class _FirstSeen(StatefulProcessor):
-    """Tells each key once; keys of the initial state never."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState("seen", "known boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        for _ in rows:  # all of them are to be read
-            pass
-        if not self._seen.exists():
-            self._seen.update((True,))
-            yield pd.DataFrame({"protein_id": [key[0]]})
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self._seen.update((True,))
-
-    def close(self) -> None:
-        pass
-
-
 def first_seen(ids: DataFrame, known: DataFrame) -> DataFrame:
-    """The ids (protein_id) of a stream, each when it first comes, without those that are known when the stream begins.
+    """protein_id and held of a stream of ids: each id once, when it or a known one like it first comes; held tells which of the two was taken.
 
-    Which ids have come is keyed state: a batch touches only its own keys, whatever the catalog's size.
+    known is a stream too, which begins with all that is known. Which ids have come is keyed state of Spark's own (no Python process is asked by key):
+    a batch touches only its own keys, whatever the catalog's size. An id that comes in one batch with its known one is told as either.
     """
-    initial = known.select("protein_id").distinct().groupBy("protein_id")
-    return ids.select("protein_id").where("protein_id IS NOT NULL").groupBy("protein_id").transformWithStateInPandas(_FirstSeen(), "protein_id string", "append", "none", initialState=initial)
+    both = ids.select("protein_id", F.lit(False).alias("held")).unionByName(known.select("protein_id", F.lit(True).alias("held")))
+    return both.where("protein_id IS NOT NULL").dropDuplicates(["protein_id"])
 
 
 def build_missing(ids: DataFrame, log: IndexLog, build: Callable[[DataFrame, int], DataFrame], checkpoint: str, name: str = "build") -> StreamingQuery:
     """Calls build(new ids, batch number) for ids that come for the first time and that the log lacks; what it returns (protein_id, path) is added to the log.
 
-    The log may be empty. It is read whole once, when the checkpoint begins, and never again. A batch is committed to the log under its
+    The log may be empty. It is read whole once, when the checkpoint begins: its ids are written beside the checkpoint, and the first batch puts them
+    into the state and leaves out its own ids that are among them. A batch is committed to the log under its
     own name: if it runs again after a failure or a restart, its ids are the same, and where its commit is there already nothing is built.
     An id that a build left out isn't asked for again by this stream.
     """
-    spark = ids.sparkSession
+    spark, held = ids.sparkSession, f"{checkpoint}/held"
+    if not log.exists(f"{checkpoint}/metadata"):
+        log.latest().select("protein_id").distinct().write.mode("overwrite").parquet(held)
+    known = spark.readStream.schema("protein_id string").parquet(held)  # all of its files are in the first batch
 
     def each(batch: DataFrame, number: int) -> None:
         run = f"{name}-{number}"
         if any(c.run == run for c in log.commits()):
             return
-        found = batch.persist()
+        new = batch.where("NOT held").select("protein_id")
+        if number == 0:
+            new = new.join(spark.read.schema("protein_id string").parquet(held), "protein_id", "left_anti")
+        found = new.persist()
         try:
             if not found.isEmpty():
                 log.append(build(found, number), run)
@@ -70,7 +57,7 @@ def build_missing(ids: DataFrame, log: IndexLog, build: Callable[[DataFrame, int
     before = spark.conf.get(provider)
     spark.conf.set(provider, store)  # the query keeps what it starts with
     try:
-        return first_seen(ids, log.latest()).writeStream.outputMode("append").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return first_seen(ids, known).writeStream.outputMode("append").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         spark.conf.set(provider, before)
 

@@ -162,3 +162,15 @@ def test_stream_from_nothing(spark, tmp_path, log):
     q = incremental.build_missing(incremental.watch_ids(spark, str(tmp_path / "ids")), log, lambda new, n: new.selectExpr("protein_id", "'p' AS path"), str(tmp_path / "cp"))
     q.awaitTermination()
     assert held(log) == {"x": "p", "y": "p"}
+
+
+def test_stream_keeps_its_ids_in_sparks_state(spark, tmp_path, log):
+    """Known ids that come with new ones in the first batch, and in later ones; no Python process is asked key by key."""
+    (tmp_path / "ids").mkdir()
+    log.append(spark.range(0, 3000, 3).selectExpr("cast(id AS string) AS protein_id", "'old' AS path"))
+    for k in range(3):
+        (tmp_path / "ids" / f"{k}.txt").write_text("".join(f"{i}\n" for i in range(2000) if i % 4 != k))
+    q = incremental.build_missing(incremental.watch_ids(spark, str(tmp_path / "ids"), 1), log, lambda new, n: new.selectExpr("protein_id", "'made' AS path"), str(tmp_path / "cp"))
+    q.awaitTermination()
+    assert {o.operatorName for p in q.recentProgress for o in p.stateOperators} == {"dedupe"}
+    assert held(log) == {str(i): "old" if i % 3 == 0 else "made" for i in range(3000) if i < 2000 or i % 3 == 0}
