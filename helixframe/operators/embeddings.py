@@ -10,7 +10,7 @@ from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +27,24 @@ class HashEmbedder:
     """Rows from a hash of each residue with its neighbours; needs no weights, so that shapes and storage can be tested."""
 
     def __init__(self, width: int):
-        self.width = width
+        self.width, self._rows = width, {}
+
+    def _row(self, around: str) -> np.ndarray:
+        """The row of a residue with its neighbours, kept for the next one like it while the kept rows have few bytes."""
+        if around not in self._rows:
+            if len(self._rows) * self.width > 1 << 24:
+                self._rows.clear()
+            self._rows[around] = np.random.default_rng(zlib.crc32(around.encode())).standard_normal(self.width, np.float32)
+        return self._rows[around]
 
     def embed(self, sequences: list[str]) -> list[np.ndarray]:
-        out = []
-        for s in sequences:
-            padded = f"<{s}>"
-            seeds = [zlib.crc32(padded[max(i - 1, 0) : i + 2].encode()) for i in range(len(padded))]
-            out.append(np.stack([np.random.default_rng(x).standard_normal(self.width, np.float32) for x in seeds]))
-        return out
+        if not sequences:
+            return []
+        places: dict[str, int] = {}
+        at = [places.setdefault(p[max(i - 1, 0) : i + 2], len(places)) for p in (f"<{s}>" for s in sequences) for i in range(len(p))]
+        rows = np.stack([self._row(around) for around in places])[at]
+        ends = np.cumsum([len(s) + 2 for s in sequences]).tolist()
+        return [rows[lo:hi] for lo, hi in zip([0, *ends], ends)]
 
 
 _factories: dict[str, Callable[[], Embedder]] = {}
@@ -69,12 +78,12 @@ def batches_by_tokens(lengths: list[int], tokens: int) -> list[tuple[int, int]]:
 def embeddings(sequences: DataFrame, factory: Callable[[], Embedder], tokens: int = TOKENS, ranges: int | None = None) -> DataFrame:
     """protein_id, emb (array<array<float>>, rows = residues + 2) of sequences (protein_id, sequence); null sequences are left out.
 
-    Sequences are dealt by ranges of length and sorted within them, so those of a batch are about equally long whatever order they came in, and a
-    batch, padded to its longest, has `tokens` tokens at most (start and end counted). A batch may span Arrow batches. ranges: the
-    session's shuffle partitions where none is given.
+    Sequences are dealt by their ids and sorted by length where they lie, so those of a batch are about equally long whatever order they came in, and a
+    batch, padded to its longest, has `tokens` tokens at most (start and end counted). A batch may span Arrow batches. Dealing by a hash needs no
+    sample, for which all that comes before would run twice. ranges: how many parts; the session's shuffle partitions where none is given.
     """
 
-    def run(frames):
+    def run(batches):
         model, held = factory(), []
 
         def embedded(part):
@@ -82,10 +91,13 @@ def embeddings(sequences: DataFrame, factory: Callable[[], Embedder], tokens: in
             for (_, s), e in zip(part, found, strict=True):
                 if e.shape != (len(s) + 2, model.width):
                     raise ValueError(f"a sequence of {len(s)} residues got an array of shape {e.shape}")
-            return pd.DataFrame({"protein_id": [p for p, _ in part], "emb": [list(e) for e in found]})
+            values = np.concatenate([np.asarray(e, np.float32).ravel() for e in found])
+            rows = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, model.width, np.int32)), pa.array(values))
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            return pa.record_batch([pa.array([p for p, _ in part], pa.string()), pa.ListArray.from_arrays(pa.array(ends), rows)], names=["protein_id", "emb"])
 
-        for pdf in frames:
-            held += zip(pdf["protein_id"], pdf["sequence"])
+        for batch in batches:
+            held += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             cuts = batches_by_tokens([len(s) + 2 for _, s in held], tokens)
             for lo, hi in cuts[:-1]:  # the last may go on in the next frame
                 yield embedded(held[lo:hi])
@@ -94,5 +106,6 @@ def embeddings(sequences: DataFrame, factory: Callable[[], Embedder], tokens: in
             yield embedded(held)
 
     rows = sequences.select("protein_id", "sequence").where("sequence IS NOT NULL").withColumns({"_n": F.length("sequence"), "_any": F.xxhash64("protein_id")})
-    spread = rows.repartitionByRange("_n", "_any") if ranges is None else rows.repartitionByRange(ranges, "_n", "_any")
-    return spread.sortWithinPartitions("_n", "_any").select("protein_id", "sequence").mapInPandas(run, "protein_id string, emb array<array<float>>")
+    parts = ranges or int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = rows.repartition(parts, "_any").sortWithinPartitions("_n", "_any")
+    return spread.select("protein_id", "sequence").mapInArrow(run, "protein_id string, emb array<array<float>>")

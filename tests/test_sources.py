@@ -3,6 +3,7 @@
 import json
 import random
 import zipfile
+import zlib
 
 import numpy as np
 import pytest
@@ -193,6 +194,20 @@ def test_embedding_batches_keep_to_a_budget(spark):
     assert embeddings.batches_by_tokens([], 5) == [] and embeddings.batches_by_tokens([3, 3, 9, 9], 6) == [(0, 2), (2, 3), (3, 4)]
 
 
+def test_embedding_draws_a_row_once_and_runs_its_input_once(spark, monkeypatch):
+    """The rows of residues that have been met are kept and stay what they were, and dealing takes no sample of the sequences."""
+    drawn, real = [], np.random.default_rng
+    monkeypatch.setattr(np.random, "default_rng", lambda seed: (drawn.append(seed), real(seed))[1])
+    model, texts = embeddings.HashEmbedder(4), ["ACA", "", "CACAC", "ACA" * 50]
+    for got, s in zip(model.embed(texts) + model.embed(texts[:1]), [*texts, texts[0]], strict=True):
+        padded = f"<{s}>"
+        want = [real(zlib.crc32(padded[max(i - 1, 0) : i + 2].encode())).standard_normal(4, np.float32) for i in range(len(padded))]
+        assert np.array_equal(got, np.stack(want))
+    assert len(drawn) == len(set(drawn)) and model.embed([]) == []
+    df = spark.createDataFrame([("p", "AC")], "protein_id string, sequence string")
+    assert "rangepartitioning" not in embeddings.embeddings(df, lambda: embeddings.HashEmbedder(2))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_by_cores(spark):
     rows = spark.createDataFrame([("8", "b"), ("16", "a"), (" 4 ", "c"), ("x", "d"), (None, "e"), ("8", "a")], "cores string, run string")
     assert [(r.cores, r.run) for r in ordering.by_number(rows, "cores", "run").collect()] == [(" 4 ", "c"), ("8", "a"), ("8", "b"), ("16", "a"), ("x", "d"), (None, "e")]
