@@ -17,20 +17,30 @@ BINS = 100
 TILE = 256
 
 
-def _tiles(coords: DataFrame, tile: int) -> DataFrame:
+#: Blocks of a stretch: a chain's residues are sent by stretches, and tiles are made of two where they meet.
+STRETCH = 16
+
+
+def _tiles(coords: DataFrame, tile: int, stretch: int = STRETCH) -> DataFrame:
     """protein_id, tile_i <= tile_j, and the residues of both blocks in order (rows, columns): array<struct<res_idx, x, y, z>> each.
 
-    A chain is cut into blocks of `tile` residue numbers, and every two blocks of it are one keyed group, so what a task holds is
-    bounded by a tile whatever the chain's length. A chain of one block is one group, sent once.
+    A chain is cut into blocks of `tile` residue numbers and stretches of `stretch` blocks. Every two stretches of it are one keyed group, so what
+    a task holds is bounded by two stretches whatever the chain's length, and a residue is sent once for each stretch of its chain: once for a
+    chain of one. The tiles of a group are made where it lies.
     """
-    block = F.floor(F.col("res_idx") / tile).cast("int")
-    blocks = coords.groupBy("protein_id", block.alias("own")).agg(F.array_sort(F.collect_list(F.struct("res_idx", "x", "y", "z"))).alias("a"))
-    chain = Window.partitionBy("protein_id")
-    ends = blocks.withColumns({"_lo": F.min("own").over(chain), "_hi": F.max("own").over(chain)})
-    dealt = ends.select("protein_id", "own", "a", F.explode(F.sequence("_lo", "_hi")).alias("other"))
-    met = dealt.groupBy("protein_id", F.least("own", "other").alias("tile_i"), F.greatest("own", "other").alias("tile_j")).agg(F.array_sort(F.collect_list(F.struct("own", "a"))).alias("b"))
-    # blocks without residues leave a tile with one block, unless it is the block's own
-    return met.where((F.size("b") == 2) | (F.col("tile_i") == F.col("tile_j"))).select("protein_id", "tile_i", "tile_j", F.get("b", F.lit(0))["a"].alias("rows"), F.element_at("b", -1)["a"].alias("columns"))
+    block, chain = F.floor(F.col("res_idx") / tile).cast("int"), Window.partitionBy("protein_id")
+    rows = coords.select("protein_id", block.alias("block"), F.floor(F.col("res_idx") / (tile * stretch)).cast("int").alias("own"), F.struct("res_idx", "x", "y", "z").alias("r"))
+    # all up to the deal is within chains, so one exchange of rows serves it
+    ends = rows.withColumns({"_lo": F.min("own").over(chain), "_hi": F.max("own").over(chain)})
+    blocks = ends.groupBy("protein_id", "own", "_lo", "_hi", "block").agg(F.array_sort(F.collect_list("r")).alias("a"))
+    stretches = blocks.groupBy("protein_id", "own", "_lo", "_hi").agg(F.collect_list(F.struct("block", "a")).alias("s"))
+    dealt = stretches.select("protein_id", "own", "s", F.explode(F.sequence("_lo", "_hi")).alias("other"))
+    low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    met = dealt.select("protein_id", low, high, F.struct("own", "s").alias("s")).repartition("protein_id", "i", "j").groupBy("protein_id", "i", "j").agg(F.array_sort(F.collect_list("s")).alias("b"))
+    # stretches without residues leave a group with one stretch, unless it is the stretch's own
+    both = met.where((F.size("b") == 2) | (F.col("i") == F.col("j"))).select("protein_id", F.get("b", F.lit(0))["s"].alias("rows"), F.element_at("b", -1)["s"].alias("columns"))
+    pairs = both.select("protein_id", F.explode("rows").alias("p"), "columns").select("protein_id", "p", F.explode("columns").alias("q")).where("p.block <= q.block")
+    return pairs.select("protein_id", F.col("p.block").alias("tile_i"), F.col("q.block").alias("tile_j"), F.col("p.a").alias("rows"), F.col("q.a").alias("columns"))
 
 
 def _distance(a: str, b: str):

@@ -98,3 +98,14 @@ def test_ranks_in_any_number_of_ranges(spark, ranges):
     keys = [(r.a is not None, r.a or 0, r.b, r.c) for r in sorted(got, key=lambda r: r["rank"])]
     assert keys == sorted(keys)
     assert ordering.numbered(df.limit(0), "a", ranges=ranges).count() == 0
+
+
+def test_residues_are_sent_once_for_each_stretch_of_their_chain(spark):
+    """Tiles of a chain of 40 blocks are made of what came for its three stretches; the tiles are the same for any stretch."""
+    df = spark.createDataFrame([("p", k, float(k), 0.0, 0.0) for k in range(40 * 8) if k // 8 != 11], SCHEMA)
+    want = {(i, j) for i in range(40) for j in range(i, 40) if 11 not in (i, j)}
+    for stretch in (1, 16, 64):
+        tiles = distograms._tiles(df, 8, stretch)
+        got = [(r.tile_i, r.tile_j, [c.res_idx for c in r.rows], [c.res_idx for c in r.columns]) for r in tiles.collect()]
+        assert sorted(g[:2] for g in got) == sorted(want)
+        assert all(g[2] == list(range(g[0] * 8, g[0] * 8 + 8)) and g[3] == list(range(g[1] * 8, g[1] * 8 + 8)) for g in got)
