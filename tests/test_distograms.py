@@ -109,3 +109,15 @@ def test_residues_are_sent_once_for_each_stretch_of_their_chain(spark):
         got = [(r.tile_i, r.tile_j, [c.res_idx for c in r.rows], [c.res_idx for c in r.columns]) for r in tiles.collect()]
         assert sorted(g[:2] for g in got) == sorted(want)
         assert all(g[2] == list(range(g[0] * 8, g[0] * 8 + 8)) and g[3] == list(range(g[1] * 8, g[1] * 8 + 8)) for g in got)
+
+
+def test_contacts_send_few_copies(spark):
+    """Pairs of residues spread over many cells meet once each, and one exchange serves both sides of the join."""
+    rng = random.Random(9)
+    rows = [("p", k, *(rng.uniform(-60, 60) for _ in "xyz")) for k in range(600)] + [("q", k, -0.5 * k, 1.0 * k, 0.0) for k in range(60)]
+    found = distograms.contacts(spark.createDataFrame(rows, SCHEMA).repartition(5), 10.0)
+    want = {k for k, d in brute(rows).items() if d is not None and d <= 10.0}
+    got = [(r.protein_id, r.i, r.j) for r in found.collect()]
+    assert len(got) == len(set(got)) == len(want) > 300 and set(got) == want
+    generated = distograms.contacts(spark.createDataFrame(rows, SCHEMA), 10.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform" not in generated and generated.count("explode") == 6
