@@ -179,12 +179,13 @@ def pdb_line(record, serial, atom_name, res_name, chain_id, res_seq, icode, x, y
 
     Of a serial number over 99999 the first five digits stay, or the last five, as in lines made from binary files.
     """
-    five = F.right(serial, F.lit(5)) if last_serial else F.left(serial, F.lit(5))
+    cut = lambda c, w: F.lpad(c, w, " ")  # noqa: E731  right-justified; of longer text the first letters stay
+    five = F.right(serial, F.lit(5)) if last_serial else serial
     left = lambda c, w: F.when(F.length(c) >= w, c).otherwise(F.rpad(c, w, " "))
     return F.concat(
-        left(record, 6), _right(five, 5), F.lit(" "), centred(atom_name, 4), F.lit(" "), _right(res_name, 3), F.lit(" "),
-        F.right(chain_id, F.lit(1)), _right(F.right(res_seq, F.lit(4)), 4), F.when(icode == "?", F.lit(" ")).otherwise(left(icode, 1)), F.lit("   "),
-        *(_right(F.left(c, F.lit(8)), 8) for c in (x, y, z)), *(_right(F.left(c, F.lit(6)), 6) for c in (occupancy, b_factor)),
+        left(record, 6), cut(five, 5), F.lit(" "), centred(atom_name, 4), F.lit(" "), _right(res_name, 3), F.lit(" "),
+        F.right(chain_id, F.lit(1)), cut(F.right(res_seq, F.lit(4)), 4), F.when(icode == "?", F.lit(" ")).otherwise(left(icode, 1)), F.lit("   "),
+        *(cut(c, 8) for c in (x, y, z)), *(cut(c, 6) for c in (occupancy, b_factor)),
         F.lit(" " * 10), _right(element, 2), F.when(charge == "?", F.lit("  ")).otherwise(_right(charge, 2)),
     )
 

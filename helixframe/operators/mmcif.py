@@ -25,18 +25,21 @@ def atom_rows(files: DataFrame, rows: tuple[str, ...] = ("ATOM", "HETATM")) -> t
     A text is split once; where its header puts each field and which model is first are told from the split text, so nothing is joined.
     """
     is_row = lambda x: x.startswith("ATOM") | x.startswith("HETATM")
-    fields = lambda x: F.split(F.trim(x), r"\s+")
+    # cut at single blanks, which needs no regular expression compiled for each line; other white space becomes one first
+    fields = lambda x: F.split(F.regexp_replace(F.trim(x), r"\s{2,}|[^\S ]", " "), " ")
     split = files.select("file", F.split("text", r"\r?\n").alias("t"))
     names = F.transform(F.filter("t", lambda x: x.startswith("_atom_site.")), lambda x: F.substring(F.trim(x), 12, 1000))
-    headed = split.select("file", "t", names.alias("h")).withColumn("width", F.size("h"))
+    # widths are never null and lines are told by an outer explode, as for others Spark would test first, splitting each text again
+    headed = split.select("file", "t", names.alias("h")).withColumn("width", F.coalesce(F.size("h"), F.lit(-1)))
     place = lambda n: F.array_position("h", F.lit(n)).cast("int")
     # the first row that fits; those after it aren't split for this
     first = F.aggregate(F.filter("t", is_row), F.lit(None).cast("array<string>"), lambda a, x: F.coalesce(a, F.when(F.size(fields(x)) == F.col("width"), fields(x))))
     headed = headed.select("file", "t", "width", F.struct(*(place(n).alias(n) for n in FIELDS)).alias("at"), first.alias("first"))
     of = lambda f, n: F.when(F.col(f"at.{n}") > 0, F.get(f, F.col(f"at.{n}") - 1))
     model = "pdbx_PDB_model_num"
-    lines = headed.withColumn("model", of("first", model)).select("file", "width", "at", "model", F.posexplode("t").alias("line_no", "line")).where(is_row(F.col("line")))
-    cut = lines.withColumn("f", fields(F.col("line")))
+    lines = headed.withColumn("model", of("first", model)).select("file", "width", "at", "model", F.posexplode_outer("t").alias("line_no", "line")).where(is_row(F.col("line")))
+    # an array of one, so that a line is split once and not again in each filter and field
+    cut = lines.select("*", F.explode(F.array(fields(F.col("line")))).alias("f"))
     fits = F.size("f") == F.col("width")
     named = cut.where(fits).where(of("f", model).eqNullSafe(F.col("model"))).select("file", "line_no", *(of("f", n).alias(n) for n in FIELDS))
     return named.where(F.col("group_PDB").isin(*rows)), cut.where(~fits).select("file", "line_no", "line")
@@ -73,5 +76,6 @@ def atoms_of_text(structures: DataFrame, every: bool = False) -> DataFrame:
 
     numbered = F.transform(F.split("pdb_text", r"\r?\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
     atoms = F.filter(numbered, lambda x: x["line"].startswith("ATOM"))
-    lines = structures.select("protein_id", (F.explode_outer if every else F.explode)(atoms).alias("l"))
+    lines = structures.select("protein_id", F.explode_outer(atoms).alias("l"))
+    lines = lines if every else lines.where("l IS NOT NULL")
     return lines.select("protein_id", "l.line_no", pdb_fields(F.col("l.line")).alias("f")).select("protein_id", "line_no", "f.*")

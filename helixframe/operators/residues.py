@@ -51,7 +51,8 @@ def coordinates(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None)
         one = lambda r, v: F.struct(r.alias("r"), v.alias("v"))
         return F.concat(F.transform(gap, lambda r: one(r, none)), F.array(one(e["r"], e["v"].cast("struct<x:double,y:double,z:double>"))))
 
-    rows = a.select("protein_id", F.explode(F.flatten(F.transform("a", fill))).alias("c"))
+    # no chain is without a row; outer, as Spark would else make the array once more to see that
+    rows = a.select("protein_id", F.explode_outer(F.flatten(F.transform("a", fill))).alias("c"))
     return rows.select("protein_id", F.col("c.r").alias("res_idx"), F.col("c.v.x").alias("x"), F.col("c.v.y").alias("y"), F.col("c.v.z").alias("z"))
 
 

@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fixed(column: str, places: int) -> Column:
+    """A number as text with so many places, half up."""
+    return F.col(column).cast(f"decimal(24,{places})").cast("string")
+
+
 def pick(values: tuple[str, ...], number: Column) -> Column:
     return F.get(F.array(*map(F.lit, values)), (number % len(values)).cast("int"))
 

@@ -100,3 +100,22 @@ def test_real_lines_survive(spark):
     line = t.pdb_line(s("ATOM"), s("123456"), s("CG"), s("TRP"), s("AB"), s("-12"), s("A"), s("-123.45678"), s("1.0"), s("2.5"), s("1.00"), s("20.123456"), s("C"), s("?"))
     r = spark.range(1).select(t.pdb_fields(line).alias("f")).first().f
     assert (r.serial, r.atom_name, r.res_name, r.chain, r.res_seq, r.icode, r.x, r.b_factor, r.element) == (12345, "CG", "TRP", "B", -12, "A", -123.456, 20.123, "C")
+
+
+def test_texts_are_split_once(spark):
+    """No filter splits a text or makes an array again, and a line is split in one place."""
+    texts = spark.createDataFrame([("f", "x")], "file string, text string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    of = lambda df: [x for x in plan(df) if "split(" in x]
+    assert not [x for x in of(mmcif.atom_rows(texts)[0]) if "Filter" in x]
+    assert len(of(mmcif.atom_rows(texts)[0])) == 3  # of the text, the first row and a line
+    assert len(of(mmcif.atoms_of_text(texts.selectExpr("file AS protein_id", "text AS pdb_text")))) == 1
+    assert sum("flatten(" in x for x in plan(residues.coordinates(atoms(spark, TEN)))) == 1
+
+
+def test_other_white_space_in_rows(spark):
+    """Rows are cut at any run of white space, as before."""
+    rows = "ATOM  1\tCA . ALA A  1 ?  1.000 2.000\t\t3.000 1.00 20.00 C ? 1"
+    text = "loop_\n" + "\n".join(f"_atom_site.{n}" for n in mmcif.FIELDS) + "\n" + rows.replace(" . ", " ") + "\n"
+    got = mmcif.atom_rows(spark.createDataFrame([("f", text)], "file string, text string"))[0].collect()
+    assert [tuple(r[n] for n in mmcif.FIELDS[:9]) for r in got] == [("ATOM", "1", "CA", "ALA", "A", "1", "?", "1.000", "2.000")]
