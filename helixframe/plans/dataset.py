@@ -166,8 +166,12 @@ def write_index(root: str, spec: Spec, index_type: str, present: DataFrame, made
 
 
 def _save(df: DataFrame, root: str, kind: str, spec: Spec, batches: DataFrame) -> DataFrame:
-    """Rows of a stage as Parquet, a folder per batch of ids; gives the ids made and their paths."""
-    _write(df.join(batches, "protein_id").withColumn("dataset_id", F.lit(spec.dataset_id)), f"{root}/{kind}", "dataset_id", "batch")
+    """Rows of a stage as Parquet, a folder per batch of ids; gives the ids made and their paths.
+
+    Rows are brought together by batch first, so a folder has a file, or some where it is large, and not one from each task.
+    """
+    rows = df.join(batches, "protein_id").withColumn("dataset_id", F.lit(spec.dataset_id))
+    _write(rows.hint("rebalance", F.col("batch")), f"{root}/{kind}", "dataset_id", "batch")
     mine = df.sparkSession.read.parquet(f"{root}/{kind}").where(F.col("dataset_id") == spec.dataset_id)
     path = F.concat(F.lit(spec.folder(kind) + "/batch="), F.col("batch").cast("string"))
     return mine.join(batches, ["protein_id", "batch"], "left_semi").select("protein_id", path.alias("path")).distinct()
