@@ -101,7 +101,7 @@ def dealt(rows: DataFrame, key: str, each: int) -> Column:
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as FASTA records over several lines, all in one file: file, line_no, line."""
     d = table(spark, sf_dir, "documents")
-    letters = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z\n]", ""))
+    letters = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z\n]+", ""))
     body = F.filter(F.split(letters, "\n"), lambda x: x != "")
     lines = F.concat(F.array(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit(" "), F.coalesce("lang", F.lit("")))), body)
     return d.select(F.lit(0).alias("file"), "doc_id", F.posexplode(lines).alias("pos", "line")).select("file", F.struct("doc_id", "pos").alias("line_no"), "line")
