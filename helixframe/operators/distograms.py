@@ -26,13 +26,13 @@ def _tiles(coords: DataFrame, tile: int, stretch: int = STRETCH) -> DataFrame:
     a task holds is bounded by two stretches whatever the chain's length, and a residue is sent once for each stretch of its chain: once for a
     chain of one. The tiles of a group are made where it lies.
     """
-    block, chain = F.floor(F.col("res_idx") / tile).cast("int"), Window.partitionBy("protein_id")
-    rows = coords.select("protein_id", block.alias("block"), F.floor(F.col("res_idx") / (tile * stretch)).cast("int").alias("own"), F.struct("res_idx", "x", "y", "z").alias("r"))
-    # all up to the deal is within chains, so one exchange of rows serves it
-    ends = rows.withColumns({"_lo": F.min("own").over(chain), "_hi": F.max("own").over(chain)})
-    blocks = ends.groupBy("protein_id", "own", "_lo", "_hi", "block").agg(F.array_sort(F.collect_list("r")).alias("a"))
-    stretches = blocks.groupBy("protein_id", "own", "_lo", "_hi").agg(F.collect_list(F.struct("block", "a")).alias("s"))
-    dealt = stretches.select("protein_id", "own", "s", F.explode(F.sequence("_lo", "_hi")).alias("other"))
+    block, chain = lambda n: F.floor(n / tile).cast("int"), Window.partitionBy("protein_id")
+    rows = coords.select("protein_id", F.floor(F.col("res_idx") / (tile * stretch)).cast("int").alias("own"), F.struct("res_idx", "x", "y", "z").alias("r"))
+    # all up to the deal is within chains, so one exchange of rows serves it; the window is over stretches, not residues
+    stretches = rows.repartition("protein_id").groupBy("protein_id", "own").agg(F.sort_array(F.collect_list("r")).alias("r"))
+    ends = stretches.withColumns({"_lo": F.min("own").over(chain), "_hi": F.max("own").over(chain), "_b": F.array_distinct(F.transform("r", lambda x: block(x["res_idx"])))})
+    cut = F.transform("_b", lambda b: F.named_struct(F.lit("block"), b, F.lit("a"), F.filter("r", lambda x: block(x["res_idx"]) == b)))
+    dealt = ends.select("protein_id", "own", cut.alias("s"), F.explode(F.sequence("_lo", "_hi")).alias("other"))
     low, high = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     met = dealt.select("protein_id", low, high, F.struct("own", "s").alias("s")).repartition("protein_id", "i", "j").groupBy("protein_id", "i", "j").agg(F.array_sort(F.collect_list("s")).alias("b"))
     # stretches without residues leave a group with one stretch, unless it is the stretch's own

@@ -18,8 +18,23 @@ def residues(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) ->
     ranges: a column of ranges; only residues within them count.
     """
     rows = atoms if ranges is None else atoms.where(in_ranges(F.col("res_seq"), F.col(ranges)))
+    return _counted(rows, carbon).drop("n")
+
+
+def _counted(atoms: DataFrame, carbon: str) -> DataFrame:
+    """Residues with the number of their lines, n."""
     place = F.when(F.col("atom_name") == carbon, F.col("line_no"))
-    return rows.groupBy("protein_id", "res_seq").agg(F.min_by("res_name", "line_no").alias("res_name"), F.max_by(F.struct("x", "y", "z"), place).alias("xyz"))
+    return atoms.groupBy("protein_id", "res_seq").agg(F.min_by("res_name", "line_no").alias("res_name"), F.max_by(F.struct("x", "y", "z"), place).alias("xyz"), F.count("*").alias("n"))
+
+
+def chains(atoms: DataFrame, carbon: str = "CA") -> DataFrame:
+    """protein_id, a (residues in order: r, l, xyz), n (lines) and bad (lines whose residue number can't be read).
+
+    All that sequences, coordinates and errors need of a chain, so its lines are grouped once for the three.
+    """
+    one = F.when(F.col("res_seq").isNotNull(), F.struct(F.col("res_seq").alias("r"), letter(F.col("res_name")).alias("l"), "xyz"))
+    rows = _counted(atoms, carbon).select("protein_id", one.alias("one"), "n", F.when(F.col("res_seq").isNull(), F.col("n")).otherwise(0).alias("bad"))
+    return rows.groupBy("protein_id").agg(F.sort_array(F.collect_list("one")).alias("a"), F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
 def last_atoms(atoms: DataFrame, name: str) -> DataFrame:
@@ -29,31 +44,44 @@ def last_atoms(atoms: DataFrame, name: str) -> DataFrame:
 
 
 def _ordered(rows: DataFrame, value: Column) -> DataFrame:
-    return rows.groupBy("protein_id").agg(F.array_sort(F.collect_list(F.struct(F.col("res_seq").alias("r"), value.alias("v")))).alias("a"))
+    valued = rows.select("protein_id", F.struct(F.col("res_seq").alias("r"), value.alias("v")).alias("e"))
+    return valued.groupBy("protein_id").agg(F.sort_array(F.collect_list("e")).alias("a"))
 
 
-def sequences(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) -> DataFrame:
-    """protein_id and the sequence from its first to its last residue number, X where there is none or an unknown one."""
-    a = _ordered(residues(atoms, carbon, ranges), letter(F.col("res_name")))
-    before = lambda e, i: F.when(i > 0, e["r"] - F.get("a", i - 1)["r"] - 1).otherwise(0)
-    filled = F.transform("a", lambda e, i: F.concat(F.repeat(F.lit("X"), before(e, i).cast("int")), e["v"]))
-    return a.select("protein_id", F.array_join(filled, "").alias("sequence"))
+def filled_sequence(a: Column, value: str) -> Column:
+    """The letters (value) of residues in order, X for each number between them."""
+    before = lambda e, i: F.when(i > 0, e["r"] - F.get(a, i - 1)["r"] - 1).otherwise(0)
+    return F.array_join(F.transform(a, lambda e, i: F.concat(F.repeat(F.lit("X"), before(e, i).cast("int")), e[value])), "")
 
 
-def coordinates(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) -> DataFrame:
-    """protein_id, res_idx, x, y, z for every number from the first to the last; nulls for gaps and for residues without the carbon."""
-    a = _ordered(residues(atoms, carbon, ranges), F.col("xyz"))
+def filled_coordinates(a: Column, value: str) -> Column:
+    """array<struct<r, v>> of residues in order, with a null v for each number between them."""
     none = F.lit(None).cast("struct<x:double,y:double,z:double>")
 
     def fill(e: Column, i: Column) -> Column:
-        last = F.get("a", i - 1)["r"]
+        last = F.get(a, i - 1)["r"]
         gap = F.when((i > 0) & (e["r"] - last > 1), F.sequence(last + 1, e["r"] - 1)).otherwise(F.array().cast("array<int>"))
         one = lambda r, v: F.struct(r.alias("r"), v.alias("v"))
-        return F.concat(F.transform(gap, lambda r: one(r, none)), F.array(one(e["r"], e["v"].cast("struct<x:double,y:double,z:double>"))))
+        return F.concat(F.transform(gap, lambda r: one(r, none)), F.array(one(e["r"], e[value].cast("struct<x:double,y:double,z:double>"))))
 
+    return F.flatten(F.transform(a, fill))
+
+
+def coordinate_rows(rows: DataFrame, filled: Column, *keep: str) -> DataFrame:
+    """A row for each of the filled coordinates: the kept columns, res_idx, x, y, z."""
     # no chain is without a row; outer, as Spark would else make the array once more to see that
-    rows = a.select("protein_id", F.explode_outer(F.flatten(F.transform("a", fill))).alias("c"))
-    return rows.select("protein_id", F.col("c.r").alias("res_idx"), F.col("c.v.x").alias("x"), F.col("c.v.y").alias("y"), F.col("c.v.z").alias("z"))
+    return rows.select(*keep, F.explode_outer(filled).alias("c")).select(*keep, F.col("c.r").alias("res_idx"), F.col("c.v.x").alias("x"), F.col("c.v.y").alias("y"), F.col("c.v.z").alias("z"))
+
+
+def sequences(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) -> DataFrame:
+    """protein_id and the sequence from its first to its last residue number, X where there is none or an unknown one."""
+    a = _ordered(residues(atoms, carbon, ranges), letter(F.col("res_name")))
+    return a.select("protein_id", filled_sequence(F.col("a"), "v").alias("sequence"))
+
+
+def coordinates(atoms: DataFrame, carbon: str = "CA", ranges: str | None = None) -> DataFrame:
+    """protein_id, res_idx, x, y, z for every number from the first to the last; nulls for gaps and for residues without the carbon."""
+    return coordinate_rows(_ordered(residues(atoms, carbon, ranges), F.col("xyz")), filled_coordinates(F.col("a"), "v"), "protein_id")
 
 
 def best_conformers(atoms: DataFrame) -> DataFrame:

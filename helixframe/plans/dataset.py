@@ -13,11 +13,11 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, fields
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.refdata import COLLECTIONS, DATABASES
-from ..functions.text import double_last_underscore, lower_ids, without_last_token
+from ..functions.text import double_last_underscore, in_ranges, lower_ids, without_last_token
 from ..operators import catalog, distograms, embeddings, mmcif, residues
 from ..sources import bcif, fetch, readers
 from .log import dataset_logger
@@ -149,7 +149,10 @@ def searched(spark: SparkSession, root: str, spec: Spec, index_type: str) -> Dat
     """protein_id and path that any compatible dataset of the same database has, the newest dataset's first."""
     same = lambda name: catalog.alike(F.col(name), F.lit(getattr(spec, name)).cast("string"))
     fit = catalog.of_database(datasets(spark, root), spec.db_type, column="id").where(catalog.applies(F.lit(index_type), same("embedder_type"), same("carbon"), same("input_path")))
-    held = indexes(spark, root).where(F.col("index_type") == index_type).join(fit.select("dataset_id", F.col("created_at").cast("long").alias("created_at")), "dataset_id")
+    rows = indexes(spark, root).where(F.col("index_type") == index_type)
+    if rows.isEmpty():  # told before, so no step of a first build joins its ids with nothing
+        return rows.select("protein_id", "path").limit(0)
+    held = rows.join(fit.select("dataset_id", F.col("created_at").cast("long").alias("created_at")), "dataset_id")
     return catalog.newest_wins(held)
 
 
@@ -158,29 +161,58 @@ def own(spark: SparkSession, root: str, spec: Spec, index_type: str) -> DataFram
     return indexes(spark, root).where((F.col("dataset_id") == spec.dataset_id) & (F.col("index_type") == index_type)).select("protein_id", "path")
 
 
+def _with_batch(rows: DataFrame) -> DataFrame:
+    """Rows whose protein_id carries their batch, `batch/id`, through operators that keep the id alone."""
+    return rows.withColumn("protein_id", F.concat_ws("/", F.col("batch").cast("string"), "protein_id")).drop("batch")
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """protein_id and batch again; the number has no slash, the id may have some."""
+    both = F.col("protein_id")
+    return rows.withColumns({"protein_id": F.substr(both, F.instr(both, "/") + 1), "batch": F.substring_index(both, "/", 1).cast("int")})
+
+
+def _place() -> tuple[Column, Column]:
+    """Dataset and batch that a path names; null for what it doesn't. Without regular expressions, as every id's path goes through it."""
+    path = F.col("path")
+    dataset = F.substring_index(F.substr(path, F.instr(path, "dataset_id=") + len("dataset_id=")), "/", 1)
+    return F.when(path.contains("dataset_id="), dataset), F.when(path.contains("/batch="), F.substring_index(path, "/batch=", -1).try_cast("int"))
+
+
 def write_index(root: str, spec: Spec, index_type: str, present: DataFrame, made: DataFrame) -> None:
-    """The dataset's index of a type: what it reuses and what it made, which counts where both have an id."""
-    both = catalog.merge_right(present, made)
-    batch = F.regexp_extract("path", r"/batch=(\d+)$", 1).try_cast("int")
-    _write(both.withColumns({"batch": batch, "dataset_id": F.lit(spec.dataset_id), "index_type": F.lit(index_type)}), f"{root}/indexes", "dataset_id", "index_type")
+    """The dataset's index of a type: what it reuses and what it made (a row for each id), which counts where both have an id."""
+    both = present.select("protein_id", "path").join(made.select("protein_id"), "protein_id", "left_anti").unionByName(made)
+    _write(both.withColumns({"batch": _place()[1], "dataset_id": F.lit(spec.dataset_id), "index_type": F.lit(index_type)}), f"{root}/indexes", "dataset_id", "index_type")
 
 
-def _save(df: DataFrame, root: str, kind: str, spec: Spec, batches: DataFrame) -> DataFrame:
-    """Rows of a stage as Parquet, a folder per batch of ids; gives the ids made and their paths.
+def _save(rows: DataFrame, root: str, kind: str, spec: Spec, first: int) -> DataFrame:
+    """Rows of a stage, with their batch, as Parquet, a folder per batch of ids; gives the ids made and their paths.
 
     Rows are brought together by batch first, so a folder has a file, or some where it is large, and not one from each task.
+    The batches of a run begin at first, after all there are, so what it made is told by the folders alone.
     """
-    rows = df.join(batches, "protein_id").withColumn("dataset_id", F.lit(spec.dataset_id))
-    _write(rows.hint("rebalance", F.col("batch")), f"{root}/{kind}", "dataset_id", "batch")
-    mine = df.sparkSession.read.parquet(f"{root}/{kind}").where(F.col("dataset_id") == spec.dataset_id)
+    _write(rows.withColumn("dataset_id", F.lit(spec.dataset_id)).hint("rebalance", F.col("batch")), f"{root}/{kind}", "dataset_id", "batch")
+    mine = rows.sparkSession.read.parquet(f"{root}/{kind}").where((F.col("dataset_id") == spec.dataset_id) & (F.col("batch") >= first))
     path = F.concat(F.lit(spec.folder(kind) + "/batch="), F.col("batch").cast("string"))
-    return mine.join(batches, ["protein_id", "batch"], "left_semi").select("protein_id", path.alias("path")).distinct()
+    return mine.groupBy("protein_id").agg(F.max("batch").alias("batch")).select("protein_id", path.alias("path"))
+
+
+#: Where a row of a stage's table lies, and whose it is.
+PLACE = ["dataset_id", "batch", "protein_id"]
 
 
-def stored(spark: SparkSession, root: str, kind: str, work: DataFrame) -> DataFrame:
-    """Rows of a stage's table for the ids of work (protein_id, path); only the folders that are named are read."""
-    at = work.select("protein_id", F.regexp_extract("path", "dataset_id=([^/]+)", 1).alias("dataset_id"), F.regexp_extract("path", r"batch=(\d+)", 1).cast("int").alias("batch"))
-    return spark.read.parquet(f"{root}/{kind}").join(at, ["dataset_id", "batch", "protein_id"], "left_semi").drop("dataset_id", "batch")
+def stored(spark: SparkSession, root: str, kind: str, work: DataFrame, told: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """Rows of a stage's table for the ids of work (protein_id, path); only the folders that are named are read.
+
+    told makes what is asked for of the rows, by PLACE, before they meet work. Where work has a batch, which stands for the run that reads, rows get it;
+    an id then has one path.
+    """
+    at = work.withColumns(dict(zip(("dataset_id", "_at"), _place())))
+    rows = told(spark.read.parquet(f"{root}/{kind}"))
+    if "batch" not in work.columns:
+        return rows.join(at.select("dataset_id", F.col("_at").alias("batch"), "protein_id"), PLACE, "left_semi").drop("dataset_id", "batch")
+    new = at.select("dataset_id", F.col("_at").alias("batch"), "protein_id", F.col("batch").alias("_new"))
+    return rows.join(new, PLACE).drop("dataset_id", "batch").withColumnRenamed("_new", "batch")
 
 
 def report_errors(root: str, spec: Spec, stage: str, errors: DataFrame) -> None:
@@ -247,6 +279,8 @@ def structures(spark: SparkSession, spec: Spec, wanted: DataFrame | None = None,
 def with_ranges(found: DataFrame, asked: DataFrame) -> DataFrame:
     """Ranges of each structure: those of its id, else of the id with its last underscore doubled, else of its base id."""
     r = asked.where("ranges IS NOT NULL").select(F.col("protein_id").alias("asked"), "ranges").dropDuplicates(["asked"])
+    if r.isEmpty():
+        return found.withColumn("ranges", F.lit(None).cast(r.schema["ranges"].dataType))
     keys = found.select("protein_id", F.posexplode(F.array("protein_id", double_last_underscore(F.col("protein_id")), without_last_token(F.col("protein_id")))).alias("p", "asked"))
     best = keys.join(r, "asked").groupBy("protein_id").agg(F.min_by("ranges", "p").alias("ranges"))
     return found.join(best, "protein_id", "left")
@@ -255,14 +289,15 @@ def with_ranges(found: DataFrame, asked: DataFrame) -> DataFrame:
 # --- stages -----------------------------------------------------------------------------------
 
 
-def _batched(ids: DataFrame, root: str, spec: Spec, *kinds: str) -> DataFrame:
-    """protein_id and batch of ids, after the batches that the dataset has of any of these kinds."""
+def _batched(ids: DataFrame, root: str, spec: Spec, name: str, *kinds: str) -> tuple[DataFrame, int]:
+    """ids, a row each, with their batch, after the batches that the dataset has of any of these kinds; staged as name. Also the first of them."""
     spark = ids.sparkSession
     last = [-1]
     for kind in kinds:
         have = _read(spark, f"{root}/{kind}", "protein_id string, dataset_id string, batch int").where(F.col("dataset_id") == spec.dataset_id)
         last.append(have.agg(F.coalesce(F.max("batch"), F.lit(-1))).first()[0])
-    return catalog.batches(ids.select("protein_id").distinct(), "protein_id", spec.batch_size, max(last) + 1).select("protein_id", F.col("batch").cast("int").alias("batch"))
+    first, ids = max(last) + 1, staged(ids, root, spec, f"{name}_ids")  # ranges are sampled first, so ids are read twice
+    return staged(catalog.batches(ids, "protein_id", spec.batch_size, first).withColumn("batch", F.col("batch").cast("int")), root, spec, name), first
 
 
 def structures_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame) -> None:
@@ -274,8 +309,8 @@ def structures_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFram
     got, lost = structures(spark, spec, missing, root)
     got = staged(got, root, spec, "parsed")
     matched = staged(match(missing, got.select("protein_id", F.lit("").alias("path"))).select("asked", "protein_id").distinct(), root, spec, "matched")
-    new = matched.select("protein_id").distinct()
-    made = _save(got, root, "structures", spec, staged(_batched(new, root, spec, "structures"), root, spec, "batches"))
+    new, first = _batched(matched.select("protein_id").distinct(), root, spec, "batches", "structures")
+    made = _save(got.join(new, "protein_id"), root, "structures", spec, first)
     write_index(root, spec, "dataset", held.select("protein_id", "path").distinct(), made)
     index = own(spark, root, spec, "dataset")
     unresolved = missing.join(matched.select(F.col("asked").alias("protein_id")), "protein_id", "left_anti")
@@ -292,30 +327,31 @@ def sequences_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame
     """Sequences and coordinates of the dataset's structures; what lacks either is made from its structure."""
     structure_index = own(spark, root, spec, "dataset")
     plans = {k: catalog.plan(structure_index, searched(spark, root, spec, k), structure_index, spec.overwrite) for k in ("sequences", "coordinates")}
-    work = staged(plans["sequences"].work.unionByName(plans["coordinates"].work).distinct(), root, spec, "sequence_work")
-    texts = stored(spark, root, "structures", work)
-    atoms = with_ranges(mmcif.atoms_of_text(texts), asked)
-    batches = staged(_batched(work, root, spec, "sequences", "coordinates"), root, spec, "batches")
-    fine = atoms.where("res_seq IS NOT NULL")
-    made = _save(residues.sequences(fine, spec.carbon, "ranges"), root, "sequences", spec, batches)
-    placed = _save(residues.coordinates(fine, spec.carbon, "ranges"), root, "coordinates", spec, batches)
+    work, first = _batched(plans["sequences"].work.unionByName(plans["coordinates"].work).distinct(), root, spec, "sequence_work", "sequences", "coordinates")
+    # texts are dealt by id before they are split, so all that is grouped lies within a task
+    texts = stored(spark, root, "structures", work.select("protein_id", "path")).repartition("protein_id")
+    read = residues.chains(mmcif.atoms_of_text(texts), spec.carbon)
+    ranged = with_ranges(work.select("protein_id", "batch").join(read, "protein_id", "left"), asked)
+    # lines are read once; sequences, coordinates and errors are told from what was read
+    chains = staged(ranged.withColumn("a", F.filter("a", lambda e: in_ranges(e["r"], F.col("ranges")))).drop("ranges"), root, spec, "chains")
+    fine, a = chains.where(F.size("a") > 0), F.col("a")
+    made = _save(fine.select("protein_id", residues.filled_sequence(a, "l").alias("sequence"), "batch"), root, "sequences", spec, first)
+    placed = _save(residues.coordinate_rows(fine, residues.filled_coordinates(a, "xyz"), "protein_id", "batch"), root, "coordinates", spec, first)
     write_index(root, spec, "sequences", plans["sequences"].present, made)
     write_index(root, spec, "coordinates", plans["coordinates"].present, placed)
-    read = atoms.groupBy("protein_id").agg(F.count("*").alias("n"), F.count_if(F.col("res_seq").isNull()).alias("bad"))
     why = F.when(F.col("n").isNull(), "no atoms").when(F.col("bad") > 0, F.concat(F.lit("residue number unreadable in lines: "), F.col("bad").cast("string"))).otherwise("no residue in the ranges")
-    failed = work.select("protein_id").join(read, "protein_id", "left").join(made, "protein_id", "left").where("path IS NULL OR bad > 0")
-    report_errors(root, spec, "sequences", failed.select("protein_id", why.alias("error")))
+    report_errors(root, spec, "sequences", chains.where("n IS NULL OR size(a) = 0 OR bad > 0").select("protein_id", why.alias("error")))
 
 
 def distograms_stage(spark: SparkSession, root: str, spec: Spec) -> None:
     """Distograms of the dataset's structures, from the coordinate files of each; chains too short for one are reported."""
     ids, coordinate_index = own(spark, root, spec, "dataset"), own(spark, root, spec, "coordinates")
     plan = catalog.plan(ids, searched(spark, root, spec, "distograms"), coordinate_index, spec.overwrite)
-    work = staged(plan.work, root, spec, "distogram_work")
-    coords = stored(spark, root, "coordinates", work)
-    made = _save(distograms.distogram(coords), root, "distograms", spec, staged(_batched(work, root, spec, "distograms"), root, spec, "batches"))
-    write_index(root, spec, "distograms", plan.present, made)
-    short = distograms.degenerate_matrices(work, coords).select("protein_id", F.lit("too short").alias("error"))
+    work, first = _batched(plan.work, root, spec, "distogram_work", "distograms")
+    pairs = distograms.distogram(_with_batch(stored(spark, root, "coordinates", work)))
+    write_index(root, spec, "distograms", plan.present, _save(_apart(pairs), root, "distograms", spec, first))
+    # any two residues are a pair, so a chain without one is too short
+    short = work.join(own(spark, root, spec, "distograms").select("protein_id"), "protein_id", "left_anti").select("protein_id", F.lit("too short").alias("error"))
     report_errors(root, spec, "distograms", plan.lost.select("protein_id", F.lit("no coordinates").alias("error")).unionByName(short))
 
 
@@ -323,10 +359,10 @@ def embeddings_stage(spark: SparkSession, root: str, spec: Spec) -> None:
     """Embeddings of the dataset's sequences by the model that the descriptor names."""
     ids, sequence_index = own(spark, root, spec, "dataset"), own(spark, root, spec, "sequences")
     plan = catalog.plan(ids, searched(spark, root, spec, "embeddings"), sequence_index, spec.overwrite)
-    work = staged(plan.work, root, spec, "embedding_work")
-    found = embeddings.embeddings(stored(spark, root, "sequences", work), embeddings.factory_of(spec.embedder_type or DEFAULT_EMBEDDER))
-    made = _save(found, root, "embeddings", spec, staged(_batched(work, root, spec, "embeddings"), root, spec, "batches"))
-    write_index(root, spec, "embeddings", plan.present, made)
+    factory = embeddings.factory_of(spec.embedder_type or DEFAULT_EMBEDDER)
+    work, first = _batched(plan.work, root, spec, "embedding_work", "embeddings")
+    found = embeddings.embeddings(_with_batch(stored(spark, root, "sequences", work)), factory)
+    write_index(root, spec, "embeddings", plan.present, _save(_apart(found), root, "embeddings", spec, first))
     report_errors(root, spec, "embeddings", plan.lost.select("protein_id", F.lit("no sequence").alias("error")))
 
 

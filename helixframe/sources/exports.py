@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,31 +15,34 @@ CODECS = ("uncompressed", "snappy", "gzip", "lz4", "zstd")
 def zip_batches(structures: DataFrame, suffix: str = ".pdb") -> DataFrame:
     """batch, n, archive of structures (batch, protein_id, pdb_text): a zip file per batch, members in order of id. Batches bound what one task holds."""
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, text in sorted(zip(pdf["protein_id"], pdf["pdb_text"])):
-                z.writestr(zipfile.ZipInfo(name if name.endswith(suffix) else name + suffix), text)
-        return pd.DataFrame({"batch": [pdf["batch"].iloc[0]], "n": [len(pdf)], "archive": [out.getvalue()]})
+    def pack(rows: pa.Table) -> pa.Table:
+        return pa.table({"batch": rows["batch"][:1].cast(pa.int64()), "n": pa.array([rows.num_rows], pa.int64()), "archive": pa.array([_zip(rows, suffix)], pa.binary())})
 
-    return structures.select("batch", "protein_id", "pdb_text").groupBy("batch").applyInPandas(pack, "batch long, n long, archive binary")
+    return structures.select("batch", "protein_id", "pdb_text").groupBy("batch").applyInArrow(pack, "batch long, n long, archive binary")
+
+
+def _zip(rows: pa.Table, suffix: str) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in sorted(zip(rows["protein_id"].to_pylist(), rows["pdb_text"].to_pylist())):
+            z.writestr(zipfile.ZipInfo(name if name.endswith(suffix) else name + suffix), text)
+    return out.getvalue()
 
 
 def write_archives(structures: DataFrame, path: str, suffix: str = ".pdb") -> DataFrame:
-    """Write zip_batches as files batch_<n>.zip under path, each by the task that made it; gives batch, n, file."""
+    """Write the archives of zip_batches as files batch_<n>.zip under path, each where it is made; gives batch, n, file."""
 
-    def write(frames):
+    def write(rows: pa.Table) -> pa.Table:
         from pyarrow import fs
 
         system, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
         system.create_dir(at, recursive=True)
-        for pdf in frames:
-            for batch, archive in zip(pdf["batch"], pdf["archive"]):
-                with system.open_output_stream(f"{at}/batch_{batch}.zip") as out:
-                    out.write(archive)
-            yield pd.DataFrame({"batch": pdf["batch"], "n": pdf["n"], "file": [f"batch_{b}.zip" for b in pdf["batch"]]})
+        name = f"batch_{rows['batch'][0].as_py()}.zip"
+        with system.open_output_stream(f"{at}/{name}") as out:
+            out.write(_zip(rows, suffix))
+        return pa.table({"batch": rows["batch"][:1].cast(pa.int64()), "n": pa.array([rows.num_rows], pa.int64()), "file": pa.array([name])})
 
-    return zip_batches(structures, suffix).mapInPandas(write, "batch long, n long, file string")
+    return structures.select("batch", "protein_id", "pdb_text").groupBy("batch").applyInArrow(write, "batch long, n long, file string")
 
 
 def codec_sizes(df: DataFrame, path: str, codecs: tuple[str, ...] = CODECS) -> DataFrame:

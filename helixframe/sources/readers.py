@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import file_stem, full_id, lower_ids, parse_ranges, range_error
 from ..operators.catalog import containing
+from .staging import written
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
@@ -180,19 +181,22 @@ def _is_zip(file) -> bool:
     return file.read(2) == b"PK"
 
 
-def _content(file, name: str, at: int, size: int, packing: int) -> bytes:
+def _content(file, name: str, at: int, size: int, packing: int, is_zip: bool) -> bytes:
     """A member's bytes: read where it lies, whatever the archive's size."""
     if packing == CODED:
         if zipfile.is_zipfile(file):
             return zipfile.ZipFile(file).read(name)
         file.seek(0)
         return tarfile.open(fileobj=file).extractfile(name).read()
-    if _is_zip(file):
-        file.seek(at)
-        head = file.read(30)  # the local header, then the name and an extra field of their own lengths
-        at += 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little")
     file.seek(at)
-    data = file.read(size)
+    if is_zip:
+        data = file.read(30 + len(name.encode()) + size)  # the local header, then the name and an extra field of their own lengths
+        lo = 30 + int.from_bytes(data[26:28], "little") + int.from_bytes(data[28:30], "little")
+        if lo + size > len(data):
+            data += file.read(lo + size - len(data))
+        data = data[lo : lo + size]
+    else:
+        data = file.read(size)
     return zlib.decompress(data, -15) if packing == DEFLATED else data
 
 
@@ -233,7 +237,8 @@ def _ranged(batches):
                 if file is not None:
                     file.close()
                 held, file = path, _open(path)
-            yield path, name, _content(file, name, at, size, packing)
+                is_zip = _is_zip(file)
+            yield path, name, _content(file, name, at, size, packing, is_zip)
 
 
 def _through(batches):
@@ -253,13 +258,13 @@ def _through(batches):
 def _whole(batches):
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            file = io.BytesIO(content)
+            file, is_zip = io.BytesIO(content), content[:2] == b"PK"
             for row in member_table(file):
                 if row[3] == STREAMED:
                     file.seek(0)
                     yield path, row[0], tarfile.open(fileobj=file).extractfile(row[0]).read()
                 else:
-                    yield path, row[0], _content(file, *row)
+                    yield path, row[0], _content(file, *row, is_zip)
 
 
 def _read(batches):
@@ -296,13 +301,16 @@ def archives(spark: SparkSession, path: str, choose: Callable[[DataFrame], DataF
     except (OSError, ValueError, ImportError, NotImplementedError):
         every = found.select("path", "content").mapInArrow(_unpacked, content).where(kind.isin(*KINDS)).select(*told)
         return every if choose is None else every.join(choose(every.select("stem").distinct()), "stem", "left_semi")
-    names = found.select("path").mapInArrow(_listed, LISTED).where(kind.isin(*KINDS)).withColumn("stem", stem)
+    # listed once; what chooses, what reads and whether there is a compressed tar are told from the list
+    names = written(found.select("path").mapInArrow(_listed, LISTED).where(kind.isin(*KINDS)).withColumn("stem", stem), "members")
+    compressed = not names.where(F.col("packing") == STREAMED).isEmpty()
     if choose is not None:
-        names = names.join(choose(names.select("stem").distinct()), "stem", "left_semi")
+        names = names.join(choose(names.select("stem")), "stem", "left_semi")
     names = names.select(*(c.split()[0] for c in LISTED.split(", ")))
     ranged = names.where(F.col("packing") != STREAMED).repartition("path", F.floor(F.col("at") / STRETCH)).sortWithinPartitions("path", "at").mapInArrow(_read, content)
-    through = names.where(F.col("packing") == STREAMED).repartition("path").mapInArrow(_streamed, content)
-    return ranged.unionByName(through).select(*told)
+    if compressed:
+        ranged = ranged.unionByName(names.where(F.col("packing") == STREAMED).repartition("path").mapInArrow(_streamed, content))
+    return ranged.select(*told)
 
 
 def lookup_entries(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe import cli
+from helixframe.functions.text import without_last_token
 from helixframe.operators import catalog, ordering
 from helixframe.plans import dataset, report
 from helixframe.sources import exports, fetch, readers
@@ -67,6 +68,41 @@ def test_five_datasets(spark, tmp_path):
     assert origins(spark, root, more) == {"initial_5": 17}
 
 
+def test_structures_are_read_once(spark, tmp_path, monkeypatch):
+    """Texts are split for one table only; what is saved or indexed joins nothing, and archives are listed once."""
+    source, root, plans = write_inputs(tmp_path / "in"), str(tmp_path / "out"), {}
+    (tmp_path / "ids.txt").write_text("\n".join(SEVEN) + "\n")
+    write = dataset._write
+
+    def kept(df, path, *by):
+        plans.setdefault(path.rsplit("/", 1)[1], []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, path, *by)
+
+    monkeypatch.setattr(dataset, "_write", kept)
+    spec = dataset.Spec(version="v", input_path=source, ids_file=str(tmp_path / "ids.txt"), batch_size=4)
+    assert set(dataset.build(spark, root, spec).values()) == {"done"}
+    assert not [k for k in ("sequences", "coordinates", "errors", "indexes") for p in plans[k] if "split(" in p]
+    assert not [k for k in ("sequences", "coordinates") for p in plans[k] if "Join" in p]
+    # of the indexes, only that of structures asks what is held, which is a table by then
+    assert ["Join" in p for p in plans["indexes"]] == [True, False, False, False]
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("2xyz.pdb", b"two")
+    found = readers.archives(spark, str(tmp_path / "x.zip"), lambda stems: stems.where("stem = '2xyz'"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1 and found.count() == 1
+
+
+def test_paths_of_batches(spark):
+    """Places of odd paths, and ids by their last underscore, without regular expressions."""
+    rows = ["sequences/dataset_id=PDB-subset--v/batch=12", "x/dataset_id=a b", "batch=3", "/batch=x", "", None]
+    at = spark.createDataFrame([(k, p) for k, p in enumerate(rows)], "k int, path string").select("k", *(c.alias(n) for n, c in zip("db", dataset._place()))).orderBy("k")
+    assert [(r.d, r.b) for r in at.collect()] == [("PDB-subset--v", 12), ("a b", None), (None, None), (None, None), (None, None), (None, None)]
+    ids = ["1abc_A", "a__b", "a_", "_", "a", "", "_a", None, "é_é_é"]
+    got = spark.createDataFrame([(k, i) for k, i in enumerate(ids)], "k int, i string").orderBy("k").select(without_last_token(F.col("i"))).collect()
+    assert [r[0] for r in got] == ["1abc", "a_", "a", "", "a", "", "", None, "é_é"]
+    both = spark.createDataFrame([("a/b_A", 0), ("c", 12)], "protein_id string, batch int")
+    assert {tuple(r) for r in dataset._apart(dataset._with_batch(both)).collect()} == {("a/b_A", 0), ("c", 12)}
+
+
 def test_commands_over_a_dataset(spark, tmp_path, capsys):
     source, root = write_inputs(tmp_path / "in"), str(tmp_path / "out")
     (tmp_path / "ids.txt").write_text("1aa6\n3eao_B\n")

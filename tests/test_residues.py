@@ -119,3 +119,14 @@ def test_other_white_space_in_rows(spark):
     text = "loop_\n" + "\n".join(f"_atom_site.{n}" for n in mmcif.FIELDS) + "\n" + rows.replace(" . ", " ") + "\n"
     got = mmcif.atom_rows(spark.createDataFrame([("f", text)], "file string, text string"))[0].collect()
     assert [tuple(r[n] for n in mmcif.FIELDS[:9]) for r in got] == [("ATOM", "1", "CA", "ALA", "A", "1", "?", "1.000", "2.000")]
+
+
+def test_chains_tell_all(spark):
+    """Residues grouped once give the sequences and coordinates of both operators, and count lines whose number can't be read."""
+    df = atoms(spark, TEN)
+    grouped = residues.chains(df.unionByName(df.limit(2).withColumn("res_seq", F.lit(None).cast("int"))))
+    a = F.col("a")
+    assert sorted(map(tuple, grouped.select("protein_id", residues.filled_sequence(a, "l")).collect())) == sorted(map(tuple, residues.sequences(df).collect()))
+    rows = residues.coordinate_rows(grouped, residues.filled_coordinates(a, "xyz"), "protein_id")
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(map(tuple, residues.coordinates(df).collect()), key=repr)
+    assert grouped.agg(F.sum("n"), F.sum("bad")).first() == (df.count() + 2, 2)
