@@ -74,8 +74,10 @@ def atoms_of_text(structures: DataFrame, every: bool = False) -> DataFrame:
     """
     from ..functions.text import pdb_fields
 
-    numbered = F.transform(F.split("pdb_text", r"\r?\n"), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
-    atoms = F.filter(numbered, lambda x: x["line"].startswith("ATOM"))
-    lines = structures.select("protein_id", F.explode_outer(atoms).alias("l"))
-    lines = lines if every else lines.where("l IS NOT NULL")
+    text = F.split("pdb_text", r"\r?\n")
+    if every:
+        numbered = F.transform(text, lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+        lines = structures.select("protein_id", F.explode_outer(F.filter(numbered, lambda x: x["line"].startswith("ATOM"))).alias("l"))
+    else:  # lines are told and dropped in compiled code; outer, as Spark would else split each text again to see that it has lines
+        lines = structures.select("protein_id", F.posexplode_outer(text).alias("line_no", "line")).where(F.col("line").startswith("ATOM")).select("protein_id", F.struct("line_no", "line").alias("l"))
     return lines.select("protein_id", "l.line_no", pdb_fields(F.col("l.line")).alias("f")).select("protein_id", "line_no", "f.*")

@@ -326,8 +326,12 @@ def structures_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFram
 def sequences_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame) -> None:
     """Sequences and coordinates of the dataset's structures; what lacks either is made from its structure."""
     structure_index = own(spark, root, spec, "dataset")
-    plans = {k: catalog.plan(structure_index, searched(spark, root, spec, k), structure_index, spec.overwrite) for k in ("sequences", "coordinates")}
-    work, first = _batched(plans["sequences"].work.unionByName(plans["coordinates"].work).distinct(), root, spec, "sequence_work", "sequences", "coordinates")
+    held = {k: searched(spark, root, spec, k) for k in ("sequences", "coordinates")}
+    present = {k: catalog.plan(structure_index, held[k], structure_index, spec.overwrite).present for k in held}
+    # an id has one structure, so the work is the index without the ids that have both
+    both = held["sequences"].select("protein_id").join(held["coordinates"].select("protein_id"), "protein_id")
+    work = structure_index if spec.overwrite else structure_index.join(both, "protein_id", "left_anti")
+    work, first = _batched(work, root, spec, "sequence_work", "sequences", "coordinates")
     # texts are dealt by id before they are split, so all that is grouped lies within a task
     texts = stored(spark, root, "structures", work.select("protein_id", "path")).repartition("protein_id")
     read = residues.chains(mmcif.atoms_of_text(texts), spec.carbon)
@@ -337,8 +341,8 @@ def sequences_stage(spark: SparkSession, root: str, spec: Spec, asked: DataFrame
     fine, a = chains.where(F.size("a") > 0), F.col("a")
     made = _save(fine.select("protein_id", residues.filled_sequence(a, "l").alias("sequence"), "batch"), root, "sequences", spec, first)
     placed = _save(residues.coordinate_rows(fine, residues.filled_coordinates(a, "xyz"), "protein_id", "batch"), root, "coordinates", spec, first)
-    write_index(root, spec, "sequences", plans["sequences"].present, made)
-    write_index(root, spec, "coordinates", plans["coordinates"].present, placed)
+    write_index(root, spec, "sequences", present["sequences"], made)
+    write_index(root, spec, "coordinates", present["coordinates"], placed)
     why = F.when(F.col("n").isNull(), "no atoms").when(F.col("bad") > 0, F.concat(F.lit("residue number unreadable in lines: "), F.col("bad").cast("string"))).otherwise("no residue in the ranges")
     report_errors(root, spec, "sequences", chains.where("n IS NULL OR size(a) = 0 OR bad > 0").select("protein_id", why.alias("error")))
 
